@@ -308,7 +308,7 @@ def source_csv_typed(spark, sf_dir):
 @query("SELECT * FROM events")
 def source_json_typed(spark, sf_dir):
     path = fresh_path(spark, "events-json")
-    one(spark, sf_dir, "events").write.json(path, timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    one(spark, sf_dir, "events").write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
     return readers.read_json(spark, path, star.EVENTS)
 
 
