@@ -33,8 +33,7 @@ def _planned_bytes(df: DataFrame) -> int:
 
 
 def _broadcast_bytes(df: DataFrame) -> int:
-    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    return df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(threshold)
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def _same(left: DataFrame, right: DataFrame, columns: Sequence[str], null_safe: bool = True) -> Column:

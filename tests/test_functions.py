@@ -1,0 +1,126 @@
+import datetime
+import hashlib
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from conftest import plan_of, rows
+from starload.functions import library as lib
+from starload.functions.registry import FunctionRegistry, create_sql_function, register_sql_functions
+from starload.spec import SpecError
+
+
+def values(spark, column_type, inputs, function):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(inputs)], f"i int, x {column_type}")
+    return [r[1] for r in df.select("i", function(F.col("x"))).orderBy("i").collect()]
+
+
+D = datetime.date
+
+
+def age_brute(dob, as_of):
+    if dob is None:
+        return None
+    if dob > as_of:
+        return -age_brute(as_of, dob)
+    return as_of.year - dob.year - ((as_of.month, as_of.day) < (dob.month, dob.day))
+
+
+def test_age_edges(spark):
+    births = [D(2000, 2, 29), D(2000, 3, 1), D(2001, 2, 28), D(2001, 3, 1), None]
+    assert values(spark, "date", births, lambda x: lib.calculate_age(x, D(2001, 2, 28))) == [0, 0, 0, 0, None]
+    assert values(spark, "date", births, lambda x: lib.calculate_age(x, D(2001, 3, 1))) == [1, 1, 0, 0, None]
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.dates(D(1900, 1, 1), D(2030, 12, 31)), min_size=20, max_size=60), st.dates(D(1950, 1, 1), D(2030, 12, 31)))
+def test_age_property(spark, births, as_of):
+    got = values(spark, "date", births, lambda x: lib.calculate_age(x, as_of))
+    assert got == [age_brute(b, as_of) for b in births]
+
+
+def test_full_name(spark):
+    df = spark.createDataFrame([(1, " Anne-Marie ", "Taylor"), (2, None, None), (3, "José", None), (4, None, "O'Connor")],
+                               "i int, a string, b string")
+    got = [r[0] for r in df.orderBy("i").select(lib.full_name(F.col("a"), F.col("b"))).collect()]
+    assert got == ["Anne-Marie  Taylor", "", "José", "O'Connor"]
+
+
+def test_cleaning(spark):
+    assert values(spark, "string", [" Info@Example.IN ", "", "  ", None], lib.clean_email) == [
+        "info@example.in", None, None, None]
+    assert values(spark, "string", ["044-28291234", "+91 22 6612 9090", "(011) 4155-7788", "none", None],
+                  lib.clean_phone) == ["04428291234", "912266129090", "01141557788", None, None]
+    assert values(spark, "string", ["Y", " n ", "y", "maybe", "", None], lib.flag_to_boolean) == [
+        True, False, True, None, None, None]
+
+
+def test_parsing(spark):
+    assert values(spark, "string", ["2024-02-29", "2023-02-29", "bad", " 2024-01-05 ", None], lib.parse_date) == [
+        D(2024, 2, 29), None, None, D(2024, 1, 5), None]
+    assert values(spark, "string", ["09:30", "9:30", "23:59:58", "7:05:01", "24:00", "12:60", "noon", "12:30:", None],
+                  lib.parse_time) == ["09:30:00", "09:30:00", "23:59:58", "07:05:01", None, None, None, None, None]
+
+
+def test_keys(spark):
+    df = spark.createDataFrame([("DOC-1", "LIC-1"), ("DOC-2", None)], "id string, lic string")
+    assert rows(df.select(lib.business_key(F.col("id"), F.col("lic")))) == [("DOC-1|LIC-1",), (None,)]
+    ts = F.lit("2026-01-01 10:00:00").cast("timestamp_ntz")
+    got = df.limit(1).select(lib.domain_key(F.col("id"), ts), lib.key_uuid(F.col("id"))).first()
+    assert got[0] == hashlib.md5(b"DOC-1|2026-01-01 10:00:00.000000").hexdigest()
+    m = hashlib.md5(b"DOC-1").hexdigest()
+    assert got[1] == f"{m[:8]}-{m[8:12]}-{m[12:16]}-{m[16:20]}-{m[20:]}"
+
+
+def test_hashdiff_tells_null_from_empty_and_columns_apart(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", ""), (None, None)], "x string, y string")
+    hashes = [r[0] for r in df.select(lib.hashdiff(F.col("x"), F.col("y"))).collect()]
+    assert len(set(hashes)) == 4
+
+
+def test_text_hash(spark):
+    text = "select 1;\n" * 500
+    assert values(spark, "string", [text], lib.text_hash) == ["sha256:" + hashlib.sha256(text.encode()).hexdigest()]
+
+
+SAMPLES = {
+    "udf_calculate_age": ("date", [D(2000, 2, 29), D(2030, 1, 1), None], ["DATE'2025-02-28'"], lambda: [F.lit("2025-02-28").cast("date")]),
+    "udf_full_name": ("string", [" a ", None], ["'b'"], lambda: [F.lit("b")]),
+    "udf_clean_email": ("string", [" A@b.C ", "", None], [], list),
+    "udf_clean_phone": ("string", ["+1 (2) 3", "x", None], [], list),
+    "udf_flag_to_boolean": ("string", ["Y", "n", "?", None], [], list),
+    "udf_parse_date": ("string", ["2024-02-29", "2024-02-30", None], [], list),
+    "udf_parse_time": ("string", ["9:30", "25:00", "10:11:12", None], [], list),
+    "udf_calculate_patient_bk": ("string", ["P1", None], [], list),
+    "udf_calculate_doctor_bk": ("string", ["D1", None], ["'L'"], lambda: [F.lit("L")]),
+    "udf_generate_dk": ("string", ["b", None], ["TIMESTAMP_NTZ'2026-01-01 00:00:00'"],
+                        lambda: [F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")]),
+    "udf_text_hash": ("string", ["x", "", None], [], list),
+}
+
+
+def test_sql_functions_equal_the_column_functions(spark):
+    created = register_sql_functions(spark)
+    assert set(created) == set(SAMPLES)
+    registry = FunctionRegistry()
+    for name, (kind, inputs, more_sql, more) in SAMPLES.items():
+        by_sql = values(spark, kind, inputs, lambda x: F.expr(f"{name}({', '.join(['x', *more_sql])})"))
+        by_column = values(spark, kind, inputs, lambda x: registry.call(name, x, *more()))
+        assert by_sql == by_column, name
+
+
+def test_sql_functions_are_inlined(spark):
+    register_sql_functions(spark)
+    plan = plan_of(spark.range(5).selectExpr("udf_clean_phone(udf_full_name(string(id), 'x')) AS p"))
+    assert "udf_" not in plan and "Python" not in plan
+
+
+def test_registry(spark):
+    registry = FunctionRegistry({"Shout": lambda c: F.upper(c)})
+    assert "shout" in registry and "nothing" not in registry
+    assert values(spark, "string", ["a"], lambda x: registry.call("SHOUT", x)) == ["A"]
+    create_sql_function(spark, "only_in_sql", "a STRING RETURNS STRING", "a || '!'")
+    assert values(spark, "string", ["a"], lambda x: registry.call("only_in_sql", x)) == ["a!"]
+    with pytest.raises(SpecError, match="without a body"):
+        create_sql_function(spark, "nobody", "a STRING RETURNS STRING", "")

@@ -1,0 +1,143 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of, rows
+from starload import spec as S
+from starload.plans.build import build, lookup_column, resolve, stage
+from starload.spec import (
+    BuildSpec, Call, ColumnMapping, Join, Lookup, SpecError, TableSpec, build_from_document, column,
+    tables_from_document,
+)
+
+
+def target(*columns):
+    return TableSpec("analytics", "t", tuple(columns))
+
+
+def single(mapping, kind="TEXT", **more):
+    return BuildSpec(target(column(mapping.target_column, kind)), ("src",), (mapping,), **more)
+
+
+@pytest.fixture()
+def src(spark):
+    return {"src": spark.createDataFrame(
+        [(1, "a", "10", None), (2, None, "x", "z")], "id int, name string, num string, opt string")}
+
+
+@pytest.mark.parametrize("mapping, kind, expected", [
+    (ColumnMapping("c", S.DIRECT, "id"), "BIGINT", [1, 2]),
+    (ColumnMapping("c", S.EXPRESSION, expression="src.id * 2"), "INT", [2, 4]),
+    (ColumnMapping("c", S.UDF, ("name", "opt"), udf="udf_full_name"), "TEXT", ["a", "z"]),
+    (ColumnMapping("c", S.CONSTANT, value="k"), "TEXT", ["k", "k"]),
+    (ColumnMapping("c", S.CONSTANT, value=None), "DATE", [None, None]),
+    (ColumnMapping("c", S.DEFAULT, "name", value="?"), "TEXT", ["?", "a"]),
+    (ColumnMapping("c", S.DEFAULT, value="only"), "TEXT", ["only", "only"]),
+    (ColumnMapping("c", S.DIRECT, "num", try_cast=True), "INT", [10, None]),
+])
+def test_row_mappings(spark, src, mapping, kind, expected):
+    got = build(single(mapping, kind), src)
+    assert sorted((r[0] for r in got.collect()), key=repr) == sorted(expected, key=repr)
+    assert got.schema["c"].dataType == column("c", kind).spark_type
+
+
+def test_bad_cast_fails_the_job(spark, src):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        build(single(ColumnMapping("c", S.DIRECT, "num"), "INT"), src).collect()
+
+
+def test_generated_uuid_and_run_timestamp(spark, src):
+    at = datetime.datetime(2026, 1, 2, 3, 4, 5)
+    spec = BuildSpec(
+        target(column("k", "BIGINT", pk=True), column("u", "UUID"), column("dk", "TEXT"), column("_loaded_at", "TIMESTAMP")),
+        ("src",),
+        (ColumnMapping("k", S.GENERATED, order_by=("name",)), ColumnMapping("u", S.UUID, "id"),
+         ColumnMapping("dk", S.UDF, udf=Call("udf_generate_dk", (Call("udf_calculate_patient_bk", ("id",)), S.RUN_TIMESTAMP))),
+         ColumnMapping("_loaded_at", S.CONSTANT, value=S.RUN_TIMESTAMP)))
+    first = build(spec, src, run_timestamp=at)
+    assert rows(first) == rows(build(spec, src, run_timestamp=at))
+    assert [(r["k"], r["_loaded_at"]) for r in first.orderBy("k").collect()] == [(1, at), (2, at)]
+    assert spec.columns[2].source_columns == ("id",)
+
+
+def test_joins_filters_and_order_of_columns(spark, src):
+    src["other"] = spark.createDataFrame([(1, "one")], "id int, label string")
+    spec = BuildSpec(
+        target(column("label", "TEXT"), column("id", "INT")), ("src", "other"),
+        (ColumnMapping("id", S.DIRECT, "id"), ColumnMapping("label", S.DIRECT, "label", "other")),
+        joins=(Join("other", "src.id = other.id", "left"),), filters=("src.id < 9",))
+    got = build(spec, src)
+    assert got.columns == ["label", "id"]
+    assert rows(got) == [("one", 1), (None, 2)]
+
+
+def test_lookup_and_versioned_lookup(spark):
+    source = {"visit": spark.createDataFrame([(1, 7, 5), (2, 7, 15), (3, 8, 5)], "id int, nk int, at int")}
+    dim = {"dim": spark.createDataFrame([(70, 7, 0, 10), (71, 7, 10, None)], "key long, nk int, valid_from int, valid_to int")}
+    spec = BuildSpec(target(column("id", "INT"), column("key", "BIGINT")), ("visit",), (
+        ColumnMapping("id", S.DIRECT, "id"),
+        ColumnMapping("key", S.LOOKUP, lookup=Lookup("dim", "key", (("nk", "nk"),), unknown_key=-1, at="at"))))
+    staged = stage(spec, source)
+    assert set(staged.columns) == {"id", lookup_column(spec.columns[1], 0), "_key_at"}
+    assert rows(resolve(spec, staged, dim)) == [(1, 70), (2, 71), (3, -1)]
+
+
+def test_scan_reads_only_mapped_columns_and_pushes_filters(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    spec = BuildSpec(target(column("id", "BIGINT")), ("orders",), (ColumnMapping("id", S.DIRECT, "o_orderkey"),),
+                     filters=("o_orderstatus = 'F'",))
+    plan = plan_of(build(spec, {"orders": orders}))
+    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in plan
+    assert "o_totalprice" not in plan
+
+
+@pytest.mark.parametrize("make, message", [
+    (lambda: single(ColumnMapping("c", S.NEEDS_REVIEW)), "NEEDS_REVIEW"),
+    (lambda: single(ColumnMapping("c", "GUESS", "id")), "unknown transformation"),
+    (lambda: single(ColumnMapping("c", S.DIRECT)), "needs source_column"),
+    (lambda: single(ColumnMapping("c", S.UDF, "id")), "needs udf"),
+    (lambda: single(ColumnMapping("c", S.LOOKUP)), "needs lookup"),
+    (lambda: single(ColumnMapping("c", S.GENERATED)), "needs order_by"),
+    (lambda: single(ColumnMapping("c", S.DIRECT, "id"), load_strategy="append"), "unknown load strategy"),
+    (lambda: BuildSpec(target(column("a", "INT")), ("src",), ()), "columns without mapping"),
+    (lambda: BuildSpec(target(column("a", "INT")), ("src",), (
+        ColumnMapping("a", S.DIRECT, "id"), ColumnMapping("b", S.DIRECT, "id"))), "mappings without column"),
+    (lambda: TableSpec("n", "t", (column("a", "INT"), column("A", "INT"))), "declared twice"),
+])
+def test_specs_that_cannot_be_built(make, message):
+    with pytest.raises(SpecError, match=message):
+        make()
+
+
+@pytest.mark.parametrize("declared, stored, ddl", [
+    ("INT", "int", "`c` int"), ("bigint", "bigint", "`c` bigint"), ("SMALLINT", "smallint", "`c` smallint"),
+    ("VARCHAR(20)", "string", "`c` VARCHAR(20)"), ("character varying(5)", "string", "`c` VARCHAR(5)"),
+    ("TEXT", "string", "`c` string"), ("TIMESTAMP", "timestamp_ntz", "`c` timestamp_ntz"),
+    ("NUMERIC(12,2)", "decimal(12,2)", "`c` decimal(12,2)"), ("BOOLEAN", "boolean", "`c` boolean"),
+    ("UUID", "string", "`c` string"), ("TIME", "string", "`c` string"), ("DATE", "date", "`c` date"),
+])
+def test_declared_types(declared, stored, ddl):
+    c = column("c", declared)
+    assert c.spark_type.simpleString() == stored and c.ddl == ddl
+
+
+def test_documents_become_specs(spark):
+    tables = tables_from_document({"database": "target_db", "schema": "analytics", "tables": [{
+        "name": "DIM_PERSON", "columns": [
+            {"name": "person_key", "type": "BIGINT", "nullable": False, "primary_key": True, "foreign_key": None},
+            {"name": "person_id", "type": "INT", "nullable": False, "primary_key": False, "foreign_key": None},
+            {"name": "full_name", "type": "VARCHAR(200)", "nullable": True, "primary_key": False, "foreign_key": None}]}]})
+    spec = build_from_document({
+        "target_table": "DIM_PERSON", "load_strategy": "full_load",
+        "source_tables": [{"database": "source_db", "table": "PERSON"}], "staging_table": "stg_dim_person",
+        "columns": [
+            {"target_column": "person_key", "type": "BIGINT", "source": None, "transformation": "GENERATED",
+             "expression": None, "udf": None, "generator": {"type": "ROW_NUMBER", "order_by": ["person_id"]}},
+            {"target_column": "person_id", "type": "INT", "source": {"table": "PERSON", "column": "person_id"},
+             "transformation": "DIRECT", "expression": None, "udf": None},
+            {"target_column": "full_name", "type": "VARCHAR", "transformation": "UDF", "udf": "udf_full_name",
+             "source": {"table": "PERSON", "column": ["first", "last"]}, "expression": None}],
+        "joins": [], "filters": [], "grain": "one row per person"}, tables["DIM_PERSON"])
+    person = spark.createDataFrame([(9, "A", "B"), (4, None, "C")], "person_id int, first string, last string")
+    assert rows(build(spec, {"PERSON": person})) == [(1, 4, "C"), (2, 9, "A B")]
