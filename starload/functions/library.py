@@ -14,7 +14,6 @@ from pyspark.sql import Column, functions as F
 PART_SEPARATOR = "|"
 NULL_MARKER = "\\N"
 TEXT_HASH_PREFIX = "sha256:"
-VERSION_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DATE_FORMAT = "yyyy-MM-dd"
 TIME_PATTERN = r"^([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?$"
 UUID_PATTERN = r"^(.{8})(.{4})(.{4})(.{4})(.{12})$"
@@ -84,8 +83,13 @@ def business_key(*parts: Column) -> Column:
 
 def domain_key(bk: Column, version_ts: Column) -> Column:
     """md5 of a business key and the timestamp of its version (semantics chosen here)."""
-    stamp = F.date_format(version_ts, VERSION_TIMESTAMP_FORMAT)
-    return F.md5(F.concat(bk, F.lit(PART_SEPARATOR), stamp))
+    return F.md5(F.concat(bk, F.lit(PART_SEPARATOR), timestamp_text(version_ts)))
+
+
+def timestamp_text(ts: Column) -> Column:
+    """'yyyy-MM-dd HH:mm:ss.ffffff', whatever the time zone of the session."""
+    text = ts.cast("timestamp_ntz").cast("string")
+    return F.concat(F.substring(text, 1, 19), F.lit("."), F.rpad(F.substring(text, 21, 6), 6, "0"))
 
 
 def hashdiff(*columns: Column) -> Column:

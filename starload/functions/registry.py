@@ -12,6 +12,7 @@ from starload.spec import SpecError
 
 Function = Callable[..., Column]
 
+# The function names that mappings use.
 # name -> (Column function, SQL signature, SQL body or None where SQL has no version of it)
 _LIBRARY: dict[str, tuple[Function, str, str | None]] = {
     "udf_calculate_age": (
@@ -43,7 +44,8 @@ _LIBRARY: dict[str, tuple[Function, str, str | None]] = {
         f"id || '{lib.PART_SEPARATOR}' || license"),
     "udf_generate_dk": (
         lib.domain_key, "bk STRING, ts TIMESTAMP_NTZ RETURNS STRING",
-        f"md5(bk || '{lib.PART_SEPARATOR}' || date_format(ts, '{lib.VERSION_TIMESTAMP_FORMAT}'))"),
+        f"md5(bk || '{lib.PART_SEPARATOR}' || substring(string(ts), 1, 19) || '.'"
+        " || rpad(substring(string(ts), 21, 6), 6, '0'))"),
     "udf_hashdiff": (lib.hashdiff, "", None),
     "udf_text_hash": (
         lib.text_hash, "text STRING RETURNS STRING", f"'{lib.TEXT_HASH_PREFIX}' || sha2(text, 256)"),

@@ -9,37 +9,49 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starload.scratch import materialise
 
-_ROW = "_row_in_slice"
+POSITION = "_position"
 # monotonically_increasing_id keeps the row in the lower 33 bits.
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str | Column], name: str,
-                after: Column | int = 0) -> DataFrame:
-    """Number the rows `after`+1, `after`+2, ... in ascending order, NULLs last.
+def position_rows(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
+    """df in ascending order, NULLs last, cut into ranges, with the range and place of each row.
 
-    The result equals row_number() over the whole table, but no task sees the
-    whole table: rows are range partitioned, sorted and written once, and each
-    range starts where the ranges before it end.  The order must be unique,
-    otherwise equal rows are numbered arbitrarily.
+    The positions hold once the result has been written, and only then: read
+    again from df, the ranges may be cut differently.
     """
     order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
-    ranges = materialise(
-        df.repartitionByRange(*order).sortWithinPartitions(*order)
-        .withColumn(_ROW, F.monotonically_increasing_id()),
-        "numbered",
-    )
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ranges.withColumn(POSITION, F.monotonically_increasing_id())
+
+
+def number_positions(written: DataFrame, name: str, after: Column | int = 0) -> DataFrame:
+    """Replace the positions of written rows by the numbers `after`+1, `after`+2, ...
+
+    Each range starts where the ranges before it end.
+    """
     # One row per range comes to the driver, as many as there are shuffle partitions.
     sizes = {r["range"]: r["rows"] for r in
-             ranges.groupBy(F.shiftright(_ROW, _ROW_BITS).alias("range"))
+             written.groupBy(F.shiftright(POSITION, _ROW_BITS).alias("range"))
              .agg(F.count(F.lit(1)).alias("rows")).collect()}
     ends = itertools.accumulate((sizes.get(i, 0) for i in range(max(sizes, default=0))), initial=0)
     starts = F.split(F.lit(",".join(map(str, ends))), ",").cast("array<bigint>")
     base = F.lit(after) if isinstance(after, int) else after
-    number = (base + F.get(starts, F.shiftright(_ROW, _ROW_BITS).cast("int"))
-              + F.col(_ROW).bitwiseAND(F.lit(_ROW_MASK)) + 1)
-    return ranges.select(*df.columns, number.cast("bigint").alias(name))
+    number = (base + F.get(starts, F.shiftright(POSITION, _ROW_BITS).cast("int"))
+              + F.col(POSITION).bitwiseAND(F.lit(_ROW_MASK)) + 1)
+    return written.withColumn(name, number.cast("bigint")).drop(POSITION)
+
+
+def number_rows(df: DataFrame, order_by: Sequence[str | Column], name: str,
+                after: Column | int = 0) -> DataFrame:
+    """Number the rows in ascending order, NULLs last, starting with `after`+1.
+
+    The result equals row_number() over the whole table, but no task sees the
+    whole table.  The order must be unique, otherwise equal rows are numbered
+    arbitrarily.
+    """
+    return number_positions(materialise(position_rows(df, order_by), "numbered"), name, after)
 
 
 def highest(df: DataFrame, key: str) -> Column:

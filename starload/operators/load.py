@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starload.functions.library import hashdiff
 from starload.operators.skew import HOT_ROWS, SLICE, Scan, keyed_scan, slice_hot_keys
@@ -19,7 +19,6 @@ HASHDIFF = "hashdiff"
 CHANGE = "change"
 # What happened to a key between the current versions and a snapshot.
 NEW, CHANGED, UNCHANGED, MISSING, LATE = "new", "changed", "unchanged", "missing", "late"
-CHANGES = (NEW, CHANGED, UNCHANGED, MISSING, LATE)
 
 
 def newer_rows(source: DataFrame, target: DataFrame, ts: str) -> DataFrame:
@@ -46,7 +45,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str)
     rename = {k: f"_b_{k}" for k in [*keys, order]}
     batch = latest_rows(batch, keys, [order])
     marks = batch.select(*[F.col(k).alias(n) for k, n in rename.items()])
-    same = reduce(Column.__and__, [F.col(k) == F.col(rename[k]) for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(rename[k])) for k in keys])
     stale = F.coalesce(F.col(rename[order]) < F.col(order),
                        F.col(order).isNotNull() & F.col(rename[order]).isNull())
     kept = target.join(marks, same & ~stale, "left_anti")
@@ -71,7 +70,7 @@ def compare_versions(target: DataFrame, snapshot: DataFrame, keys: Sequence[str]
         *[F.col(k).alias(f"_o_{k}") for k in keys], F.struct(*target.columns).alias("old"))
     fresh = latest_rows(snapshot, keys, [ts, *tracked]).withColumn(HASHDIFF, hashdiff(*map(F.col, tracked)))
     fresh = fresh.select(*keys, F.struct(*fresh.columns).alias("new"))
-    same = reduce(Column.__and__, [F.col(k) == F.col(f"_o_{k}") for k in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys])
     change = (F.when(F.col("old").isNull(), NEW)
               .when(F.col("new").isNull(), MISSING)
               .when(F.col(f"old.{HASHDIFF}") == F.col(f"new.{HASHDIFF}"), UNCHANGED)
@@ -82,17 +81,14 @@ def compare_versions(target: DataFrame, snapshot: DataFrame, keys: Sequence[str]
 
 def apply_versions(target: DataFrame, snapshot: DataFrame, keys: Sequence[str],
                    tracked: Sequence[str], ts: str, *, close_missing: bool = False,
-                   closed_at: Column | None = None, seen: Observation | None = None) -> DataFrame:
+                   closed_at: Column | None = None) -> DataFrame:
     """The versioned table after a snapshot: changed versions closed, new ones opened.
 
     The target has the keys, the tracked columns, hashdiff, valid_from, valid_to
     and is_current.  Late rows are not applied (see `late_rows`).  A key missing
     from the snapshot stays open unless `close_missing`, which needs `closed_at`.
-    `seen` observes the number of keys per kind of change while the result is written.
     """
     compared = compare_versions(target, snapshot, keys, tracked, ts)
-    if seen is not None:
-        compared = compared.observe(seen, *[F.count_if(F.col(CHANGE) == c).alias(c) for c in CHANGES])
     ended = F.when(F.col(CHANGE) == CHANGED, F.col(f"new.{ts}"))
     if close_missing:
         ended = ended.when(F.col(CHANGE) == MISSING, closed_at)

@@ -41,6 +41,7 @@ ID_LATE = "D-late-{table}"
 TEXT_NO_TABLE = "table '{table}' not found in live {label} database"
 TEXT_NO_COLUMN = "column '{column}' missing from live table '{table}'"
 TEXT_TYPE = "type mismatch: declared '{declared}', live '{live}'"
+TEXT_VARCHAR = "varchar({n})"
 TEXT_SCHEMA_OK = "matches live schema"
 TEXT_COUNTS = "staging={staging}, target={target}"
 TEXT_COUNTS_FILTERED = "{counts} (buildspec declares filter(s), exact match not asserted)"
@@ -138,25 +139,28 @@ def check_schema(spec: S.TableSpec, live: DataFrame | None, spark: SparkSession,
     fields = {f.name.lower(): f for f in live.schema}
     measured = [c for c in spec.columns if c.width and (f := fields.get(c.name.lower()))
                 and type_matches(c, f) and "__CHAR_VARCHAR_TYPE_STRING" not in f.metadata]
-    lengths = live.agg(F.count(F.lit(1)).alias("rows"),
-                       *[F.max(F.length(c.name)).alias(c.name) for c in measured])
-    entries = []
+    checks = []
     for c in spec.columns:
         check_id = ID_COLUMN.format(column=c.name, **names)
         field = fields.get(c.name.lower())
+        problem = None
         if field is None:
-            fails, detail = F.lit(True), TEXT_NO_COLUMN.format(column=c.name, **names)
+            problem = TEXT_NO_COLUMN.format(column=c.name, **names)
         elif not type_matches(c, field):
-            fails, detail = F.lit(True), TEXT_TYPE.format(declared=c.type, live=field.dataType.simpleString())
-        elif c in measured:
-            fails = F.coalesce(F.col(c.name) > c.width, F.lit(False))
-            detail = text(TEXT_TYPE, declared=c.type,
-                          live=F.concat(F.lit("varchar("), F.col(c.name), F.lit(")")))
-        else:
-            fails, detail = F.lit(False), TEXT_SCHEMA_OK
-        shown = F.when(fails, detail).otherwise(TEXT_SCHEMA_OK)
-        entries.append(_entry(check_id, verdict(fails), shown, fails.cast("int"), SCHEMA))
-    return _unpivot(lengths, entries)
+            problem = TEXT_TYPE.format(declared=c.type, live=field.dataType.simpleString())
+        if c not in measured:
+            checks.append((check_id, SCHEMA, FAIL if problem else PASS, problem or TEXT_SCHEMA_OK, int(bool(problem))))
+    known = spark.createDataFrame(checks, REPORT)
+    if not measured:
+        return known
+    lengths = live.agg(*[F.max(F.length(c.name)).alias(c.name) for c in measured])
+    entries = []
+    for c in measured:
+        wide = F.coalesce(F.col(c.name) > c.width, F.lit(False))
+        found = text(TEXT_TYPE, declared=c.type, live=text(TEXT_VARCHAR, n=F.col(c.name)))
+        entries.append(_entry(ID_COLUMN.format(column=c.name, **names), verdict(wide),
+                              F.when(wide, found).otherwise(TEXT_SCHEMA_OK), wide.cast("int"), SCHEMA))
+    return known.unionByName(_unpivot(lengths, entries))
 
 
 # --- counts, NULLs, widths ----------------------------------------------------------

@@ -55,9 +55,10 @@ def log_rows(spark: SparkSession, records: Sequence[StepRecord]) -> DataFrame:
 
 
 def summarise_runs(log: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
-    """Steps per run and how many of them succeeded and failed."""
+    """Steps per run, the tables they were about, and how many succeeded and failed."""
     return log.groupBy(*by).agg(
         F.count(F.lit(1)).alias("steps"),
+        F.array_join(F.sort_array(F.collect_set("table")), ",").alias("tables"),
         F.count_if(F.col("status") == SUCCESS).alias("succeeded"),
         F.count_if(F.col("status") == FAILURE).alias("failed"))
 

@@ -1,8 +1,8 @@
 """One build spec as DataFrame transformations.
 
-`stage` maps source rows to staged rows, `resolve` replaces natural keys by
-dimension keys.  Both are lazy, except that generated keys write the staged
-rows once to number them.
+`stage` maps source rows to staged rows; written down, `resolve` makes target
+rows of them.  Rows with generated keys have to be written in between, because
+their positions are only fixed then.
 """
 
 from __future__ import annotations
@@ -15,8 +15,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starload import spec as S
 from starload.functions import library as lib
 from starload.functions.registry import FunctionRegistry
-from starload.operators.keys import highest, number_rows
+from starload.operators.keys import highest, number_positions, position_rows
 from starload.operators.lookup import lookup, lookup_as_of
+from starload.scratch import materialise
+
+_NUMBER = "_number"
 
 
 def _order_column(i: int) -> str:
@@ -94,45 +97,53 @@ def joined_sources(spec: S.BuildSpec, sources: Mapping[str, DataFrame]) -> DataF
     return df
 
 
+def _generated(spec: S.BuildSpec) -> list[S.ColumnMapping]:
+    return [m for m in spec.columns if m.transformation in (S.GENERATED, S.SEQUENCE)]
+
+
 def stage(spec: S.BuildSpec, sources: Mapping[str, DataFrame], *,
-          registry: FunctionRegistry | None = None, existing: DataFrame | None = None,
+          registry: FunctionRegistry | None = None,
           run_timestamp: datetime.datetime | None = None) -> DataFrame:
-    """Source rows mapped to target columns; LOOKUP columns are staged as natural keys.
+    """Source rows mapped to target columns, to be written as the staging table.
 
-    `existing` is the current target, after whose highest key a SEQUENCE continues.
+    LOOKUP columns are staged as natural keys, generated keys as positions.
     """
     mapper = Mapper(spec, registry, run_timestamp)
-    columns, numbered = [], []
+    columns = []
     for m in spec.columns:
         if m.transformation == S.LOOKUP:
             columns += [mapper.source(c, m.source_table).alias(lookup_column(m, i))
                         for i, (c, _) in enumerate(m.lookup.on)]
             if m.lookup.at:
                 columns.append(mapper.source(m.lookup.at, m.source_table).alias(_lookup_moment(m)))
-        elif m.transformation in (S.GENERATED, S.SEQUENCE):
-            numbered.append(m)
-        else:
+        elif m.transformation not in (S.GENERATED, S.SEQUENCE):
             columns.append(mapper.expression(m).alias(m.target_column))
     df = joined_sources(spec, sources)
+    numbered = _generated(spec)
     if not numbered:
         return df.select(*columns)
     order = [mapper.source(c).alias(_order_column(i)) for i, c in enumerate(numbered[0].order_by)]
-    staged = number_rows(df.select(*columns, *order), [_order_column(i) for i in range(len(order))], "_n")
-    keys = []
-    for m in numbered:
-        start = F.lit(0)
-        if m.transformation == S.SEQUENCE and existing is not None:
-            start = highest(existing, m.target_column)
-        keys.append(mapper.typed(F.col("_n") + start, m).alias(m.target_column))
-    kept = [c for c in staged.columns if c != "_n" and not c.startswith("_order_")]
-    return staged.select(*keys, *kept)
-
-
-def resolve(spec: S.BuildSpec, staged: DataFrame, dimensions: Mapping[str, DataFrame],
-            **options) -> DataFrame:
-    """Look up dimension keys and return the target columns in declared order."""
+    names = [_order_column(i) for i in range(len(order))]
+    return position_rows(df.select(*columns, *order), names).drop(*names)
+
+
+def resolve(spec: S.BuildSpec, staged: DataFrame, dimensions: Mapping[str, DataFrame], *,
+            existing: DataFrame | None = None, **options) -> DataFrame:
+    """Turn written staging rows into target rows, the columns in declared order.
+
+    Dimension keys are looked up and positions become numbers; a SEQUENCE
+    continues after the highest key of `existing`, the current target.
+    """
     mapper = Mapper(spec)
     df = staged
+    numbered = _generated(spec)
+    if numbered:
+        df = number_positions(df, _NUMBER)
+        for m in numbered:
+            start = F.lit(0)
+            if m.transformation == S.SEQUENCE and existing is not None:
+                start = highest(existing, m.target_column)
+            df = df.withColumn(m.target_column, mapper.typed(F.col(_NUMBER) + start, m))
     for m in spec.columns:
         if m.transformation != S.LOOKUP:
             continue
@@ -144,13 +155,15 @@ def resolve(spec: S.BuildSpec, staged: DataFrame, dimensions: Mapping[str, DataF
                               valid_to=at.valid_to, unknown_key=at.unknown_key, **options)
         else:
             df = lookup(df, dim, on, take, unknown_key=at.unknown_key, **options)
-    return df.select(*[
-        (mapper.typed(F.col(c.name), m) if (m := spec.mapping(c.name)).transformation == S.LOOKUP
-         else F.col(c.name)).alias(c.name)
-        for c in spec.target.columns])
+        df = df.withColumn(m.target_column, mapper.typed(F.col(m.target_column), m))
+    return df.select(*[c.name for c in spec.target.columns])
 
 
 def build(spec: S.BuildSpec, sources: Mapping[str, DataFrame],
-          dimensions: Mapping[str, DataFrame] | None = None, **options) -> DataFrame:
-    """stage and resolve in one go, for a target that is not written in between."""
-    return resolve(spec, stage(spec, sources, **options), dimensions or {})
+          dimensions: Mapping[str, DataFrame] | None = None, *, existing: DataFrame | None = None,
+          **options) -> DataFrame:
+    """stage and resolve in one go; rows with generated keys are written to the shared folder."""
+    staged = stage(spec, sources, **options)
+    if _generated(spec):
+        staged = materialise(staged, spec.staging_table)
+    return resolve(spec, staged, dimensions or {}, existing=existing)

@@ -8,12 +8,13 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starload.functions.library import TEXT_HASH_PREFIX
 from starload.functions.registry import FunctionRegistry
 from starload.operators import load, quality, runlog
-from starload.plans.build import Mapper, joined_sources, resolve, stage
+from starload.plans.build import Mapper, resolve, stage
+from starload.scratch import workspace
 from starload.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse
 from starload.spec import LOOKUP, BuildSpec, SpecError, TableSpec
 
@@ -46,6 +47,10 @@ class LoadRun:
 
         The run log is appended in any case, the report when all loads are done.
         """
+        with workspace(self.spark):
+            return self._run(specs, validate)
+
+    def _run(self, specs: Sequence[BuildSpec], validate: bool) -> DataFrame:
         try:
             for spec in specs:
                 self.load(spec)
@@ -82,8 +87,7 @@ class LoadRun:
             last = target.agg(F.max(ts)).scalar()
             base = sources[spec.base_table]
             sources[spec.base_table] = base.where((F.col(column) > last) | last.isNull())
-        staged = stage(spec, sources, registry=self.registry, existing=target,
-                       run_timestamp=self.run_timestamp)
+        staged = stage(spec, sources, registry=self.registry, run_timestamp=self.run_timestamp)
         return self.warehouse.write_staging(spec.staging_table, staged)
 
     def _dimensions(self, spec: BuildSpec) -> dict[str, DataFrame]:
@@ -103,23 +107,27 @@ class LoadRun:
         return None
 
     def _write(self, spec: BuildSpec) -> int:
-        rows = resolve(spec, self.warehouse.table(f"{STAGING}.{spec.staging_table}"), self._dimensions(spec))
-        options = spec.load_options
+        target = self.warehouse.table(spec.target)
+        staged = self.warehouse.table(f"{STAGING}.{spec.staging_table}")
+        rows = resolve(spec, staged, self._dimensions(spec), existing=target)
         if spec.load_strategy == "full_load":
             return self.warehouse.replace(spec.target, rows)
-        target = self.warehouse.table(spec.target)
-        if spec.load_strategy == "incremental":
-            if "keys" not in options:
-                return self.warehouse.append(spec.target, rows)
+        if spec.load_strategy == "scd2":
+            return self._version(spec, target, rows)
+        if "keys" in spec.load_options:
             return self._upsert(spec, target, rows)
-        seen = Observation()
+        return self.warehouse.append(spec.target, rows)
+
+    def _version(self, spec: BuildSpec, target: DataFrame, rows: DataFrame) -> int:
+        """New versions; rows that come too late are kept in a staging table of their own."""
+        options = spec.load_options
         snapshot = rows.drop(load.HASHDIFF, load.VALID_TO, load.IS_CURRENT)
-        applied = load.apply_versions(
-            target, snapshot, options["keys"], options["tracked"], load.VALID_FROM,
-            close_missing=options.get("close_missing", False), closed_at=self._now_column(), seen=seen)
-        written = self.warehouse.replace(spec.target, applied)
-        self.late[spec.target.name] = seen.get[load.LATE]
-        return written
+        keys = (options["keys"], options["tracked"], load.VALID_FROM)
+        self.late[spec.target.name] = self.warehouse.write_staging(
+            late_table(spec), load.late_rows(target, snapshot, *keys))
+        return self.warehouse.replace(spec.target, load.apply_versions(
+            target, snapshot, *keys, close_missing=options.get("close_missing", False),
+            closed_at=self._now_column()))
 
     def _now_column(self) -> Column:
         return F.lit(self.run_timestamp.isoformat(" ")).cast("timestamp_ntz")
@@ -135,6 +143,10 @@ class LoadRun:
         # Bounded by the number of partitions of the target.
         values = [tuple(r) for r in touched.collect()]
         wanted = F.broadcast(self.spark.createDataFrame(values, touched.schema))
+        # The lists prune partitions, the join then picks the exact combinations.
+        for i, p in enumerate(parts):
+            in_list = sorted({v[i] for v in values if v[i] is not None})
+            target = target.where(F.col(p).isin(in_list) | F.col(p).isNull())
         match = [target[p].eqNullSafe(wanted[p]) for p in parts]
         affected = target.join(wanted, match, "left_semi")
         return self.warehouse.replace_partitions(
@@ -186,6 +198,11 @@ class LoadRun:
             raise StepFailed(f"{spec.target.name}.{stage_name} failed: {error}") from error
 
 
+def late_table(spec: BuildSpec) -> str:
+    """Staging table of the rows that a versioned load left out."""
+    return f"late_{spec.target.name.lower()}"
+
+
 def _now() -> datetime.datetime:
     return datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
 

@@ -20,7 +20,7 @@ from starload.plans import star
 from starload.plans.build import build
 from starload.plans.load import LOG_TABLE, LoadRun
 from starload.functions.registry import FunctionRegistry
-from starload.scratch import fresh_path, materialise
+from starload.scratch import fresh_path
 from starload.sources import readers
 from starload.sources.warehouse import Warehouse
 from starload.spec import BuildSpec, ColumnMapping, TableSpec, column, DIRECT, UDF
@@ -799,7 +799,8 @@ def _event_log(spark, sf_dir):
 
 
 @query("""
-SELECT CAST(user_id AS VARCHAR) AS run_id, count(*) AS steps, count(*) FILTER (event_type <> 'error') AS succeeded,
+SELECT CAST(user_id AS VARCHAR) AS run_id, count(*) AS steps, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS tables,
+       count(*) FILTER (event_type <> 'error') AS succeeded,
        count(*) FILTER (event_type = 'error') AS failed
 FROM events GROUP BY user_id
 """)
@@ -856,11 +857,12 @@ def event_record_by_quarter(spark, sf_dir):
 
 @query("""
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, 'Q' || quarter(o_orderdate) AS quarter, count(*) AS steps,
+       string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS tables,
        count(*) FILTER (o_orderstatus <> 'F') AS succeeded, count(*) FILTER (o_orderstatus = 'F') AS failed
 FROM orders GROUP BY ALL
 """)
 def run_summary_by_quarter(spark, sf_dir):
     log = one(spark, sf_dir, "orders").select(
-        *runlog.year_and_quarter(F.col("o_orderdate")),
+        *runlog.year_and_quarter(F.col("o_orderdate")), F.col("o_orderpriority").alias("table"),
         F.when(F.col("o_orderstatus") == "F", runlog.FAILURE).otherwise(runlog.SUCCESS).alias("status"))
     return runlog.summarise_runs(log, ["year", "quarter"])

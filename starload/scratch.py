@@ -8,9 +8,11 @@ loss of executors.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,8 +36,44 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and return a reader of what was written."""
+    """Write df to the shared folder and return a reader of what was written.
+
+    The files stay until the surrounding `workspace` ends, or for good without one.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    for paths in _workspaces:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_workspaces: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def workspace(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what was materialised inside; results must be written by then."""
+    paths: list[str] = []
+    _workspaces.append(paths)
+    try:
+        yield
+    finally:
+        _workspaces.remove(paths)
+        remove(spark, paths)
+
+
+def remove(spark: SparkSession, paths: Sequence[str]) -> None:
+    for path in paths:
+        place, files = _hadoop(spark, path)
+        files.delete(place, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    place, files = _hadoop(spark, path)
+    return [f.getPath().toString() for f in files.listStatus(place)] if files.exists(place) else []
+
+
+def _hadoop(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from starload.scratch import fresh_path
+from starload.scratch import fresh_path, list_folders, remove
 from starload.spec import TableSpec
 
 # The namespaces of a load, the only ones that `reset` touches.
@@ -124,6 +124,19 @@ class Warehouse:
         df.write.mode("append").partitionBy(*partition_by).option(
             "path", f"{self.root}/{name.replace('.', '/')}").saveAsTable(self.name(name))
 
+    def vacuum(self, spec: TableSpec) -> int:
+        """Delete the files of earlier versions of a table; returns the number of folders.
+
+        Only for when nobody reads or writes those versions any more.
+        """
+        used = self.table(spec).inputFiles()
+        described = self.spark.sql(f"DESCRIBE FORMATTED {self.name(spec)}")
+        used.append(described.where("col_name = 'Location'").first()["data_type"] + "/")
+        folders = list_folders(self.spark, f"{self.root}/{spec.namespace}/{spec.name}")
+        old = [f for f in folders if not any(f"/{f.rstrip('/').rpartition('/')[2]}/" in u for u in used)]
+        remove(self.spark, old)
+        return len(old)
+
     # --- reset
 
     def truncate(self, spec: TableSpec) -> None:
@@ -154,10 +167,12 @@ class Warehouse:
         self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{parts} LOCATION '{path}'")
 
     def _insert(self, name: str, spec: TableSpec, df: DataFrame) -> int:
-        seen, df = _observed(df.select(*self.spark.table(name).columns))
+        df = df.select(*self.spark.table(name).columns)
         if spec.partition_by:
             # One writer per partition and file size, instead of every task writing every partition.
             df = df.hint("rebalance", *spec.partition_by)
+        # Counted in the stage that writes, where a repeated task is not counted twice.
+        seen, df = _observed(df)
         df.write.insertInto(name)
         return seen.get["rows"]
 

@@ -31,7 +31,8 @@ def warehouse(spark, tmp_path):
 
 
 def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    """The physical plan, after execution the one that was run."""
+    return df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
 
 
 def rows(df) -> list[tuple]:
