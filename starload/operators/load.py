@@ -31,9 +31,17 @@ def newer_rows(source: DataFrame, target: DataFrame, ts: str) -> DataFrame:
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the last one in `order`; combined before the shuffle."""
-    row = F.max_by(F.struct(*df.columns), F.struct(*order))
-    return df.groupBy(*keys).agg(row.alias("_row")).select("_row.*")
+    """One row per key, the last one in `order`; combined before the shuffle.
+
+    A NULL key fails the job: such a row could never be found again.
+    """
+    df = df.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in key column {k}")))
+                         for k in keys})
+    rest = [c for c in df.columns if c not in keys]
+    row = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
+    # The keys stay the grouping columns, so that a join on them needs no further shuffle.
+    return df.groupBy(*keys).agg(row).select(
+        *[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -45,7 +53,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str)
     rename = {k: f"_b_{k}" for k in [*keys, order]}
     batch = latest_rows(batch, keys, [order])
     marks = batch.select(*[F.col(k).alias(n) for k, n in rename.items()])
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(rename[k])) for k in keys])
+    same = reduce(Column.__and__, [F.col(k) == F.col(rename[k]) for k in keys])
     stale = F.coalesce(F.col(rename[order]) < F.col(order),
                        F.col(order).isNotNull() & F.col(rename[order]).isNull())
     kept = target.join(marks, same & ~stale, "left_anti")
@@ -70,7 +78,7 @@ def compare_versions(target: DataFrame, snapshot: DataFrame, keys: Sequence[str]
         *[F.col(k).alias(f"_o_{k}") for k in keys], F.struct(*target.columns).alias("old"))
     fresh = latest_rows(snapshot, keys, [ts, *tracked]).withColumn(HASHDIFF, hashdiff(*map(F.col, tracked)))
     fresh = fresh.select(*keys, F.struct(*fresh.columns).alias("new"))
-    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys])
+    same = reduce(Column.__and__, [F.col(k) == F.col(f"_o_{k}") for k in keys])
     change = (F.when(F.col("old").isNull(), NEW)
               .when(F.col("new").isNull(), MISSING)
               .when(F.col(f"old.{HASHDIFF}") == F.col(f"new.{HASHDIFF}"), UNCHANGED)

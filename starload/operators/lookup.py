@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starload.operators.skew import HOT_ROWS, SLICE, Scan, attach, keyed_scan, slice_hot_keys
 
@@ -20,7 +21,7 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]], take:
     """
     keys = [f for f, _ in on]
     side = dim.select(*[dim[d].alias(f) for f, d in on], *[dim[c].alias(name) for name, c in take.items()])
-    side = side.dropna(subset=keys)
+    side = side.where(_all_set(keys))
     if unique == "verify":
         side = unique_rows(side, keys)
     joined = attach(fact, side, keys, "left", hot_rows=hot_rows)
@@ -29,6 +30,10 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]], take:
     return joined.withColumns({name: F.coalesce(joined[name], F.lit(unknown_key)) for name in take})
 
 
+def _all_set(columns: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+
+
 def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """df itself if it is unique on `keys`; the job fails on the first key that is not."""
     rest = [c for c in df.columns if c not in keys]
@@ -56,16 +61,15 @@ def lookup_as_of(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
     versions = dim.where(opened).select(
         *[dim[d].alias(k) for k, (_, d) in zip(keys, on)],
         dim[valid_from].alias("_at"), F.lit(0).alias("_is_fact"), payload.alias("_version"))
-    versions = versions.dropna(subset=keys)
+    versions = versions.where(_all_set(keys))
     facts = fact.select(
         *[fact[f].alias(k) for k, (f, _) in zip(keys, on)],
         fact[at].alias("_at"), F.lit(1).alias("_is_fact"), F.struct(*fact.columns).alias("_fact"))
     rows = versions.unionByName(facts, allowMissingColumns=True)
-    # Several facts at one moment see the same version, so their order does not matter;
-    # the fact itself only makes the slices of a hot key divisible there.
-    rows = rows.withColumn("_tie", F.xxhash64("_fact"))
-    order = ["_at", "_is_fact", "_tie"]
-    rows = slice_hot_keys(rows, keys, order, hot_rows)
+    order = ["_at", "_is_fact"]
+    # Facts at one moment see the same version, so their order does not matter;
+    # their hash only lets a hot key be cut between them.
+    rows = slice_hot_keys(rows, keys, [*order, F.xxhash64("_fact")], hot_rows)
     found = keyed_scan(rows, keys, order, {"_found": Scan("latest", F.col("_version"))})
     found = found.where("_is_fact = 1").drop(SLICE)
     valid = (F.col("_at") < F.col("_found.until")) | F.col("_found.until").isNull()

@@ -292,9 +292,10 @@ def recompute(target: DataFrame, source: DataFrame, keys: Mapping[str, Column],
               expected: Mapping[str, Column], *, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """One row: rows checked, and per column how many differ from the value computed again.
 
-    `keys` and `expected` are target column -> Column over `source`.  NULL equals
-    NULL.  Target rows without a source row are skipped, as are those whose
-    source key is not unique, because it is unknown which row they came from.
+    `keys` and `expected` are target column -> Column over `source`.  A loaded NULL
+    equals a computed NULL.  Target rows without a source row are skipped, as are
+    those whose key is NULL or not unique in the source, because it is unknown
+    which row they came from.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     again = source.select(*[e.alias(n) for n, e in zip(names, keys.values())],
@@ -303,7 +304,7 @@ def recompute(target: DataFrame, source: DataFrame, keys: Mapping[str, Column],
              .where("_n = 1").drop("_n"))
     loaded = target.select(*[F.col(c).alias(n) for n, c in zip(names, keys)],
                            F.struct(*expected).alias("_loaded"))
-    pairs = attach(loaded, again, names, "inner", null_safe=True, hot_rows=hot_rows)
+    pairs = attach(loaded, again, names, "inner", hot_rows=hot_rows)
     return pairs.agg(
         F.count(F.lit(1)).alias("checked"),
         *[F.count_if(~F.col("_loaded")[c].eqNullSafe(F.col("_again")[c])).alias(c) for c in expected])

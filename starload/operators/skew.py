@@ -36,10 +36,13 @@ def _broadcast_bytes(df: DataFrame) -> int:
     return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
-def _same(left: DataFrame, right: DataFrame, columns: Sequence[str], null_safe: bool = True) -> Column:
-    """Equality of same-named columns of two frames."""
-    pairs = [left[c].eqNullSafe(right[c]) if null_safe else left[c] == right[c] for c in columns]
-    return reduce(Column.__and__, pairs)
+def _equal(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [left[c] == right[c] for c in columns])
+
+
+def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
+    """Equality that also holds between NULLs."""
+    return reduce(Column.__and__, [left[c].eqNullSafe(right[c]) for c in columns])
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -60,19 +63,19 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
 
 
 def attach(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left", *,
-           null_safe: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Join `dim` (unique on `keys`) to `fact`; `how` is left or inner.
+           hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Join `dim` (unique on `keys`) to `fact`; `how` is left or inner.  NULL keys never match.
 
     A dim that Spark plans to broadcast, or a fact without hot keys, is Spark's own join.
     Hot keys get a salt on the fact side and as many copies of their one row on
-    the dim side.  NULL keys that cannot match are spread the same way.
+    the dim side.  Rows with a NULL key are spread the same way.
     """
     keys = list(keys)
     columns = fact.columns + [c for c in dim.columns if c not in keys]
     small = _planned_bytes(dim) <= _broadcast_bytes(dim)
     hot = None if small or hot_rows is None else hot_keys(fact, keys, hot_rows)
     if hot is None:
-        joined = fact.join(dim, _same(fact, dim, keys, null_safe), how)
+        joined = fact.join(dim, _equal(fact, dim, keys), how)
         return joined.select(*[fact[c] for c in fact.columns],
                              *[dim[c] for c in dim.columns if c not in keys])
 
@@ -84,7 +87,7 @@ def attach(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "lef
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(hot[FAN], F.lit(1)) - 1))
     right = (dim.join(hot, _same(dim, hot, keys), "left")
              .select(*[dim[c] for c in dim.columns], copies.alias(SALT)))
-    joined = left.join(right, _same(left, right, keys, null_safe) & (left[SALT] == right[SALT]), how)
+    joined = left.join(right, _equal(left, right, [*keys, SALT]), how)
     picked = [left[c] if c in fact.columns else right[c] for c in columns]
     return joined.select(*picked)
 
@@ -104,7 +107,7 @@ class Scan:
     value: Column
 
 
-def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """df with a slice number: 0 for ordinary keys, ranges of (keys, order) for hot ones.
 

@@ -104,4 +104,20 @@ def test_upsert_of_a_small_batch_does_not_shuffle_the_target(spark):
     batch = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     merged = load.upsert(orders, batch, ["o_orderkey"], "o_orderdate")
     merged.collect()
-    assert "BroadcastHashJoin" in plan_of(merged) and "SortMergeJoin" not in plan_of(merged)
+    kept = plan_of(merged).partition("Union")[2].partition("FileScan")[0]
+    assert "LeftAnti, BuildRight" in kept and "Exchange" not in kept
+
+
+def test_null_key_fails(spark):
+    target = spark.createDataFrame([(1, "a", 1)], "k int, v string, o int")
+    batch = spark.createDataFrame([(None, "b", 2)], "k int, v string, o int")
+    with pytest.raises(Exception, match="NULL in key column k"):
+        load.upsert(target, batch, ["k"], "o").collect()
+
+
+def test_versions_shuffle_each_side_once(spark):
+    customer = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    snap = customer.select("c_custkey", "c_name", F.lit("2024-01-01").cast("timestamp_ntz").alias("at"))
+    target = load.initial_versions(snap, ["c_custkey"], ["c_name"], "at")
+    plan = plan_of(load.apply_versions(target.where("is_current"), snap, ["c_custkey"], ["c_name"], "at"))
+    assert plan.count("Exchange hashpartitioning") == 2

@@ -42,23 +42,22 @@ def test_hot_keys_finds_the_large_groups_only(spark):
     assert hot_keys(df, ["k"], 5000) is None
 
 
-@pytest.mark.parametrize("null_safe", [False, True])
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join_equals_plain_join(spark, without_broadcast, how, null_safe):
+def test_salted_join_equals_plain_join(spark, without_broadcast, how):
     data = facts()
     fact = spark.createDataFrame(data, "id long, k long, v long")
     known = {k: f"d{k}" for k in range(0, 150)}
     known[None] = "none"
     dim = spark.createDataFrame(list(known.items()), "k long, name string")
-    salted = attach(fact, dim, ["k"], how, null_safe=null_safe, hot_rows=100)
+    salted = attach(fact, dim, ["k"], how, hot_rows=100)
     assert SALT in plan_of(salted)
     expected = []
     for i, k, v in data:
-        name = known.get(k) if k is not None or null_safe else None
+        name = known.get(k) if k is not None else None
         if name is not None or how == "left":
             expected.append((i, k, v, name))
     assert rows(salted) == sorted(expected, key=repr)
-    assert rows(attach(fact, dim, ["k"], how, null_safe=null_safe, hot_rows=None)) == sorted(expected, key=repr)
+    assert rows(attach(fact, dim, ["k"], how, hot_rows=None)) == sorted(expected, key=repr)
 
 
 def test_salted_join_spreads_the_hot_key(spark, without_broadcast):
