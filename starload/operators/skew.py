@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from starload.scratch import materialise
 
 HOT_ROWS = 5_000_000
+SAMPLED_ROWS = 10_000
 SALT = "_salt"
 FAN = "_fan"
 SLICE = "_slice"
@@ -46,18 +47,26 @@ def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than `hot_rows` rows and their fan-out, or None if there are none.
+    """Keys with more than about `hot_rows` rows and their fan-out, or None if there are none.
 
     At most as many keys come back as there are shuffle partitions.  Any key
     left out then has no more rows than an average partition, so the result is
     small enough to broadcast and complete enough to remove the skew.
+
+    Sizes are estimated from a sample that holds SAMPLED_ROWS rows of a key of
+    the limit size.  The answer only decides how work is cut into tasks; which
+    rows end up in a result does not depend on it.
     """
-    counts = (df.groupBy(*[df[k] for k in keys]).agg(F.count(F.lit(1)).alias(FAN))
-              .where(F.col(FAN) > hot_rows))
+    fraction = min(1.0, SAMPLED_ROWS / hot_rows)
+    seen = df.select(*keys)
+    if fraction < 1.0:
+        seen = seen.sample(fraction, seed=1)
+    counts = (seen.groupBy(*keys).agg(F.count(F.lit(1)).alias(FAN))
+              .where(F.col(FAN) > hot_rows * fraction))
     found = counts.orderBy(F.desc(FAN)).limit(_partitions(df)).collect()
     if not found:
         return None
-    rows = [(*row[:-1], math.ceil(row[FAN] / hot_rows)) for row in found]
+    rows = [(*row[:-1], math.ceil(row[FAN] / fraction / hot_rows)) for row in found]
     schema = T.StructType(counts.schema.fields[:-1] + [T.StructField(FAN, T.IntegerType())])
     return df.sparkSession.createDataFrame(rows, schema)
 
@@ -71,25 +80,25 @@ def attach(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "lef
     the dim side.  Rows with a NULL key are spread the same way.
     """
     keys = list(keys)
-    columns = fact.columns + [c for c in dim.columns if c not in keys]
+    more = [c for c in dim.columns if c not in keys]
     small = _planned_bytes(dim) <= _broadcast_bytes(dim)
     hot = None if small or hot_rows is None else hot_keys(fact, keys, hot_rows)
     if hot is None:
         joined = fact.join(dim, _equal(fact, dim, keys), how)
-        return joined.select(*[fact[c] for c in fact.columns],
-                             *[dim[c] for c in dim.columns if c not in keys])
-
-    hot = F.broadcast(hot)
-    others = [fact[c] for c in fact.columns if c not in keys] or [fact[k] for k in keys]
-    salt = F.coalesce(F.pmod(F.xxhash64(*others), hot[FAN].cast("bigint")), F.lit(0))
-    left = (fact.join(hot, _same(fact, hot, keys), "left")
+        return joined.select(*[fact[c] for c in fact.columns], *[dim[c] for c in more])
+
+    hot = F.broadcast(hot.dropna(subset=keys))
+    row_hash = F.xxhash64(*[fact[c] for c in fact.columns])
+    unmatched = reduce(Column.__or__, [fact[k].isNull() for k in keys])
+    salt = (F.when(hot[FAN].isNotNull(), F.pmod(row_hash, hot[FAN]))
+            .when(unmatched, F.pmod(row_hash, F.lit(_partitions(fact)))).otherwise(0))
+    left = (fact.join(hot, _equal(fact, hot, keys), "left")
             .select(*[fact[c] for c in fact.columns], salt.cast("int").alias(SALT)))
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(hot[FAN], F.lit(1)) - 1))
-    right = (dim.join(hot, _same(dim, hot, keys), "left")
+    right = (dim.join(hot, _equal(dim, hot, keys), "left")
              .select(*[dim[c] for c in dim.columns], copies.alias(SALT)))
     joined = left.join(right, _equal(left, right, [*keys, SALT]), how)
-    picked = [left[c] if c in fact.columns else right[c] for c in columns]
-    return joined.select(*picked)
+    return joined.select(*[left[c] for c in fact.columns], *[right[c] for c in more])
 
 
 # --- ordered scans ------------------------------------------------------------------

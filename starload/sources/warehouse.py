@@ -163,14 +163,22 @@ class Warehouse:
 
     def _create(self, name: str, spec: TableSpec, path: str) -> None:
         columns = ", ".join(c.ddl for c in spec.columns)
-        parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in spec.partition_by)})" if spec.partition_by else ""
-        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{parts} LOCATION '{path}'")
+        layout = ""
+        if spec.partition_by:
+            layout += f" PARTITIONED BY ({_names(spec.partition_by)})"
+        if spec.bucket_by:
+            keys = _names(spec.bucket_by)
+            layout += f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {spec.buckets} BUCKETS"
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{layout} LOCATION '{path}'")
 
     def _insert(self, name: str, spec: TableSpec, df: DataFrame) -> int:
         df = df.select(*self.spark.table(name).columns)
         if spec.partition_by:
             # One writer per partition and file size, instead of every task writing every partition.
             df = df.hint("rebalance", *spec.partition_by)
+        elif spec.bucket_by:
+            # The hash of a shuffle is the hash of the buckets: one file per bucket.
+            df = df.repartition(spec.buckets, *spec.bucket_by)
         # Counted in the stage that writes, where a repeated task is not counted twice.
         seen, df = _observed(df)
         df.write.insertInto(name)
@@ -183,5 +191,9 @@ def _observed(df: DataFrame) -> tuple[Observation, DataFrame]:
     return seen, df.observe(seen, F.count(F.lit(1)).alias("rows"))
 
 
+def _names(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
 def _literal(value: object) -> str:
     return "NULL" if value is None else "'" + str(value).replace("'", "\\'") + "'"

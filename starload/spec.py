@@ -117,15 +117,21 @@ class TableSpec:
     columns: tuple[ColumnSpec, ...]
     partition_by: tuple[str, ...] = ()
     description: str = ""
+    # Bucketed by its join key, a table is joined and checked on it without a shuffle.
+    # For keys without hot values only, as all rows of a value share one file.
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
 
     def __post_init__(self) -> None:
         seen = [c.name.lower() for c in self.columns]
         twice = sorted({n for n in seen if seen.count(n) > 1})
         if twice:
             raise SpecError(f"{self.full_name}: column(s) declared twice: {twice}")
-        missing = sorted(set(self.partition_by) - {c.name for c in self.columns})
+        missing = sorted({*self.partition_by, *self.bucket_by} - {c.name for c in self.columns})
         if missing:
-            raise SpecError(f"{self.full_name}: unknown partition column(s): {missing}")
+            raise SpecError(f"{self.full_name}: unknown partition or bucket column(s): {missing}")
+        if bool(self.bucket_by) != (self.buckets > 0):
+            raise SpecError(f"{self.full_name}: bucket columns and a number of buckets go together")
 
     @property
     def full_name(self) -> str:

@@ -284,3 +284,25 @@ def test_a_run_leaves_nothing_in_the_shared_folder(warehouse):
     load_raw(warehouse)
     new_run(warehouse).run([DIM_PERSON, FACT_VISIT])
     assert set(list_folders(spark, folder)) == before
+
+
+def test_bucketed_table_is_joined_and_checked_without_a_shuffle(warehouse):
+    from conftest import plan_of
+    from starload.operators import load, quality
+    spark = warehouse.spark
+    spec = TableSpec("analytics", "bucketed", (
+        column("k", "BIGINT", pk=True), column("v", "BIGINT")), bucket_by=("k",), buckets=8)
+    data = spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    for _ in range(2):
+        warehouse.replace(spec, data)
+    table = warehouse.table(spec)
+    assert table.count() == 1000 and len(table.inputFiles()) == 8
+    assert plan_of(quality.duplicate_groups(table, ["k"])).count("Exchange") == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = load.upsert(table, data.withColumn("v", F.col("v") + 1), ["k"], "v")
+        kept = plan_of(merged).partition("LeftAnti")[2].partition("FileScan")[0]
+        assert "Exchange" not in kept
+        assert merged.count() == 1000 and merged.agg(F.min("v")).first()[0] == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

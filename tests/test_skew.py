@@ -42,6 +42,12 @@ def test_hot_keys_finds_the_large_groups_only(spark):
     assert hot_keys(df, ["k"], 5000) is None
 
 
+def test_large_limits_are_judged_by_a_sample(spark):
+    df = spark.range(400_000).select(F.when(F.col("id") % 4 == 0, 1).otherwise(F.col("id")).alias("k"))
+    hot = hot_keys(df, ["k"], 40_000).collect()
+    assert [(r["k"], r[FAN]) for r in hot] == [(1, 3)]
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 def test_salted_join_equals_plain_join(spark, without_broadcast, how):
     data = facts()
