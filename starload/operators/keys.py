@@ -18,10 +18,13 @@ _ROW_MASK = (1 << _ROW_BITS) - 1
 def position_rows(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
     """df in ascending order, NULLs last, cut into ranges, with the range and place of each row.
 
+    Rows equal in `order_by` follow the hash of their content, which keeps their
+    order the same on every run and lets many of them be cut into several ranges.
     The positions hold once the result has been written, and only then: read
     again from df, the ranges may be cut differently.
     """
     order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
+    order.append(F.xxhash64(*df.columns))
     ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
     return ranges.withColumn(POSITION, F.monotonically_increasing_id())
 
@@ -48,8 +51,7 @@ def number_rows(df: DataFrame, order_by: Sequence[str | Column], name: str,
     """Number the rows in ascending order, NULLs last, starting with `after`+1.
 
     The result equals row_number() over the whole table, but no task sees the
-    whole table.  The order must be unique, otherwise equal rows are numbered
-    arbitrarily.
+    whole table.
     """
     return number_positions(materialise(position_rows(df, order_by), "numbered"), name, after)
 

@@ -21,13 +21,17 @@ CHANGE = "change"
 NEW, CHANGED, UNCHANGED, MISSING, LATE = "new", "changed", "unchanged", "missing", "late"
 
 
-def newer_rows(source: DataFrame, target: DataFrame, ts: str) -> DataFrame:
-    """Rows of `source` after the newest row of `target`; all of them while target is empty.
+def newer_rows(source: DataFrame, target: DataFrame, ts: str, source_ts: str | None = None) -> DataFrame:
+    """Rows of `source` after the newest `ts` of `target`; all of them while target is empty.
 
-    The maximum is a scalar subquery, so it reaches the source scan as a filter.
+    The one newest value is fetched, so that the comparison reaches the source
+    scan as a constant: it prunes partitions and skips row groups.
     """
-    last = target.agg(F.max(ts)).scalar()
-    return source.where((F.col(ts) > last) | last.isNull())
+    newest = target.agg(F.max(ts)).first()[0]
+    if newest is None:
+        return source
+    column = source_ts or ts
+    return source.where(F.col(column) > F.lit(str(newest)).cast(source.schema[column].dataType))
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

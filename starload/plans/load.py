@@ -82,11 +82,9 @@ class LoadRun:
         sources = self.source_frames(spec)
         target = self.warehouse.table(spec.target)
         if spec.load_strategy == "incremental" and "source_timestamp" in spec.load_options:
-            # Only rows after what the target has; pushed to the scan of the base table.
-            ts, column = spec.load_options["timestamp"], spec.load_options["source_timestamp"]
-            last = target.agg(F.max(ts)).scalar()
-            base = sources[spec.base_table]
-            sources[spec.base_table] = base.where((F.col(column) > last) | last.isNull())
+            sources[spec.base_table] = load.newer_rows(
+                sources[spec.base_table], target, spec.load_options["timestamp"],
+                spec.load_options["source_timestamp"])
         staged = stage(spec, sources, registry=self.registry, run_timestamp=self.run_timestamp)
         return self.warehouse.write_staging(spec.staging_table, staged)
 

@@ -17,6 +17,9 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_folders: list[str] = []
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; a temporary one only in local mode."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -24,10 +27,11 @@ def scratch_root(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="starload-")
-    atexit.register(shutil.rmtree, own, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if not _local_folders:
+        own = tempfile.mkdtemp(prefix="starload-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        _local_folders.append(own)
+    return _local_folders[0]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

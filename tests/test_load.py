@@ -21,6 +21,14 @@ def test_newer_rows(spark):
     assert rows(load.newer_rows(source, target.where("id < 0"), "ts")) == [(1, 5), (2, 9)]
 
 
+def test_newer_rows_filter_reaches_the_scan(spark):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    seen = events.where("ts < timestamp_ntz'2024-01-20'")
+    newer = load.newer_rows(events, seen, "ts")
+    assert "GreaterThan(ts,2024-01-1" in plan_of(newer)
+    assert newer.count() + seen.count() == events.count()
+
+
 def test_upsert_rules(spark):
     target = spark.createDataFrame([(1, "old", 5), (2, "newer", 9), (3, "only", 1), (4, "undated", None)], "k int, v string, o int")
     batch = spark.createDataFrame(

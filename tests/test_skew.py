@@ -213,3 +213,15 @@ def test_numbering_of_nothing_and_after_a_maximum(spark):
     assert rows(more) == [(3, 42), (5, 43)]
     assert rows(number_rows(spark.createDataFrame([(5,)], "k long"), ["k"], "n",
                             after=highest(used.where("n < 0"), "n"))) == [(5, 1)]
+
+
+def test_equal_order_values_are_numbered_the_same_every_time(spark):
+    df = spark.range(3000).select(F.lit(1).alias("k"), F.col("id"))
+    first = rows(number_rows(df, ["k"], "n"))
+    assert sorted(r[2] for r in first) == list(range(1, 3001))
+    assert rows(number_rows(df.repartition(5), ["k"], "n")) == first
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert len(number_rows(df, ["k"], "n").inputFiles()) > 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
