@@ -12,10 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starload.functions.library import hashdiff
-from starload.operators.skew import HOT_ROWS, SLICE, Scan, keyed_scan, slice_hot_keys
+from starload.operators.skew import HOT_ROWS, Scan, attach, keyed_scan, slice_hot_keys
+from starload.spec import HASHDIFF, IS_CURRENT, VALID_FROM, VALID_TO
 
-VALID_FROM, VALID_TO, IS_CURRENT = "valid_from", "valid_to", "is_current"
-HASHDIFF = "hashdiff"
 CHANGE = "change"
 # What happened to a key between the current versions and a snapshot.
 NEW, CHANGED, UNCHANGED, MISSING, LATE = "new", "changed", "unchanged", "missing", "late"
@@ -67,6 +66,16 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str)
     return kept.unionByName(won)
 
 
+def keep_keys(batch: DataFrame, target: DataFrame, keys: Sequence[str], generated: Sequence[str]) -> DataFrame:
+    """`batch` with the generated keys that its rows already have in `target`."""
+    if not generated:
+        return batch
+    known = target.select(*keys, *[F.col(g).alias(f"_known_{g}") for g in generated])
+    found = attach(batch, known, keys)
+    return found.select(*[F.coalesce(f"_known_{c}", c).alias(c) if c in generated else F.col(c)
+                          for c in batch.columns])
+
+
 # --- versioned dimensions -----------------------------------------------------------
 
 

@@ -12,24 +12,30 @@ from starload.operators.skew import HOT_ROWS, SLICE, Scan, attach, keyed_scan, s
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]], take: Mapping[str, str], *,
-           unknown_key: Any = None, unique: str = "trust", hot_rows: int | None = HOT_ROWS) -> DataFrame:
+           unknown_key: Any = None, unique: str = "trust", hot_rows: int | None = HOT_ROWS,
+           sizes: DataFrame | None = None) -> DataFrame:
     """Add columns of `dim` to `fact`; every fact row stays, a miss gives `unknown_key` or NULL.
 
     `on` pairs fact columns with dim columns, `take` names result column ->
     dim column.  A NULL fact key never matches.  The dim must be unique on its
-    side of `on`; unique='verify' fails the job when it is not.
+    side of `on`; unique='verify' fails the job when it is not.  `sizes` is a
+    frame with the same keys as `fact` that is cheaper to read.
     """
     keys = [f for f, _ in on]
     side = dim.select(*[dim[d].alias(f) for f, d in on], *[dim[c].alias(name) for name, c in take.items()])
     side = side.where(_all_set(keys))
     if unique == "verify":
         side = unique_rows(side, keys)
-    joined = attach(fact, side, keys, "left", hot_rows=hot_rows)
+    joined = attach(fact, side, keys, "left", hot_rows=hot_rows, sizes=sizes)
     if unknown_key is None:
         return joined
     return joined.withColumns({name: F.coalesce(joined[name], F.lit(unknown_key)) for name in take})
 
 
+def _keys_of(versions: DataFrame, facts: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    return versions.select(*keys).union(facts.select(*names))
+
+
 def _all_set(columns: Sequence[str]) -> Column:
     return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
 
@@ -48,12 +54,13 @@ def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def lookup_as_of(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]], at: str,
                  take: Mapping[str, str], *, valid_from: str = "valid_from", valid_to: str = "valid_to",
-                 unknown_key: Any = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 unknown_key: Any = None, hot_rows: int = HOT_ROWS,
+                 sizes: DataFrame | None = None) -> DataFrame:
     """Add columns of the dim version with valid_from <= `at` < valid_to (NULL: still open).
 
     Versions of one key must not overlap.  Facts and versions are brought into
     one order per key and the latest version is carried forward, so the work is
-    linear in both, whatever number of versions a key has.
+    linear in both, whatever number of versions a key has.  `sizes` is as in `lookup`.
     """
     keys = [f"_k{i}" for i in range(len(on))]
     payload = F.struct(dim[valid_to].alias("until"), *[dim[c].alias(n) for n, c in take.items()])
@@ -69,7 +76,8 @@ def lookup_as_of(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]],
     order = ["_at", "_is_fact"]
     # Facts at one moment see the same version, so their order does not matter;
     # their hash only lets a hot key be cut between them.
-    rows = slice_hot_keys(rows, keys, [*order, F.xxhash64("_fact")], hot_rows)
+    rows = slice_hot_keys(rows, keys, [*order, F.xxhash64("_fact")], hot_rows,
+                          None if sizes is None else _keys_of(versions, sizes, keys, [f for f, _ in on]))
     found = keyed_scan(rows, keys, order, {"_found": Scan("latest", F.col("_version"))})
     found = found.where("_is_fact = 1").drop(SLICE)
     valid = (F.col("_at") < F.col("_found.until")) | F.col("_found.until").isNull()

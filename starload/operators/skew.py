@@ -72,17 +72,18 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
 
 
 def attach(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left", *,
-           hot_rows: int | None = HOT_ROWS) -> DataFrame:
+           hot_rows: int | None = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """Join `dim` (unique on `keys`) to `fact`; `how` is left or inner.  NULL keys never match.
 
     A dim that Spark plans to broadcast, or a fact without hot keys, is Spark's own join.
     Hot keys get a salt on the fact side and as many copies of their one row on
-    the dim side.  Rows with a NULL key are spread the same way.
+    the dim side.  Rows with a NULL key are spread the same way.  `sizes` has the
+    keys of `fact` where these are cheaper to read than from `fact` itself.
     """
     keys = list(keys)
     more = [c for c in dim.columns if c not in keys]
     small = _planned_bytes(dim) <= _broadcast_bytes(dim)
-    hot = None if small or hot_rows is None else hot_keys(fact, keys, hot_rows)
+    hot = None if small or hot_rows is None else hot_keys(fact if sizes is None else sizes, keys, hot_rows)
     if hot is None:
         joined = fact.join(dim, _equal(fact, dim, keys), how)
         return joined.select(*[fact[c] for c in fact.columns], *[dim[c] for c in more])
@@ -117,14 +118,15 @@ class Scan:
 
 
 def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   hot_rows: int = HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """df with a slice number: 0 for ordinary keys, ranges of (keys, order) for hot ones.
 
     Only the rows of hot keys are written to the shared folder, because their
     slice is the number of the range partition they fell into and must not
-    change between two reads.  Without hot keys df comes back as it is.
+    change between two reads.  Without hot keys df comes back as it is.  `sizes`
+    is as in `attach`.
     """
-    hot = hot_keys(df, keys, hot_rows)
+    hot = hot_keys(df if sizes is None else sizes, keys, hot_rows)
     if hot is None:
         return df
     hot = F.broadcast(hot)

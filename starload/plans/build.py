@@ -152,9 +152,9 @@ def resolve(spec: S.BuildSpec, staged: DataFrame, dimensions: Mapping[str, DataF
         dim, take = dimensions[at.dimension], {m.target_column: at.key}
         if at.at:
             df = lookup_as_of(df, dim, on, _lookup_moment(m), take, valid_from=at.valid_from,
-                              valid_to=at.valid_to, unknown_key=at.unknown_key, **options)
+                              valid_to=at.valid_to, unknown_key=at.unknown_key, sizes=staged, **options)
         else:
-            df = lookup(df, dim, on, take, unknown_key=at.unknown_key, **options)
+            df = lookup(df, dim, on, take, unknown_key=at.unknown_key, sizes=staged, **options)
         df = df.withColumn(m.target_column, mapper.typed(F.col(m.target_column), m))
     return df.select(*[c.name for c in spec.target.columns])
 

@@ -16,7 +16,7 @@ from starload.operators import load, quality, runlog
 from starload.plans.build import Mapper, resolve, stage
 from starload.scratch import workspace
 from starload.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse
-from starload.spec import LOOKUP, BuildSpec, SpecError, TableSpec
+from starload.spec import LOOKUP, SEQUENCE, BuildSpec, SpecError, TableSpec
 
 REPORT_TABLE = f"{ANALYTICS}.dq_report"
 LOG_TABLE = f"{ANALYTICS}.run_log"
@@ -132,6 +132,8 @@ class LoadRun:
 
     def _upsert(self, spec: BuildSpec, target: DataFrame, batch: DataFrame) -> int:
         keys, order = spec.load_options["keys"], spec.load_options["timestamp"]
+        generated = [m.target_column for m in spec.columns if m.transformation == SEQUENCE]
+        batch = load.keep_keys(batch, target, keys, generated)
         parts = list(spec.target.partition_by)
         if not parts:
             return self.warehouse.replace(spec.target, load.upsert(target, batch, keys, order))

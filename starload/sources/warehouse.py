@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from starload.scratch import fresh_path, list_folders, remove
-from starload.spec import TableSpec
+from starload.spec import TableSpec, comment
 
 # The namespaces of a load, the only ones that `reset` touches.
 RAW, STAGING, ANALYTICS = "raw", "staging", "analytics"
@@ -169,7 +169,8 @@ class Warehouse:
         if spec.bucket_by:
             keys = _names(spec.bucket_by)
             layout += f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {spec.buckets} BUCKETS"
-        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{layout} LOCATION '{path}'")
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{layout} LOCATION '{path}'"
+                       f"{comment(spec.description)}")
 
     def _insert(self, name: str, spec: TableSpec, df: DataFrame) -> int:
         df = df.select(*self.spark.table(name).columns)

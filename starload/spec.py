@@ -29,7 +29,7 @@ TYPE_ALIASES = {
     "DECIMAL": "decimal",
 }
 
-# The ten mapping kinds, the load strategies, the row-number generator.
+# The ten mapping kinds and the load strategies.
 DIRECT = "DIRECT"
 EXPRESSION = "EXPRESSION"
 UDF = "UDF"
@@ -42,7 +42,10 @@ UUID = "UUID"
 NEEDS_REVIEW = "NEEDS_REVIEW"
 KINDS = (DIRECT, EXPRESSION, UDF, CONSTANT, LOOKUP, GENERATED, DEFAULT, SEQUENCE, UUID, NEEDS_REVIEW)
 LOAD_STRATEGIES = ("full_load", "incremental", "scd2")
-ROW_NUMBER = "ROW_NUMBER"
+
+# The columns that a versioned table has besides its own.
+HASHDIFF, VALID_FROM, VALID_TO, IS_CURRENT = "hashdiff", "valid_from", "valid_to", "is_current"
+VERSION_COLUMNS = (HASHDIFF, VALID_FROM, VALID_TO, IS_CURRENT)
 
 
 class SpecError(ValueError):
@@ -55,6 +58,12 @@ def _split_type(declared: str) -> tuple[str, tuple[int, ...]]:
     return base.strip(), numbers
 
 
+def comment(description: str) -> str:
+    """A COMMENT clause, empty without a description."""
+    quoted = description.replace("\\", "\\\\").replace("'", "\\'")
+    return f" COMMENT '{quoted}'" if description else ""
+
+
 @dataclass(frozen=True)
 class ForeignKey:
     """`enforced=False` marks lineage only, e.g. to a business key that repeats per version."""
@@ -107,7 +116,7 @@ class ColumnSpec:
     def ddl(self) -> str:
         """Column definition for CREATE TABLE; VARCHAR(n) keeps its length."""
         stored = f"VARCHAR({self.width})" if self.width else self.spark_type.simpleString()
-        return f"`{self.name}` {stored}"
+        return f"`{self.name}` {stored}{comment(self.description)}"
 
 
 @dataclass(frozen=True)
@@ -292,6 +301,24 @@ class BuildSpec:
         numbered = [c for c in self.columns if c.transformation in (GENERATED, SEQUENCE)]
         if len({c.order_by for c in numbered}) > 1:
             raise SpecError(f"{name}: generated keys must share one order")
+        self._check_strategy()
+
+    def _check_strategy(self) -> None:
+        """A strategy is never downgraded: what it needs must be there."""
+        name, options = self.target.name, self.load_options
+        if self.load_strategy == "full_load":
+            return
+        if any(c.transformation == GENERATED for c in self.columns):
+            raise SpecError(f"{name}: GENERATED starts at 1 in every load; use SEQUENCE for {self.load_strategy}")
+        if self.load_strategy == "incremental":
+            if "timestamp" not in options or not ({"keys", "source_timestamp"} & set(options)):
+                raise SpecError(f"{name}: incremental needs timestamp and either source_timestamp"
+                                " (append newer rows) or keys (upsert)")
+            return
+        lost = [o for o in ("keys", "tracked") if not options.get(o)]
+        lost += [c for c in VERSION_COLUMNS if self.target.column(c) is None]
+        if lost:
+            raise SpecError(f"{name}: scd2 needs {', '.join(lost)}")
 
     @property
     def base_table(self) -> str:

@@ -100,6 +100,12 @@ def test_scan_reads_only_mapped_columns_and_pushes_filters(spark):
     (lambda: single(ColumnMapping("c", S.LOOKUP)), "needs lookup"),
     (lambda: single(ColumnMapping("c", S.GENERATED)), "needs order_by"),
     (lambda: single(ColumnMapping("c", S.DIRECT, "id"), load_strategy="append"), "unknown load strategy"),
+    (lambda: single(ColumnMapping("c", S.DIRECT, "id"), load_strategy="incremental"), "incremental needs"),
+    (lambda: single(ColumnMapping("c", S.DIRECT, "id"), load_strategy="scd2", load_options={"keys": ["c"]}),
+     "scd2 needs tracked, hashdiff, valid_from"),
+    (lambda: single(ColumnMapping("c", S.GENERATED, order_by=("id",)), load_strategy="incremental",
+                    load_options={"keys": ["c"], "timestamp": "c"}), "use SEQUENCE"),
+    (lambda: TableSpec("n", "t", (column("a", "INT"),), bucket_by=("a",)), "number of buckets"),
     (lambda: BuildSpec(target(column("a", "INT")), ("src",), ()), "columns without mapping"),
     (lambda: BuildSpec(target(column("a", "INT")), ("src",), (
         ColumnMapping("a", S.DIRECT, "id"), ColumnMapping("b", S.DIRECT, "id"))), "mappings without column"),
@@ -141,3 +147,21 @@ def test_documents_become_specs(spark):
         "joins": [], "filters": [], "grain": "one row per person"}, tables["DIM_PERSON"])
     person = spark.createDataFrame([(9, "A", "B"), (4, None, "C")], "person_id int, first string, last string")
     assert rows(build(spec, {"PERSON": person})) == [(1, 4, "C"), (2, 9, "A B")]
+
+
+def test_second_lookup_estimates_sizes_from_the_staged_rows(spark):
+    """Hot keys of a later lookup must not be looked for in the result of the earlier one."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source = {"f": spark.range(300).select("id", (F.col("id") % 2).alias("a"), F.lit(7).alias("b"))}
+        dims = {"da": spark.createDataFrame([(10, 0), (11, 1)], "ka long, a long"),
+                "db": spark.createDataFrame([(70, 7)], "kb long, b int")}
+        spec = BuildSpec(target(column("id", "BIGINT"), column("ka", "BIGINT"), column("kb", "BIGINT")), ("f",), (
+            ColumnMapping("id", S.DIRECT, "id"),
+            ColumnMapping("ka", S.LOOKUP, lookup=Lookup("da", "ka", (("a", "a"),))),
+            ColumnMapping("kb", S.LOOKUP, lookup=Lookup("db", "kb", (("b", "b"),)))))
+        got = resolve(spec, stage(spec, source), dims, hot_rows=50)
+        assert plan_of(got).count("_salt") > 2
+        assert rows(got) == sorted(((i, 10 + i % 2, 70) for i in range(300)), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

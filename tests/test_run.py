@@ -194,6 +194,30 @@ def test_incremental_upsert(warehouse, partition_by):
         assert parts == {"day=2026-01-01", "day=2026-01-05"}
 
 
+def test_upsert_keeps_the_generated_keys_of_known_rows(warehouse):
+    spec = BuildSpec(
+        TableSpec("analytics", "fact_seq", (
+            column("visit_key", "BIGINT", pk=True), column("visit_id", "INT"), column("day", "DATE"),
+            column("fee", "INT"))),
+        ("visit",),
+        (ColumnMapping("visit_key", S.SEQUENCE, order_by=("visit_id",)), ColumnMapping("visit_id", S.DIRECT, "visit_id"),
+         ColumnMapping("day", S.DIRECT, "day"), ColumnMapping("fee", S.DIRECT, "fee")),
+        "incremental", load_options={"keys": ["visit_id"], "timestamp": "day"})
+    load_raw(warehouse)
+    new_run(warehouse).run([spec], validate=False)
+    load_raw(warehouse, visits=[(2, "P2", datetime.date(2026, 1, 5), 99.0), (4, "P9", datetime.date(2026, 1, 5), 6.0)])
+    new_run(warehouse, T2, "r2").run([spec], validate=False)
+    got = rows(warehouse.table(spec.target).select("visit_id", "visit_key", "fee"))
+    assert [r[0] for r in got] == [1, 2, 3, 4] and got[1] == (2, 2, 99)
+    assert got[3][1] > 3 and len({r[1] for r in got}) == 4
+
+
+def test_descriptions_become_comments(warehouse):
+    spec = TableSpec("analytics", "told", (column("a", "INT", description="it's a"),), description="a table")
+    warehouse.create_table(spec)
+    assert warehouse.spark.catalog.listColumns(warehouse.name(spec))[0].description == "it's a"
+
+
 # --- warehouse ----------------------------------------------------------------------
 
 WORDS = TableSpec("analytics", "words", (column("id", "INT"), column("word", "VARCHAR(5)")))
