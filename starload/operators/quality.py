@@ -215,6 +215,22 @@ def check_parsed(table: str, df: DataFrame, parsed: Mapping[str, tuple[Column, C
         for c in parsed])
 
 
+# Functions that turn text they cannot read into NULL.
+PARSERS = ("udf_parse_date", "udf_parse_time")
+
+
+def check_unparsed(spec: S.BuildSpec, sources: Mapping[str, DataFrame], mapper: Mapper | None = None) -> DataFrame:
+    """check_parsed for the columns of a spec that read text: parser functions and try_cast."""
+    mapper = mapper or Mapper(spec)
+    parsed = {m.target_column: (mapper.source(m.source_columns[0], m.source_table), mapper.expression(m))
+              for m in spec.columns if len(m.source_columns) == 1
+              and (m.udf in PARSERS or m.transformation == S.DIRECT and m.try_cast)}
+    source = joined_sources(spec, sources)
+    if not parsed:
+        return source.sparkSession.createDataFrame([], REPORT)
+    return check_parsed(spec.target.name, source, parsed)
+
+
 # --- keys ---------------------------------------------------------------------------
 
 

@@ -82,6 +82,8 @@ def attach(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "lef
     """
     keys = list(keys)
     more = [c for c in dim.columns if c not in keys]
+    # Renewed columns, so that a dim made from the fact is told apart from it.
+    dim = dim.select(*[F.col(c).alias(c) for c in dim.columns])
     small = _planned_bytes(dim) <= _broadcast_bytes(dim)
     hot = None if small or hot_rows is None else hot_keys(fact if sizes is None else sizes, keys, hot_rows)
     if hot is None:

@@ -14,7 +14,7 @@ from starload.functions.library import TEXT_HASH_PREFIX
 from starload.functions.registry import FunctionRegistry
 from starload.operators import load, quality, runlog
 from starload.plans.build import Mapper, resolve, stage
-from starload.scratch import workspace
+from starload.scratch import materialise, workspace
 from starload.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse
 from starload.spec import LOOKUP, SEQUENCE, BuildSpec, SpecError, TableSpec
 
@@ -110,11 +110,14 @@ class LoadRun:
         rows = resolve(spec, staged, self._dimensions(spec), existing=target)
         if spec.load_strategy == "full_load":
             return self.warehouse.replace(spec.target, rows)
+        if spec.load_strategy == "incremental" and "keys" not in spec.load_options:
+            return self.warehouse.append(spec.target, rows)
+        if any(m.transformation == LOOKUP for m in spec.columns):
+            # Both strategies read the batch several times; its lookups should run once.
+            rows = materialise(rows, spec.target.name)
         if spec.load_strategy == "scd2":
             return self._version(spec, target, rows)
-        if "keys" in spec.load_options:
-            return self._upsert(spec, target, rows)
-        return self.warehouse.append(spec.target, rows)
+        return self._upsert(spec, target, rows)
 
     def _version(self, spec: BuildSpec, target: DataFrame, rows: DataFrame) -> int:
         """New versions; rows that come too late are kept in a staging table of their own."""
@@ -175,10 +178,10 @@ class LoadRun:
                 late = self.spark.createDataFrame([(self.late[name],)], "n bigint")
                 checks.append(quality.check_late(name, late))
             base = self.sources[spec.base_table]
+            mapper = Mapper(spec, self.registry, self.run_timestamp)
+            checks.append(quality.check_unparsed(spec, self.source_frames(spec), mapper))
             if spec.load_strategy == "full_load":
-                checks.append(quality.check_recomputed(
-                    spec, base, target, self.source_frames(spec),
-                    Mapper(spec, self.registry, self.run_timestamp)))
+                checks.append(quality.check_recomputed(spec, base, target, self.source_frames(spec), mapper))
         return quality.union_checks(checks)
 
     # --- log

@@ -8,22 +8,24 @@ query reads its tables whole.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starload.functions import library as lib
-from starload.functions.registry import register_sql_functions
+from starload.functions.registry import FunctionRegistry, register_sql_functions
 from starload.operators import load, quality, runlog
 from starload.operators.lookup import lookup_as_of
 from starload.plans import star
 from starload.plans.build import build
 from starload.plans.load import LOG_TABLE, LoadRun
-from starload.functions.registry import FunctionRegistry
 from starload.scratch import fresh_path
 from starload.sources import readers
 from starload.sources.warehouse import Warehouse
-from starload.spec import BuildSpec, ColumnMapping, TableSpec, column, DIRECT, UDF
+from starload.spec import (
+    CONSTANT, DIRECT, EXPRESSION, LOOKUP, RUN_TIMESTAMP, UDF, BuildSpec, Call, ColumnMapping, Lookup, TableSpec, column,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -468,6 +470,46 @@ def load_upsert(spark, sf_dir):
     return load.upsert(target, batch, ["o_orderkey"], "updated")
 
 
+ORDER_STATE = TableSpec("analytics", "order_state", (
+    column("order_id", "BIGINT", pk=True), column("status", "VARCHAR(1)"), column("customer_key", "BIGINT"),
+    column("updated", "DATE"), column("order_year", "INT")), partition_by=("order_year",))
+ORDER_CHANGES = TableSpec("raw", "order_changes", (
+    column("o_orderkey", "BIGINT", pk=True), column("o_custkey", "BIGINT"), column("o_orderstatus", "VARCHAR(1)"),
+    column("o_orderdate", "TIMESTAMP"), column("updated", "DATE")))
+BUILD_ORDER_STATE = BuildSpec(
+    ORDER_STATE, ("order_changes",),
+    (ColumnMapping("order_id", DIRECT, "o_orderkey"), ColumnMapping("status", DIRECT, "o_orderstatus"),
+     ColumnMapping("customer_key", LOOKUP, lookup=Lookup(
+         "dim_customer", "customer_key", (("o_custkey", "customer_id"),), unknown_key=-1)),
+     ColumnMapping("updated", DIRECT, "updated"),
+     ColumnMapping("order_year", EXPRESSION, expression="year(o_orderdate)")),
+    "incremental", load_options={"keys": ["order_id"], "timestamp": "updated"})
+
+
+def _two_runs(spark, sf_dir, changes: TableSpec, batches, parents, spec):
+    """A warehouse after one run per batch of changes."""
+    warehouse = _project(spark, sf_dir)
+    for i, batch in enumerate(batches):
+        warehouse.replace(changes, batch)
+        run = LoadRun(warehouse, {**star.RAW_TABLES, changes.name: changes}, FunctionRegistry(),
+                      datetime.datetime(2024 + i, 1, 1), f"run-{i}")
+        run.run([*(parents if i == 0 else []), spec], validate=False)
+    return warehouse
+
+
+@query(f"""
+WITH s AS ({UPSERT_SQL}), dim AS ({DIM_CUSTOMER_SQL})
+SELECT s.o_orderkey AS order_id, s.o_orderstatus AS status, coalesce(dim.customer_key, -1) AS customer_key, s.updated,
+       CAST(year(s.o_orderdate) AS INTEGER) AS order_year
+FROM s JOIN orders USING (o_orderkey) LEFT JOIN dim ON dim.customer_id = orders.o_custkey
+""")
+def load_upsert_partitions(spark, sf_dir):
+    owners = one(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    batches = [b.join(owners, "o_orderkey") for b in _upsert_input(spark, sf_dir)]
+    warehouse = _two_runs(spark, sf_dir, ORDER_CHANGES, batches, [star.BUILD_DIM_CUSTOMER_IN_CREDIT], BUILD_ORDER_STATE)
+    return warehouse.table(ORDER_STATE)
+
+
 SEGMENT_CHANGE_SQL = "CASE WHEN c_mktsegment = 'BUILDING' THEN 'CONSTRUCTION' ELSE c_mktsegment END"
 
 
@@ -482,17 +524,20 @@ def _customer_snapshots(spark, sf_dir):
     return first.drop("c_acctbal"), second.drop("c_acctbal")
 
 
-@query(f"""
-WITH v AS (
+SCD2_SQL = f"""
   SELECT c_custkey, c_name, c_mktsegment, TIMESTAMP '2024-01-01' AS valid_from,
          CASE WHEN c_acctbal >= 0 AND c_mktsegment = 'BUILDING' THEN TIMESTAMP '2025-01-01' END AS valid_to
   FROM customer WHERE c_acctbal < 8000
   UNION ALL
   SELECT c_custkey, c_name, {SEGMENT_CHANGE_SQL}, TIMESTAMP '2025-01-01', NULL
-  FROM customer WHERE c_acctbal >= 0 AND (c_acctbal >= 8000 OR c_mktsegment = 'BUILDING'))
+  FROM customer WHERE c_acctbal >= 0 AND (c_acctbal >= 8000 OR c_mktsegment = 'BUILDING')
+"""
+
+
+@query(f"""
 SELECT c_custkey, c_name, c_mktsegment, md5(c_name || '|' || c_mktsegment) AS hashdiff, valid_from, valid_to,
        valid_to IS NULL AS is_current
-FROM v
+FROM ({SCD2_SQL})
 """)
 def load_scd2_batch(spark, sf_dir):
     first, second = _customer_snapshots(spark, sf_dir)
@@ -501,6 +546,35 @@ def load_scd2_batch(spark, sf_dir):
     return load.apply_versions(target, second, keys, tracked, "seen_at")
 
 
+CUSTOMER_CHANGES = TableSpec("raw", "customer_changes", (
+    column("c_custkey", "BIGINT", pk=True), column("c_name", "TEXT"), column("c_mktsegment", "TEXT")))
+BUILD_CUSTOMER_VERSIONS = BuildSpec(
+    TableSpec("analytics", "dim_customer_versions", (
+        column("customer_dk", "VARCHAR(32)", pk=True), column("c_custkey", "BIGINT", nullable=False),
+        column("c_name", "VARCHAR(50)"), column("c_mktsegment", "VARCHAR(20)"), column("hashdiff", "VARCHAR(32)"),
+        column("valid_from", "TIMESTAMP", nullable=False), column("valid_to", "TIMESTAMP"),
+        column("is_current", "BOOLEAN", nullable=False)), bucket_by=("c_custkey",), buckets=8),
+    ("customer_changes",),
+    (ColumnMapping("customer_dk", UDF, udf=Call("udf_generate_dk", (
+        Call("udf_calculate_patient_bk", ("c_custkey",)), RUN_TIMESTAMP))),
+     *[ColumnMapping(c, DIRECT, c) for c in ("c_custkey", "c_name", "c_mktsegment")],
+     ColumnMapping("hashdiff", UDF, ("c_name", "c_mktsegment"), udf="udf_hashdiff"),
+     ColumnMapping("valid_from", CONSTANT, value=RUN_TIMESTAMP), ColumnMapping("valid_to", CONSTANT),
+     ColumnMapping("is_current", CONSTANT, value=True)),
+    "scd2", load_options={"keys": ["c_custkey"], "tracked": ["c_name", "c_mktsegment"]})
+
+
+@query(f"""
+SELECT md5(c_custkey || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) AS customer_dk, c_custkey, c_name,
+       c_mktsegment, md5(c_name || '|' || c_mktsegment) AS hashdiff, valid_from, valid_to, valid_to IS NULL AS is_current
+FROM ({SCD2_SQL})
+""")
+def load_scd2_run(spark, sf_dir):
+    batches = [b.drop("seen_at") for b in _customer_snapshots(spark, sf_dir)]
+    warehouse = _two_runs(spark, sf_dir, CUSTOMER_CHANGES, batches, [], BUILD_CUSTOMER_VERSIONS)
+    return warehouse.table(BUILD_CUSTOMER_VERSIONS.target)
+
+
 @query(f"""
 SELECT change, count(*) AS n FROM (
   SELECT CASE WHEN c_acctbal >= 8000 THEN 'new' WHEN c_acctbal < 0 THEN 'missing'

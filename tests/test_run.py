@@ -72,7 +72,8 @@ def test_full_load(warehouse):
     assert [(r[1], r[2]) for r in rows(warehouse.table(FACT_VISIT.target))] == [(1, 1), (2, 2), (3, None)]
     status = {r["check_id"]: r["status"] for r in report.collect()}
     failed = {k for k, v in status.items() if v != "PASS"}
-    assert failed == {"D-notnull-fact_visit.person_key"}
+    assert failed == {"D-notnull-fact_visit.person_key", "D-parse-dim_person.born"}
+    assert status["D-parse-dim_person.born"] == "WARN"
     assert status["D-udf-dim_person.full_name"] == "PASS" and status["S-source-person.active"] == "PASS"
     assert roll_up(report).first()["status"] == "FAIL" and exit_code(report) == 1
     log = warehouse.table(LOG_TABLE)

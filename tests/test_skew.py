@@ -99,6 +99,10 @@ def test_lookup_in_a_dimension_made_from_the_fact_itself(spark):
     fact = spark.createDataFrame([(1, 10), (2, 20)], "id long, nk long")
     dim = fact.select("nk", F.col("id").alias("key"))
     assert rows(lookup(fact, dim, [("nk", "nk")], {"k": "key"})) == [(1, 10, 1), (2, 20, 2)]
+    for hot_rows in (None, 0.5):
+        assert rows(attach(fact, fact.select("nk"), ["nk"], hot_rows=hot_rows)) == [(1, 10), (2, 20)]
+        own = fact.select("nk", "id").withColumnRenamed("id", "again")
+        assert rows(attach(fact, own, ["nk"], hot_rows=hot_rows)) == [(1, 10, 1), (2, 20, 2)]
 
 
 def test_duplicated_dimension_key_fails_when_verified(spark):
@@ -225,3 +229,11 @@ def test_equal_order_values_are_numbered_the_same_every_time(spark):
         assert len(number_rows(df, ["k"], "n").inputFiles()) > 4
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_settings_grow_with_the_input():
+    from starload.settings import settings_for
+    small, large = settings_for(10**9, 8), settings_for(100 * 10**12, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "24"
+    assert 200_000 < int(large["spark.sql.shuffle.partitions"]) < 600_000
+    assert int(large["spark.sql.files.maxPartitionBytes"]) > int(small["spark.sql.files.maxPartitionBytes"])
