@@ -7,7 +7,6 @@ run as Spark aggregations and joins, and can be united into one report.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
@@ -15,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, ty
 from starload import spec as S
 from starload.functions import library as lib
 from starload.operators.skew import HOT_ROWS, attach
-from starload.plans.build import Mapper, joined_sources
 
 # Statuses and categories.  Statuses are listed from good to bad.
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
@@ -94,16 +92,16 @@ def _rows(df: DataFrame, check_id: str, status: Column, detail: Column, n: Colum
                      status.alias("status"), detail.alias("detail"), n.cast("bigint").alias("n"))
 
 
-def _constant(spark: SparkSession, check_id: str, status: str, detail: str, category: str) -> DataFrame:
+def constant_check(spark: SparkSession, check_id: str, status: str, detail: str, category: str) -> DataFrame:
     return spark.createDataFrame([Row(check_id, category, status, detail, int(status != PASS))], REPORT)
 
 
-def _unpivot(df: DataFrame, entries: Sequence[Column]) -> DataFrame:
+def unpivot(df: DataFrame, entries: Sequence[Column]) -> DataFrame:
     """One report row per entry of a one-row aggregate."""
     return df.select(F.explode(F.array(*entries)).alias("c")).select("c.*")
 
 
-def _entry(check_id: str, status: Column, detail: Column, n: Column, category: str = DATA) -> Column:
+def entry(check_id: str, status: Column, detail: Column, n: Column, category: str = DATA) -> Column:
     return F.struct(F.lit(check_id).alias("check_id"), F.lit(category).alias("category"),
                     status.alias("status"), detail.alias("detail"), n.cast("bigint").alias("n"))
 
@@ -135,7 +133,7 @@ def check_schema(spec: S.TableSpec, live: DataFrame | None, spark: SparkSession,
     """
     names = {"label": label, "table": spec.name}
     if live is None:
-        return _constant(spark, ID_TABLE.format(**names), FAIL, TEXT_NO_TABLE.format(**names), SCHEMA)
+        return constant_check(spark, ID_TABLE.format(**names), FAIL, TEXT_NO_TABLE.format(**names), SCHEMA)
     fields = {f.name.lower(): f for f in live.schema}
     measured = [c for c in spec.columns if c.width and (f := fields.get(c.name.lower()))
                 and type_matches(c, f) and "__CHAR_VARCHAR_TYPE_STRING" not in f.metadata]
@@ -158,9 +156,9 @@ def check_schema(spec: S.TableSpec, live: DataFrame | None, spark: SparkSession,
     for c in measured:
         wide = F.coalesce(F.col(c.name) > c.width, F.lit(False))
         found = text(TEXT_TYPE, declared=c.type, live=text(TEXT_VARCHAR, n=F.col(c.name)))
-        entries.append(_entry(ID_COLUMN.format(column=c.name, **names), verdict(wide),
+        entries.append(entry(ID_COLUMN.format(column=c.name, **names), verdict(wide),
                               F.when(wide, found).otherwise(TEXT_SCHEMA_OK), wide.cast("int"), SCHEMA))
-    return known.unionByName(_unpivot(lengths, entries))
+    return known.unionByName(unpivot(lengths, entries))
 
 
 # --- counts, NULLs, widths ----------------------------------------------------------
@@ -182,8 +180,8 @@ def check_row_count(table: str, staging: DataFrame, target: DataFrame, filtered:
 def check_not_null(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """NULLs in every NOT NULL column, all columns in one scan."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return _unpivot(counts, [
-        _entry(ID_NOTNULL.format(table=table, column=c), verdict(F.col(c) > 0),
+    return unpivot(counts, [
+        entry(ID_NOTNULL.format(table=table, column=c), verdict(F.col(c) > 0),
                F.when(F.col(c) > 0, text(TEXT_NULLS, n=F.col(c))).otherwise(TEXT_NO_NULLS), F.col(c))
         for c in columns])
 
@@ -198,8 +196,8 @@ def check_width(table: str, df: DataFrame, widths: Mapping[str, int]) -> DataFra
         wide, longest = F.col(f"{c}.wide"), F.col(f"{c}.longest")
         detail = (F.when(wide > 0, text(TEXT_WIDE, n=wide, width=w, longest=longest))
                   .otherwise(text(TEXT_WIDTH_OK, width=w, longest=longest)))
-        entries.append(_entry(ID_WIDTH.format(table=table, column=c), verdict(wide > 0, WARN), detail, wide))
-    return _unpivot(measured, entries)
+        entries.append(entry(ID_WIDTH.format(table=table, column=c), verdict(wide > 0, WARN), detail, wide))
+    return unpivot(measured, entries)
 
 
 def check_parsed(table: str, df: DataFrame, parsed: Mapping[str, tuple[Column, Column]]) -> DataFrame:
@@ -209,28 +207,12 @@ def check_parsed(table: str, df: DataFrame, parsed: Mapping[str, tuple[Column, C
     """
     lost = df.agg(*[F.count_if(raw.isNotNull() & value.isNull()).alias(c)
                     for c, (raw, value) in parsed.items()])
-    return _unpivot(lost, [
-        _entry(ID_PARSE.format(table=table, column=c), verdict(F.col(c) > 0, WARN),
+    return unpivot(lost, [
+        entry(ID_PARSE.format(table=table, column=c), verdict(F.col(c) > 0, WARN),
                F.when(F.col(c) > 0, text(TEXT_UNPARSED, n=F.col(c))).otherwise(TEXT_PARSED), F.col(c))
         for c in parsed])
 
 
-# Functions that turn text they cannot read into NULL.
-PARSERS = ("udf_parse_date", "udf_parse_time")
-
-
-def check_unparsed(spec: S.BuildSpec, sources: Mapping[str, DataFrame], mapper: Mapper | None = None) -> DataFrame:
-    """check_parsed for the columns of a spec that read text: parser functions and try_cast."""
-    mapper = mapper or Mapper(spec)
-    parsed = {m.target_column: (mapper.source(m.source_columns[0], m.source_table), mapper.expression(m))
-              for m in spec.columns if len(m.source_columns) == 1
-              and (m.udf in PARSERS or m.transformation == S.DIRECT and m.try_cast)}
-    source = joined_sources(spec, sources)
-    if not parsed:
-        return source.sparkSession.createDataFrame([], REPORT)
-    return check_parsed(spec.target.name, source, parsed)
-
-
 # --- keys ---------------------------------------------------------------------------
 
 
@@ -271,39 +253,6 @@ def check_foreign_key(table: str, df: DataFrame, column: str, ref: DataFrame, re
 # --- recomputation ------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class Correlation:
-    """How a target row finds its source row: target columns, and their values over the source."""
-
-    target_columns: tuple[str, ...]
-    mappings: tuple[S.ColumnMapping, ...]
-
-
-def choose_correlation(spec: S.BuildSpec, source: S.TableSpec) -> Correlation | None:
-    """Target columns that identify the source row, or None if there are none.
-
-    Every source primary key column must arrive unchanged; failing that, one
-    function of exactly the primary key columns is used.  Columns that merely
-    happen to be unique never are.
-    """
-    pk = [c.lower() for c in source.primary_key]
-    if not pk:
-        return None
-
-    def own(m: S.ColumnMapping) -> bool:
-        return m.source_table in (None, spec.base_table)
-
-    direct = {m.source_columns[0].lower(): m for m in reversed(spec.columns)
-              if m.transformation == S.DIRECT and own(m)}
-    if all(c in direct for c in pk):
-        chosen = tuple(direct[c] for c in pk)
-        return Correlation(tuple(m.target_column for m in chosen), chosen)
-    for m in spec.columns:
-        if m.transformation == S.UDF and own(m) and sorted(c.lower() for c in m.source_columns) == sorted(pk):
-            return Correlation((m.target_column,), (m,))
-    return None
-
-
 def recompute(target: DataFrame, source: DataFrame, keys: Mapping[str, Column],
               expected: Mapping[str, Column], *, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """One row: rows checked, and per column how many differ from the value computed again.
@@ -326,40 +275,6 @@ def recompute(target: DataFrame, source: DataFrame, keys: Mapping[str, Column],
         *[F.count_if(~F.col("_loaded")[c].eqNullSafe(F.col("_again")[c])).alias(c) for c in expected])
 
 
-def check_recomputed(spec: S.BuildSpec, source_spec: S.TableSpec, target: DataFrame,
-                     sources: Mapping[str, DataFrame], mapper: Mapper | None = None, *,
-                     every_column: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Derived columns computed again from the source and compared with what was loaded.
-
-    Function columns are checked, with `every_column` also direct copies,
-    expressions, defaults and UUIDs.  One join serves all columns.
-    """
-    table = spec.target.name
-    mapper = mapper or Mapper(spec)
-    kinds = (S.UDF, S.DIRECT, S.EXPRESSION, S.DEFAULT, S.UUID) if every_column else (S.UDF,)
-    correlation = choose_correlation(spec, source_spec)
-    used = correlation.target_columns if correlation else ()
-    checked = [m for m in spec.columns if m.transformation in kinds
-               and not (m.transformation == S.DIRECT and m.target_column in used)]
-    if not checked:
-        return target.sparkSession.createDataFrame([], REPORT)
-    if correlation is None:
-        return _constant(target.sparkSession, ID_UDF.format(table=table), WARN, TEXT_NO_KEY, DATA)
-    counts = recompute(
-        target, joined_sources(spec, sources),
-        {m.target_column: mapper.expression(m) for m in correlation.mappings},
-        {m.target_column: mapper.expression(m) for m in checked}, hot_rows=hot_rows)
-    entries = []
-    for m in checked:
-        n, rows = F.col(m.target_column), F.col("checked")
-        function = m.udf.function if isinstance(m.udf, S.Call) else m.udf or m.transformation
-        detail = F.when(rows == 0, TEXT_UNCHECKED).otherwise(
-            text(TEXT_MISMATCH, n=n, checked=rows, function=function))
-        status = F.when(n > 0, FAIL).when(rows == 0, WARN).otherwise(PASS)
-        entries.append(_entry(ID_UDF_COLUMN.format(table=table, column=m.target_column), status, detail, n))
-    return _unpivot(counts, entries)
-
-
 # --- drift --------------------------------------------------------------------------
 
 # Kinds of drift.

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starload.functions.library import TEXT_HASH_PREFIX
 from starload.functions.registry import FunctionRegistry
 from starload.operators import load, quality, runlog
+from starload.plans import reconcile
 from starload.plans.build import Mapper, resolve, stage
 from starload.scratch import materialise, workspace
 from starload.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse
@@ -20,6 +21,7 @@ from starload.spec import LOOKUP, SEQUENCE, BuildSpec, SpecError, TableSpec
 
 REPORT_TABLE = f"{ANALYTICS}.dq_report"
 LOG_TABLE = f"{ANALYTICS}.run_log"
+EVENT_TABLE = f"{ANALYTICS}.event_record"
 
 
 class StepFailed(RuntimeError):
@@ -65,7 +67,10 @@ class LoadRun:
         dated = report.select(F.lit(self.run_id).alias("run_id"), "*",
                               self._now_column().cast("date").alias("run_date"))
         self.warehouse.append_report(REPORT_TABLE, dated, ["run_date"])
-        return self.warehouse.table(REPORT_TABLE).where(F.col("run_id") == self.run_id)
+        written = self.warehouse.table(REPORT_TABLE).where(F.col("run_id") == self.run_id)
+        event = runlog.event_record(runlog.log_rows(self.spark, self.records), written)
+        self.warehouse.append_report(EVENT_TABLE, event, ["year", "quarter"])
+        return written
 
     # --- one target
 
@@ -179,9 +184,9 @@ class LoadRun:
                 checks.append(quality.check_late(name, late))
             base = self.sources[spec.base_table]
             mapper = Mapper(spec, self.registry, self.run_timestamp)
-            checks.append(quality.check_unparsed(spec, self.source_frames(spec), mapper))
+            checks.append(reconcile.check_unparsed(spec, self.source_frames(spec), mapper))
             if spec.load_strategy == "full_load":
-                checks.append(quality.check_recomputed(spec, base, target, self.source_frames(spec), mapper))
+                checks.append(reconcile.check_recomputed(spec, base, target, self.source_frames(spec), mapper))
         return quality.union_checks(checks)
 
     # --- log

@@ -17,7 +17,7 @@ from starload.functions import library as lib
 from starload.functions.registry import FunctionRegistry, register_sql_functions
 from starload.operators import load, quality, runlog
 from starload.operators.lookup import lookup_as_of
-from starload.plans import star
+from starload.plans import reconcile, star
 from starload.plans.build import build
 from starload.plans.load import LOG_TABLE, LoadRun
 from starload.scratch import fresh_path
@@ -739,7 +739,7 @@ def dq_recompute(spark, sf_dir):
     target = (build(RECOMPUTED, sources).join(
         sources["customer"].select(F.col("c_custkey").alias("customer_id"), "c_acctbal"), "customer_id")
         .where(star.IN_CREDIT_CUSTOMERS).withColumn("full_name", spoiled).drop("c_acctbal"))
-    return quality.check_recomputed(RECOMPUTED, star.CUSTOMER, target, sources, every_column=True)
+    return reconcile.check_recomputed(RECOMPUTED, star.CUSTOMER, target, sources, every_column=True)
 
 
 DECLARED_ORDERS = TableSpec("raw", "orders", (

@@ -7,7 +7,7 @@ filled.  Both are checked when they are constructed, before any Spark job.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import types as T
@@ -348,30 +348,29 @@ def tables_from_document(doc: Mapping[str, Any], namespace: str | None = None) -
     return specs
 
 
-def build_from_document(doc: Mapping[str, Any], target: TableSpec) -> BuildSpec:
+def build_from_document(doc: Mapping[str, Any], target: TableSpec,
+                        sources: Mapping[str, TableSpec] | None = None) -> BuildSpec:
     """Build spec from a build document: {source_tables, columns, joins, filters, grain, ...}.
 
     A free-text `grain` is kept out of the spec, a list of columns is checked;
     `lookup`, `joins` and `value` use the field names of the classes above.
+    What a document leaves open is taken from `sources`, see `complete`.
     """
     columns = []
     for c in doc["columns"]:
         source = c.get("source") or {}
         names = source.get("column")
         generator = c.get("generator") or {}
-        lookup = c.get("lookup")
         columns.append(ColumnMapping(
             c["target_column"], c["transformation"],
             tuple(names) if isinstance(names, list) else names,
-            source.get("table"), c.get("expression"), c.get("udf"), c.get("value"),
-            Lookup(**{**lookup, "on": tuple(tuple(p) for p in lookup["on"])}) if lookup else None,
+            source.get("table"), c.get("expression"), c.get("udf"), c.get("value"), _lookup(c.get("lookup")),
             _names(generator.get("order_by")), c.get("type"), c.get("try_cast", False), c.get("notes") or "",
         ))
     grain = doc.get("grain")
+    tables = tuple(s["table"] for s in doc["source_tables"])
     return BuildSpec(
-        target,
-        tuple(s["table"] for s in doc["source_tables"]),
-        tuple(columns),
+        target, tables, complete(columns, target, tables[0], sources or {}),
         doc.get("load_strategy", "full_load"),
         doc.get("staging_table", ""),
         tuple(Join(**j) for j in doc.get("joins", [])),
@@ -381,6 +380,61 @@ def build_from_document(doc: Mapping[str, Any], target: TableSpec) -> BuildSpec:
     )
 
 
+def builds_from_mappings(rows: Sequence[Mapping[str, Any]], targets: Mapping[str, TableSpec],
+                         sources: Mapping[str, TableSpec] | None = None, **options: Any) -> list[BuildSpec]:
+    """Build specs from mapping rows, one per target table, in the order of the rows.
+
+    A row has target_table, target_column, source_table, source_column (several
+    separated by commas), transformation, transformation_detail and
+    udf_reference.  The detail is the text of an EXPRESSION and the value of a
+    CONSTANT or DEFAULT.  `options` are further fields of every build spec.
+    """
+    grouped: dict[str, list[Mapping[str, Any]]] = {}
+    for row in rows:
+        grouped.setdefault(row["target_table"], []).append(row)
+    specs = []
+    for table, own in grouped.items():
+        tables = tuple(dict.fromkeys(r["source_table"] for r in own if r.get("source_table")))
+        if not tables:
+            raise SpecError(f"{table}: no mapping row names a source table")
+        columns = []
+        for r in own:
+            kind, detail = r["transformation"], r.get("transformation_detail")
+            names = tuple(n.strip() for n in (r.get("source_column") or "").split(",") if n.strip())
+            columns.append(ColumnMapping(
+                r["target_column"], kind, names or None, r.get("source_table"),
+                detail if kind == EXPRESSION else None, r.get("udf_reference"),
+                detail if kind in (CONSTANT, DEFAULT) else None, _lookup(r.get("lookup")),
+                _names(r.get("order_by")), notes=r.get("notes") or ""))
+        specs.append(BuildSpec(targets[table], tables, complete(columns, targets[table], tables[0], sources or {}),
+                               **options))
+    return specs
+
+
+def complete(columns: Sequence[ColumnMapping], target: TableSpec, base_table: str,
+             sources: Mapping[str, TableSpec]) -> tuple[ColumnMapping, ...]:
+    """Fill in what follows from the declared tables (chosen here).
+
+    Generated keys without an order follow the primary key of the base table.  A
+    LOOKUP without details goes to the table that its foreign key names, and
+    matches on the dimension column named like the source column.
+    """
+    base = sources.get(base_table)
+    done = []
+    for m in columns:
+        fk = c.foreign_key if (c := target.column(m.target_column)) else None
+        if m.transformation in (GENERATED, SEQUENCE) and not m.order_by and base is not None:
+            m = replace(m, order_by=tuple(base.primary_key))
+        elif m.transformation == LOOKUP and m.lookup is None and fk is not None and m.source_columns:
+            m = replace(m, lookup=Lookup(fk.table, fk.column, tuple((n, n) for n in m.source_columns)))
+        done.append(m)
+    return tuple(done)
+
+
+def _lookup(doc: Mapping[str, Any] | None) -> Lookup | None:
+    return Lookup(**{**doc, "on": tuple(tuple(p) for p in doc["on"])}) if doc else None
+
+
 def _names(value: str | Sequence[str] | None) -> tuple[str, ...]:
     if value is None:
         return ()

@@ -5,6 +5,7 @@ from conftest import plan_of, rows
 from starload import spec as S
 from starload.functions import library as lib
 from starload.operators import quality as Q
+from starload.plans import reconcile as R
 from starload.spec import BuildSpec, Call, ColumnMapping, TableSpec, column
 
 
@@ -117,29 +118,29 @@ BK = ColumnMapping("bk", S.UDF, "id", udf="udf_calculate_patient_bk")
 
 
 def test_correlation_key_choice():
-    assert Q.choose_correlation(build_spec(GENDER, NAME, ID), SOURCE).target_columns == ("pid",)
-    assert Q.choose_correlation(build_spec(GENDER, NAME, BK), SOURCE).target_columns == ("bk",)
-    assert Q.choose_correlation(build_spec(GENDER, NAME), SOURCE) is None
+    assert R.choose_correlation(build_spec(GENDER, NAME, ID), SOURCE).target_columns == ("pid",)
+    assert R.choose_correlation(build_spec(GENDER, NAME, BK), SOURCE).target_columns == ("bk",)
+    assert R.choose_correlation(build_spec(GENDER, NAME), SOURCE) is None
     composite = TableSpec("raw", "src", (column("id", "INT", pk=True), column("a", "TEXT", pk=True), column("b", "TEXT")))
     both = ColumnMapping("both", S.UDF, ("id", "a"), udf="udf_calculate_doctor_bk")
     a = ColumnMapping("a_copy", S.DIRECT, "a")
-    assert Q.choose_correlation(build_spec(ID, a, NAME), composite).target_columns == ("pid", "a_copy")
-    assert Q.choose_correlation(build_spec(both, NAME), composite).target_columns == ("both",)
-    assert Q.choose_correlation(build_spec(ID, NAME), composite) is None
+    assert R.choose_correlation(build_spec(ID, a, NAME), composite).target_columns == ("pid", "a_copy")
+    assert R.choose_correlation(build_spec(both, NAME), composite).target_columns == ("both",)
+    assert R.choose_correlation(build_spec(ID, NAME), composite) is None
     nested = ColumnMapping("dk", S.UDF, udf=Call("udf_generate_dk", (Call("udf_calculate_patient_bk", ("id",)), S.RUN_TIMESTAMP)))
-    assert Q.choose_correlation(build_spec(nested), SOURCE).target_columns == ("dk",)
+    assert R.choose_correlation(build_spec(nested), SOURCE).target_columns == ("dk",)
 
 
 def test_recompute(spark):
     source = frame(spark, [(1, "F", "A", "B"), (2, "F", "C", None), (3, "F", None, None), (4, "M", "D", "E")], "id int, gender string, a string, b string")
     spec = build_spec(ID, NAME, kinds={"pid": "INT"})
     target = frame(spark, [(1, "A B"), (2, "wrong"), (3, None), (99, "no source")], "pid int, name string")
-    assert brief(Q.check_recomputed(spec, SOURCE, target, {"src": source})) == [
+    assert brief(R.check_recomputed(spec, SOURCE, target, {"src": source})) == [
         ("D-udf-t.name", "FAIL", 2, "2/3 row(s) mismatch re-invoking udf_full_name(...)")]
     good = frame(spark, [(1, "A B"), (2, "C"), (3, "")], "pid int, name string")
-    assert brief(Q.check_recomputed(spec, SOURCE, good, {"src": source})) == [
+    assert brief(R.check_recomputed(spec, SOURCE, good, {"src": source})) == [
         ("D-udf-t.name", "PASS", 0, "0/3 row(s) mismatch re-invoking udf_full_name(...)")]
-    assert brief(Q.check_recomputed(spec, SOURCE, good.where("pid > 9"), {"src": source})) == [
+    assert brief(R.check_recomputed(spec, SOURCE, good.where("pid > 9"), {"src": source})) == [
         ("D-udf-t.name", "WARN", 0, "no rows to check")]
 
 
@@ -148,22 +149,22 @@ def test_recompute_by_computed_key_with_a_shared_gender(spark):
     source = frame(spark, [(i, "F", f"n{i}", "x") for i in range(20)], "id int, gender string, a string, b string")
     spec = build_spec(GENDER, BK, NAME)
     target = frame(spark, [("F", str(i), f"n{i} x") for i in range(20)], "gender string, bk string, name string")
-    assert [c[1:3] for c in brief(Q.check_recomputed(spec, SOURCE, target, {"src": source}))] == [("PASS", 0), ("PASS", 0)]
-    assert brief(Q.check_recomputed(build_spec(GENDER, NAME), SOURCE, target, {"src": source}))[0][1] == "WARN"
+    assert [c[1:3] for c in brief(R.check_recomputed(spec, SOURCE, target, {"src": source}))] == [("PASS", 0), ("PASS", 0)]
+    assert brief(R.check_recomputed(build_spec(GENDER, NAME), SOURCE, target, {"src": source}))[0][1] == "WARN"
 
 
 def test_recompute_skips_ambiguous_sources_and_does_not_multiply(spark):
     source = frame(spark, [(1, "F", "A", "B")] * 50 + [(2, "F", "C", "D")], "id int, gender string, a string, b string")
     target = frame(spark, [(1, "A B")] * 50 + [(2, "C D")] * 2, "pid int, name string")
     spec = build_spec(ID, NAME, kinds={"pid": "INT"})
-    assert brief(Q.check_recomputed(spec, SOURCE, target, {"src": source})) == [
+    assert brief(R.check_recomputed(spec, SOURCE, target, {"src": source})) == [
         ("D-udf-t.name", "PASS", 0, "0/2 row(s) mismatch re-invoking udf_full_name(...)")]
 
 
 def test_a_null_key_identifies_no_source_row(spark):
     source = frame(spark, [(None, "F", "A", "B")], "id int, gender string, a string, b string")
     target = frame(spark, [(None, "A B")], "pid int, name string")
-    got = Q.check_recomputed(build_spec(ID, NAME, kinds={"pid": "INT"}), SOURCE, target, {"src": source})
+    got = R.check_recomputed(build_spec(ID, NAME, kinds={"pid": "INT"}), SOURCE, target, {"src": source})
     assert brief(got)[0][1:3] == ("WARN", 0)
 
 

@@ -10,7 +10,7 @@ from starload import spec as S
 from starload.functions.registry import FunctionRegistry
 from starload.operators import runlog
 from starload.operators.quality import exit_code, roll_up
-from starload.plans.load import LOG_TABLE, REPORT_TABLE, LoadRun, StepFailed
+from starload.plans.load import EVENT_TABLE, LOG_TABLE, REPORT_TABLE, LoadRun, StepFailed
 from starload.sources import readers
 from starload.spec import BuildSpec, Call, ColumnMapping, Lookup, TableSpec, column
 
@@ -81,6 +81,8 @@ def test_full_load(warehouse):
         ("dim_person", "read", 3), ("dim_person", "process", None), ("dim_person", "write", 3),
         ("fact_visit", "read", 3), ("fact_visit", "process", None), ("fact_visit", "write", 3)]
     assert rows(runlog.run_status(log)) == [("r1", "PASS", "6 step(s) completed successfully", 6, 0)]
+    event = warehouse.table(EVENT_TABLE).first()
+    assert (event["run_id"], event["steps"], event["validation"], event["checks"]) == ("r1", 6, "FAIL", report.count())
 
 
 def test_rerun_gives_the_same_rows(warehouse):
