@@ -95,11 +95,19 @@ def timestamp_text(ts: Column) -> Column:
 def hashdiff(*columns: Column) -> Column:
     """md5 over all columns; NULL counts as a value of its own (semantics chosen here).
 
-    Floating point columns should be cast to a decimal first, because the text
-    of a double is not the same in every engine.
+    A separator or backslash inside a value is escaped, so that values cannot
+    move from one column to the next unnoticed.  Floating point columns should
+    be cast to a decimal first, because the text of a double is not the same in
+    every engine.
     """
-    texts = [F.coalesce(c.cast("string"), F.lit(NULL_MARKER)) for c in columns]
-    return F.md5(F.concat_ws(PART_SEPARATOR, *texts))
+    return F.md5(F.concat_ws(PART_SEPARATOR, *[_escaped(c.cast("string")) for c in columns]))
+
+
+def _escaped(text: Column) -> Column:
+    special = text.contains(PART_SEPARATOR) | text.contains("\\")
+    escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")),
+                        F.lit(PART_SEPARATOR), F.lit("\\" + PART_SEPARATOR))
+    return F.when(special, escaped).otherwise(F.coalesce(text, F.lit(NULL_MARKER)))
 
 
 def text_hash(text: Column) -> Column:

@@ -155,12 +155,12 @@ def version_history(feed: DataFrame, keys: Sequence[str], tracked: Sequence[str]
     columns make it unique within a key.
     """
     ts = order[0]
-    rows = feed.select(*dict.fromkeys([*keys, *tracked, *order]),
-                       hashdiff(*map(F.col, tracked)).alias(HASHDIFF))
+    rows = feed.select(*dict.fromkeys([*keys, *tracked, *order]))
     rows = slice_hot_keys(rows, keys, order, hot_rows)
-    before = keyed_scan(rows, keys, order, {"_before": Scan("previous", F.col(HASHDIFF))})
-    changes = before.where(F.col("_before").isNull() | (F.col("_before") != F.col(HASHDIFF)))
+    state = F.struct(*tracked)
+    before = keyed_scan(rows, keys, order, {"_before": Scan("previous", state)})
+    changes = before.where(F.col("_before").isNull() | ~state.eqNullSafe(F.col("_before")))
     versions = keyed_scan(changes.drop("_before"), keys, order, {VALID_TO: Scan("next", F.col(ts))})
-    return (versions.withColumn(VALID_FROM, F.col(ts))
-            .withColumn(IS_CURRENT, F.col(VALID_TO).isNull())
-            .select(*keys, *tracked, HASHDIFF, VALID_FROM, VALID_TO, IS_CURRENT))
+    return versions.select(
+        *keys, *tracked, hashdiff(*map(F.col, tracked)).alias(HASHDIFF), F.col(ts).alias(VALID_FROM),
+        VALID_TO, F.col(VALID_TO).isNull().alias(IS_CURRENT))

@@ -12,7 +12,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
 
 from starload import spec as S
-from starload.functions import library as lib
 from starload.operators.skew import HOT_ROWS, attach
 
 # Statuses and categories.  Statuses are listed from good to bad.
@@ -233,8 +232,8 @@ def check_unique(table: str, df: DataFrame, keys: Sequence[str], *, grain: bool
 
 
 def check_foreign_key(table: str, df: DataFrame, column: str, ref: DataFrame, ref_table: str,
-                      ref_column: str) -> DataFrame:
-    """Rows whose non-NULL key has no row in `ref`.
+                      ref_column: str, *, enforced: bool = True) -> DataFrame:
+    """Rows whose non-NULL key has no row in `ref`; only a warning if the key is not enforced.
 
     Rows are counted per key value before the join, so a value that a third of
     the rows share is one row in it.
@@ -247,7 +246,8 @@ def check_foreign_key(table: str, df: DataFrame, column: str, ref: DataFrame, re
     names = {"column": column, "ref": f"{ref_table}.{ref_column}"}
     detail = (F.when(F.col("n") > 0, text(TEXT_ORPHANS, n=F.col("n"), **names))
               .otherwise(text(TEXT_RESOLVED, **names)))
-    return _rows(lost, ID_FK.format(table=table, column=column), verdict(F.col("n") > 0), detail, F.col("n"))
+    return _rows(lost, ID_FK.format(table=table, column=column),
+                 verdict(F.col("n") > 0, FAIL if enforced else WARN), detail, F.col("n"))
 
 
 # --- recomputation ------------------------------------------------------------------
@@ -287,11 +287,14 @@ def drift(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Seq
     Rows are reduced to counts per key and row hash on both sides and then per
     key, so keys may repeat and no pairs of rows are formed.
     """
+    # Two 64-bit hashes make one of 128 bits; the NULL flags tell NULL from no column.
+    parts = [p for c in columns for p in (F.col(c), F.col(c).isNull())]
+
     def side(df: DataFrame, sign: int) -> DataFrame:
-        return df.select(*keys, lib.hashdiff(*[F.col(c) for c in columns]).alias("_hash"),
-                         F.lit(sign).cast("bigint").alias("_sign"))
+        return df.select(*keys, F.xxhash64(*parts).alias("_hash1"), F.xxhash64(F.lit(1), *parts).alias("_hash2"),
+                         F.lit(sign).alias("_sign"))
 
-    rows = side(before, -1).unionByName(side(after, 1)).groupBy(*keys, "_hash").agg(
+    rows = side(before, -1).unionByName(side(after, 1)).groupBy(*keys, "_hash1", "_hash2").agg(
         F.sum("_sign").alias("_balance"), F.count_if(F.col("_sign") < 0).alias("_before"),
         F.count_if(F.col("_sign") > 0).alias("_after"))
     per_key = rows.groupBy(*keys).agg(F.sum("_before").alias("_before"), F.sum("_after").alias("_after"),
@@ -335,7 +338,8 @@ def check_table(spec: S.TableSpec, df: DataFrame, references: Mapping[str, DataF
     for c in spec.foreign_keys:
         fk = c.foreign_key
         if references and fk.table in references:
-            checks.append(check_foreign_key(spec.name, df, c.name, references[fk.table], fk.table, fk.column))
+            checks.append(check_foreign_key(spec.name, df, c.name, references[fk.table],
+                                            fk.table, fk.column, enforced=fk.enforced))
     return union_checks(checks) if checks else df.sparkSession.createDataFrame([], REPORT)
 
 

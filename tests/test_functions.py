@@ -77,6 +77,9 @@ def test_hashdiff_tells_null_from_empty_and_columns_apart(spark):
     df = spark.createDataFrame([("a", None), (None, "a"), ("a", ""), (None, None)], "x string, y string")
     hashes = [r[0] for r in df.select(lib.hashdiff(F.col("x"), F.col("y"))).collect()]
     assert len(set(hashes)) == 4
+    values = [("a|b", "c"), ("a", "b|c"), ("a\\", "b|c"), ("\\N", "c"), (None, "c"), ("a\\|b", "c")]
+    df = spark.createDataFrame(values, "x string, y string")
+    assert len({r[0] for r in df.select(lib.hashdiff(F.col("x"), F.col("y"))).collect()}) == len(values)
 
 
 def test_text_hash(spark):

@@ -52,6 +52,8 @@ def test_foreign_key(spark):
         ("D-fk-c.fk", "FAIL", 2, "2 row(s) with fk not found in p.id")]
     assert brief(Q.check_foreign_key("c", child.where("fk = 1"), "fk", parent, "p", "id")) == [
         ("D-fk-c.fk", "PASS", 0, "all fk values resolve to p.id")]
+    spec = TableSpec("analytics", "c", (column("fk", "INT", fk=S.ForeignKey("p", "id", enforced=False)),))
+    assert [c[1] for c in brief(Q.check_table(spec, child, {"p": parent}))] == ["WARN"]
     plan = plan_of(Q.check_foreign_key("c", child, "fk", parent, "p", "id"))
     assert "LeftAnti" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
@@ -180,6 +182,9 @@ def test_drift(spark):
     assert brief(Q.check_drift("t", before, after, ["k"], ["v"])) == [
         ("D-drift-t", "WARN", 4, "0 missing, 1 added, 3 hash mismatch")]
     assert "Join" not in plan_of(Q.drift(before, after, ["k"], ["v"]))
+    a = frame(spark, [(1, None, "a"), (2, "a", "b")], "k int, v string, w string")
+    b = frame(spark, [(1, "a", None), (2, "b", "a")], "k int, v string, w string")
+    assert rows(Q.drift(a, b, ["k"], ["v", "w"])) == [(1, "hash mismatch"), (2, "hash mismatch")]
 
 
 @pytest.mark.parametrize("statuses, expected", [

@@ -333,3 +333,23 @@ def test_bucketed_table_is_joined_and_checked_without_a_shuffle(warehouse):
         assert merged.count() == 1000 and merged.agg(F.min("v")).first()[0] == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_partitioned_tables(warehouse):
+    spec = TableSpec("analytics", "parts", (
+        column("id", "INT", pk=True), column("word", "VARCHAR(5)"), column("y", "INT"), column("s", "TEXT")), ("y", "s"))
+    make = lambda *r: warehouse.spark.createDataFrame(list(r), "id int, word string, y int, s string")
+    for i in range(2):
+        assert warehouse.replace(spec, make((1, "a", 2020, "x"), (2, "b", None, "it's"), (3, "c", 2021, None), (4, "d", 2022, "/z"))) == 4
+    assert warehouse.table(spec).count() == 4
+    target = warehouse.table(spec)
+    new = make((2, "B", None, "it's"), (3, "C", 2020, "x"))
+    touched = target.where("id in (2, 3)").select("y", "s").unionByName(new.select("y", "s"))
+    affected = target.where("id <> 4")
+    warehouse.replace_partitions(spec, affected.where("id = 1").unionByName(new), touched)
+    assert rows(warehouse.table(spec)) == sorted([(1, "a", 2020, "x"), (2, "B", None, "it's"), (3, "C", 2020, "x"), (4, "d", 2022, "/z")], key=repr)
+    warehouse.truncate(spec)
+    assert warehouse.table(spec).count() == 0
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        warehouse.append(spec, make((9, "abcdef", 1, "x")))
+    assert warehouse.table(spec).count() == 0
