@@ -49,9 +49,19 @@ class Warehouse:
         if not self.exists(spec):
             self._create(self.name(spec), spec, self._new_path(spec))
 
-    def attach(self, name: str, path: str) -> None:
-        """Make parquet files that are already there a table, without copying them."""
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(name)} USING parquet LOCATION '{path}'")
+    def attach(self, name: str, path: str | None = None, *, spec: TableSpec | None = None,
+               format: str = "parquet", **options: str) -> None:
+        """Make data that is already there a table, without copying it.
+
+        Text formats need a spec for their columns and types.  A table of another
+        database is attached with format='jdbc', no path, and the options of
+        `readers.read_jdbc`.
+        """
+        columns = f"({', '.join(c.ddl for c in spec.columns)})" if spec else ""
+        given = ", ".join(f"{_quoted(k)} {_quoted(v)}" for k, v in options.items())
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(name)} {columns} USING {format}"
+                       + (f" OPTIONS ({given})" if given else "")
+                       + (f" LOCATION {_quoted(path)}" if path else ""))
 
     def exists(self, table: TableSpec | str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
@@ -197,4 +207,8 @@ def _names(columns: Sequence[str]) -> str:
 
 
 def _literal(value: object) -> str:
-    return "NULL" if value is None else "'" + str(value).replace("'", "\\'") + "'"
+    return "NULL" if value is None else _quoted(value)
+
+
+def _quoted(value: object) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -353,3 +353,12 @@ def test_partitioned_tables(warehouse):
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
         warehouse.append(spec, make((9, "abcdef", 1, "x")))
     assert warehouse.table(spec).count() == 0
+
+
+def test_text_files_as_a_source(warehouse, tmp_path):
+    (tmp_path / "visits").mkdir()
+    (tmp_path / "visits" / "v.csv").write_text("visit_id;person_id;day;fee\n1;P1;2026-01-01;10.50\n2;P2;2026-01-02;1\n")
+    warehouse.attach("raw.visit", str(tmp_path / "visits"), spec=VISIT, format="csv", header="true", sep=";")
+    spec = visits_spec(timestamp="day", source_timestamp="day")
+    new_run(warehouse).run([spec], validate=False)
+    assert days(warehouse, spec) == [(1, 10, 1), (2, 1, 2)]
