@@ -123,7 +123,8 @@ def apply_versions(target: DataFrame, snapshot: DataFrame, keys: Sequence[str],
          IS_CURRENT: F.lit(True)}))
     versions = (compared.select(F.explode(F.array_compact(F.array(old, new))).alias("_version"))
                 .select("_version.*"))
-    return target.where(~F.col(IS_CURRENT)).unionByName(versions)
+    closed = ~F.coalesce(F.col(IS_CURRENT), F.lit(False))
+    return target.where(closed).unionByName(versions)
 
 
 def _version(target: DataFrame, value, replaced: dict[str, Column]) -> Column:

@@ -9,9 +9,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from starload import spec as S
+from starload.local import small_frame
 from starload.operators.skew import HOT_ROWS, attach
 
 # Statuses and categories.  Statuses are listed from good to bad.
@@ -92,7 +93,7 @@ def _rows(df: DataFrame, check_id: str, status: Column, detail: Column, n: Colum
 
 
 def constant_check(spark: SparkSession, check_id: str, status: str, detail: str, category: str) -> DataFrame:
-    return spark.createDataFrame([Row(check_id, category, status, detail, int(status != PASS))], REPORT)
+    return small_frame(spark, [(check_id, category, status, detail, int(status != PASS))], REPORT)
 
 
 def unpivot(df: DataFrame, entries: Sequence[Column]) -> DataFrame:
@@ -147,7 +148,7 @@ def check_schema(spec: S.TableSpec, live: DataFrame | None, spark: SparkSession,
             problem = TEXT_TYPE.format(declared=c.type, live=field.dataType.simpleString())
         if c not in measured:
             checks.append((check_id, SCHEMA, FAIL if problem else PASS, problem or TEXT_SCHEMA_OK, int(bool(problem))))
-    known = spark.createDataFrame(checks, REPORT)
+    known = small_frame(spark, checks, REPORT)
     if not measured:
         return known
     lengths = live.agg(*[F.max(F.length(c.name)).alias(c.name) for c in measured])
@@ -340,7 +341,7 @@ def check_table(spec: S.TableSpec, df: DataFrame, references: Mapping[str, DataF
         if references and fk.table in references:
             checks.append(check_foreign_key(spec.name, df, c.name, references[fk.table],
                                             fk.table, fk.column, enforced=fk.enforced))
-    return union_checks(checks) if checks else df.sparkSession.createDataFrame([], REPORT)
+    return union_checks(checks) if checks else small_frame(df.sparkSession, [], REPORT)
 
 
 def status_rank(status: Column) -> Column:

@@ -8,6 +8,7 @@ from dataclasses import astuple, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from starload.local import small_frame
 from starload.operators.quality import FAIL, PASS, WARN, roll_up
 
 # Step outcomes, stages and the texts of a run status.
@@ -51,7 +52,7 @@ class StepRecord:
 
 
 def log_rows(spark: SparkSession, records: Sequence[StepRecord]) -> DataFrame:
-    return spark.createDataFrame([r.row() for r in records], RUN_LOG)
+    return small_frame(spark, [r.row() for r in records], RUN_LOG)
 
 
 def summarise_runs(log: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:

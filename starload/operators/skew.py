@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from starload.local import small_frame
 from starload.scratch import materialise
 
 HOT_ROWS = 5_000_000
@@ -68,7 +69,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
         return None
     rows = [(*row[:-1], math.ceil(row[FAN] / fraction / hot_rows)) for row in found]
     schema = T.StructType(counts.schema.fields[:-1] + [T.StructField(FAN, T.IntegerType())])
-    return df.sparkSession.createDataFrame(rows, schema)
+    return small_frame(df.sparkSession, rows, schema)
 
 
 def attach(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "left", *,

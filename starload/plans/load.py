@@ -8,10 +8,11 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starload.functions.library import TEXT_HASH_PREFIX
 from starload.functions.registry import FunctionRegistry
+from starload.local import small_frame
 from starload.operators import load, quality, runlog
 from starload.plans import reconcile
 from starload.plans.build import Mapper, resolve, stage
@@ -21,6 +22,7 @@ from starload.spec import LOOKUP, SEQUENCE, BuildSpec, SpecError, TableSpec
 
 REPORT_TABLE = f"{ANALYTICS}.dq_report"
 LOG_TABLE = f"{ANALYTICS}.run_log"
+COUNT = T.StructType([T.StructField("n", T.LongType())])
 EVENT_TABLE = f"{ANALYTICS}.event_record"
 
 
@@ -62,7 +64,7 @@ class LoadRun:
                 started = runlog.year_and_quarter(self._now_column())
                 self.warehouse.append_report(LOG_TABLE, log.select("*", *started), ["year", "quarter"])
         if not validate:
-            return self.spark.createDataFrame([], quality.REPORT)
+            return small_frame(self.spark, [], quality.REPORT)
         report = self.validate(specs)
         dated = report.select(F.lit(self.run_id).alias("run_id"), "*",
                               self._now_column().cast("date").alias("run_date"))
@@ -150,7 +152,7 @@ class LoadRun:
                    .unionByName(target.join(batch.select(*keys), keys, "left_semi").select(*parts)).distinct())
         # Bounded by the number of partitions of the target.
         values = [tuple(r) for r in touched.collect()]
-        wanted = F.broadcast(self.spark.createDataFrame(values, touched.schema))
+        wanted = F.broadcast(small_frame(self.spark, values, touched.schema))
         # The lists prune partitions, the join then picks the exact combinations.
         for i, p in enumerate(parts):
             in_list = sorted({v[i] for v in values if v[i] is not None})
@@ -180,7 +182,7 @@ class LoadRun:
                 checks.append(quality.check_unique(name, target, spec.grain, grain=True))
             checks.append(quality.check_table(spec.target, target, loaded))
             if name in self.late:
-                late = self.spark.createDataFrame([(self.late[name],)], "n bigint")
+                late = small_frame(self.spark, [(self.late[name],)], COUNT)
                 checks.append(quality.check_late(name, late))
             base = self.sources[spec.base_table]
             mapper = Mapper(spec, self.registry, self.run_timestamp)

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from starload import spec as S
+from starload.local import small_frame
 from starload.operators import quality
 from starload.operators.skew import HOT_ROWS
 from starload.plans.build import Mapper, joined_sources
@@ -24,7 +25,7 @@ def check_unparsed(spec: S.BuildSpec, sources: Mapping[str, DataFrame], mapper:
               and (m.udf in PARSERS or m.transformation == S.DIRECT and m.try_cast)}
     source = joined_sources(spec, sources)
     if not parsed:
-        return source.sparkSession.createDataFrame([], quality.REPORT)
+        return small_frame(source.sparkSession, [], quality.REPORT)
     return quality.check_parsed(spec.target.name, source, parsed)
 
 
@@ -80,7 +81,7 @@ def check_recomputed(spec: S.BuildSpec, source_spec: S.TableSpec, target: DataFr
     checked = [m for m in spec.columns if m.transformation in kinds
                and not (m.transformation == S.DIRECT and m.target_column in used)]
     if not checked:
-        return target.sparkSession.createDataFrame([], quality.REPORT)
+        return small_frame(target.sparkSession, [], quality.REPORT)
     if correlation is None:
         return quality.constant_check(target.sparkSession, quality.ID_UDF.format(table=table),
                                       quality.WARN, quality.TEXT_NO_KEY, quality.DATA)
