@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starload.functions.library import hashdiff
 from starload.operators.skew import HOT_ROWS, Scan, attach, keyed_scan, slice_hot_keys
@@ -26,11 +26,15 @@ def newer_rows(source: DataFrame, target: DataFrame, ts: str, source_ts: str | N
     The one newest value is fetched, so that the comparison reaches the source
     scan as a constant: it prunes partitions and skips row groups.
     """
-    newest = target.agg(F.max(ts)).first()[0]
-    if newest is None:
-        return source
-    column = source_ts or ts
-    return source.where(F.col(column) > F.lit(str(newest)).cast(source.schema[column].dataType))
+    column = F.col(source_ts or ts)
+    if isinstance(target.schema[ts].dataType, T.TimestampType):
+        # An instant travels as a number, whose meaning no time zone changes.
+        newest = target.agg(F.unix_micros(F.max(ts))).first()[0]
+        limit = F.timestamp_micros(F.lit(newest))
+    else:
+        newest = target.agg(F.max(ts).cast("string")).first()[0]
+        limit = F.lit(newest).cast(target.schema[ts].dataType)
+    return source if newest is None else source.where(column > limit)
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

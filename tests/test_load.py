@@ -20,6 +20,18 @@ def test_newer_rows(spark):
     assert rows(load.newer_rows(source, target.where("id < 0"), "ts")) == [(1, 5), (2, 9)]
 
 
+def test_newer_rows_of_instants_in_the_hour_that_comes_twice(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        hours = spark.range(6).select("id", F.timestamp_seconds(F.lit(1730606400) + F.col("id") * 3600).alias("ts"))
+        for n in range(6):
+            newer = load.newer_rows(hours, hours.where(F.col("id") <= n), "ts")
+            assert newer.count() == 5 - n
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_newer_rows_filter_reaches_the_scan(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     seen = events.where("ts < timestamp_ntz'2024-01-20'")
