@@ -198,6 +198,6 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def mixed(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """The rows of the mix: each row of docs as often as `mix` says, with the columns of docs."""
     _, rules = decisions(docs, seed=seed, **options)
-    chosen = _with_copies(docs.select("*", *_keys(docs, seed)), rules).where("_copies > 0")
-    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(
-        *[chosen[c] for c in docs.columns])
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *_keys(docs, seed))
+    chosen = _with_copies(rows, rules).where("_copies > 0")
+    return chosen.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")

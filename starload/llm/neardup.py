@@ -34,7 +34,7 @@ from starload.scratch import materialise
 #: How many centres a bucket has in a round after the first.
 CENTRES_AT_ONCE = 64
 #: A shingle that at most so many open documents have is rare.
-RARE = 64
+RARE = 128
 SIGNATURE = "n_shingles long, set_key binary, bands array<long>"
 
 

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starload.llm import mixing, neardup, sharding, toxicity
+from starload.llm import (
+    decontaminate, language, mixing, neardup, ngram_ratio, quality_trees, quotation, sharding, toxicity, url_rules,
+)
 from starload.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,16 +30,65 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op2_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotation.linked_conversations(table(spark, sf_dir, "conversations"))
+
+
 @query()
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Shape(words=2))
 
 
+@query()
+def op4_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_trees.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"))
 
 
+@query()
+def op7_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_ratio.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("""
+WITH rules(rule_host, rule_path, rule_verdict) AS (VALUES
+       ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+       ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+     rests AS (
+       SELECT page_id, row_number() OVER () AS place,
+              CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+       FROM pages),
+     parts AS (
+       SELECT page_id, place, translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+              regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+       FROM rests),
+     best AS (
+       SELECT place, arg_max(rule_host || rule_path, 1000000 * length(rule_host || rule_path) + length(rule_host)) AS rule,
+              arg_max(rule_verdict, 1000000 * length(rule_host || rule_path) + length(rule_host)) AS verdict
+       FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+       GROUP BY place)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (place)
+""")
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judged(table(spark, sf_dir, "pages"), url_rules.rule_frame(spark))
+
+
+@query()
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))

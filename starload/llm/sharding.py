@@ -68,5 +68,5 @@ def place(rows: DataFrame, key: str = "doc_id", shards: Sequence[str] = SHARDS,
     """
     names = [c for c in rows.columns if c not in ("slot", "shard")]
     slots = table_frame(rows.sparkSession, shards, size)
-    left = rows.select(*names).withColumn("slot", slot_of(key, size))
-    return left.join(F.broadcast(slots), "slot").select(*names, "slot", "shard")
+    left = rows.select(F.struct(*names).alias("row"), slot_of(rows[key], size).alias("slot"))
+    return left.join(F.broadcast(slots), "slot").select("row.*", "slot", "shard")

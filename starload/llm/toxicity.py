@@ -229,5 +229,5 @@ def judged(docs: DataFrame, labels: DataFrame, folds: int = 4, remainder: int =
 def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 4, remainder: int = 2) -> DataFrame:
     """The rows of docs that are not predicted toxic."""
     index = fit(docs, labels, fold("doc_id", folds) != remainder)
-    judged_rows = docs.withColumn("_toxicity", score(F.col("text"), index, docs.sparkSession))
-    return judged_rows.where("_toxicity.predicted = 0").select(*[judged_rows[c] for c in docs.columns])
+    rows = docs.select(F.struct(*docs.columns).alias("row"), score(docs["text"], index, docs.sparkSession).alias("s"))
+    return rows.where("s.predicted = 0").select("row.*")

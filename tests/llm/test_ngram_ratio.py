@@ -1,0 +1,72 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+from llm_data import prose
+
+from starload.llm import ngram_ratio
+from starload.llm.common import SPACES, spark_words
+from starload.llm.ngram_ratio import buckets_of, judged
+
+FIXED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def words_of(text):
+    for c in SPACES[1:]:
+        text = (text or "").replace(c, " ")
+    return [w for w in (text or "").split(" ") if w]
+
+
+def base(text):
+    words = words_of(text)
+    windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+    seen = Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) if seen[w] > 1 for k in range(5)}
+    lines = [line for line in (text or "").split("\n") if words_of(line)]
+    n = len(words)
+    return (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(repeated),
+            n < 10 or 100 * len(repeated) > 20 * n)
+
+
+TEXTS = [None, "", "  \n\t", "one two", "a b c d e f g h i j", "a b c d e a b c d e", "a a a a a a a a a a a a",
+         "x y z\nx y z\n\nx y z \n", "# * $ % & | < > ok fine", " lead\x0btrail\x0c\r end", "é ü 😀😀 ß w w w w w w",
+         "a b c d e X a b c d e Y a b c d e " + " ".join(prose(1, 60)), "q " * 5000, "p q r s"]
+
+
+def test_base_columns_against_plain_python(docs, labels):
+    pick = random.Random(3)
+    texts = TEXTS + [" ".join(pick.choice("abc") for _ in range(pick.randint(1, 60))) for _ in range(60)]
+    got = judged(docs(list(enumerate(texts)), ratio=1, _words=2, kept=3), labels([])).orderBy("doc_id").select(*FIXED).collect()
+    assert [tuple(r) for r in got] == [base(t) for t in texts]
+
+
+def test_ratio_against_plain_python(docs, labels, spark):
+    rows = [(i, " ".join(prose(i % 17, 12 + i))) for i in range(40)] + [(None, "no id here"), (3, "again")]
+    marks = [(i, int(i % 3 == 0), 0) for i in range(30)] + [(None, 1, 0), (6, None, None), (9, 1, 0)]
+    got = {r.doc_id: r for r in judged(docs(rows), labels(marks), buckets=64).collect() if r.doc_id != 3}
+    hashed = docs(rows).select("doc_id", buckets_of(spark_words("text"), 64).alias("b")).collect()
+    every, trusted, of = Counter(), Counter(), {}
+    for r in hashed:
+        every.update(r.b)
+        of[r.doc_id] = r.b
+        if r.doc_id is not None and r.doc_id < 30 and r.doc_id % 3 == 0:
+            trusted.update(r.b)
+    ratio = {b: math.log((trusted[b] + 1) / (trusted.total() + 64)) - math.log((every[b] + 1) / (every.total() + 64))
+             for b in range(64)}
+    for doc_id, row in got.items():
+        assert row.ratio == pytest.approx(sum(ratio[b] for b in of[doc_id]) / len(of[doc_id]))
+        assert row.kept == (not row.base_failed and row.ratio >= ngram_ratio.THRESHOLD)
+
+
+def test_text_unlike_the_trusted_goes(docs, labels):
+    good = [(i, " ".join(prose(i, 80))) for i in range(60)]
+    bad = [(100 + i, " ".join(w + "@@" for w in prose(50 + i, 80))) for i in range(8)]
+    got = judged(docs(good + bad), labels([(i, 1, 0) for i in range(40)])).toPandas().set_index("doc_id")
+    assert got.kept[[i for i, _ in good]].all() and got.ratio[[i for i, _ in bad]].max() < got.ratio[[i for i, _ in good]].min()
+
+
+def test_without_labels_and_empty_tables(docs, labels):
+    got = judged(docs([(1, "a b c d e f g h i j"), (2, "short"), (2, "short")]), labels([])).orderBy("doc_id").collect()
+    assert [(r.ratio, r.kept) for r in got] == [(0.0, True), (0.0, False), (0.0, False)]
+    assert judged(docs([]), labels([(1, 1, 0)])).collect() == []

@@ -1,0 +1,49 @@
+import random
+import re
+
+from llm_data import sorted_rows
+
+from starload.llm.url_rules import RULES, judged, rule_frame
+
+
+def brute(url, rules):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.sub("[A-Z]", lambda m: m[0].lower(), re.match(r"[^/?#]*", rest)[0])
+    path = re.match(r"[^/?#]*([^?#]*)", rest)[1]
+    best = None
+    for h, p, verdict in rules:
+        if (host == h or host.endswith("." + h)) and path.startswith(p):
+            if best is None or (len(h + p), len(h)) > best[0] or ((len(h + p), len(h)) == best[0] and verdict > best[2]):
+                best = ((len(h + p), len(h)), h + p, verdict)
+    return host, path, best[1] if best else None, best[2] if best else "allow"
+
+
+def held_against(spark, urls, rules):
+    pages = spark.createDataFrame([(i % 7 if i % 5 else None, u, "<p>", "x") for i, u in enumerate(urls)],
+                                  "page_id long, url string, html string, verdict string")
+    expected = sorted([(i % 7 if i % 5 else None, *brute(u, rules)) for i, u in enumerate(urls)], key=repr)
+    assert sorted_rows(judged(pages, rule_frame(spark, rules))) == expected
+
+
+def test_contract_rules(spark):
+    held_against(spark, [
+        None, "", "no scheme", "http://", "http://com", "http://com/", "https://EXAMPLE.com/en/x?y#z", "http://a.example.com/en/",
+        "http://www.example.com/en/a", "http://x.www.example.com/en/", "http://example.com/en", "http://notexample.com/en/",
+        "http://a.net/es/1", "http://net/fr/", "http://net/de/", "http://a.net?/es/", "http://a.net#/es/", "a://b://c.com/",
+        "http://xcom/", "http://É.com/", "http://example.com./en/", "http://com/" + "long/" * 5000] * 2, RULES)
+
+
+def test_random_nested_rules(spark):
+    pick = random.Random(3)
+    labels, parts = ["a", "b", "ab", "c"], ["", "/", "/a", "/a/", "/a/b", "/b/", "/a/b/c"]
+
+    def host():
+        return ".".join(pick.choice(labels) for _ in range(pick.randint(1, 4)))
+    rules = list({(host(), pick.choice(parts), pick.choice(["allow", "block"])) for _ in range(60)})
+    held_against(spark, [f"http://{host()}{pick.choice(parts)}{pick.choice(['', 'x', '?q', '#f'])}" for _ in range(600)], rules)
+
+
+def test_a_hot_url_no_rules_no_rows(spark):
+    held_against(spark, ["http://hot.example.com/en/"] * 400 + ["http://b.org/"], RULES)
+    held_against(spark, ["http://a.com/", None], [])
+    held_against(spark, [], RULES)
