@@ -97,7 +97,7 @@ def quotas_of(sizes: Sequence[int], documents: Sequence[int], budget: int) -> li
     """How many documents of each length come nearest to the budget from below.  Sizes are distinct."""
     order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
     words = sum(sizes[i] * documents[i] for i in order)
-    taken = [documents[i] * budget // words if words else 0 for i in range(len(sizes))]
+    taken = [documents[i] * budget // words if sizes[i] else 0 for i in range(len(sizes))]
     missing = budget - sum(sizes[i] * taken[i] for i in order)
     # Longest first, down to what the exact fit can do; then, if there are only long ones, all that fits.
     for reserve in (LAST_WORDS // 2, 0):

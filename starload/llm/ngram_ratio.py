@@ -1,11 +1,12 @@
 """Quality rules: fixed limits on a document, then a hashed n-gram log-likelihood ratio.
 
-Words and pairs of neighbouring words, in lower case, are hashed into buckets.
+Words and pairs of neighbouring words, as they are written, are hashed into buckets.
 Two multinomials over the buckets, one of trusted documents and one of all
 documents, give every bucket the logarithm of its ratio; a document's mean over
 its n-grams is compared with a fixed threshold.  Everything is SQL functions:
-counts are pre-aggregated per bucket, and the table of ratios, whose size is a
-parameter, is a single value that a document looks into without a join.
+counts are pre-aggregated per bucket, and the table of ratios (rounded to six
+places), whose size is a parameter, is a constant that a document looks into
+without a join.
 """
 
 from __future__ import annotations
@@ -13,13 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starload.llm.common import spark_words
-from starload.scratch import materialise
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 13
 #: The trusted side is a bounded sample of documents, so that its ids can be broadcast.
 TRUSTED = 20_000
 #: Least mean log ratio per n-gram.
-THRESHOLD = -1.0
+THRESHOLD = -0.15
 #: Fixed values of the contract.
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
@@ -27,34 +27,48 @@ WINDOW = 5
 SYMBOLS = r"[#*$%&|<>]"
 
 
+def bound(value: Column, body) -> Column:
+    """body(value) with value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def with_next(words: Column, use) -> Column:
+    """use(word, next word) for every word; the last one has the next word NULL."""
+    return F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), use)
+
+
+def bucket(buckets: int, *words: Column) -> Column:
+    return F.pmod(F.xxhash64(*words), F.lit(buckets)).cast("int")
+
+
 def buckets_of(words: Column, buckets: int = BUCKETS) -> Column:
     """The buckets of all words and of all pairs of neighbours."""
-    lower = F.transform(words, F.lower)
-    single = F.transform(lower, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    first = F.slice(lower, 1, F.greatest(F.size(lower) - 1, F.lit(0)))
-    second = F.slice(lower, 2, F.greatest(F.size(lower) - 1, F.lit(0)))
-    pairs = F.zip_with(first, second, lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int"))
-    return F.concat(single, pairs)
+    return F.array_compact(F.flatten(with_next(words, lambda a, b: F.array(
+        bucket(buckets, a), F.when(b.isNotNull(), bucket(buckets, a, b))))))
 
 
 def repeated_words(words: Column, window: int = WINDOW) -> Column:
     """How many words lie in a window of so many words that occurs twice or more in the text."""
-    starts = F.sequence(F.lit(1), F.size(words) - (window - 1))
-    hashes = F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, window)))
-    # Only texts with an equal pair of windows pay for finding out where they are.
-    keyed = F.array_sort(F.zip_with(hashes, starts, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    none = F.struct(F.lit(None).cast("long").alias("h"), F.lit(None).cast("int").alias("i"))
-    before = F.concat(F.array(none), keyed)
-    after = F.concat(F.slice(keyed, 2, F.size(keyed)), F.array(none))
-    same_before = F.zip_with(keyed, before, lambda k, b: F.when(k["h"] == b["h"], k["i"]))
-    same_after = F.zip_with(keyed, after, lambda k, a: F.when(k["h"] == a["h"], k["i"]))
-    either = F.zip_with(same_before, same_after, lambda a, b: F.coalesce(a, b))
-    places = F.array_sort(F.array_compact(either))
-    following = F.concat(F.slice(places, 2, F.size(places)), F.array(F.lit(1 << 30)))
-    covered = F.aggregate(F.zip_with(places, following, lambda a, b: F.least(b - a, F.lit(window))),
-                          F.lit(0), lambda total, step: total + step)
-    return (F.when(F.size(words) <= window, 0)
-            .when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(covered).cast("long"))
+    hashes = F.transform(F.sequence(F.lit(1), F.size(words) - (window - 1)),
+                         lambda i: F.xxhash64(F.slice(words, i, window)))
+
+    def covered(places: Column) -> Column:
+        steps = F.zip_with(places, F.slice(places, 2, F.size(places)),
+                           lambda a, b: F.least(F.coalesce(b - a, F.lit(window)), F.lit(window)))
+        return F.aggregate(steps, F.lit(0), lambda total, step: total + step)
+
+    def places(keyed: Column) -> Column:
+        # A window is repeated if its neighbour in the order of hashes has the same one.
+        later = F.zip_with(keyed, F.slice(keyed, 2, F.size(keyed)), lambda a, b: a["h"] == b["h"])
+        return bound(later, lambda same: F.sort_array(F.array_compact(F.transform(keyed, lambda k, i: F.when(
+            F.coalesce(F.get(same, i), F.lit(False)) | F.coalesce(F.get(same, i - 1), F.lit(False)), k["i"])))))
+
+    def repeated(found: Column) -> Column:
+        keyed = F.sort_array(F.transform(found, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        # Only texts with an equal pair of windows pay for finding out where they are.
+        return (F.when(F.size(F.array_distinct(found)) == F.size(found), 0)
+                .otherwise(bound(keyed, lambda k: bound(places(k), covered))))
+    return F.when(F.size(words) <= window, 0).otherwise(bound(hashes, repeated)).cast("long")
 
 
 def base(rows: DataFrame) -> DataFrame:
@@ -66,7 +80,7 @@ def base(rows: DataFrame) -> DataFrame:
         "word_chars": F.length(F.array_join("_words", "")).cast("long"),
         "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("long"),
         "n_dup_lines": F.when(F.instr(text, "\n") == 0, 0)
-        .otherwise(F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+        .otherwise(bound(lines, lambda every: F.size(every) - F.size(F.array_distinct(every)))).cast("long"),
         "n_repeat_words": repeated_words(F.col("_words")),
     }).withColumn("base_failed", (F.col("n_words") < LEAST_WORDS)
                   | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))))
@@ -80,10 +94,12 @@ def trusted_ids(labels: DataFrame, bound: int = TRUSTED, seed: int = 5) -> DataF
 
 def ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """One row with `ratios`, the log ratio of every bucket: trusted against all, both smoothed by one."""
-    marked = docs.select("doc_id", "text").join(
+    marked = docs.select("doc_id", spark_words("text").alias("words")).join(
         F.broadcast(trusted.select(F.col("doc_id").alias("_trusted"))), F.col("doc_id") == F.col("_trusted"), "left")
-    counted = (marked.select(F.explode(buckets_of(spark_words("text"), buckets)).alias("bucket"),
-                             F.col("_trusted").isNotNull().cast("long").alias("trusted"))
+    pairs = marked.select(F.explode(with_next(F.col("words"), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p"),
+                          F.col("_trusted").isNotNull().cast("long").alias("trusted"))
+    both = F.array(bucket(buckets, F.col("p.a")), F.when(F.col("p.b").isNotNull(), bucket(buckets, F.col("p.a"), F.col("p.b"))))
+    counted = (pairs.select(F.explode(both).alias("bucket"), "trusted").where("bucket IS NOT NULL")
                .groupBy("bucket").agg(F.count(F.lit(1)).alias("n_all"), F.sum("trusted").alias("n_trusted")))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     filled = every.join(counted, "bucket", "left").select(
@@ -103,12 +119,13 @@ def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, buc
     base.  Without trusted documents every ratio is 0.  Repeated rows have equal
     results, an empty table gives an empty one.
     """
-    table = materialise(ratios(docs, trusted_ids(labels), buckets), "ratios")
+    # As many numbers as buckets come to the driver and go back as a constant of the plan: no join.
+    table = ratios(docs, trusted_ids(labels), buckets).first()["ratios"]
+    value = F.split(F.lit(",".join(f"{r:.6f}" for r in table)), ",").cast("array<double>")
     found = base(docs.select("doc_id", "text").withColumn("_words", spark_words("text")))
-    found = found.withColumn("_buckets", buckets_of(F.col("_words"), buckets))
-    # The one row of ratios as a value of the plan: no join.
-    value = table.scalar()
-    total = F.aggregate(F.transform("_buckets", lambda b: F.get(value, b)), F.lit(0.0), lambda t, r: t + r)
-    scored = found.withColumn("ratio", F.when(F.size("_buckets") > 0, total / F.size("_buckets")).otherwise(0.0))
+    sums = with_next(F.col("_words"), lambda a, b: F.get(value, bucket(buckets, a)) + F.when(
+        b.isNotNull(), F.get(value, bucket(buckets, a, b))).otherwise(0.0))
+    total = F.aggregate(sums, F.lit(0.0), lambda t, r: t + r)
+    scored = found.withColumn("ratio", F.when(F.col("n_words") > 0, total / (2 * F.col("n_words") - 1)).otherwise(0.0))
     return scored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "ratio", (~F.col("base_failed") & (F.col("ratio") >= threshold)).alias("kept"))
