@@ -6,13 +6,15 @@ all that is given.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starload.functions.library import hashdiff
+from starload.operators.keys import highest, number_rows
 from starload.operators.skew import HOT_ROWS, Scan, attach, keyed_scan, slice_hot_keys
+from starload.scratch import materialise
 from starload.spec import HASHDIFF, IS_CURRENT, VALID_FROM, VALID_TO
 
 CHANGE = "change"
@@ -20,45 +22,84 @@ CHANGE = "change"
 NEW, CHANGED, UNCHANGED, MISSING, LATE = "new", "changed", "unchanged", "missing", "late"
 
 
-def newer_rows(source: DataFrame, target: DataFrame, ts: str, source_ts: str | None = None) -> DataFrame:
-    """Rows of `source` after the newest `ts` of `target`; all of them while target is empty.
-
-    The one newest value is fetched, so that the comparison reaches the source
-    scan as a constant: it prunes partitions and skips row groups.
-    """
-    column = F.col(source_ts or ts)
+def _newest(target: DataFrame, ts: str) -> Column | None:
+    """The newest `ts` of target as a constant, which prunes partitions and skips row groups; None if there is none."""
     if isinstance(target.schema[ts].dataType, T.TimestampType):
         # An instant travels as a number, whose meaning no time zone changes.
         newest = target.agg(F.unix_micros(F.max(ts))).first()[0]
-        limit = F.timestamp_micros(F.lit(newest))
-    else:
-        newest = target.agg(F.max(ts).cast("string")).first()[0]
-        limit = F.lit(newest).cast(target.schema[ts].dataType)
-    return source if newest is None else source.where(column > limit)
+        return None if newest is None else F.timestamp_micros(F.lit(newest))
+    newest = target.agg(F.max(ts).cast("string")).first()[0]
+    return None if newest is None else F.lit(newest).cast(target.schema[ts].dataType)
+
+
+def _not_in(source: DataFrame, target: DataFrame, keys: Mapping[str, str | Column]) -> DataFrame:
+    """Rows of source whose key no row of target has; keys: target column -> column over source."""
+    names = {c: f"_key_{i}" for i, c in enumerate(keys)}
+    marked = source.select("*", *[(F.col(e) if isinstance(e, str) else e).alias(names[c]) for c, e in keys.items()])
+    known = target.select(*[F.col(c).alias(f"_known{names[c]}") for c in keys])
+    same = reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(f"_known{n}")) for n in names.values()])
+    return marked.join(known, same, "left_anti").drop(*names.values())
+
+
+def newer_rows(source: DataFrame, target: DataFrame, ts: str, source_ts: str | None = None,
+               keys: Mapping[str, str | Column] | None = None) -> DataFrame:
+    """Rows of `source` that an append to `target` still has to load; all of them while target is empty.
+
+    These are the rows after the newest `ts` of target and, with `keys` (target
+    column -> column over source), those at that very moment or without a
+    timestamp whose key target does not have yet.  Without keys such rows cannot
+    be told from loaded ones and are left out.  `older_rows` has the rest.
+    """
+    column, newest = F.col(source_ts or ts), _newest(target, ts)
+    if newest is None and keys is None:
+        return source
+    if keys is None:
+        return source.where(column > newest)
+    undated = _not_in(source.where(column.isNull()), target.where(F.col(ts).isNull()), keys)
+    if newest is None:
+        return source.where(column.isNotNull()).unionByName(undated)
+    edge = _not_in(source.where(column == newest), target.where(F.col(ts) == newest), keys)
+    return source.where(column > newest).unionByName(edge).unionByName(undated)
+
+
+def older_rows(source: DataFrame, target: DataFrame, ts: str, keys: Mapping[str, str | Column],
+               source_ts: str | None = None) -> DataFrame:
+    """Rows of `source` before the newest `ts` of target that were never loaded: they arrived too late."""
+    column, newest = F.col(source_ts or ts), _newest(target, ts)
+    if newest is None:
+        return source.where(F.lit(False))
+    return _not_in(source.where(column < newest), target.where(F.col(ts) < newest), keys)
+
+
+def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """df; a NULL key fails the job, as such a row could never be found again."""
+    return df.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in key column {k}"))) for k in keys})
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the last one in `order`; combined before the shuffle.
 
-    A NULL key fails the job: such a row could never be found again.
+    Of rows equal in `order` the one with the largest values wins, column by
+    column, so that every run and every partitioning gives the same row.
     """
-    df = df.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in key column {k}")))
-                         for k in keys})
-    rest = [c for c in df.columns if c not in keys]
-    row = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
+    df = _with_keys(df, keys)
+    first = [c for c in dict.fromkeys(order) if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in first]
+    row = F.max(F.struct(*first, *rest)).alias("_row")
     # The keys stay the grouping columns, so that a join on them needs no further shuffle.
     return df.groupBy(*keys).agg(row).select(
         *[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str, *, unique: bool = False) -> DataFrame:
     """`target` (unique on keys) with the rows of `batch` put in; per key the latest `order` wins.
 
-    A batch row wins a tie.  The batch may repeat keys.  Only the batch and the
-    key columns of the target need to move while the batch is small.
+    A batch row wins a tie.  The batch may repeat keys, unless it is said to be
+    `unique`.  Only the batch and the key columns of the target need to move
+    while the batch is small.
     """
     rename = {k: f"_b_{k}" for k in [*keys, order]}
-    batch = latest_rows(batch, keys, [order])
+    batch = batch if unique else latest_rows(batch, keys, [order])
     marks = batch.select(*[F.col(k).alias(n) for k, n in rename.items()])
     same = reduce(Column.__and__, [F.col(k) == F.col(rename[k]) for k in keys])
     stale = F.coalesce(F.col(rename[order]) < F.col(order),
@@ -71,13 +112,21 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order: str)
 
 
 def keep_keys(batch: DataFrame, target: DataFrame, keys: Sequence[str], generated: Sequence[str]) -> DataFrame:
-    """`batch` with the generated keys that its rows already have in `target`."""
+    """`batch` (unique on keys) with the generated keys that its rows already have in `target`.
+
+    The other rows are numbered after the highest key of `target`, without gaps,
+    in the order of the numbers that they come with.
+    """
     if not generated:
         return batch
     known = target.select(*keys, *[F.col(g).alias(f"_known_{g}") for g in generated])
-    found = attach(batch, known, keys)
-    return found.select(*[F.coalesce(f"_known_{c}", c).alias(c) if c in generated else F.col(c)
-                          for c in batch.columns])
+    found = materialise(attach(batch, known, keys), "known-keys")
+    first = F.col(f"_known_{generated[0]}")
+    old = found.where(first.isNotNull()).select(*[F.col(f"_known_{c}").alias(c) if c in generated else c for c in batch.columns])
+    new = number_rows(found.where(first.isNull()).select(batch.columns), [generated[0]], "_number")
+    new = new.select(*[(highest(target, c) + F.col("_number")).cast(batch.schema[c].dataType).alias(c) if c in generated
+                       else F.col(c) for c in batch.columns])
+    return old.unionByName(new)
 
 
 # --- versioned dimensions -----------------------------------------------------------
@@ -104,31 +153,74 @@ def compare_versions(target: DataFrame, snapshot: DataFrame, keys: Sequence[str]
     return current.join(fresh, same, "full_outer").select(change.alias(CHANGE), "old", "new")
 
 
-def apply_versions(target: DataFrame, snapshot: DataFrame, keys: Sequence[str],
+def _against_current(target: DataFrame, batch: DataFrame, keys: Sequence[str], tracked: Sequence[str],
+                     ts: str) -> DataFrame:
+    """Every row of a batch (`new`) with the current version of its key (`old`), and what it is: `change`."""
+    current = target.where(IS_CURRENT).select(
+        *[F.col(k).alias(f"_o_{k}") for k in keys], F.struct(*target.columns).alias("old"))
+    fresh = _with_keys(batch, [*keys, ts]).withColumn(HASHDIFF, hashdiff(*map(F.col, tracked)))
+    fresh = fresh.select(*keys, F.struct(*fresh.columns).alias("new"))
+    same = reduce(Column.__and__, [F.col(k) == F.col(f"_o_{k}") for k in keys])
+    change = (F.when(F.col("old").isNull(), NEW)
+              .when(F.col(f"new.{ts}") > F.col(f"old.{VALID_FROM}"), CHANGED)
+              .when(F.col(f"old.{HASHDIFF}") == F.col(f"new.{HASHDIFF}"), UNCHANGED).otherwise(LATE))
+    return fresh.join(current, same, "left").select(*keys, change.alias(CHANGE), "old", "new")
+
+
+def _changes(placed: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, hot_rows: int) -> DataFrame:
+    """Rows of (keys, old, new) that begin a version, with `_next` (when it ends) and `_prior` (NULL for the first)."""
+    rows = placed.select(*keys, F.col(f"new.{ts}").alias("_at"), F.struct(*[F.col(f"new.{c}") for c in tracked]).alias("_tie"),
+                         "old", "new")
+    order = ["_at", "_tie"]
+    rows = slice_hot_keys(rows, keys, order, hot_rows)
+    rows = keyed_scan(rows, keys, order, {"_same": Scan("next", F.col("_at"))})
+    # Of two rows at one moment the last in order counts, as in `latest_rows`.
+    rows = rows.where(F.col("_same").isNull() | (F.col("_same") > F.col("_at"))).drop("_same")
+    rows = keyed_scan(rows, keys, order, {"_before": Scan("previous", F.col(f"new.{HASHDIFF}"))})
+    before = F.coalesce(F.col("_before"), F.col(f"old.{HASHDIFF}"))
+    rows = rows.where(before.isNull() | (before != F.col(f"new.{HASHDIFF}"))).drop("_before")
+    return keyed_scan(rows, keys, order, {"_next": Scan("next", F.col("_at")), "_prior": Scan("previous", F.col("_at"))})
+
+
+def apply_versions(target: DataFrame, batch: DataFrame, keys: Sequence[str],
                    tracked: Sequence[str], ts: str, *, close_missing: bool = False,
-                   closed_at: Column | None = None) -> DataFrame:
-    """The versioned table after a snapshot: changed versions closed, new ones opened.
+                   closed_at: Column | None = None, generated: Sequence[str] = (),
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The versioned table after a batch of changes: changed versions closed, new ones opened.
 
     The target has the keys, the tracked columns, hashdiff, valid_from, valid_to
-    and is_current.  Late rows are not applied (see `late_rows`).  A key missing
-    from the snapshot stays open unless `close_missing`, which needs `closed_at`.
+    and is_current.  A batch may have several rows of a key: each change among
+    them is a version, which ends where the next one begins.  Late rows are not
+    applied (see `late_rows`).  A key missing from the batch stays open unless
+    `close_missing`, which needs `closed_at`.  `generated` columns of new versions
+    are numbered without gaps after the highest of the target, in the order of
+    the values that the batch has there.  The changes are written to the shared
+    folder, so the batch is compared once.
     """
-    compared = compare_versions(target, snapshot, keys, tracked, ts)
-    ended = F.when(F.col(CHANGE) == CHANGED, F.col(f"new.{ts}"))
-    if close_missing:
-        ended = ended.when(F.col(CHANGE) == MISSING, closed_at)
+    placed = _against_current(target, batch, keys, tracked, ts).where(F.col(CHANGE).isin(NEW, CHANGED))
+    changes = _changes(placed, keys, tracked, ts, hot_rows).select(*keys, "old", "new", "_next", "_prior")
+    numbers: dict[str, Column] = {}
+    if generated:
+        changes = number_rows(changes, [F.col(f"new.{generated[0]}")], "_number")
+        numbers = {g: F.col("_number") + highest(target, g) for g in generated}
+    else:
+        changes = materialise(changes, "changes")
     types = {f.name: f.dataType for f in target.schema}
-    old = F.when(F.col("old").isNotNull(), _version(
-        target, lambda c: F.col(f"old.{c}"),
-        {VALID_TO: F.coalesce(ended, F.col(f"old.{VALID_TO}")), IS_CURRENT: ended.isNull()}))
-    new = F.when(F.col(CHANGE).isin(NEW, CHANGED), _version(
-        target, lambda c: F.col(f"new.{c}") if c in snapshot.columns or c == HASHDIFF else F.lit(None),
-        {VALID_FROM: F.col(f"new.{ts}"), VALID_TO: F.lit(None).cast(types[VALID_TO]),
-         IS_CURRENT: F.lit(True)}))
-    versions = (compared.select(F.explode(F.array_compact(F.array(old, new))).alias("_version"))
-                .select("_version.*"))
-    closed = ~F.coalesce(F.col(IS_CURRENT), F.lit(False))
-    return target.where(closed).unionByName(versions)
+    opened = changes.select(_version(
+        target, lambda c: F.col(f"new.{c}") if c in batch.columns or c == HASHDIFF else F.lit(None),
+        {VALID_FROM: F.col(f"new.{ts}"), VALID_TO: F.col("_next").cast(types[VALID_TO]),
+         IS_CURRENT: F.col("_next").isNull(), **numbers}).alias("_version")).select("_version.*")
+    first = changes.where(F.col("_prior").isNull() & F.col("old").isNotNull())
+    closed = first.select(_version(target, lambda c: F.col(f"old.{c}"), {
+        VALID_TO: F.col(f"new.{ts}").cast(types[VALID_TO]), IS_CURRENT: F.lit(False)}).alias("_version")).select("_version.*")
+    still = _not_in(target.where(IS_CURRENT), first.select(*keys), {k: k for k in keys})
+    if close_missing:
+        gone = _not_in(still, batch.select(*keys), {k: k for k in keys})
+        ended = gone.select(_version(target, F.col, {VALID_TO: closed_at, IS_CURRENT: F.lit(False)}).alias("_version"))
+        present = still.join(batch.select(*keys).distinct(), list(keys), "left_semi").select(target.columns)
+        still = present.unionByName(ended.select("_version.*"))
+    history = target.where(~F.coalesce(F.col(IS_CURRENT), F.lit(False)))
+    return history.unionByName(still).unionByName(closed).unionByName(opened)
 
 
 def _version(target: DataFrame, value, replaced: dict[str, Column]) -> Column:
@@ -137,19 +229,22 @@ def _version(target: DataFrame, value, replaced: dict[str, Column]) -> Column:
                       for f in target.schema])
 
 
-def late_rows(target: DataFrame, snapshot: DataFrame, keys: Sequence[str],
+def late_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str],
               tracked: Sequence[str], ts: str) -> DataFrame:
-    """Snapshot rows that `apply_versions` leaves out because they are too old."""
-    compared = compare_versions(target, snapshot, keys, tracked, ts)
-    return compared.where(F.col(CHANGE) == LATE).select("new.*").select(*snapshot.columns)
-
-
-def initial_versions(snapshot: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str) -> DataFrame:
-    """A versioned table with one open version per key of a first snapshot."""
-    first = latest_rows(snapshot, keys, [ts, *tracked])
-    return first.select(
-        *keys, *tracked, hashdiff(*map(F.col, tracked)).alias(HASHDIFF), F.col(ts).alias(VALID_FROM),
-        F.lit(None).cast(snapshot.schema[ts].dataType).alias(VALID_TO), F.lit(True).alias(IS_CURRENT))
+    """Batch rows that `apply_versions` leaves out because they are too old."""
+    placed = _against_current(target, batch, keys, tracked, ts)
+    return placed.where(F.col(CHANGE) == LATE).select("new.*").select(*batch.columns)
+
+
+def initial_versions(batch: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, *,
+                     hot_rows: int = HOT_ROWS) -> DataFrame:
+    """A versioned table with the versions of a first batch."""
+    rows = _with_keys(batch.select(*keys, *tracked, ts), [*keys, ts]).withColumn(HASHDIFF, hashdiff(*map(F.col, tracked)))
+    none = F.lit(None).cast(T.StructType([T.StructField(HASHDIFF, T.StringType())]))
+    placed = rows.select(*keys, none.alias("old"), F.struct(*rows.columns).alias("new"))
+    return _changes(placed, keys, tracked, ts, hot_rows).select(
+        *keys, *[F.col(f"new.{c}").alias(c) for c in [*tracked, HASHDIFF]], F.col("_at").alias(VALID_FROM),
+        F.col("_next").cast(batch.schema[ts].dataType).alias(VALID_TO), F.col("_next").isNull().alias(IS_CURRENT))
 
 
 def version_history(feed: DataFrame, keys: Sequence[str], tracked: Sequence[str],

@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starload.operators.skew import HOT_ROWS, SLICE, Scan, attach, keyed_scan, slice_hot_keys
+from starload.operators.skew import HOT_ROWS, SLICE, Scan, attach, keyed_scan, planned_small, slice_hot_keys
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]], take: Mapping[str, str], *,
@@ -52,16 +52,49 @@ def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return checked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
+def overlapping_versions(dim: DataFrame, keys: Sequence[str], valid_from: str = "valid_from",
+                         valid_to: str = "valid_to") -> DataFrame:
+    """Versions that are still valid when the next one of their key begins; empty ones overlap nothing."""
+    lasting = dim.where(F.col(valid_to).isNull() | (F.col(valid_to) > F.col(valid_from))).select(*keys, valid_from, valid_to)
+    rows = slice_hot_keys(lasting, keys, [valid_from])
+    following = keyed_scan(rows, keys, [valid_from], {"_next": Scan("next", F.col(valid_from))})
+    return following.where(F.col("_next").isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_to) > F.col("_next"))))
+
+
+def _as_of_small(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]], at: str, take: Mapping[str, str],
+                 valid_from: str, valid_to: str, unknown_key: Any) -> DataFrame:
+    """`lookup_as_of` for a dim that may be broadcast: the versions of a key as one sorted array, so no fact moves."""
+    keys = [f"_k{i}" for i in range(len(on))]
+    version = F.struct(dim[valid_from].alias("since"), dim[valid_to].alias("until"),
+                       F.struct(*[dim[c].alias(n) for n, c in take.items()]).alias("taken"))
+    versions = (dim.where(dim[valid_to].isNull() | (dim[valid_to] > dim[valid_from]))
+                .select(*[dim[d].alias(k) for k, (_, d) in zip(keys, on)], version.alias("_version"))
+                .groupBy(*keys).agg(F.sort_array(F.collect_list("_version")).alias("_versions")))
+    same = reduce(Column.__and__, [fact[f] == F.col(k) for k, (f, _) in zip(keys, on)])
+    begun = F.filter("_versions", lambda v: v["since"] <= fact[at])
+    last = F.element_at(begun, -1)
+    joined = fact.join(F.broadcast(versions), same, "left").withColumn("_found", F.when(F.size(begun) > 0, last))
+    valid = (fact[at] < F.col("_found.until")) | F.col("_found.until").isNull()
+    picked = {n: F.when(valid, F.col("_found.taken")[n]) for n in take}
+    if unknown_key is not None:
+        picked = {n: F.coalesce(c, F.lit(unknown_key)) for n, c in picked.items()}
+    return joined.select(*[fact[c] for c in fact.columns], *[c.alias(n) for n, c in picked.items()])
+
+
 def lookup_as_of(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]], at: str,
                  take: Mapping[str, str], *, valid_from: str = "valid_from", valid_to: str = "valid_to",
                  unknown_key: Any = None, hot_rows: int = HOT_ROWS,
                  sizes: DataFrame | None = None) -> DataFrame:
     """Add columns of the dim version with valid_from <= `at` < valid_to (NULL: still open).
 
-    Versions of one key must not overlap.  Facts and versions are brought into
-    one order per key and the latest version is carried forward, so the work is
-    linear in both, whatever number of versions a key has.  `sizes` is as in `lookup`.
+    Versions of one key must not overlap (see `overlapping_versions`).  A dim that
+    Spark plans to broadcast is, and facts stay where they are.  Beyond that,
+    facts and versions are brought into one order per key and the latest version
+    is carried forward, so the work is linear in both, whatever number of versions
+    a key has.  `sizes` is as in `lookup`.
     """
+    if planned_small(dim):
+        return _as_of_small(fact, dim, on, at, take, valid_from, valid_to, unknown_key)
     keys = [f"_k{i}" for i in range(len(on))]
     payload = F.struct(dim[valid_to].alias("until"), *[dim[c].alias(n) for n, c in take.items()])
     opened = dim[valid_to].isNull() | (dim[valid_to] > dim[valid_from])

@@ -1,7 +1,8 @@
 """Checks of loaded data, each a DataFrame of (check_id, category, status, detail, n).
 
-`n` is the number of offending rows, groups or columns.  All checks are lazy,
-run as Spark aggregations and joins, and can be united into one report.
+`n` is the number of offending rows, groups or columns.  Checks run as Spark
+aggregations and joins and can be united into one report.  They are lazy, but for
+the recomputation, which may look for hot keys first.
 """
 
 from __future__ import annotations
@@ -53,6 +54,7 @@ TEXT_RESOLVED = "all {column} values resolve to {ref}"
 TEXT_MISMATCH = "{n}/{checked} row(s) mismatch re-invoking {function}(...)"
 TEXT_UNCHECKED = "no rows to check"
 TEXT_NO_KEY = "no reliable join key from the source primary key; skipping recomputation"
+TEXT_SKIPPED = "{detail}; {skipped} row(s) without one source row of their key not compared"
 TEXT_WIDE = "{n} value(s) longer than {width}, longest {longest}"
 TEXT_WIDTH_OK = "longest value {longest} of {width}"
 TEXT_UNPARSED = "{n} value(s) could not be parsed"
@@ -60,6 +62,9 @@ TEXT_PARSED = "all values parsed"
 TEXT_DRIFT = "{missing} missing, {added} added, {changed} hash mismatch"
 TEXT_NO_DRIFT = "no drift"
 TEXT_LATE = "{n} row(s) older than the current version, not applied"
+TEXT_LATE_APPEND = "{n} row(s) older than the newest loaded row, not appended"
+TEXT_NO_INCREMENT_KEY = "no reliable key: rows at or before the newest loaded moment cannot be told from loaded ones"
+TEXT_NO_BATCH_KEY = "no reliable key: the rows of the batch cannot be found in the target"
 TEXT_NOT_LATE = "no late rows"
 
 REPORT = T.StructType([
@@ -256,12 +261,13 @@ def check_foreign_key(table: str, df: DataFrame, column: str, ref: DataFrame, re
 
 def recompute(target: DataFrame, source: DataFrame, keys: Mapping[str, Column],
               expected: Mapping[str, Column], *, hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """One row: rows checked, and per column how many differ from the value computed again.
+    """One row: rows checked and skipped, and per column how many differ from the value computed again.
 
     `keys` and `expected` are target column -> Column over `source`.  A loaded NULL
     equals a computed NULL.  Target rows without a source row are skipped, as are
     those whose key is NULL or not unique in the source, because it is unknown
-    which row they came from.
+    which row they came from; `skipped` is their number.  Unless `hot_rows` is
+    None, finding hot keys runs a job at once.
     """
     names = [f"_k{i}" for i in range(len(keys))]
     again = source.select(*[e.alias(n) for n, e in zip(names, keys.values())],
@@ -270,10 +276,11 @@ def recompute(target: DataFrame, source: DataFrame, keys: Mapping[str, Column],
              .where("_n = 1").drop("_n"))
     loaded = target.select(*[F.col(c).alias(n) for n, c in zip(names, keys)],
                            F.struct(*expected).alias("_loaded"))
-    pairs = attach(loaded, again, names, "inner", hot_rows=hot_rows)
+    pairs = attach(loaded, again, names, "left", hot_rows=hot_rows)
+    found = F.col("_again").isNotNull()
     return pairs.agg(
-        F.count(F.lit(1)).alias("checked"),
-        *[F.count_if(~F.col("_loaded")[c].eqNullSafe(F.col("_again")[c])).alias(c) for c in expected])
+        F.count_if(found).alias("checked"), F.count_if(~found).alias("skipped"),
+        *[F.count_if(found & ~F.col("_loaded")[c].eqNullSafe(F.col("_again")[c])).alias(c) for c in expected])
 
 
 # --- drift --------------------------------------------------------------------------
@@ -285,24 +292,25 @@ MISSING_ROW, ADDED_ROW, HASH_MISMATCH = "missing", "added", "hash mismatch"
 def drift(before: DataFrame, after: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Keys that differ between two snapshots and how: missing, added or hash mismatch.
 
-    Rows are reduced to counts per key and row hash on both sides and then per
-    key, so keys may repeat and no pairs of rows are formed.
+    Rows are reduced to signed sums of their hashes per key, so keys may repeat
+    and no pairs of rows are formed.
     """
     # Two 64-bit hashes make one of 128 bits; the NULL flags tell NULL from no column.
     parts = [p for c in columns for p in (F.col(c), F.col(c).isNull())]
 
     def side(df: DataFrame, sign: int) -> DataFrame:
-        return df.select(*keys, F.xxhash64(*parts).alias("_hash1"), F.xxhash64(F.lit(1), *parts).alias("_hash2"),
-                         F.lit(sign).alias("_sign"))
-
-    rows = side(before, -1).unionByName(side(after, 1)).groupBy(*keys, "_hash1", "_hash2").agg(
-        F.sum("_sign").alias("_balance"), F.count_if(F.col("_sign") < 0).alias("_before"),
-        F.count_if(F.col("_sign") > 0).alias("_after"))
-    per_key = rows.groupBy(*keys).agg(F.sum("_before").alias("_before"), F.sum("_after").alias("_after"),
-                                      F.count_if(F.col("_balance") != 0).alias("_differs"))
+        hashes = [(F.lit(sign) * h.cast("decimal(20,0)")).alias(n)
+                  for n, h in (("_hash1", F.xxhash64(*parts)), ("_hash2", F.xxhash64(F.lit(1), *parts)))]
+        return df.select(*keys, *hashes, F.lit(sign).alias("_sign"))
+
+    # The sums are those of a multiset of rows, whatever their order, and are combined before the one shuffle.
+    per_key = side(before, -1).unionByName(side(after, 1)).groupBy(*keys).agg(
+        F.sum("_hash1").alias("_sum1"), F.sum("_hash2").alias("_sum2"),
+        F.count_if(F.col("_sign") < 0).alias("_before"), F.count_if(F.col("_sign") > 0).alias("_after"))
+    differs = (F.col("_before") != F.col("_after")) | (F.col("_sum1") != 0) | (F.col("_sum2") != 0)
     kind = (F.when(F.col("_after") == 0, MISSING_ROW).when(F.col("_before") == 0, ADDED_ROW)
             .otherwise(HASH_MISMATCH))
-    return per_key.where("_differs > 0").select(*keys, kind.alias("drift"))
+    return per_key.where(differs).select(*keys, kind.alias("drift"))
 
 
 def check_drift(table: str, before: DataFrame, after: DataFrame, keys: Sequence[str],
@@ -316,13 +324,13 @@ def check_drift(table: str, before: DataFrame, after: DataFrame, keys: Sequence[
     return _rows(counts, ID_DRIFT.format(table=table), verdict(found, WARN), detail, F.col("n"))
 
 
-def check_late(table: str, late: DataFrame) -> DataFrame:
-    """A warning when a versioned load leaves out rows that came too late.
+def check_late(table: str, late: DataFrame, found: str = TEXT_LATE) -> DataFrame:
+    """A warning when a load leaves out rows that came too late.
 
     `late` is a one-row frame with their number `n`.
     """
     n = F.col("n")
-    detail = F.when(n > 0, text(TEXT_LATE, n=n)).otherwise(TEXT_NOT_LATE)
+    detail = F.when(n > 0, text(found, n=n)).otherwise(TEXT_NOT_LATE)
     return _rows(late, ID_LATE.format(table=table), verdict(n > 0, WARN), detail, n)
 
 

@@ -13,7 +13,7 @@ from starload.operators.quality import FAIL, PASS, WARN, roll_up
 
 # Step outcomes, stages and the texts of a run status.
 SUCCESS, FAILURE = "success", "failure"
-READ, PROCESS, WRITE = "read", "process", "write"
+READ, PROCESS, WRITE, VALIDATE = "read", "process", "write", "validate"
 TEXT_COMPLETED = "{n} step(s) completed successfully"
 TEXT_NOT_RUN = "not yet run"
 

@@ -38,6 +38,11 @@ def _broadcast_bytes(df: DataFrame) -> int:
     return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
+def planned_small(df: DataFrame) -> bool:
+    """Whether Spark's own estimate allows to broadcast df."""
+    return _planned_bytes(df) <= _broadcast_bytes(df)
+
+
 def _equal(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     return reduce(Column.__and__, [left[c] == right[c] for c in columns])
 
@@ -85,8 +90,7 @@ def attach(fact: DataFrame, dim: DataFrame, keys: Sequence[str], how: str = "lef
     more = [c for c in dim.columns if c not in keys]
     # Renewed columns, so that a dim made from the fact is told apart from it.
     dim = dim.select(*[F.col(c).alias(c) for c in dim.columns])
-    small = _planned_bytes(dim) <= _broadcast_bytes(dim)
-    hot = None if small or hot_rows is None else hot_keys(fact if sizes is None else sizes, keys, hot_rows)
+    hot = None if planned_small(dim) or hot_rows is None else hot_keys(fact if sizes is None else sizes, keys, hot_rows)
     if hot is None:
         joined = fact.join(dim, _equal(fact, dim, keys), how)
         return joined.select(*[fact[c] for c in fact.columns], *[dim[c] for c in more])

@@ -128,7 +128,7 @@ def stage(spec: S.BuildSpec, sources: Mapping[str, DataFrame], *,
 
 
 def resolve(spec: S.BuildSpec, staged: DataFrame, dimensions: Mapping[str, DataFrame], *,
-            existing: DataFrame | None = None, **options) -> DataFrame:
+            existing: DataFrame | None = None, unique: str = "trust", **options) -> DataFrame:
     """Turn written staging rows into target rows, the columns in declared order.
 
     Dimension keys are looked up and positions become numbers; a SEQUENCE
@@ -154,16 +154,21 @@ def resolve(spec: S.BuildSpec, staged: DataFrame, dimensions: Mapping[str, DataF
             df = lookup_as_of(df, dim, on, _lookup_moment(m), take, valid_from=at.valid_from,
                               valid_to=at.valid_to, unknown_key=at.unknown_key, sizes=staged, **options)
         else:
-            df = lookup(df, dim, on, take, unknown_key=at.unknown_key, sizes=staged, **options)
+            df = lookup(df, dim, on, take, unknown_key=at.unknown_key, unique=unique, sizes=staged, **options)
         df = df.withColumn(m.target_column, mapper.typed(F.col(m.target_column), m))
     return df.select(*[c.name for c in spec.target.columns])
 
 
 def build(spec: S.BuildSpec, sources: Mapping[str, DataFrame],
           dimensions: Mapping[str, DataFrame] | None = None, *, existing: DataFrame | None = None,
-          **options) -> DataFrame:
-    """stage and resolve in one go; rows with generated keys are written to the shared folder."""
-    staged = stage(spec, sources, **options)
+          registry: FunctionRegistry | None = None, run_timestamp: datetime.datetime | None = None,
+          unique: str = "verify", **lookups) -> DataFrame:
+    """stage and resolve in one go; rows with generated keys are written to the shared folder.
+
+    A dimension that repeats a lookup key fails the job unless `unique` is
+    'trust'; further options go to the lookups.
+    """
+    staged = stage(spec, sources, registry=registry, run_timestamp=run_timestamp)
     if _generated(spec):
         staged = materialise(staged, spec.staging_table)
-    return resolve(spec, staged, dimensions or {}, existing=existing)
+    return resolve(spec, staged, dimensions or {}, existing=existing, unique=unique, **lookups)

@@ -14,9 +14,10 @@ from starload.functions.library import TEXT_HASH_PREFIX
 from starload.functions.registry import FunctionRegistry
 from starload.local import small_frame
 from starload.operators import load, quality, runlog
+from starload.operators.lookup import overlapping_versions
 from starload.plans import reconcile
 from starload.plans.build import Mapper, resolve, stage
-from starload.scratch import materialise, workspace
+from starload.scratch import Workspace, materialise
 from starload.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse
 from starload.spec import LOOKUP, SEQUENCE, BuildSpec, SpecError, TableSpec
 
@@ -44,32 +45,35 @@ class LoadRun:
         self.run_id = self.run_id or uuid.uuid4().hex
         self.spark = self.warehouse.spark
         self.records: list[runlog.StepRecord] = []
-        self.late: dict[str, int] = {}
+        self.late: dict[str, DataFrame] = {}
+        self.workspace = Workspace(self.spark)
+        self.checked: set[tuple] = set()
 
     def run(self, specs: Sequence[BuildSpec], *, validate: bool = True) -> DataFrame:
         """Load all targets and return the report; the first failure stops the run.
 
-        The run log is appended in any case, the report when all loads are done.
+        Every step is in the run log as soon as it has ended, the report when all loads are done.
         """
-        with workspace(self.spark):
+        try:
             return self._run(specs, validate)
+        finally:
+            self.workspace.close()
 
     def _run(self, specs: Sequence[BuildSpec], validate: bool) -> DataFrame:
-        try:
-            for spec in specs:
-                self.load(spec)
-        finally:
-            if self.records:
-                log = runlog.log_rows(self.spark, self.records)
-                started = runlog.year_and_quarter(self._now_column())
-                self.warehouse.append_report(LOG_TABLE, log.select("*", *started), ["year", "quarter"])
+        for spec in specs:
+            self.load(spec)
         if not validate:
             return small_frame(self.spark, [], quality.REPORT)
-        report = self.validate(specs)
-        dated = report.select(F.lit(self.run_id).alias("run_id"), "*",
-                              self._now_column().cast("date").alias("run_date"))
-        self.warehouse.append_report(REPORT_TABLE, dated, ["run_date"])
-        written = self.warehouse.table(REPORT_TABLE).where(F.col("run_id") == self.run_id)
+        today = self._now_column().cast("date")
+        try:
+            with self.workspace.active():
+                report = self.validate(specs)
+                dated = report.select(F.lit(self.run_id).alias("run_id"), "*", today.alias("run_date"))
+                self.warehouse.append_report(REPORT_TABLE, dated, ["run_date"])
+        except Exception as error:
+            self._record(specs[-1], runlog.VALIDATE, _now(), None, error)
+        # The partition of the day is all that is read of earlier runs' reports.
+        written = self.warehouse.table(REPORT_TABLE).where((F.col("run_date") == today) & (F.col("run_id") == self.run_id))
         event = runlog.event_record(runlog.log_rows(self.spark, self.records), written)
         self.warehouse.append_report(EVENT_TABLE, event, ["year", "quarter"])
         return written
@@ -77,7 +81,6 @@ class LoadRun:
     # --- one target
 
     def load(self, spec: BuildSpec) -> None:
-        self.warehouse.create_table(spec.target)
         self._step(spec, runlog.READ, lambda: self._read(spec))
         self._step(spec, runlog.PROCESS, lambda: self._process(spec))
         self._step(spec, runlog.WRITE, lambda: self._write(spec))
@@ -86,29 +89,54 @@ class LoadRun:
         return {t: self.warehouse.table(f"{RAW}.{t}") for t in spec.source_tables}
 
     def _read(self, spec: BuildSpec) -> int:
+        self.warehouse.create_table(spec.target)
         sources = self.source_frames(spec)
-        target = self.warehouse.table(spec.target)
         if spec.load_strategy == "incremental" and "source_timestamp" in spec.load_options:
-            sources[spec.base_table] = load.newer_rows(
-                sources[spec.base_table], target, spec.load_options["timestamp"],
-                spec.load_options["source_timestamp"])
+            sources[spec.base_table] = self._increment(spec, sources[spec.base_table])
         staged = stage(spec, sources, registry=self.registry, run_timestamp=self.run_timestamp)
         return self.warehouse.write_staging(spec.staging_table, staged)
 
+    def _increment(self, spec: BuildSpec, source: DataFrame) -> DataFrame:
+        """The rows to append; those that came too late go to a staging table of their own."""
+        target, name = self.warehouse.table(spec.target), spec.target.name
+        ts, source_ts = spec.load_options["timestamp"], spec.load_options["source_timestamp"]
+        found = reconcile.choose_correlation(spec, self.sources[spec.base_table], across_runs=True)
+        if found is None:
+            self.late[name] = quality.constant_check(
+                self.spark, quality.ID_LATE.format(table=name), quality.WARN, quality.TEXT_NO_INCREMENT_KEY, quality.DATA)
+            return load.newer_rows(source, target, ts, source_ts)
+        source = source.alias(spec.base_table.rpartition(".")[2])
+        mapper = Mapper(spec, self.registry, self.run_timestamp)
+        keys = {m.target_column: mapper.expression(m) for m in found.mappings}
+        self._keep_late(spec, load.older_rows(source, target, ts, keys, source_ts), quality.TEXT_LATE_APPEND)
+        return load.newer_rows(source, target, ts, source_ts, keys)
+
+    def _keep_late(self, spec: BuildSpec, rows: DataFrame, detail: str) -> None:
+        number = self.warehouse.write_staging(late_table(spec), rows)
+        self.late[spec.target.name] = quality.check_late(
+            spec.target.name, small_frame(self.spark, [(number,)], COUNT), detail)
+
     def _dimensions(self, spec: BuildSpec) -> dict[str, DataFrame]:
         return {m.lookup.dimension: self.warehouse.table(f"{spec.target.namespace}.{m.lookup.dimension}")
                 for m in spec.columns if m.transformation == LOOKUP}
 
     def _process(self, spec: BuildSpec) -> int | None:
-        """A dimension that repeats a lookup key would multiply the facts, so it stops the run."""
+        """A dimension that repeats a lookup key, or has two versions for a moment, stops the run."""
         dimensions = self._dimensions(spec)
         for m in spec.columns:
-            if m.transformation != LOOKUP or m.lookup.at:
+            if m.transformation != LOOKUP:
+                continue
+            at, keys = m.lookup, [d for _, d in m.lookup.on]
+            told = (spec.target.namespace, at.dimension, *keys, *((at.valid_from, at.valid_to) if at.at else ()))
+            if told in self.checked:  # once for all columns and specs of a run that look up there
                 continue
-            keys = [d for _, d in m.lookup.on]
-            dim = dimensions[m.lookup.dimension].dropna(subset=keys)
-            if not quality.duplicate_groups(dim, keys).isEmpty():
-                raise SpecError(f"{m.lookup.dimension} is not unique on ({', '.join(keys)})")
+            dim = dimensions[at.dimension].dropna(subset=keys)
+            if at.at:
+                if not overlapping_versions(dim, keys, at.valid_from, at.valid_to).isEmpty():
+                    raise SpecError(f"{at.dimension} has overlapping versions of ({', '.join(keys)})")
+            elif not quality.duplicate_groups(dim, keys).isEmpty():
+                raise SpecError(f"{at.dimension} is not unique on ({', '.join(keys)})")
+            self.checked.add(told)
         return None
 
     def _write(self, spec: BuildSpec) -> int:
@@ -129,24 +157,24 @@ class LoadRun:
     def _version(self, spec: BuildSpec, target: DataFrame, rows: DataFrame) -> int:
         """New versions; rows that come too late are kept in a staging table of their own."""
         options = spec.load_options
-        snapshot = rows.drop(load.HASHDIFF, load.VALID_TO, load.IS_CURRENT)
+        batch = rows.drop(load.HASHDIFF, load.VALID_TO, load.IS_CURRENT)
         keys = (options["keys"], options["tracked"], load.VALID_FROM)
-        self.late[spec.target.name] = self.warehouse.write_staging(
-            late_table(spec), load.late_rows(target, snapshot, *keys))
+        self._keep_late(spec, load.late_rows(target, batch, *keys), quality.TEXT_LATE)
         return self.warehouse.replace(spec.target, load.apply_versions(
-            target, snapshot, *keys, close_missing=options.get("close_missing", False),
-            closed_at=self._now_column()))
+            target, batch, *keys, close_missing=options.get("close_missing", False),
+            closed_at=self._now_column(), generated=_sequences(spec)))
 
     def _now_column(self) -> Column:
         return F.lit(self.run_timestamp.isoformat(" ")).cast("timestamp_ntz")
 
     def _upsert(self, spec: BuildSpec, target: DataFrame, batch: DataFrame) -> int:
         keys, order = spec.load_options["keys"], spec.load_options["timestamp"]
-        generated = [m.target_column for m in spec.columns if m.transformation == SEQUENCE]
-        batch = load.keep_keys(batch, target, keys, generated)
+        # Several reads follow, so the batch is reduced to one row per key once.
+        batch = materialise(load.latest_rows(batch, keys, [order]), "batch")
+        batch = load.keep_keys(batch, target, keys, _sequences(spec))
         parts = list(spec.target.partition_by)
         if not parts:
-            return self.warehouse.replace(spec.target, load.upsert(target, batch, keys, order))
+            return self.warehouse.replace(spec.target, load.upsert(target, batch, keys, order, unique=True))
         # Rows can move to another partition, so those of the old versions count as touched too.
         touched = (batch.select(*parts)
                    .unionByName(target.join(batch.select(*keys), keys, "left_semi").select(*parts)).distinct())
@@ -160,7 +188,7 @@ class LoadRun:
         match = [target[p].eqNullSafe(wanted[p]) for p in parts]
         affected = target.join(wanted, match, "left_semi")
         return self.warehouse.replace_partitions(
-            spec.target, load.upsert(affected, batch, keys, order), wanted)
+            spec.target, load.upsert(affected, batch, keys, order, unique=True), wanted)
 
     # --- checks
 
@@ -175,37 +203,86 @@ class LoadRun:
         for spec in specs:
             name, target = spec.target.name, loaded[spec.target.name]
             checks.append(quality.check_schema(spec.target, target, self.spark, "target"))
+            batch = self._of_batch(spec, target)
+            staged = self.warehouse.table(f"{STAGING}.{spec.staging_table}")
             if spec.load_strategy == "full_load":
-                staged = self.warehouse.table(f"{STAGING}.{spec.staging_table}")
                 checks.append(quality.check_row_count(name, staged, target, bool(spec.filters)))
+            elif batch is not None:
+                keys = self._batch_keys(spec)
+                checks.append(quality.check_row_count(name, staged.select(*keys).distinct(), batch.select(*keys).distinct()))
+            else:
+                checks.append(quality.constant_check(self.spark, quality.ID_ROWCOUNT.format(table=name), quality.WARN,
+                                                     quality.TEXT_NO_BATCH_KEY, quality.DATA))
             if spec.grain:
                 checks.append(quality.check_unique(name, target, spec.grain, grain=True))
             checks.append(quality.check_table(spec.target, target, loaded))
             if name in self.late:
-                late = small_frame(self.spark, [(self.late[name],)], COUNT)
-                checks.append(quality.check_late(name, late))
+                checks.append(self.late[name])
             base = self.sources[spec.base_table]
             mapper = Mapper(spec, self.registry, self.run_timestamp)
             checks.append(reconcile.check_unparsed(spec, self.source_frames(spec), mapper))
-            if spec.load_strategy == "full_load":
-                checks.append(reconcile.check_recomputed(spec, base, target, self.source_frames(spec), mapper))
+            if batch is not None:
+                checks.append(reconcile.check_recomputed(
+                    spec, base, self._written_now(spec, batch, staged), self.source_frames(spec), mapper))
         return quality.union_checks(checks)
 
+    def _batch_keys(self, spec: BuildSpec) -> list[str]:
+        """Target columns that the rows of a batch are found again by; none if there are none."""
+        if "keys" in spec.load_options:
+            return list(spec.load_options["keys"])
+        found = reconcile.choose_correlation(spec, self.sources[spec.base_table])
+        return list(found.target_columns) if found else []
+
+    def _of_batch(self, spec: BuildSpec, target: DataFrame) -> DataFrame | None:
+        """Target rows (current versions) with a key of the last batch; the whole target of a full load; None without keys."""
+        if spec.load_strategy == "full_load":
+            return target
+        keys = self._batch_keys(spec)
+        if not keys:
+            return None
+        if spec.load_strategy == "scd2":
+            target = target.where(load.IS_CURRENT)
+        staged = self.warehouse.table(f"{STAGING}.{spec.staging_table}")
+        return target.join(staged.select(*keys).distinct(), keys, "left_semi").select(target.columns)
+
+    def _written_now(self, spec: BuildSpec, batch: DataFrame, staged: DataFrame) -> DataFrame:
+        """Of the rows with a key of the batch those that have its values: a newer row, or an unchanged version, stayed."""
+        if spec.load_strategy == "full_load" or "keys" not in spec.load_options:
+            return batch
+        moment = load.VALID_FROM if spec.load_strategy == "scd2" else spec.load_options["timestamp"]
+        keys = [*spec.load_options["keys"], moment]
+        return batch.join(staged.select(*keys).distinct(), keys, "left_semi").select(batch.columns)
+
     # --- log
 
     def _step(self, spec: BuildSpec, stage_name: str, action) -> None:
-        started = _now()
-        rows, error = None, None
+        started, rows, error = _now(), None, None
         try:
-            rows = action()
+            with self.workspace.active():
+                rows = action()
         except Exception as e:
             error = e
-        outcome = runlog.FAILURE if error else runlog.SUCCESS
-        self.records.append(runlog.StepRecord(
-            self.run_id, len(self.records) + 1, spec.target.name, stage_name, started, _now(), outcome,
-            rows, _step_hash(spec, stage_name), str(error).splitlines()[0] if error else None))
-        if error:
-            raise StepFailed(f"{spec.target.name}.{stage_name} failed: {error}") from error
+        self._record(spec, stage_name, started, rows, error)
+
+    def _record(self, spec: BuildSpec, stage_name: str, started: datetime.datetime, rows: int | None,
+                error: Exception | None) -> None:
+        """Append one step to the run log, with the whole text of its error, and stop the run if it failed."""
+        text = (str(error) or type(error).__name__) if error else None
+        record = runlog.StepRecord(
+            self.run_id, len(self.records) + 1, spec.target.name, stage_name, started, _now(),
+            runlog.FAILURE if error else runlog.SUCCESS, rows, _step_hash(spec, stage_name), text)
+        self.records.append(record)
+        try:
+            log = runlog.log_rows(self.spark, [record])
+            begun = runlog.year_and_quarter(self._now_column())
+            self.warehouse.append_report(LOG_TABLE, log.select("*", *begun), ["year", "quarter"])
+        finally:
+            if error:
+                raise StepFailed(f"{spec.target.name}.{stage_name} failed: {text}") from error
+
+
+def _sequences(spec: BuildSpec) -> list[str]:
+    return [m.target_column for m in spec.columns if m.transformation == SEQUENCE]
 
 
 def late_table(spec: BuildSpec) -> str:

@@ -22,7 +22,7 @@ def check_unparsed(spec: S.BuildSpec, sources: Mapping[str, DataFrame], mapper:
     mapper = mapper or Mapper(spec)
     parsed = {m.target_column: (mapper.source(m.source_columns[0], m.source_table), mapper.expression(m))
               for m in spec.columns if len(m.source_columns) == 1
-              and (m.udf in PARSERS or m.transformation == S.DIRECT and m.try_cast)}
+              and (S.calls_any(m.udf, PARSERS) or m.transformation == S.DIRECT and m.try_cast)}
     source = joined_sources(spec, sources)
     if not parsed:
         return small_frame(source.sparkSession, [], quality.REPORT)
@@ -40,12 +40,13 @@ class Correlation:
     mappings: tuple[S.ColumnMapping, ...]
 
 
-def choose_correlation(spec: S.BuildSpec, source: S.TableSpec) -> Correlation | None:
+def choose_correlation(spec: S.BuildSpec, source: S.TableSpec, *, across_runs: bool = False) -> Correlation | None:
     """Target columns that identify the source row, or None if there are none.
 
     Every source primary key column must arrive unchanged; failing that, one
     function of exactly the primary key columns is used.  Columns that merely
-    happen to be unique never are.
+    happen to be unique never are.  A function that also reads the moment of the
+    run finds the rows of its own run only, so it is not used `across_runs`.
     """
     pk = [c.lower() for c in source.primary_key]
     if not pk:
@@ -60,7 +61,8 @@ def choose_correlation(spec: S.BuildSpec, source: S.TableSpec) -> Correlation |
         chosen = tuple(direct[c] for c in pk)
         return Correlation(tuple(m.target_column for m in chosen), chosen)
     for m in spec.columns:
-        if m.transformation == S.UDF and own(m) and sorted(c.lower() for c in m.source_columns) == sorted(pk):
+        if (m.transformation == S.UDF and own(m) and not (across_runs and S.reads_run_timestamp(m.udf))
+                and sorted(c.lower() for c in m.source_columns) == sorted(pk)):
             return Correlation((m.target_column,), (m,))
     return None
 
@@ -95,7 +97,9 @@ def check_recomputed(spec: S.BuildSpec, source_spec: S.TableSpec, target: DataFr
         function = m.udf.function if isinstance(m.udf, S.Call) else m.udf or m.transformation
         detail = F.when(rows == 0, quality.TEXT_UNCHECKED).otherwise(
             quality.text(quality.TEXT_MISMATCH, n=n, checked=rows, function=function))
-        status = F.when(n > 0, quality.FAIL).when(rows == 0, quality.WARN).otherwise(quality.PASS)
+        skipped = F.col("skipped")
+        detail = F.when(skipped > 0, quality.text(quality.TEXT_SKIPPED, detail=detail, skipped=skipped)).otherwise(detail)
+        status = (F.when(n > 0, quality.FAIL).when((rows == 0) | (skipped > 0), quality.WARN).otherwise(quality.PASS))
         check_id = quality.ID_UDF_COLUMN.format(table=table, column=m.target_column)
         entries.append(quality.entry(check_id, status, detail, n))
     return quality.unpivot(counts, entries)

@@ -314,7 +314,7 @@ def source_json_typed(spark, sf_dir):
     return readers.read_json(spark, path, star.EVENTS)
 
 
-def _project(spark: SparkSession, sf_dir: str) -> Warehouse:
+def project(spark: SparkSession, sf_dir: str) -> Warehouse:
     """A warehouse of its own with the raw tables attached."""
     root = fresh_path(spark, "project")
     warehouse = Warehouse(spark, root, prefix=f"p{root[-12:]}_")
@@ -329,7 +329,7 @@ SELECT o_orderkey AS order_id, coalesce(nullif(o_orderstatus, 'P'), 'UNKNOWN') A
 FROM orders
 """)
 def sink_reset_reload(spark, sf_dir):
-    warehouse = _project(spark, sf_dir)
+    warehouse = project(spark, sf_dir)
     spec = star.BUILD_ORDER_STATUS
     rows = map_default(spark, sf_dir)
     warehouse.write_staging(spec.staging_table, rows)
@@ -341,7 +341,7 @@ def sink_reset_reload(spark, sf_dir):
 
 
 def _star_run(spark, sf_dir):
-    run = LoadRun(_project(spark, sf_dir), star.RAW_TABLES, FunctionRegistry(), star.RUN_TS, "run-1")
+    run = LoadRun(project(spark, sf_dir), star.RAW_TABLES, FunctionRegistry(), star.RUN_TS, "run-1")
     return run, run.run([star.BUILD_DIM_CUSTOMER_IN_CREDIT, star.BUILD_FACT_ORDER])
 
 
@@ -351,7 +351,7 @@ SELECT o_orderkey AS order_id, dim.customer_key, CAST(o_totalprice AS DECIMAL(12
 FROM orders LEFT JOIN dim ON dim.customer_id = orders.o_custkey
 """)
 def load_star(spark, sf_dir):
-    run = LoadRun(_project(spark, sf_dir), star.RAW_TABLES, FunctionRegistry(), star.RUN_TS, "run-1")
+    run = LoadRun(project(spark, sf_dir), star.RAW_TABLES, FunctionRegistry(), star.RUN_TS, "run-1")
     run.run([star.BUILD_DIM_CUSTOMER_IN_CREDIT, star.BUILD_FACT_ORDER], validate=False)
     return run.warehouse.table(star.BUILD_FACT_ORDER.target).select("order_id", "customer_key", "total_price")
 
@@ -392,7 +392,7 @@ SELECT unnest([
 ], recursive := true) FROM n
 """)
 def load_star_log(spark, sf_dir):
-    run = LoadRun(_project(spark, sf_dir), star.RAW_TABLES, FunctionRegistry(), star.RUN_TS, "run-1")
+    run = LoadRun(project(spark, sf_dir), star.RAW_TABLES, FunctionRegistry(), star.RUN_TS, "run-1")
     run.run([star.BUILD_DIM_CUSTOMER_IN_CREDIT, star.BUILD_FACT_ORDER], validate=False)
     return run.warehouse.table(LOG_TABLE).select("run_id", "seq", "table", "stage", "status", "rows_affected")
 
@@ -403,7 +403,7 @@ SELECT 'D-fk-orders.o_custkey' AS check_id, CASE WHEN n > 0 THEN 'FAIL' ELSE 'PA
 FROM (SELECT count(*) AS n FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_acctbal < 0)
 """)
 def sink_report(spark, sf_dir):
-    warehouse = _project(spark, sf_dir)
+    warehouse = project(spark, sf_dir)
     report = dq_fk_orphans(spark, sf_dir).withColumn("run_date", F.lit("2026-01-01").cast("date"))
     warehouse.append_report("analytics.dq_report", report, ["run_date"])
     return warehouse.table("analytics.dq_report").select("check_id", "status", "n", "run_date")
@@ -426,7 +426,7 @@ FROM orders
 """)
 def load_incremental_append(spark, sf_dir):
     orders = one(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    warehouse = _project(spark, sf_dir)
+    warehouse = project(spark, sf_dir)
     warehouse.append(ORDER_LOAD, orders.where("o_orderdate < timestamp_ntz'1998-01-01'")
                      .withColumn("batch", F.lit("initial")))
     target = warehouse.table(ORDER_LOAD)
@@ -488,7 +488,7 @@ BUILD_ORDER_STATE = BuildSpec(
 
 def _two_runs(spark, sf_dir, changes: TableSpec, batches, parents, spec):
     """A warehouse after one run per batch of changes."""
-    warehouse = _project(spark, sf_dir)
+    warehouse = project(spark, sf_dir)
     for i, batch in enumerate(batches):
         warehouse.replace(changes, batch)
         run = LoadRun(warehouse, {**star.RAW_TABLES, changes.name: changes}, FunctionRegistry(),
@@ -609,13 +609,13 @@ HISTORY_SQL = """
 """
 
 
-def _history(spark, sf_dir):
+def history(spark, sf_dir):
     return load.version_history(one(spark, sf_dir, "events"), ["user_id"], ["event_type"], ["ts", "event_id"])
 
 
 @query(f"SELECT *, valid_to IS NULL AS is_current FROM ({HISTORY_SQL})")
 def load_scd2_history(spark, sf_dir):
-    return _history(spark, sf_dir)
+    return history(spark, sf_dir)
 
 
 @query(f"""
@@ -627,7 +627,7 @@ FROM f LEFT JOIN v ON v.user_id = f.user_id AND f.looked_at >= v.valid_from
 def lookup_scd2_asof(spark, sf_dir):
     facts = one(spark, sf_dir, "events").select(
         "event_id", "user_id", (F.col("ts") - F.expr("INTERVAL 1 HOUR")).alias("looked_at"), "value")
-    return lookup_as_of(facts, _history(spark, sf_dir), [("user_id", "user_id")], "looked_at",
+    return lookup_as_of(facts, history(spark, sf_dir), [("user_id", "user_id")], "looked_at",
                         {"state": "event_type", "since": "valid_from"})
 
 

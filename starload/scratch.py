@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import contextvars
 import shutil
 import tempfile
 import uuid
+import weakref
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,32 +41,68 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/starload/{label}-{uuid.uuid4().hex}"
 
 
+class Workspace:
+    """The files that one run writes to the shared folder; nobody else's are removed with them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+
+    @contextlib.contextmanager
+    def active(self) -> Iterator[Workspace]:
+        """What this thread materialises inside belongs to this workspace."""
+        before = _active.set(self)
+        try:
+            yield self
+        finally:
+            _active.reset(before)
+
+    def close(self) -> None:
+        paths, self.paths = self.paths, []
+        remove(self.spark, paths)
+
+
+_active: contextvars.ContextVar[Workspace | None] = contextvars.ContextVar("workspace", default=None)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and return a reader of what was written.
 
-    The files stay until the surrounding `workspace` ends, or for good without one.
+    The files belong to the active workspace and go with it; without one they
+    stay until the driver ends.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    for paths in _workspaces:
-        paths.append(path)
+    owner = _active.get()
+    if owner is None:
+        owner = _owners.get(spark)
+        if owner is None:
+            owner = _owners[spark] = Workspace(spark)
+            atexit.register(_forget, owner)
+    owner.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_workspaces: list[list[str]] = []
+_owners: weakref.WeakKeyDictionary[SparkSession, Workspace] = weakref.WeakKeyDictionary()
+
+
+def _forget(owner: Workspace) -> None:
+    """At the end of the driver, as long as Spark is still there to delete with."""
+    with contextlib.suppress(Exception):
+        if owner.spark.sparkContext._jsc is not None:
+            owner.close()
 
 
 @contextlib.contextmanager
-def workspace(spark: SparkSession) -> Iterator[None]:
-    """Deletes at its end what was materialised inside; results must be written by then."""
-    paths: list[str] = []
-    _workspaces.append(paths)
+def workspace(spark: SparkSession) -> Iterator[Workspace]:
+    """Deletes at its end what this thread materialised inside; results must be written by then."""
+    own = Workspace(spark)
     try:
-        yield
+        with own.active():
+            yield own
     finally:
-        _workspaces.remove(paths)
-        remove(spark, paths)
+        own.close()
 
 
 def remove(spark: SparkSession, paths: Sequence[str]) -> None:

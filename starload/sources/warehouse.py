@@ -3,11 +3,15 @@
 Tables are external parquet tables.  A reload writes a complete new version in
 a folder of its own and then moves the table's location to it, which is one
 metadata change: readers see the old rows or the new ones, and a lost job
-leaves the table as it was.
+leaves the table as it was.  A partitioned table has a location per partition,
+so there the same holds for each partition: the table never goes away, but a
+driver that is lost between two of these changes leaves some partitions old and
+some new, and the load has to be repeated.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -77,17 +81,14 @@ class Warehouse:
         df may read the table itself.
         """
         self.create_table(spec)
+        if spec.partition_by:
+            return self.replace_partitions(spec, df, self.table(spec))
         staged = f"`{self.prefix}{spec.namespace}`.`{spec.name}__{uuid.uuid4().hex}`"
         path = self._new_path(spec)
         self._create(staged, spec, path)
         rows = self._insert(staged, spec, df)
-        if spec.partition_by:
-            # A partitioned table keeps a location per partition, so the tables change names.
-            self.spark.sql(f"DROP TABLE {self.name(spec)}")
-            self.spark.sql(f"ALTER TABLE {staged} RENAME TO {self.name(spec)}")
-        else:
-            self.spark.sql(f"ALTER TABLE {self.name(spec)} SET LOCATION '{path}'")
-            self.spark.sql(f"DROP TABLE {staged}")
+        self.spark.sql(f"ALTER TABLE {self.name(spec)} SET LOCATION '{path}'")
+        self.spark.sql(f"DROP TABLE {staged}")
         return rows
 
     def append(self, spec: TableSpec, df: DataFrame) -> int:
@@ -105,18 +106,22 @@ class Warehouse:
         path = self._new_path(spec)
         self._create(staged, spec, path)
         rows = self._insert(staged, spec, df)
-        # As many rows as touched partitions; each is one metadata change.
-        new = {tuple(r) for r in self.spark.table(staged).select(*spec.partition_by).distinct().collect()}
+        # As many rows as touched partitions.
+        # The path of a file comes as a URI.
+        folder = F.url_decode(F.replace(F.regexp_replace("_metadata.file_path", "/[^/]*$", ""), F.lit("+"), F.lit("%2B")))
+        written = self.spark.table(staged).select(*spec.partition_by, folder.alias("_folder")).distinct().collect()
+        new = {tuple(r)[:-1]: r["_folder"] for r in written}
         old = {tuple(r) for r in touched.select(*spec.partition_by).distinct().collect()}
-        for values in sorted(old | new, key=str):
-            part = ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(spec.partition_by, values))
-            if values in new:
-                at = self.spark.sql(f"DESCRIBE FORMATTED {staged} PARTITION ({part})")
-                place = at.where("col_name = 'Location'").first()["data_type"]
-                self.spark.sql(f"ALTER TABLE {self.name(spec)} ADD IF NOT EXISTS PARTITION ({part})")
-                self.spark.sql(f"ALTER TABLE {self.name(spec)} PARTITION ({part}) SET LOCATION '{place}'")
-            else:
-                self.spark.sql(f"ALTER TABLE {self.name(spec)} DROP IF EXISTS PARTITION ({part})")
+        parts = {v: "PARTITION (" + ", ".join(f"`{c}` = {_literal(x)}" for c, x in zip(spec.partition_by, v)) + ")"
+                 for v in old | set(new)}
+        if new:  # those that are not there yet, in one change
+            added = " ".join(f"{parts[v]} LOCATION {_quoted(at)}" for v, at in sorted(new.items(), key=str))
+            self.spark.sql(f"ALTER TABLE {self.name(spec)} ADD IF NOT EXISTS {added}")
+        for v in sorted(set(new) & old, key=str):
+            self.spark.sql(f"ALTER TABLE {self.name(spec)} {parts[v]} SET LOCATION {_quoted(new[v])}")
+        gone = ", ".join(parts[v] for v in sorted(old - set(new), key=str))
+        if gone:
+            self.spark.sql(f"ALTER TABLE {self.name(spec)} DROP IF EXISTS {gone}")
         self.spark.sql(f"DROP TABLE {staged}")
         return rows
 
@@ -139,11 +144,14 @@ class Warehouse:
 
         Only for when nobody reads or writes those versions any more.
         """
-        used = self.table(spec).inputFiles()
+        # The folders of versions that have rows, found where the rows are; as many as versions.
+        root = f"/{spec.namespace}/{spec.name}/"
+        version = F.regexp_extract("_metadata.file_path", f".*{re.escape(root)}([^/]+)/", 1)
+        used = {r[0] for r in self.table(spec).select(version.alias("version")).distinct().collect()}
         described = self.spark.sql(f"DESCRIBE FORMATTED {self.name(spec)}")
-        used.append(described.where("col_name = 'Location'").first()["data_type"] + "/")
+        used.add(described.where("col_name = 'Location'").first()["data_type"].rstrip("/").rpartition("/")[2])
         folders = list_folders(self.spark, f"{self.root}/{spec.namespace}/{spec.name}")
-        old = [f for f in folders if not any(f"/{f.rstrip('/').rpartition('/')[2]}/" in u for u in used)]
+        old = [f for f in folders if f.rstrip("/").rpartition("/")[2] not in used]
         remove(self.spark, old)
         return len(old)
 

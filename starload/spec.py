@@ -6,6 +6,7 @@ filled.  Both are checked when they are constructed, before any Spark job.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from typing import Any
@@ -29,6 +30,45 @@ TYPE_ALIASES = {
     "DECIMAL": "decimal",
 }
 
+# Further spellings, stored with this Spark type but not type-checked.
+STORED_TYPES = {
+    "BIGSERIAL": "bigint",
+    "BINARY": "binary",
+    "BLOB": "binary",
+    "BOOL": "boolean",
+    "BYTEA": "binary",
+    "CHAR": "string",
+    "CHARACTER": "string",
+    "CLOB": "string",
+    "DATETIME": "timestamp_ntz",
+    "DOUBLE": "double",
+    "DOUBLE PRECISION": "double",
+    "FLOAT": "double",
+    "FLOAT4": "float",
+    "FLOAT8": "double",
+    "INT2": "smallint",
+    "INT4": "int",
+    "INT8": "bigint",
+    "JSON": "string",
+    "JSONB": "string",
+    "LONG": "bigint",
+    "NVARCHAR": "string",
+    "REAL": "float",
+    "SERIAL": "int",
+    "SMALLSERIAL": "smallint",
+    "STRING": "string",
+    "TIME": "string",
+    "TIME WITH TIME ZONE": "string",
+    "TIME WITHOUT TIME ZONE": "string",
+    "TIMESTAMP WITH TIME ZONE": "timestamp",
+    "TIMESTAMP WITHOUT TIME ZONE": "timestamp_ntz",
+    "TIMESTAMPTZ": "timestamp",
+    "TIMESTAMP_NTZ": "timestamp_ntz",
+    "TINYINT": "tinyint",
+    "UUID": "string",
+    "VARBINARY": "binary",
+}
+
 # The ten mapping kinds and the load strategies.
 DIRECT = "DIRECT"
 EXPRESSION = "EXPRESSION"
@@ -53,9 +93,12 @@ class SpecError(ValueError):
 
 
 def _split_type(declared: str) -> tuple[str, tuple[int, ...]]:
-    base, _, rest = declared.strip().upper().partition("(")
-    numbers = tuple(int(n) for n in rest.rstrip(") ").split(",")) if rest else ()
-    return base.strip(), numbers
+    """Base and numbers of a spelling: TIMESTAMP(6) WITH TIME ZONE is (TIMESTAMP WITH TIME ZONE, (6,))."""
+    match = re.fullmatch(r"([^()]*)(?:\(\s*(\d+(?:\s*,\s*\d+)*)\s*\))?([^()]*)", declared.strip().upper())
+    if match is None:
+        raise SpecError(f"cannot read the declared type {declared!r}")
+    base = " ".join(f"{match[1]} {match[3]}".split())
+    return base, tuple(int(n) for n in match[2].split(",")) if match[2] else ()
 
 
 def comment(description: str) -> str:
@@ -95,22 +138,16 @@ class ColumnSpec:
 
     @property
     def spark_type(self) -> T.DataType:
-        """Type the column is stored as; unlisted spellings are tried as Spark DDL, then text."""
+        """Type the column is stored as; a spelling without one cannot be built."""
         base, numbers = _split_type(self.type)
         name = TYPE_ALIASES.get(base)
         if name == "decimal":
-            return T.DecimalType(*(numbers or (38, 10)))
-        if name is not None:
-            return T.DataType.fromDDL(name)
-        # Further spellings with a Spark type of their own.
-        known = {
-            "DOUBLE": T.DoubleType(),
-            "DOUBLE PRECISION": T.DoubleType(),
-            "REAL": T.FloatType(),
-            "FLOAT": T.DoubleType(),
-            "TIMESTAMPTZ": T.TimestampType(),
-        }
-        return known.get(base, T.StringType())
+            # Without a precision the type has as many places as leave room for amounts: 20 digits before, 18 after.
+            return T.DecimalType(*(numbers or (38, 18)))
+        stored = name or STORED_TYPES.get(base)
+        if stored is None:
+            raise SpecError(f"{self.name}: no Spark type for the declared type {self.type!r}")
+        return T.DataType.fromDDL(stored)
 
     @property
     def ddl(self) -> str:
@@ -218,6 +255,20 @@ class Call:
 RUN_TIMESTAMP = "@run_timestamp"
 
 
+def calls_any(function: str | Call | None, names: Sequence[str]) -> bool:
+    """Whether a function or one inside a call is one of `names`, in any letter case."""
+    if isinstance(function, Call):
+        return calls_any(function.function, names) or any(
+            isinstance(a, Call) and calls_any(a, names) for a in function.arguments)
+    return function is not None and function.lower() in names
+
+
+def reads_run_timestamp(function: str | Call | None) -> bool:
+    """Whether a call reads the moment of the run at any level."""
+    return isinstance(function, Call) and any(
+        reads_run_timestamp(a) if isinstance(a, Call) else a == RUN_TIMESTAMP for a in function.arguments)
+
+
 @dataclass(frozen=True)
 class ColumnMapping:
     target_column: str
@@ -298,6 +349,9 @@ class BuildSpec:
             lost = sorted(set(declared) - set(mapped))
             extra = sorted(set(mapped) - set(declared))
             raise SpecError(f"{name}: columns without mapping {lost}, mappings without column {extra}")
+        unknown = sorted({j.table for j in self.joins} - set(self.source_tables))
+        if unknown:
+            raise SpecError(f"{name}: joined table(s) that are not source tables: {unknown}")
         numbered = [c for c in self.columns if c.transformation in (GENERATED, SEQUENCE)]
         if len({c.order_by for c in numbered}) > 1:
             raise SpecError(f"{name}: generated keys must share one order")
