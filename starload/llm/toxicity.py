@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples in TF-IDF space.
 
 Examples are a bounded sample of labelled documents.  The vocabulary is what
-tells their labels apart: words, and word beginnings of 4 and 5 letters, whose
+tells their labels apart: words, and dense word beginnings of 4 and 5 letters, whose
 presence raises the rate of label 1 by a likelihood-ratio test.  Documents and
 examples are vectors of (1 + log tf) * idf over it, of length 1.
 
@@ -34,21 +34,33 @@ RESULT = "score double, predicted int, neighbours array<struct<doc_id: long, cos
 EXAMPLES = 12_000
 TERMS = 2_048
 #: Twice the log likelihood ratio that a term must reach, and the fewest label-1 examples with it.
-LEAST_RATIO = 16.0
+LEAST_RATIO = 24.0
 LEAST_EXAMPLES = 3
+DENSE = 120
 NEIGHBOURS = 15
 BLOCK = 64
 THRESHOLD = 0.3
 
 
 def terms_of(text: str | None) -> Counter:
-    """Words and word beginnings of a text with their numbers; beginnings are marked by a final star."""
+    """Words of a text with their numbers, and its dense word beginnings, marked by a final star.
+
+    A beginning that is common for its length also opens harmless words now and
+    then, so it counts only from one in DENSE words on; `*2` marks two or more.
+    """
     words = Counter(LETTERS.findall((text or "").lower()))
-    found = Counter(words)
+    beginnings: Counter = Counter()
     for word, times in words.items():
         for width in (4, 5):
             if len(word) > width:
-                found[word[:width] + "*"] += times
+                beginnings[word[:width]] += times
+    size = words.total()
+    found = Counter(words)
+    for start, times in beginnings.items():
+        if times * DENSE >= size:
+            found[start + "*"] = times
+            if times > 1:
+                found[start + "*2"] = times
     return found
 
 
