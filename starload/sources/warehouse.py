@@ -135,9 +135,17 @@ class Warehouse:
         return seen.get["rows"]
 
     def append_report(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> None:
-        """Append to a dated report or log table."""
-        df.write.mode("append").partitionBy(*partition_by).option(
-            "path", f"{self.root}/{name.replace('.', '/')}").saveAsTable(self.name(name))
+        """Append to a dated report or log table.
+
+        The table is created on its own first, so that a run that finds it just
+        created by another one adds its rows.  Runs of one project must not
+        append in the very same moment: Spark writes all appends through one folder.
+        """
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        path = f"{self.root}/{name.replace('.', '/')}"
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(name)} ({columns}) USING parquet"
+                       f" PARTITIONED BY ({_names(partition_by)}) LOCATION {_quoted(path)}")
+        df.write.mode("append").partitionBy(*partition_by).saveAsTable(self.name(name))
 
     def vacuum(self, spec: TableSpec) -> int:
         """Delete the files of earlier versions of a table; returns the number of folders.
