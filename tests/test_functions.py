@@ -41,17 +41,17 @@ def test_age_property(spark, births, as_of):
 
 
 def test_full_name(spark):
-    df = spark.createDataFrame([(1, " Anne-Marie ", "Taylor"), (2, None, None), (3, "José", None), (4, None, "O'Connor")],
+    df = spark.createDataFrame([(1, " Lise-Lotte ", "Berg"), (2, None, None), (3, "Zoë", None), (4, None, "D'Arc")],
                                "i int, a string, b string")
     got = [r[0] for r in df.orderBy("i").select(lib.full_name(F.col("a"), F.col("b"))).collect()]
-    assert got == ["Anne-Marie  Taylor", "", "José", "O'Connor"]
+    assert got == ["Lise-Lotte  Berg", "", "Zoë", "D'Arc"]
 
 
 def test_cleaning(spark):
     assert values(spark, "string", [" Info@Example.IN ", "", "  ", None], lib.clean_email) == [
         "info@example.in", None, None, None]
-    assert values(spark, "string", ["044-28291234", "+91 22 6612 9090", "(011) 4155-7788", "none", None],
-                  lib.clean_phone) == ["04428291234", "912266129090", "01141557788", None, None]
+    assert values(spark, "string", ["030-5551234", "+49 30 555 9876", "(089) 5550-4321", "none", None],
+                  lib.clean_phone) == ["0305551234", "49305559876", "08955504321", None, None]
     assert values(spark, "string", ["Y", " n ", "y", "maybe", "", None], lib.flag_to_boolean) == [
         True, False, True, None, None, None]
 

@@ -168,31 +168,31 @@ def test_second_lookup_estimates_sizes_from_the_staged_rows(spark):
 
 
 def test_mapping_rows_become_specs(spark):
-    people = TableSpec("raw", "PATIENT_MASTER", (column("patient_id", "INT", pk=True), column("first", "TEXT"), column("last", "TEXT")))
-    visits = TableSpec("raw", "VISIT_MASTER", (column("visit_id", "INT", pk=True), column("patient_id", "INT")))
-    dim = TableSpec("analytics", "DIM_PATIENT", (
-        column("patient_key", "BIGINT", pk=True), column("patient_id", "INT"), column("full_name", "TEXT"),
+    guests = TableSpec("raw", "GUESTS", (column("guest_id", "INT", pk=True), column("first", "TEXT"), column("last", "TEXT")))
+    stays = TableSpec("raw", "STAYS", (column("stay_id", "INT", pk=True), column("guest_id", "INT")))
+    dim = TableSpec("analytics", "DIM_GUEST", (
+        column("guest_key", "BIGINT", pk=True), column("guest_id", "INT"), column("full_name", "TEXT"),
         column("origin", "TEXT"), column("half", "INT")))
-    fact = TableSpec("analytics", "FACT_VISIT", (
-        column("visit_key", "BIGINT", pk=True), column("patient_key", "BIGINT", fk=("DIM_PATIENT", "patient_key"))))
+    fact = TableSpec("analytics", "FACT_STAY", (
+        column("stay_key", "BIGINT", pk=True), column("guest_key", "BIGINT", fk=("DIM_GUEST", "guest_key"))))
 
     def row(target, name, kind, table=None, source=None, detail=None, udf=None):
         return {"target_table": target, "target_column": name, "source_table": table, "source_column": source,
                 "transformation": kind, "transformation_detail": detail, "udf_reference": udf, "notes": None}
 
     specs = builds_from_mappings([
-        row("DIM_PATIENT", "patient_key", "GENERATED"),
-        row("DIM_PATIENT", "patient_id", "DIRECT", "PATIENT_MASTER", "patient_id"),
-        row("DIM_PATIENT", "full_name", "UDF", "PATIENT_MASTER", "first, last", udf="udf_full_name"),
-        row("DIM_PATIENT", "origin", "CONSTANT", detail="HIS"),
-        row("DIM_PATIENT", "half", "EXPRESSION", "PATIENT_MASTER", detail="patient_id div 2"),
-        row("FACT_VISIT", "visit_key", "GENERATED"),
-        row("FACT_VISIT", "patient_key", "LOOKUP", "VISIT_MASTER", "patient_id"),
-    ], {t.name: t for t in (dim, fact)}, {t.name: t for t in (people, visits)})
-    data = {"PATIENT_MASTER": spark.createDataFrame([(9, "A", "B"), (4, None, "C")], "patient_id int, first string, last string"),
-            "VISIT_MASTER": spark.createDataFrame([(1, 9), (2, 5)], "visit_id int, patient_id int")}
+        row("DIM_GUEST", "guest_key", "GENERATED"),
+        row("DIM_GUEST", "guest_id", "DIRECT", "GUESTS", "guest_id"),
+        row("DIM_GUEST", "full_name", "UDF", "GUESTS", "first, last", udf="udf_full_name"),
+        row("DIM_GUEST", "origin", "CONSTANT", detail="DESK"),
+        row("DIM_GUEST", "half", "EXPRESSION", "GUESTS", detail="guest_id div 2"),
+        row("FACT_STAY", "stay_key", "GENERATED"),
+        row("FACT_STAY", "guest_key", "LOOKUP", "STAYS", "guest_id"),
+    ], {t.name: t for t in (dim, fact)}, {t.name: t for t in (guests, stays)})
+    data = {"GUESTS": spark.createDataFrame([(9, "A", "B"), (4, None, "C")], "guest_id int, first string, last string"),
+            "STAYS": spark.createDataFrame([(1, 9), (2, 5)], "stay_id int, guest_id int")}
     loaded = build(specs[0], data)
-    assert rows(loaded) == [(1, 4, "C", "HIS", 2), (2, 9, "A B", "HIS", 4)]
-    assert rows(build(specs[1], data, {"DIM_PATIENT": loaded})) == [(1, 2), (2, None)]
+    assert rows(loaded) == [(1, 4, "C", "DESK", 2), (2, 9, "A B", "DESK", 4)]
+    assert rows(build(specs[1], data, {"DIM_GUEST": loaded})) == [(1, 2), (2, None)]
     with pytest.raises(SpecError, match="NEEDS_REVIEW"):
-        builds_from_mappings([row("FACT_VISIT", "visit_key", "NEEDS_REVIEW", "VISIT_MASTER")], {"FACT_VISIT": fact})
+        builds_from_mappings([row("FACT_STAY", "stay_key", "NEEDS_REVIEW", "STAYS")], {"FACT_STAY": fact})
