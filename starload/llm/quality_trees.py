@@ -35,7 +35,6 @@ SYMBOLS = re.compile(r"[#*$%&|<>@^~_=+{}\[\]\\/]")
 DIGITS = re.compile(r"\d")
 STOPS = re.compile(r"[.!?]")
 OTHER_MARKS = re.compile(r"[,;:'\"()-]")
-MARKED = re.compile(r"(\W)\1+$")
 FEATURES = ("words", "characters per word", "distinct words", "upper-case letters", "upper-case words", "symbols",
             "exclamations", "digits", "sentence ends", "other marks", "repeated neighbours", "most frequent word",
             "distinct lines", "lines", "distinct pairs", "words ending in repeated marks", "letters", "short words",
@@ -51,24 +50,25 @@ def statistics_of(text: str | None) -> list[float]:
         return [0.0] * len(FEATURES)
     n, size = len(words), len(text)
     lines = [line for line in text.split("\n") if line.strip()]
-    counts = Counter(words)
+    counts, lengths = Counter(words), np.fromiter(map(len, words), dtype=np.int64)
     upper = [len(w) > 1 and w.isupper() for w in words]
     same = [a == b for a, b in zip(words, words[1:])]
-    symbols = [1 if SYMBOLS.search(w) else 0 for w in words]
+    n_symbols = len(SYMBOLS.findall(text))
+    symbols = [1 if SYMBOLS.search(w) else 0 for w in words] if n_symbols else [0] * n
     letters = sum(map(len, re.findall(r"[^\W\d_]+", text)))
     upper_letters = len(text) - len(re.sub(r"[A-ZÀ-ÖØ-Þ]", "", text))
     starts = range(0, max(1, n - STRETCH // 2), STRETCH)
     stretch = [(min(n, a + STRETCH) - a, a, min(n, a + STRETCH)) for a in starts]
     distinct = [len(set(words[a:b])) / k for k, a, b in stretch]
     return [
-        np.log1p(n), sum(map(len, words)) / n, len(counts) / n, upper_letters / max(1, letters), sum(upper) / n,
-        len(SYMBOLS.findall(text)) / size, text.count("!") / size, len(DIGITS.findall(text)) / size,
+        np.log1p(n), float(lengths.mean()), len(counts) / n, upper_letters / max(1, letters), sum(upper) / n,
+        n_symbols / size, text.count("!") / size, len(DIGITS.findall(text)) / size,
         len(STOPS.findall(text)) / n, len(OTHER_MARKS.findall(text)) / n, sum(same) / n, max(counts.values()) / n,
         len(set(lines)) / max(1, len(lines)), np.log1p(len(lines)), len(set(zip(words, words[1:]))) / max(1, n - 1),
-        sum(1 for w in counts if MARKED.search(w)) / len(counts), letters / size,
-        sum(1 for w in words if len(w) <= 3) / n, sum(1 for w in words if len(w) > 12) / n,
-        np.log1p(max(map(len, words))), np.log1p(size / max(1, len(lines))),
-        sum(1 for c in text if c > "\x7f") / size if not text.isascii() else 0.0,
+        sum(1 for w in counts if w[-1] == w[-2:-1] and not w[-1].isalnum()) / len(counts), letters / size,
+        float((lengths <= 3).mean()), float((lengths > 12).mean()),
+        np.log1p(lengths.max()), np.log1p(size / max(1, len(lines))),
+        1 - len(text.encode("ascii", "ignore")) / size,
         min(distinct), max(sum(upper[a:b]) / k for k, a, b in stretch), max(sum(symbols[a:b]) / k for k, a, b in stretch),
         max(sum(same[a:b]) / k for k, a, b in stretch), max(distinct)]
 
