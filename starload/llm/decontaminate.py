@@ -15,14 +15,14 @@ held against all documents; a small benchmark is one block.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from starload.llm.common import mix, shared
+from starload.llm.common import shared
 
 Q = 8
 #: Edits allowed, as a share of the characters of a passage.
@@ -30,50 +30,49 @@ EDITS = 0.1
 #: Characters of passages in a block.
 BLOCK_CHARACTERS = 2_000_000
 #: Characters of documents that are looked up at once.
-CHUNK = 1 << 20
-BITMAP = 22
-BLANKS = re.compile(r"\s+")
+CHUNK = 1 << 18
+BITMAP = 20
+WORDS = re.compile(r"\S+")
 FOUND = "array<struct<item_id: long, start: long, stop: long, edits: int>>"
 
 
-def normalised(text: str | None) -> tuple[str, list[int] | None]:
-    """The text as it is compared, and for each of its characters the place in the original (None: the same)."""
-    if not text:
-        return "", None
-    lower = "".join(c if len(c) == 1 else o for o, c in zip(text, map(str.lower, text))) if not text.isascii() else text.lower()
-    if not BLANKS.search(lower):
-        return lower, None
-    places, parts, at = [], [], 0
-    for gap in BLANKS.finditer(lower):
-        parts.append(lower[at:gap.start()])
-        places.extend(range(at, gap.start() + 1))
-        parts.append(" ")
-        at = gap.end()
-    parts.append(lower[at:])
-    places.extend(range(at, len(lower)))
-    return "".join(parts), places
+def lowered(text: str) -> str:
+    """Lower case, character by character: a letter whose lower case is longer stays as it is."""
+    lower = text.lower()
+    if len(lower) == len(text):
+        return lower
+    return "".join(low if len(low) == 1 else c for c, low in zip(text, map(str.lower, text)))
 
 
 def compared(text: str | None) -> str:
-    """The text as it is compared."""
-    if not text:
-        return ""
-    lower = "".join(c if len(c) == 1 else o for o, c in zip(text, map(str.lower, text))) if not text.isascii() else text.lower()
-    return BLANKS.sub(" ", lower)
+    """The text as it is compared: words in lower case with one blank between them."""
+    return " ".join(lowered(text).split()) if text else ""
+
+
+def places_in(text: str) -> list[int]:
+    """For each character of the compared text its place in the text."""
+    places: list[int] = []
+    for word in WORDS.finditer(text):
+        if places:
+            places.append(word.start() - 1)
+        places.extend(range(word.start(), word.end()))
+    return places
 
 
 def folded(text: str) -> np.ndarray:
     """One byte per character; equal characters have equal bytes, so no shared q-gram is lost."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    return (codes ^ (codes >> 8) * 31).astype(np.uint8)
+    try:
+        return np.frombuffer(text.encode("latin-1"), dtype=np.uint8)
+    except UnicodeEncodeError:
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        return (codes ^ (codes >> 8) * 31).astype(np.uint8)
 
 
 def grams(data: np.ndarray) -> np.ndarray:
     """The q-grams of a byte array, as 64-bit values."""
     if len(data) < Q:
         return np.zeros(0, np.uint64)
-    window = np.lib.stride_tricks.sliding_window_view(data, Q)
-    return np.ascontiguousarray(window).view("<u8").ravel()
+    return np.ndarray(len(data) - Q + 1, dtype="<u8", buffer=np.ascontiguousarray(data), strides=(1,))
 
 
 @dataclass
@@ -101,6 +100,8 @@ class Passages:
         self.codes, self.owner, self.place = codes[order], owner[order], place[order]
         self.bitmap = np.zeros(1 << BITMAP, dtype=bool)
         self.bitmap[self._bits(self.codes)] = True
+        long = self.bound[size >= Q]
+        self.least = max(1, int(long.min())) if len(long) else 1
         self.short = [i for i, t in enumerate(self.texts) if 0 < len(t) < Q]
 
     @staticmethod
@@ -126,40 +127,57 @@ class Passages:
         entry = np.repeat(low - np.concatenate([[0], np.cumsum(number)[:-1]]), number) + np.arange(number.sum())
         return np.repeat(places, number), self.owner[entry], self.place[entry]
 
-    def regions(self, data: np.ndarray) -> list[tuple[int, int, int]]:
+    def regions(self, at: np.ndarray, owner: np.ndarray, place: np.ndarray, size: int) -> list[tuple[int, int, int]]:
         """(passage, start, stop): places that share enough q-grams with a passage in a band of diagonals."""
-        at, owner, place = self.hits(data)
-        if not len(at):
-            return []
         width = self.edits[owner] + 1  # bands of two widths, one starting at every width
         diagonal = at - place
         found = []
         for shift in (0, 1):
             band = (diagonal + shift * width) // (2 * width)
-            order = np.lexsort((at, band, owner))
-            o, b, a = owner[order], band[order], at[order]
+            order = np.lexsort((band, owner))
+            o, b = owner[order], band[order]
             edge = np.flatnonzero(np.r_[True, (o[1:] != o[:-1]) | (b[1:] != b[:-1])])
             count = np.diff(np.r_[edge, len(o)])
             for i in np.flatnonzero(count >= self.bound[o[edge]]):
-                item, size = int(o[edge[i]]), len(self.texts[int(o[edge[i]])])
-                low = int(b[edge[i]]) * 2 * int(self.edits[item] + 1) - shift * int(self.edits[item] + 1)
-                start = low - int(self.edits[item])
-                stop = low + 2 * int(self.edits[item] + 1) + size + int(self.edits[item])
-                found.append((item, max(0, start), min(len(data), stop)))
+                item, edits = int(o[edge[i]]), int(self.edits[int(o[edge[i]])])
+                low = (2 * int(b[edge[i]]) - shift) * (edits + 1)
+                stop = low + 2 * (edits + 1) + len(self.texts[item]) + edits
+                found.append((item, max(0, low - edits), min(size, stop)))
         return sorted(set(found))
 
-    def matches(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(passage, start, stop, edits) in the normalised text, the best place of each region; overlaps of one passage once."""
+    def matches(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
+        """Per compared text (passage, start, stop, edits): the best place of each region, overlaps of one passage once."""
+        results: list[list[tuple[int, int, int, int]]] = [[] for _ in texts]
+        start = 0
+        while start < len(texts):  # as many texts at once as fit a chunk
+            stop, size = start, 0
+            while stop < len(texts) and (stop == start or size + len(texts[stop]) < CHUNK):
+                size += len(texts[stop]) + 1
+                stop += 1
+            begins = np.cumsum([0] + [len(t) + 1 for t in texts[start:stop]])
+            at, owner, place = self.hits(folded("\n".join(texts[start:stop])))
+            text_of = np.searchsorted(begins, at, "right") - 1
+            edge = np.flatnonzero(np.r_[True, text_of[1:] != text_of[:-1]]) if len(at) else np.zeros(0, np.int64)
+            for a, b in zip(edge, np.r_[edge[1:], len(at)]):
+                i = int(text_of[a])
+                if b - a >= self.least:
+                    regions = self.regions(at[a:b] - begins[i], owner[a:b], place[a:b], len(texts[start + i]))
+                    results[start + i] = self.confirmed(texts[start + i], regions)
+            start = stop
+        for item in self.short:
+            word = re.compile(rf"(?<!\w){re.escape(self.texts[item])}(?!\w)")
+            for i, text in enumerate(texts):
+                results[i] = sorted(results[i] + [(item, m.start(), m.end(), 0) for m in word.finditer(text)])
+        return results
+
+    def confirmed(self, text: str, regions: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
         found = []
-        for item, start, stop in self.regions(folded(text)):
+        for item, start, stop in regions:
             place = text.find(self.texts[item], start, stop)
             if place >= 0:
                 found.append((item, place, place + len(self.texts[item]), 0))
             elif self.edits[item] and (best := banded(self.texts[item], text[start:stop], int(self.edits[item]))):
                 found.append((item, start + best[0], start + best[1], best[2]))
-        for item in self.short:
-            for one in re.finditer(rf"(?<!\w){re.escape(self.texts[item])}(?!\w)", text):
-                found.append((item, one.start(), one.end(), 0))
         kept: list[tuple[int, int, int, int]] = []
         for match in sorted(found, key=lambda m: (m[0], m[3], m[1])):
             if not any(k[0] == match[0] and k[1] < match[2] and match[1] < k[2] for k in kept):
@@ -197,7 +215,7 @@ def blocks(benchmark: DataFrame, characters: int = BLOCK_CHARACTERS) -> Iterator
     """The passages of a benchmark (item_id, text) in blocks of bounded size; empty ones match nothing."""
     ids, texts, size = [], [], 0
     for row in benchmark.select("item_id", "text").where("item_id IS NOT NULL").orderBy("item_id", "text").toLocalIterator():
-        text = compared(row["text"]).strip()
+        text = compared(row["text"])
         if not text:
             continue
         if ids and size + len(text) > characters:
@@ -218,12 +236,12 @@ def found_in(text: Column, passages: Passages, spark: SparkSession) -> Column:
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = unpack()
         for texts in batches:
+            every = list(texts)
             rows = []
-            for one in texts:
-                matches = known.matches(compared(one))
-                places = normalised(one)[1] if matches else None
-                rows.append([{"item_id": known.ids[i], "start": places[a] if places else a,
-                              "stop": (places[b - 1] + 1) if places else b, "edits": e} for i, a, b, e in matches])
+            for one, matches in zip(every, known.matches([compared(t) for t in every])):
+                places = places_in(one) if matches else []
+                rows.append([{"item_id": known.ids[i], "start": places[a], "stop": places[b - 1] + 1, "edits": e}
+                             for i, a, b, e in matches])
             yield pd.Series(rows)
     return find(text)
 
