@@ -129,6 +129,11 @@ class Passages:
 
     def regions(self, at: np.ndarray, owner: np.ndarray, place: np.ndarray, size: int) -> list[tuple[int, int, int]]:
         """(passage, start, stop): places that share enough q-grams with a passage in a band of diagonals."""
+        enough = np.bincount(owner, minlength=len(self.ids)) >= self.bound
+        likely = enough[owner]
+        if not likely.any():
+            return []
+        at, owner, place = at[likely], owner[likely], place[likely]
         width = self.edits[owner] + 1  # bands of two widths, one starting at every width
         diagonal = at - place
         found = []
@@ -136,8 +141,8 @@ class Passages:
             band = (diagonal + shift * width) // (2 * width)
             order = np.lexsort((band, owner))
             o, b = owner[order], band[order]
-            edge = np.flatnonzero(np.r_[True, (o[1:] != o[:-1]) | (b[1:] != b[:-1])])
-            count = np.diff(np.r_[edge, len(o)])
+            edge = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (b[1:] != b[:-1])]))
+            count = np.diff(np.append(edge, len(o)))
             for i in np.flatnonzero(count >= self.bound[o[edge]]):
                 item, edits = int(o[edge[i]]), int(self.edits[int(o[edge[i]])])
                 low = (2 * int(b[edge[i]]) - shift) * (edits + 1)
@@ -196,11 +201,13 @@ def banded(passage: str, region: str, most: int) -> tuple[int, int, int] | None:
     text = np.array([ord(c) for c in region], dtype=np.int64)
     steps = np.arange(len(text) + 1)
     cost, begin = np.zeros(len(text) + 1, dtype=np.int64), steps.copy()
+    best, source = np.empty_like(cost), np.zeros_like(cost)
     for row, character in enumerate(passage, 1):
         across = cost[:-1] + (text != ord(character))
         down = cost[1:] + 1
-        best = np.r_[row, np.minimum(across, down)]
-        source = np.r_[0, np.where(across <= down, begin[:-1], begin[1:])]
+        best[0] = row
+        np.minimum(across, down, out=best[1:])
+        source[1:] = np.where(across <= down, begin[:-1], begin[1:])
         level = best - steps
         lowest = np.minimum.accumulate(level)
         origin = np.maximum.accumulate(np.where(level == lowest, steps, 0))
