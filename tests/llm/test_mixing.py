@@ -4,7 +4,6 @@ import random
 import pytest
 from llm_data import prose, sorted_rows
 
-from starload.llm import mixing
 from starload.llm.mixing import fit_lengths, mix, mixed, quotas_of, targets
 
 
