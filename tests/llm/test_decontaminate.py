@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from llm_data import prose, sorted_rows
+from llm.llm_data import prose, sorted_rows
 
 from starload.llm import decontaminate
 from starload.llm.decontaminate import Passages, banded, compared, contaminated, places_in, without_benchmark

@@ -2,7 +2,7 @@ import itertools
 import random
 
 import pytest
-from llm_data import prose, sorted_rows
+from llm.llm_data import prose, sorted_rows
 
 from starload.llm.mixing import fit_lengths, mix, mixed, quotas_of, targets
 

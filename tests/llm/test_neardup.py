@@ -3,7 +3,7 @@ import random
 
 import numpy as np
 import pytest
-from llm_data import prose, sorted_rows
+from llm.llm_data import prose, sorted_rows
 
 
 from starload.llm import neardup

@@ -3,7 +3,7 @@ import random
 from collections import Counter
 
 import pytest
-from llm_data import prose
+from llm.llm_data import prose
 
 from starload.llm import ngram_ratio
 from starload.llm.common import SPACES, spark_words

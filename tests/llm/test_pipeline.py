@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from llm_data import prose
+from llm.llm_data import prose
 
 
 

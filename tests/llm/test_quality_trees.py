@@ -1,5 +1,5 @@
 import numpy as np
-from llm_data import prose, sorted_rows
+from llm.llm_data import prose, sorted_rows
 
 from starload.llm.quality_trees import DEPTH, FEATURES, grow, judged, statistics_of
 

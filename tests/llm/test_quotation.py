@@ -1,4 +1,4 @@
-from llm_data import prose, sorted_rows
+from llm.llm_data import prose, sorted_rows
 
 from starload.llm.quotation import linked_conversations, lines_of, passages_of
 

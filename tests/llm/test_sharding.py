@@ -1,7 +1,7 @@
 from collections import Counter
 
 import pytest
-from llm_data import sorted_rows
+from llm.llm_data import sorted_rows
 
 from starload.llm.sharding import SHARDS, TABLE_SIZE, place, slot_table, table_frame
 

@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
-from llm_data import prose, sorted_rows
+from llm.llm_data import prose, sorted_rows
 
 from starload.llm import toxicity
 from starload.llm.toxicity import build_index, isotonic, judged, terms_of, without_toxic

@@ -1,7 +1,7 @@
 import random
 import re
 
-from llm_data import sorted_rows
+from llm.llm_data import sorted_rows
 
 from starload.llm.url_rules import RULES, judged, rule_frame
 
