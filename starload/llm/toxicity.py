@@ -1,14 +1,15 @@
 """Toxicity by the nearest labelled examples in TF-IDF space.
 
-Examples are a bounded sample of labelled documents.  The vocabulary is what
-tells their labels apart: words, and dense word beginnings of 4 and 5 letters, whose
-presence raises the rate of label 1 by a likelihood-ratio test.  Documents and
-examples are vectors of (1 + log tf) * idf over it, of length 1.
+Examples are a bounded sample of labelled documents.  The vocabulary is every
+term of theirs: words, and dense word beginnings of 4 and 5 letters.  Documents
+and examples are vectors of (1 + log tf) * idf over all of it, of length 1; a term
+whose presence raises the rate of label 1 weighs more, by the root of its
+likelihood ratio, and none weighs less.
 
-The examples are an inverted index in blocks.  A block keeps for every term the
-largest weight in it, so the sum over a query's terms bounds what any example of
-the block can reach; blocks are visited by falling bound until no bound exceeds
-the worst neighbour found.  The neighbours are thus exact.
+The examples are an inverted index.  The terms that most examples have are kept as
+a dense matrix instead, which many documents are multiplied with at once.  That
+product is in single precision, so all examples that come within its error of the
+last neighbour are summed again in double precision: the neighbours are exact.
 
 Neighbours vote with their cosine to a power as weight against a prior.  Votes are
 turned into probabilities by an isotonic fit on leave-one-out votes of the
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,15 +31,17 @@ from starload.llm.common import fold, held_out, labelled_sample, shared
 
 LETTERS = re.compile(r"[^\W\d_]+")
 RESULT = "score double, predicted int, neighbours array<struct<doc_id: long, cosine: double, label: int>>"
-#: The bounds of the classifier: labelled documents, terms.
+#: The bound of the classifier: labelled documents.
 EXAMPLES = 12_000
-TERMS = 2_048
-#: Twice the log likelihood ratio that a term must reach, and the fewest label-1 examples with it.
-LEAST_RATIO = 24.0
-LEAST_EXAMPLES = 3
+#: How much the root of twice the log likelihood ratio of a term and label 1 adds to its weight.
+LABEL_WEIGHT = 0.8
 DENSE = 120
 NEIGHBOURS = 15
-BLOCK = 64
+#: So many of the most frequent terms are a dense matrix; so many documents are looked up together.
+COMMON = 512
+TOGETHER = 64
+#: More than the error of the product in single precision.
+ERROR = 1e-5
 THRESHOLD = 0.3
 
 
@@ -76,57 +79,81 @@ def label_ratio(with_1: np.ndarray, with_0: np.ndarray, all_1: int, all_0: int)
     return np.where(with_1 > seen * rate, ratio, 0.0)
 
 
+Vector = tuple[np.ndarray, np.ndarray]
+
+
 @dataclass
 class Index:
-    """The examples: ids and labels in block order, postings by block and term, block maxima, calibration."""
+    """The examples: ids and labels, postings by term (from starts on), the common terms as a matrix, calibration."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    weight: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
-    postings: list[dict[int, tuple[np.ndarray, np.ndarray]]]
-    highest: np.ndarray
+    starts: np.ndarray
+    places: np.ndarray
+    values: np.ndarray
+    column: np.ndarray  # the column of a term in common, or -1
+    common: np.ndarray  # examples x common terms
     prior: float
     knots: tuple[np.ndarray, np.ndarray]
     empty_score: float
 
-    def vector(self, found: Counter) -> tuple[np.ndarray, np.ndarray]:
-        known = [(self.terms[t], n) for t, n in found.items() if t in self.terms]
-        terms = np.array([t for t, _ in known], dtype=np.int64)
-        weights = (1 + np.log([n for _, n in known])) * self.idf[terms] if known else np.zeros(0)
-        return terms, weights / (np.sqrt((weights ** 2).sum()) or 1.0)
+    def vector(self, found: Counter) -> Vector:
+        """(terms, weights) of a text; the weights are in single precision, so that the index holds them as they are."""
+        numbers = np.fromiter((self.terms.get(t, -1) for t in found), np.int64, len(found))
+        known = numbers >= 0
+        terms = numbers[known]
+        weights = (1 + np.log(np.fromiter(found.values(), float, len(found))[known])) * self.weight[terms]
+        return terms, (weights / (np.sqrt((weights ** 2).sum()) or 1.0)).astype(np.float32)
 
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1) -> Vector:
         """(places, cosines) of the neighbours with a positive cosine, best first, ties by place.  `skip` is left out."""
-        bounds = weights @ self.highest[terms]
-        places, cosines = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            worst = cosines[-1] if len(cosines) == NEIGHBOURS else 0.0
-            if bounds[block] <= 0 or bounds[block] < worst - 1e-12:
-                break
-            sums = np.zeros(BLOCK)
-            for term, weight in zip(terms, weights):
-                if (entry := self.postings[block].get(int(term))) is not None:
-                    sums[entry[0]] += weight * entry[1]
-            inside = np.flatnonzero(sums > 0)
-            inside = inside[inside + block * BLOCK != skip]
-            places = np.concatenate([places, inside + block * BLOCK])
-            cosines = np.concatenate([cosines, sums[inside]])
-            best = np.lexsort((places, -np.round(cosines, 12)))[:NEIGHBOURS]
-            places, cosines = places[best], cosines[best]
-        return places, cosines
+        return next(self.nearest_of([(terms, weights)], [skip]))
+
+    def nearest_of(self, vectors: Sequence[Vector], skips: Sequence[int]) -> Iterator[Vector]:
+        """`nearest` of several vectors."""
+        for first in range(0, len(vectors), TOGETHER):
+            some = vectors[first:first + TOGETHER]
+            rows = np.zeros((len(some), self.common.shape[1]), np.float32)
+            for row, (terms, weights) in zip(rows, some):
+                columns = self.column[terms]
+                row[columns[columns >= 0]] = weights[columns >= 0]
+            products = rows @ self.common.T
+            for (terms, weights), product, skip in zip(some, products, skips[first:first + TOGETHER]):
+                yield self._best(terms, weights.astype(float), product, skip)
+
+    def _best(self, terms: np.ndarray, weights: np.ndarray, product: np.ndarray, skip: int) -> Vector:
+        columns = self.column[terms]
+        rare, dense = columns < 0, columns >= 0
+        begin, end = self.starts[terms[rare]], self.starts[terms[rare] + 1]
+        sums = np.zeros(len(self.ids))
+        if len(begin):
+            parts = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist())]
+            sums = np.bincount(np.concatenate([self.places[p] for p in parts]),
+                               np.concatenate([self.values[p] for p in parts]) * np.repeat(weights[rare], end - begin),
+                               len(self.ids))
+        near = sums + product
+        if skip >= 0:
+            near[skip] = 0.0
+        least = np.partition(near, -NEIGHBOURS)[-NEIGHBOURS] - ERROR if len(near) > NEIGHBOURS else 0.0
+        places = np.flatnonzero((near >= least) & (near > 0))
+        cosines = sums[places] + (self.common[np.ix_(places, columns[dense])] * weights[dense]).sum(axis=1)
+        best = np.lexsort((places, -np.round(cosines, 12)))[:NEIGHBOURS]
+        return places[best], cosines[best]
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
         weight = cosines ** 2
         return float((weight @ self.labels[places] + 0.25 * self.prior) / (weight.sum() + 0.25)) if len(places) else self.prior
 
-    def score(self, text: str | None) -> tuple[float, list[tuple[int, float, int]]]:
-        terms, weights = self.vector(terms_of(text))
-        if not len(terms):
-            return self.empty_score, []
-        places, cosines = self.nearest(terms, weights)
-        score = float(np.interp(self.vote(places, cosines), *self.knots))
-        return score, [(int(self.ids[p]), float(c), int(self.labels[p])) for p, c in zip(places, cosines)]
+    def scores(self, texts: Iterable[str | None]) -> Iterator[tuple[float, list[tuple[int, float, int]]]]:
+        vectors = [self.vector(terms_of(text)) for text in texts]
+        for (terms, _), (places, cosines) in zip(vectors, self.nearest_of(vectors, [-1] * len(vectors))):
+            if not len(terms):
+                yield self.empty_score, []
+                continue
+            score = float(np.interp(self.vote(places, cosines), *self.knots))
+            yield score, [(int(self.ids[p]), float(c), int(self.labels[p])) for p, c in zip(places, cosines)]
 
 
 def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,71 +171,81 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
     return sums[:, 0] / sums[:, 2], np.maximum.accumulate(level)
 
 
-def build_index(vectors: list[tuple[int, int, Counter]], terms: list[str], frequency: np.ndarray,
+def build_index(vectors: Sequence[tuple[int, int, Counter]], terms: Sequence[str], frequency: np.ndarray,
                 examples: tuple[int, int]) -> Index:
     """vectors: (doc_id, label, terms with numbers) of the examples with a term; examples: how many of label 1 and 0."""
-    idf = np.log((1 + sum(examples)) / (1 + frequency)) + 1
-    index = Index({t: i for i, t in enumerate(terms)}, idf, np.zeros(0, np.int64), np.zeros(0, np.int64), [],
-                  np.zeros((len(terms), 0)), 0.0, (np.array([0.0, 1.0]), np.array([0.0, 1.0])), 0.0)
+    number = {t: i for i, t in enumerate(terms)}
+    with_1 = np.zeros(len(terms))
+    for _, label, found in vectors:
+        if label:
+            with_1[[number[t] for t in found]] += 1
+    positive, negative = examples
+    ratio = label_ratio(with_1, frequency - with_1, positive, negative)
+    weight = (np.log((1 + positive + negative) / (1 + frequency)) + 1) * (1 + LABEL_WEIGHT * np.sqrt(np.maximum(ratio, 0.0)))
+    none = np.zeros(0, np.int64)
+    index = Index(number, weight, none, none, none, none, none, none, np.zeros((0, 0), np.float32), 0.0,
+                  (np.array([0.0, 1.0]), np.array([0.0, 1.0])), 0.0)
     made = [(d, y, *index.vector(f)) for d, y, f in vectors]
-    # Examples whose strongest term is the same lie together, which keeps the maxima of a block few.
-    made.sort(key=lambda v: (int(v[2][np.argmax(v[3])]), v[0]))
-    blocks = -(-len(made) // BLOCK)
     index.ids = np.array([v[0] for v in made], dtype=np.int64)
     index.labels = np.array([v[1] for v in made], dtype=np.int64)
-    index.highest = np.zeros((len(terms), blocks))
-    for block in range(blocks):
-        entries: dict[int, tuple[list[int], list[float]]] = {}
-        for place, (_, _, own, weights) in enumerate(made[block * BLOCK:(block + 1) * BLOCK]):
-            for term, weight in zip(own.tolist(), weights.tolist()):
-                places, values = entries.setdefault(term, ([], []))
-                places.append(place)
-                values.append(weight)
-                index.highest[term, block] = max(index.highest[term, block], weight)
-        index.postings.append({t: (np.array(p), np.array(w)) for t, (p, w) in entries.items()})
-    positive, negative = examples
+    owner = np.repeat(np.arange(len(made), dtype=np.int32), [len(v[2]) for v in made])
+    term = np.concatenate([v[2] for v in made] or [none])
+    values = np.concatenate([v[3] for v in made] or [np.zeros(0, np.float32)])
+    chosen = np.argsort(-frequency, kind="stable")[:COMMON]
+    index.column = np.full(len(terms), -1, np.int32)
+    index.column[chosen] = np.arange(len(chosen))
+    index.common = np.zeros((len(made), len(chosen)), np.float32)
+    inside = index.column[term] >= 0
+    index.common[owner[inside], index.column[term[inside]]] = values[inside]
+    owner, term, values = owner[~inside], term[~inside], values[~inside]
+    order = np.argsort(term, kind="stable")
+    index.places, index.values = owner[order], values[order]
+    index.starts = np.searchsorted(term[order], np.arange(len(terms) + 1))
     index.prior = positive / max(1, positive + negative)
     empty_1, empty_0 = positive - int(index.labels.sum()), negative - int((1 - index.labels).sum())
     index.empty_score = (max(0, empty_1) + 0.5 * index.prior) / (max(0, empty_1) + max(0, empty_0) + 0.5)
     if made:
-        votes = [index.vote(*index.nearest(own, weights, skip=i)) for i, (_, _, own, weights) in enumerate(made)]
+        votes = [index.vote(*n) for n in index.nearest_of([v[2:] for v in made], range(len(made)))]
         index.knots = isotonic(np.array(votes), index.labels)
     return index
 
 
+class _Found(Sequence):
+    """Examples whose terms are kept as one string each: counters of all of them at once would fill the driver."""
+
+    def __init__(self, rows: pd.DataFrame) -> None:
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, i: int) -> tuple[int, int, dict[str, int]]:
+        row = self.rows.iloc[i]
+        return row["doc_id"], row["label"], dict(zip(row["terms"].split(" "), row["times"]))
+
+
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, bound: int = EXAMPLES) -> Index:
     """The index of a bounded sample of labelled documents; equal texts with equal labels count once."""
     sample = labelled_sample(docs, labels, "toxic", usable, bound)
     sample = sample.groupBy(F.xxhash64("text").alias("same"), "label").agg(
         F.min(F.struct("doc_id", "text")).alias("d")).select("d.doc_id", "d.text", "label")
-    found_type = "doc_id long, label int, term string, times long"
 
-    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc_id, text, label in zip(batch["doc_id"], batch["text"], batch["label"]):
-                found = terms_of(text)
-                yield pd.DataFrame({"doc_id": doc_id, "label": label, "term": list(found), "times": list(found.values())})
-
-    number = dict(sample.groupBy("label").count().collect())
-    positive, negative = sum(n for y, n in number.items() if y), number.get(0, 0)
-    entries = sample.mapInPandas(explode, found_type)
-    counts = (entries.groupBy("term").agg(F.sum(F.col("label")).alias("with_1"), F.sum(1 - F.col("label")).alias("with_0"))
-              .where(F.col("with_1") >= LEAST_EXAMPLES))
-    rate = positive / max(1, positive + negative)
-    # A necessary condition that keeps what comes to the driver small; the test itself follows there.
-    telling = (counts.where(F.col("with_1") > 2 * rate * (F.col("with_1") + F.col("with_0")))
-               .orderBy(F.desc(F.col("with_1") - rate * (F.col("with_1") + F.col("with_0"))), "term")
-               .limit(4 * TERMS).toPandas())
-    ratio = label_ratio(telling["with_1"].to_numpy(float), telling["with_0"].to_numpy(float), positive, negative)
-    telling = telling.assign(ratio=ratio)[ratio >= LEAST_RATIO].sort_values(["ratio", "term"], ascending=[False, True])
-    telling = telling.head(TERMS)
-    terms = telling["term"].tolist()
-    kept = F.broadcast(sample.sparkSession.createDataFrame([(t,) for t in terms], "term string"))
-    vectors: dict[int, tuple[int, Counter]] = {}
-    for doc_id, label, term, times in entries.join(kept, "term").select("doc_id", "label", "term", "times").collect():
-        vectors.setdefault(doc_id, (label, Counter()))[1][term] += times
-    frequency = (telling["with_1"] + telling["with_0"]).to_numpy(float)
-    return build_index([(d, y, f) for d, (y, f) in sorted(vectors.items())], terms, frequency, (positive, negative))
+            found = [terms_of(text) for text in batch["text"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "terms": [" ".join(f) for f in found],
+                                "times": [list(f.values()) for f in found]})
+
+    rows = (sample.mapInPandas(count, "doc_id long, label int, terms string, times array<int>")
+            .toPandas().sort_values(["doc_id", "label", "terms"], ignore_index=True))
+    positive = int((rows["label"] == 1).sum())
+    examples = positive, len(rows) - positive
+    rows = rows[rows["terms"] != ""].reset_index(drop=True)
+    frequency: Counter = Counter()
+    for found in rows["terms"]:
+        frequency.update(found.split(" "))
+    terms = sorted(frequency)
+    return build_index(_Found(rows), terms, np.array([frequency[t] for t in terms], dtype=float), examples)
 
 
 def score(text: Column, index: Index, spark: SparkSession) -> Column:
@@ -218,7 +255,7 @@ def score(text: Column, index: Index, spark: SparkSession) -> Column:
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = unpack()
         for texts in batches:
-            rows = [known.score(t) for t in texts]
+            rows = list(known.scores(texts))
             yield pd.DataFrame({"score": [s for s, _ in rows], "predicted": [int(s >= THRESHOLD) for s, _ in rows],
                                 "neighbours": [[{"doc_id": d, "cosine": c, "label": y} for d, c, y in n] for _, n in rows]})
     return judge(text)

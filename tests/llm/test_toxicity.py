@@ -93,3 +93,23 @@ def test_filter_keeps_rows_and_columns(docs, labels):
     gone = {r[0] for r in judged(df, labels(marks)).where("predicted = 1").collect()}
     assert kept.columns == df.columns and gone
     assert sorted_rows(kept.select("doc_id")) == sorted([(i,) for i, _ in rows if i not in gone] + [(None,)], key=repr)
+
+
+def test_near_copies_of_rare_toxic_examples_are_found(docs, labels):
+    """Abusive words that only one sampled example has: no term of it tells labels apart by itself."""
+    rows, marks = corpus()
+    from starload.llm.common import fold
+    rare = " ".join("qxzv" + "abcdefghij"[i] * 3 + "w" for i in range(10))
+    df = docs([(i,) for i in range(1000, 1050)])
+    learnt = df.where(fold("doc_id", 4) != 2).first().doc_id
+    rows += [(learnt, rare), (2000, rare + " tari"), (2001, "vvv www uuu")]
+    got = judged(docs(rows), labels(marks + [(learnt, 1, 1)])).toPandas().set_index("doc_id")
+    assert got.neighbours[2000][0]["doc_id"] == learnt and got.neighbours[2000][0]["cosine"] > 0.9
+    assert got.predicted[2000] == 1 and got.predicted[2001] == 0 and len(got.neighbours[2001]) == 0
+
+
+def test_clean_documents_have_neighbours(docs, labels):
+    rows, marks = corpus()
+    got = judged(docs(rows), labels(marks)).toPandas().set_index("doc_id")
+    clean = [i for i, _, toxic in marks if not toxic]
+    assert (got.neighbours[clean].map(len) > 0).all()
