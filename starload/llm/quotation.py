@@ -6,7 +6,8 @@ lines, are normalised (marks and outer blanks away, lower case, runs of blanks
 as one) and hashed; so are the own lines of every message, its own blocks and
 its whole own text.  A quoted passage is joined to the latest earlier message of
 its conversation that has a unit with the same hash.  A message replies to the
-one that it quotes most of at its lowest quote level.  Following replies upwards
+one that it quotes most of at its lowest quote level; one of which it quotes
+nothing but short units only if there is no other.  Following replies upwards
 gives the message that a thread began with, and conversations in the order of
 (thread, turn) have every reply after its original and before later threads.
 
@@ -22,8 +23,8 @@ from starload.operators.skew import Scan, keyed_scan, slice_hot_keys
 from starload.scratch import materialise
 
 MARKS = r"^(\s*>)+\s?"
-#: Units of fewer characters (a greeting, "ok") are linked with nothing.
-LEAST_CHARACTERS = 12
+#: Among several originals, one with a unit of so many characters goes before those with shorter ones (a greeting, "ok").
+LONG_CHARACTERS = 12
 
 
 def lines_of(text: Column) -> Column:
@@ -56,7 +57,7 @@ def _units(lines: Column) -> Column:
 
 def _hashed(rows: DataFrame, units: Column, *keep: str | Column) -> DataFrame:
     unit = rows.select(*keep, F.explode(units).alias("unit")).withColumn("unit", normalised(F.col("unit")))
-    return (unit.where(F.length("unit") >= LEAST_CHARACTERS)
+    return (unit.where(F.length("unit") > 0)
             .withColumn("hash", F.xxhash64("unit")).withColumn("more", F.xxhash64("unit", F.lit(1)))
             .withColumn("characters", F.length("unit")).drop("unit"))
 
@@ -91,9 +92,10 @@ def replies(messages: DataFrame) -> DataFrame:
     placed = keyed_scan(slice_hot_keys(both, keys, order), keys, order, {"at": Scan("latest", F.col("original"))})
     found = placed.where("kind = 0 AND at IS NOT NULL")
     weight = (found.groupBy("conv_id", "turn", "level", "at")
-              .agg(F.sum("characters").alias("weight"), F.count(F.lit(1)).alias("units")))
+              .agg(F.sum("characters").alias("weight"), F.count(F.lit(1)).alias("units"),
+                   (F.max("characters") >= LONG_CHARACTERS).alias("long")))
     return weight.groupBy("conv_id", "turn").agg(
-        F.max(F.struct(-F.col("level"), "weight", "at")).alias("best"), F.sum("units").alias("linked")).select(
+        F.max(F.struct("long", -F.col("level"), "weight", "at")).alias("best"), F.sum("units").alias("linked")).select(
         "conv_id", "turn", F.col("best.at").alias("reply_to"), "linked")
 
 

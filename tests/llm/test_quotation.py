@@ -74,3 +74,18 @@ def test_edge_cases(spark):
     assert [r.own_text for r in got if r.turn == 0 and r.conv_id == 1] == [None]
     assert all(r.reply_to is None for r in got if r.turn != 4)
     assert linked_conversations(talk(spark, [])).collect() == []
+
+
+def test_short_quotes_are_linked(spark):
+    got = by_turn(linked_conversations(talk(spark, [
+        message(1, 0, A), message(1, 1, "go ahead"), message(1, 2, "> Go  ahead\nnot sure"), message(1, 3, "> not sure\nok"),
+        message(1, 4, "> ok\n> "), message(2, 0, "今天天气很好"), message(2, 1, "> 今天天气很好\n是的"), message(2, 2, "> 是的\n")])))
+    assert {k: (r.reply_to, r.thread, r.depth) for k, r in got.items()} == {
+        (1, 0): (None, 0, 0), (1, 1): (None, 1, 0), (1, 2): (1, 1, 1), (1, 3): (2, 1, 2), (1, 4): (3, 1, 3),
+        (2, 0): (None, 0, 0), (2, 1): (0, 0, 1), (2, 2): (1, 0, 2)}
+
+
+def test_length_chooses_among_several_originals(spark):
+    got = by_turn(linked_conversations(talk(spark, [
+        message(1, 0, A), message(1, 1, "ok"), message(1, 2, f"> {A}\n> ok\nboth")])))
+    assert got[1, 2].reply_to == 0 and got[1, 2].n_linked == 2
