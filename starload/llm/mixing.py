@@ -11,7 +11,7 @@ documents of a length are taken is decided by a seeded hash.
 
 Documents meet in groups of one source and length, and such a group (a third of
 all rows, if they are copies) is cut by ranges of the hash: only the range in
-which the last taken document lies is put in order.
+which the last taken document lies is put in order, its equal rows as one.
 """
 
 from __future__ import annotations
@@ -128,8 +128,9 @@ def decisions(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
 
     sized: (doc_id, _source, _size, _order) of every row.  rules: a row per source
     and length with source_size, target, whole passes, and the seeded hash up to
-    which documents are taken once more (NULL: none).  One row per source comes
-    to the driver, where the caps are shared out.
+    which documents are taken once more (NULL: none); of the last_rows rows that
+    have this hash itself, last_take are.  One row per source comes to the
+    driver, where the caps are shared out.
     """
     spark = docs.sparkSession
     sized = materialise(docs.select("doc_id", *_keys(docs, seed)), "sizes")
@@ -159,14 +160,17 @@ def decisions(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float
     last = (ranges.withColumn("upto", F.sum("rows").over(upto)).where("upto >= quota AND upto - rows < quota")
             .select(F.col("_source").alias("s"), F.col("_size").alias("z"), F.col("range").alias("r"),
                     (F.col("quota") - F.col("upto") + F.col("rows")).alias("in_range")))
-    inside = Window.partitionBy(*group).orderBy("signed")
+    inside = Window.partitionBy(*group).orderBy("signed").rowsBetween(Window.unboundedPreceding, 0)
+    # Rows that are equal in doc_id and text have one hash: they are counted, and the last of them taken by number.
     border = (open_.join(last, open_["_source"].eqNullSafe(last["s"]) & (open_["_size"] == last["z"])
                          & (open_["range"] == last["r"]))
-              .withColumn("place", F.row_number().over(inside)).where("place = in_range")
-              .select(F.col("_source").alias("s"), F.col("_size").alias("z"), F.col("signed").alias("last_order")))
+              .groupBy(*group, "signed", "in_range").agg(F.count(F.lit(1)).alias("last_rows"))
+              .withColumn("upto", F.sum("last_rows").over(inside)).where("upto >= in_range AND upto - last_rows < in_range")
+              .select(F.col("_source").alias("s"), F.col("_size").alias("z"), F.col("signed").alias("last_order"), "last_rows",
+                      (F.col("in_range") - F.col("upto") + F.col("last_rows")).alias("last_take")))
     rules = planned.join(border, planned["_source"].eqNullSafe(border["s"]) & (planned["_size"] == border["z"]), "left")
     return sized, materialise(rules.select(F.col("_source").alias("_rule_source"), F.col("_size").alias("_rule_size"),
-                                           "source_size", "target", "passes", "last_order"), "rules")
+                                           "source_size", "target", "passes", "last_order", "last_rows", "last_take"), "rules")
 
 
 def _keys(docs: DataFrame, seed: int) -> list[Column]:
@@ -175,9 +179,26 @@ def _keys(docs: DataFrame, seed: int) -> list[Column]:
 
 
 def _with_copies(rows: DataFrame, rules: DataFrame) -> DataFrame:
+    """rows with `_copies`.  Of the rows that share the last hash, a number is taken: counted per partition, then within."""
     signed = F.col("_order").bitwiseXOR(F.lit(-(1 << 63)))
-    return (rows.join(rules, rows["_source"].eqNullSafe(rules["_rule_source"]) & (rows["_size"] == rules["_rule_size"]))
-            .withColumn("_copies", F.col("passes") + F.coalesce((signed <= F.col("last_order")).cast("int"), F.lit(0))))
+    split = rules.where("last_take < last_rows")
+    cut = not split.isEmpty()
+    numbered = rows.withColumn("_part", F.spark_partition_id()) if cut else rows
+    joined = numbered.join(rules, rows["_source"].eqNullSafe(rules["_rule_source"]) & (rows["_size"] == rules["_rule_size"]))
+    taken = F.coalesce(signed <= F.col("last_order"), F.lit(False)).cast("int")
+    if not cut:
+        return joined.withColumn("_copies", F.col("passes") + taken)
+    tied = F.coalesce((signed == F.col("last_order")) & F.expr("last_take < last_rows"), F.lit(False))
+    whole = joined.where(~tied).withColumn("_copies", F.col("passes") + taken)
+    same = materialise(joined.where(tied), "tied")
+    upto = Window.partitionBy("s", "z").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)
+    before = (same.groupBy(F.col("_source").alias("s"), F.col("_size").alias("z"), F.col("_part").alias("p"))
+              .agg(F.count(F.lit(1)).alias("n")).withColumn("_before", F.sum("n").over(upto) - F.col("n")).drop("n"))
+    place = F.row_number().over(Window.partitionBy("_source", "_size", "_part").orderBy("_order"))
+    part = (same.withColumn("_place", place)
+            .join(before, F.col("_source").eqNullSafe(F.col("s")) & (F.col("_size") == F.col("z")) & (F.col("_part") == F.col("p")))
+            .withColumn("_copies", F.col("passes") + (F.col("_before") + F.col("_place") <= F.col("last_take")).cast("int")))
+    return whole.unionByName(part.select(whole.columns))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -186,8 +207,9 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     size is the number of words, 0 for a NULL or empty text; copies is how often
     the mix has the document, taken is size * copies.  A NULL source is a source
     of its own, the last one.  Documents without words have the whole passes of
-    their source.  Rows that share a doc_id are told apart by their text; rows
-    that are equal in both are taken together.  An empty table gives an empty one.
+    their source.  Rows that share a doc_id are told apart by their text; of rows
+    that are equal in both, the quota takes a number, no matter which.  An empty
+    table gives an empty one.
     """
     sized, rules = decisions(docs, **options)
     return _with_copies(sized, rules).select(

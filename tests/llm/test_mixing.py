@@ -79,3 +79,16 @@ def test_nulls_empty_texts_and_empty_tables(docs):
     got = sorted_rows(mix(docs(rows)).select("doc_id", "size", "source_size"))
     assert got == sorted([(1, 0, 2), (2, 0, 4), (None, 2, 2), (4, 2, 4), (4, 2, 4)], key=repr)
     assert mix(docs([])).collect() == [] and mixed(docs([])).collect() == []
+
+
+def test_equal_rows_are_taken_by_number(docs):
+    hot = [(None, "one two three", None, "a")] * 1000 + [(7, "four five", None, "b")] * 300
+    rows = hot + [(100 + i, f"other text of {i}", None, "a") for i in range(50)]
+    df = docs(rows, _part=1, _place=2).repartition(5)
+    got = mix(df, weights=(1.0, 1.0), share=0.5).toPandas()
+    assert len(got) == len(rows)
+    for flag in (True, False):
+        mine = got[(got.doc_id == 7) == flag]
+        assert 0 <= mine.target.iloc[0] - mine.taken.sum() < 4
+    repeated = mixed(df, weights=(1.0, 1.0), share=0.5)
+    assert repeated.columns == df.columns and repeated.count() == got.copies.sum()
