@@ -3,10 +3,10 @@
 Targets come from weights, capped at a multiple of what a source has.  A target
 is a number of whole passes over the source and a remaining budget.  For the
 budget, documents are counted by exact length.  Every length gives its even
-share of whole documents; of what is then missing, one more document per length
-is taken from the longest on while it fits; and the last words, fewer than
-LAST_WORDS, are a subset-sum problem over the short documents that are left,
-solved exactly by dynamic programming over their lengths and counts.  Which
+share of whole documents; of what is then missing, more documents
+are taken from the longest on, down to a reserve of RESERVE times the longest
+length; and the last words are a subset-sum problem over the documents that are
+left, solved exactly by dynamic programming over their lengths and counts.  Which
 documents of a length are taken is decided by a seeded hash.
 
 Documents meet in groups of one source and length, and such a group (a third of
@@ -31,8 +31,8 @@ from starload.scratch import materialise
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST_PASSES = 2
-#: Budgets below this are fitted exactly.
-LAST_WORDS = 4096
+#: So many times the longest length are left to the exact fit.
+RESERVE = 4
 #: A source and length is cut into 2**RANGE_BITS ranges of the seeded hash.
 RANGE_BITS = 10
 SEED = 11
@@ -67,50 +67,71 @@ def fit_lengths(lengths: Sequence[int], counts: Sequence[int], budget: int) -> l
     """How many of each length to take so that the sum is as large as possible without passing the budget.
 
     A bounded knapsack: for every length the reachable sums are extended by 1, 2,
-    4, ... documents; going back from the best sum gives the numbers.
+    4, ... documents, until the budget itself is reached.  A sum keeps the step
+    that reached it first; going back from the best sum gives the numbers.
     """
+    taken = [0] * len(lengths)
+    usable = [(i, int(n), int(c)) for i, (n, c) in enumerate(zip(lengths, counts)) if 0 < n <= budget and c > 0]
+    if not usable:
+        return taken
+    unit = math.gcd(*(n for _, n, _ in usable))
+    budget = budget // unit
+    first = np.full(budget + 1, -1, np.int32)
     reach = np.zeros(budget + 1, dtype=bool)
     reach[0] = True
-    steps = []  # (index, number, sums reachable before)
-    for i, (length, count) in enumerate(zip(lengths, counts)):
-        if not 0 < length <= budget:
-            continue
-        rest, number = min(int(count), budget // int(length)), 1
-        while rest:
+    steps: list[tuple[int, int, int]] = []  # index, number, sum
+    for i, length, count in usable:
+        rest, number = min(count, budget * unit // length), 1
+        while rest and not reach[budget]:
             number = min(number, rest)
-            steps.append((i, number, np.packbits(reach)))
-            more = int(length) * number
+            more = length // unit * number
             if more <= budget:
-                reach[more:] |= reach[:budget + 1 - more].copy()
+                new = more + np.flatnonzero(reach[:budget + 1 - more] & ~reach[more:])
+                first[new] = len(steps)
+                reach[new] = True
+                steps.append((i, number, more))
             rest -= number
             number *= 2
-    taken = [0] * len(lengths)
     at = int(np.flatnonzero(reach)[-1])
-    for i, number, before in reversed(steps):
-        if not (before[at >> 3] >> (7 - (at & 7))) & 1:
-            taken[i] += number
-            at -= int(lengths[i]) * number
+    while at:
+        i, number, more = steps[first[at]]
+        taken[i] += number
+        at -= more
     return taken
 
 
 def quotas_of(sizes: Sequence[int], documents: Sequence[int], budget: int) -> list[int]:
-    """How many documents of each length come nearest to the budget from below.  Sizes are distinct."""
-    order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
+    """How many documents of each length come nearest to the budget from below.  Sizes are distinct.
+
+    What the fit does not bring to the budget is tried once more after some of
+    the documents chosen before it are given back, one per length in turn; a
+    budget of no more than the reserve is fitted exactly over all documents.
+    """
+    order = sorted((i for i in range(len(sizes)) if sizes[i] > 0 and documents[i] > 0), key=lambda i: -sizes[i])
     words = sum(sizes[i] * documents[i] for i in order)
-    taken = [documents[i] * budget // words if sizes[i] else 0 for i in range(len(sizes))]
+    taken = [0] * len(sizes)
+    if not words:
+        return taken
+    reserve = RESERVE * sizes[order[0]]
+    for i in order:
+        taken[i] = documents[i] * budget // words
     missing = budget - sum(sizes[i] * taken[i] for i in order)
-    # Longest first, down to what the exact fit can do; then, if there are only long ones, all that fits.
-    for reserve in (LAST_WORDS // 2, 0):
-        if missing >= LAST_WORDS:
-            for i in order:
-                if sizes[i] > 0:
-                    more = min(documents[i] - taken[i], max(0, missing - reserve) // sizes[i])
-                    taken[i] += more
-                    missing -= more * sizes[i]
-    if 0 < missing < LAST_WORDS:
-        spare = [documents[i] - taken[i] for i in range(len(sizes))]
-        taken = [t + m for t, m in zip(taken, fit_lengths(sizes, spare, missing))]
-    return taken
+    for i in order:
+        more = min(documents[i] - taken[i], max(0, missing - reserve) // sizes[i])
+        taken[i] += more
+        missing -= more * sizes[i]
+
+    def fitted() -> list[int]:
+        return [t + m for t, m in zip(taken, fit_lengths(sizes, [d - t for d, t in zip(documents, taken)], missing))]
+    result = fitted()
+    if sum(sizes[i] * result[i] for i in order) == budget or missing >= budget:
+        return result
+    while missing < reserve and any(taken):
+        for i in order:
+            if taken[i] and missing < reserve:
+                taken[i] -= 1
+                missing += sizes[i]
+    return fitted()
 
 
 def _quotas(planned: DataFrame) -> DataFrame:

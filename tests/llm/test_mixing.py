@@ -92,3 +92,15 @@ def test_equal_rows_are_taken_by_number(docs):
         assert 0 <= mine.target.iloc[0] - mine.taken.sum() < 4
     repeated = mixed(df, weights=(1.0, 1.0), share=0.5)
     assert repeated.columns == df.columns and repeated.count() == got.copies.sum()
+
+
+def test_long_documents_meet_a_target_that_can_be_met():
+    assert quotas_of([8000, 6000, 4500], [1, 1, 1], 10_500) == [0, 1, 1]
+    assert quotas_of([7, 5], [2, 2], 14) == [2, 0]  # the even share of one each is given back
+    pick = random.Random(6)
+    for _ in range(20):
+        sizes, counts = pick.sample(range(2_000, 20_000), 6), [1] * 6
+        budget = pick.randint(0, 60_000)
+        best = max(s for s in (sum(a * b for a, b in zip(sizes, c)) for c in itertools.product((0, 1), repeat=6)) if s <= budget)
+        if budget <= 4 * max(sizes):
+            assert sum(s * t for s, t in zip(sizes, quotas_of(sizes, counts, budget))) == best
