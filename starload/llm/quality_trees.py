@@ -58,7 +58,8 @@ def statistics_of(text: str | None) -> list[float]:
     letters = sum(map(len, re.findall(r"[^\W\d_]+", text)))
     upper_letters = len(text) - len(re.sub(r"[A-ZÀ-ÖØ-Þ]", "", text))
     starts = range(0, max(1, n - STRETCH // 2), STRETCH)
-    stretch = [(min(n, a + STRETCH) - a, a, min(n, a + STRETCH)) for a in starts]
+    # A rest too short for a stretch of its own belongs to the last one.
+    stretch = [(b - a, a, b) for a, b in zip(starts, [*starts[1:], n])]
     distinct = [len(set(words[a:b])) / k for k, a, b in stretch]
     return [
         np.log1p(n), float(lengths.mean()), len(counts) / n, upper_letters / max(1, letters), sum(upper) / n,

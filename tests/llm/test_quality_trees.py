@@ -58,3 +58,12 @@ def test_edge_cases(docs, labels):
     assert judged(docs([]), labels([])).collect() == []
     df = docs(rows[:60])
     assert sorted_rows(judged(df, labels(marks[:60]))) == sorted_rows(judged(df, labels(marks[:60])))
+
+
+def test_the_end_of_a_text_is_in_a_stretch():
+    from starload.llm.quality_trees import FEATURES, statistics_of
+    words = [f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}" for i in range(90)]
+    plain, junk = (dict(zip(FEATURES, statistics_of(" ".join(w)))) for w in (words, words[:60] + ["#JUNK"] * 30))
+    for name in ("worst symbols", "worst upper-case words", "worst repeated neighbours"):
+        assert plain[name] == 0 and junk[name] > 0.3
+    assert junk["worst distinct words"] < 0.8 and plain["worst distinct words"] == 1
