@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starload.llm import (
-    decontaminate, language, mixing, neardup, ngram_ratio, quality_trees, quotation, sharding, toxicity, url_rules,
+    decontaminate, fill_in_middle, language, mixing, neardup, ngram_ratio, quality_trees, quotation, sharding,
+    spelling, toxicity, url_rules,
 )
 from starload.llm.common import table
 
@@ -92,3 +93,82 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+#: crc32 by its table, over the bytes of `<doc_id>:<run>`; letters beyond ASCII become single bytes before words are compared.
+OP11_SQL = """
+WITH RECURSIVE
+     polynomial AS (
+       SELECT list(list_reduce(list_prepend(i, range(8)),
+                lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+       FROM (SELECT unnest(range(256)) AS i)),
+     runs AS (
+       SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+     own AS (SELECT doc_id, run, count(*) AS times FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+     hashed AS (
+       SELECT run, times, xor(4294967295, list_reduce(
+                list_prepend(4294967295, list_transform(range(octet_length(encode(key))),
+                  lambda i: ('0x' || substr(hex(encode(key)), 2 * i + 1, 2))::BIGINT)),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+       FROM (SELECT *, doc_id || ':' || run AS key FROM own), polynomial),
+     spelled AS (
+       SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+              ELSE run END AS word, times FROM hashed),
+     words AS (
+       SELECT word, sum(times)::BIGINT AS n, translate(word, 'LETTERS', 'BYTES') AS bytes
+       FROM spelled WHERE length(word) >= 6 GROUP BY word HAVING sum(times) >= 5),
+     near AS (
+       SELECT a.word, a.n, b.word AS other, b.n AS other_n
+       FROM words a JOIN words b ON abs(length(a.bytes) - length(b.bytes)) <= 1 AND a.word <> b.word
+            AND (left(a.bytes, 3) = left(b.bytes, 3) OR right(a.bytes, 3) = right(b.bytes, 3))
+       WHERE levenshtein(a.bytes, b.bytes) = 1),
+     best AS (
+       SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n
+       FROM near GROUP BY word),
+     formed AS (
+       SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * w.n THEN other END AS form,
+              CASE WHEN other_n >= 5 * w.n THEN other_n END AS form_n
+       FROM words w LEFT JOIN best b ON w.word = b.word),
+     followed AS (
+       SELECT word, word AS at, form FROM formed
+       UNION ALL
+       SELECT f.word, f.form, g.form FROM followed f JOIN formed g ON f.form = g.word)
+SELECT formed.word, formed.form, followed.at AS root, formed.n, formed.n_near, formed.form_n
+FROM formed JOIN followed ON formed.word = followed.word AND followed.form IS NULL
+"""
+#: The letters from U+00C0 to U+00FF and, for each, an ASCII character that no word has.
+HIGH = "".join(map(chr, range(0xC0, 0x100)))
+LOW = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.islower() and c not in "'")[:len(HIGH)]
+
+
+@query(OP11_SQL.replace("LETTERS", HIGH).replace("BYTES", LOW))
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query("""
+WITH drawn AS (
+       SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,
+              sha256('1:' || doc_id) AS h FROM documents),
+     cut AS (
+       SELECT *, len(units) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS a,
+              ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS b,
+              CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                        OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+                   WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+       FROM drawn),
+     parts AS (
+       SELECT doc_id, text, n, form, array_to_string(units[:least(a, b)], '') AS prefix,
+              array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS middle,
+              array_to_string(units[greatest(a, b) + 1:], '') AS suffix
+       FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+""")
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
