@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from starload.llm import (
-    decontaminate, fill_in_middle, language, mixing, neardup, ngram_ratio, quality_trees, quotation, sharding,
+    cover_tree, decontaminate, fill_in_middle, language, mixing, neardup, ngram_ratio, quality_trees, quotation, sharding,
     spelling, toxicity, url_rules,
 )
 from starload.llm.common import table
@@ -147,6 +147,11 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op12_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("""
 WITH drawn AS (
        SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units,

@@ -1,0 +1,112 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from starload.llm import cover_tree
+from starload.llm.cover_tree import Shape, links, near_duplicates, tree
+
+SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
+                       T.StructField("label", T.IntegerType())])
+
+
+def unit(x):
+    return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+
+def clustered(seed, groups, each, dims, noise):
+    pick = np.random.default_rng(seed)
+    centres = pick.normal(size=(groups, dims))
+    return unit((centres[:, None, :] + noise * pick.normal(size=(groups, each, dims))).reshape(-1, dims))
+
+
+def pairs_of(a, b, shape):
+    return {(min(p), max(p)) if b is None else p
+            for i, j in links(a, b, shape) for p in zip(i.tolist(), j.tolist())}
+
+
+CASES = [clustered(1, 40, 8, 16, 0.05), clustered(2, 1, 400, 24, 0.08), clustered(3, 300, 1, 8, 0.0), clustered(4, 5, 60, 2, 0.2),
+         unit(np.repeat(np.eye(4), 30, axis=0) + 1e-9 * np.arange(120)[:, None])]
+
+
+@pytest.mark.parametrize("points", CASES)
+@pytest.mark.parametrize("cosine", [0.98, 0.9, 0.5])
+def test_traversal_finds_exactly_the_pairs_above_the_threshold(points, cosine):
+    shape = Shape(cosine=cosine)
+    i, j = np.nonzero(np.triu(points @ points.T >= cosine, 1))
+    found = [p for a, b in links(points, None, shape) for p in zip(a.tolist(), b.tolist())]
+    assert len(found) == len(set(found)) and {(min(p), max(p)) for p in found} == set(zip(i.tolist(), j.tolist()))
+    some, rest = points[::3], points[1::3]
+    i, j = np.nonzero(some @ rest.T >= cosine)
+    assert pairs_of(some, rest, shape) == set(zip(i.tolist(), j.tolist()))
+
+
+@pytest.mark.parametrize("points", CASES)
+def test_levels_cover_and_are_nested(points):
+    def walk(node, radius):
+        away = cover_tree.distance(points[node.members] @ points[node.centre])
+        assert away.max() <= node.reach + cover_tree.SLACK and node.centre in node.members
+        if node.children:
+            assert sorted(np.concatenate([c.members for c in node.children])) == sorted(node.members)
+            assert node.children[0].centre == node.centre and all(c.reach <= radius for c in node.children)
+        for child in node.children:
+            walk(child, radius)
+    walk(tree(points), 1.0)
+
+
+def test_pruning_leaves_out_most_pairs_of_clustered_vectors(monkeypatch):
+    points, seen = clustered(5, 60, 40, 16, 0.03), []
+    real = cover_tree.distance
+    monkeypatch.setattr(cover_tree, "distance", lambda c: (seen.append(c.size), real(c))[1])
+    list(links(points, None, Shape()))
+    assert sum(seen) < len(points) ** 2 / 4
+
+
+def brute(rows, cosine=0.98):
+    vectors = []
+    for vec_id, v, label in rows:
+        x = None if v is None or label is None or vec_id is None or any(c is None for c in v) else np.array(v, np.float32).astype(float)
+        vectors.append(None if x is None or not len(x) or not np.isfinite(x).all() or not x.any() else x)
+    number, reach = [0] * len(rows), {r[0]: r[0] for r in rows if r[0] is not None}
+
+    def root(x):
+        while reach[x] != x:
+            x = reach[x]
+        return x
+    for i, a in enumerate(vectors):
+        for j, b in enumerate(vectors[:i]):
+            if a is not None and b is not None and rows[i][2] == rows[j][2] and len(a) == len(b) \
+                    and a @ b / np.sqrt(a @ a) / np.sqrt(b @ b) >= cosine:
+                number[i] += 1
+                number[j] += 1
+                x, y = root(rows[i][0]), root(rows[j][0])
+                reach[max(x, y)] = min(x, y)
+    return sorted(((r[0], n, None if r[0] is None else root(r[0]), r[0] is None or root(r[0]) == r[0])
+                   for r, n in zip(rows, number)), key=repr)
+
+
+def rows_of(seed):
+    rows = []
+    for label in (0, 1, 2):
+        points = np.vstack([clustered(seed + label, 30, 6, 12, 0.04), clustered(seed + 9, 1, 120 if label else 5, 12, 0.1)])
+        rows += [(1000 * label + i, p.tolist(), label) for i, p in enumerate(points.astype(np.float32))]
+    return rows
+
+
+ODD = [(None, [1.0, 0.0], 0), (None, None, None), (5000, None, 0), (5001, [], 0), (5002, [0.0, 0.0], 0), (5003, [1.0, None], 0),
+       (5004, [float("nan"), 1.0], 0), (5005, [float("inf"), 1.0], 0), (5006, [1.0, 0.0], None), (5007, [1.0, 0.0], 0),
+       (5008, [3e38, 0.0], 0), (5009, [1e-38, 0.0], 0), (5010, [-1.0, 0.0], 0), (5011, [1.0, 0.0, 0.0], 0), (5007, [0.0, 1.0], 0),
+       (5012, [0.0, 2.0], 0), (5007, [0.0, 1.0], 0), (5013, [0.0, 1.0], 1)]
+
+
+@pytest.mark.parametrize("shape", [Shape(), Shape(part=40, sample=100), Shape(part=7, sample=60, cells=5)])
+def test_against_all_pairs_whatever_the_parts(spark, shape):
+    rows = rows_of(11) + ODD + [(7000 + i, [0.5] * 12, 1) for i in range(90)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit("x") for c in ("key", "node", "n", "cell", "unit", "dims", "kept")})
+    got = sorted((tuple(r) for r in near_duplicates(df, shape).collect()), key=repr)
+    assert got == brute(rows)
+
+
+def test_empty_tables(spark):
+    assert near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+    (row,) = near_duplicates(spark.createDataFrame([(1, None, 2)], SCHEMA)).collect()
+    assert tuple(row) == (1, 0, 1, True)
