@@ -32,17 +32,19 @@ def held_out(doc_id: str, folds: int, remainder: int) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, bound: int,
                     seed: int = 7) -> DataFrame:
-    """(doc_id, text, label) of at most `bound` labelled documents, the same ones in every run.
+    """(doc_id, text, label) of at most `bound` labelled documents, one row each, the same ones in every run.
 
     The bound is on what a classifier is fitted with, so its ids can be
     broadcast.  `usable` is a condition on doc_id.  A document that is labelled
-    more than once takes its largest label.  The rows are written to the shared
-    folder, because fitting reads them more than once.
+    more than once takes its largest label, one with several texts its largest
+    text.  The rows are written to the shared folder, because fitting reads them
+    more than once.
     """
     ids = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & usable)
            .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
            .orderBy(F.xxhash64(F.col("doc_id"), F.lit(seed)), "doc_id").limit(bound))
-    return materialise(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "labelled")
+    texts = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return materialise(texts.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("label").alias("label")), "labelled")
 
 
 def shared(spark: SparkSession, value: object) -> Callable[[], object]:

@@ -1,33 +1,41 @@
 """Toxicity by the nearest labelled examples in TF-IDF space.
 
 Examples are a bounded sample of labelled documents.  The vocabulary is every
-term of theirs: words, and dense word beginnings of 4 and 5 letters.  Documents
+term of theirs: words, and dense word beginnings of 4 and 5 letters, by a 64-bit hash.  Documents
 and examples are vectors of (1 + log tf) * idf over all of it, of length 1; a term
 whose presence raises the rate of label 1 weighs more, by the root of its
 likelihood ratio, and none weighs less.
 
-The examples are an inverted index.  The terms that most examples have are kept as
-a dense matrix instead, which many documents are multiplied with at once.  That
-product is in single precision, so all examples that come within its error of the
-last neighbour are summed again in double precision: the neighbours are exact.
+The examples are an inverted index, made in tasks: terms are dealt into buckets, and
+each bucket is weighed, sorted and packed on its own.  The driver passes the packed
+buckets on and opens none.  The examples lie in blocks.  For the terms that most examples have, the
+index knows the largest value of every block.  A document's rarer terms are summed
+over their postings; with what the common terms can add at most, that bounds
+every block, and only blocks whose bound reaches the last neighbour so far
+are looked at.  Bounds are in single precision with a margin for its error, cosines
+are summed in double precision: the neighbours are exact.
 
-Neighbours vote with their cosine to a power as weight against a prior.  Votes are
+Neighbours vote with their squared cosine as weight against a prior.  Votes are
 turned into probabilities by an isotonic fit on leave-one-out votes of the
-examples.  A document without any term has the rate of such examples.
+examples, in which an example is weighed without its own label and without terms that no other one has.  A document without
+any term has the rate of such examples.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from starload.llm.common import fold, held_out, labelled_sample, shared
+from starload.scratch import materialise
 
 LETTERS = re.compile(r"[^\W\d_]+")
 RESULT = "score double, predicted int, neighbours array<struct<doc_id: long, cosine: double, label: int>>"
@@ -37,11 +45,14 @@ EXAMPLES = 12_000
 LABEL_WEIGHT = 0.8
 DENSE = 120
 NEIGHBOURS = 15
-#: So many of the most frequent terms are a dense matrix; so many documents are looked up together.
+#: So many of the most frequent terms have block maxima; examples of a block; documents that are looked up together.
 COMMON = 512
+BLOCK = 8
 TOGETHER = 64
-#: More than the error of the product in single precision.
-ERROR = 1e-5
+#: More than twice the error of a sum of COMMON products in single precision, for vectors of length 1.
+ERROR = 2 * COMMON * 2.0 ** -23
+#: The index is made and sent in so many buckets of terms.
+BUCKETS = 16
 THRESHOLD = 0.3
 
 
@@ -82,77 +93,153 @@ def label_ratio(with_1: np.ndarray, with_0: np.ndarray, all_1: int, all_0: int)
 Vector = tuple[np.ndarray, np.ndarray]
 
 
-@dataclass
+def hashed(found: Counter) -> Vector:
+    """(64-bit hashes, numbers) of the terms of a text, in order of the hashes."""
+    terms = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)).view(np.int64)
+    order = np.argsort(terms)
+    return terms[order], np.fromiter(found.values(), np.int64, len(found))[order]
+
+
+def weights_of(seen: np.ndarray, with_1: np.ndarray, all_1: int, everyone: int) -> np.ndarray:
+    """Inverse document frequency of terms, times what their presence says about label 1."""
+    ratio = label_ratio(with_1, seen - with_1, all_1, everyone - all_1)
+    return (np.log((1 + everyone) / (1 + seen)) + 1) * (1 + LABEL_WEIGHT * np.sqrt(np.maximum(ratio, 0.0)))
+
+
+def pack(terms: np.ndarray, places: np.ndarray, times: np.ndarray, labels: np.ndarray, all_1: int, everyone: int) -> bytes:
+    """One bucket of the index from its postings (term, place of the example, number, label of the example)."""
+    order = np.lexsort((places, terms))
+    terms, places, times, labels = terms[order], places[order], times[order], labels[order]
+    names, starts = np.unique(terms, return_index=True)
+    ends = np.append(starts, len(terms))
+    seen = np.diff(ends)
+    with_1 = np.add.reduceat(labels, starts) if len(starts) else seen
+    values = (1 + np.log(times)) * np.repeat(weights_of(seen, with_1, all_1, everyone), seen)
+    return pickle.dumps((names, seen.astype(np.int32), with_1.astype(np.int32), places.astype(np.int32),
+                         values.astype(np.float32)), protocol=5)
+
+
 class Index:
-    """The examples: ids and labels, postings by term (from starts on), the common terms as a matrix, calibration."""
-
-    terms: dict[str, int]
-    weight: np.ndarray
-    ids: np.ndarray
-    labels: np.ndarray
-    starts: np.ndarray
-    places: np.ndarray
-    values: np.ndarray
-    column: np.ndarray  # the column of a term in common, or -1
-    common: np.ndarray  # examples x common terms
-    prior: float
-    knots: tuple[np.ndarray, np.ndarray]
-    empty_score: float
-
-    def vector(self, found: Counter) -> Vector:
-        """(terms, weights) of a text; the weights are in single precision, so that the index holds them as they are."""
-        numbers = np.fromiter((self.terms.get(t, -1) for t in found), np.int64, len(found))
-        known = numbers >= 0
-        terms = numbers[known]
-        weights = (1 + np.log(np.fromiter(found.values(), float, len(found))[known])) * self.weight[terms]
-        return terms, (weights / (np.sqrt((weights ** 2).sum()) or 1.0)).astype(np.float32)
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, skip: int = -1) -> Vector:
-        """(places, cosines) of the neighbours with a positive cosine, best first, ties by place.  `skip` is left out."""
-        return next(self.nearest_of([(terms, weights)], [skip]))
-
-    def nearest_of(self, vectors: Sequence[Vector], skips: Sequence[int]) -> Iterator[Vector]:
-        """`nearest` of several vectors."""
+    """The examples in place order: ids and labels; postings by term, the common terms as rows of blocks with maxima."""
+
+    def __init__(self, buckets: Sequence[bytes], ids: np.ndarray, labels: np.ndarray):
+        self.ids, self.labels = ids, labels
+        self.all_1, self.everyone = int(labels.sum()), len(labels)
+        parts = [pickle.loads(b) for b in buckets]
+        none = np.zeros(0, np.int64), *[np.zeros(0, np.int32)] * 3, np.zeros(0, np.float32)
+        names, seen, with_1, places, values = (np.concatenate(p) for p in zip(none, *parts))
+        # The postings stay where they are, bucket after bucket; only the terms are put in order.
+        order = np.argsort(names)
+        ends = np.cumsum(seen)
+        self.begin, self.end = (ends - seen)[order], ends[order]
+        self.terms, self.seen, self.with_1 = names[order], seen[order], with_1[order]
+        self.weight = weights_of(self.seen, self.with_1, self.all_1, self.everyone)
+        squares = np.bincount(places, values.astype(float) ** 2, len(ids))
+        self.places, self.values = places, (values / np.sqrt(np.maximum(squares, 1e-300))[places]).astype(np.float32)
+        self.has_terms = squares > 0
+        chosen = np.lexsort((self.terms, -self.seen))[:COMMON]
+        self.column = np.full(len(self.terms), -1, np.int32)
+        self.column[chosen] = np.arange(len(chosen))
+        blocks = -(-len(ids) // BLOCK)
+        self.common = np.zeros((blocks * BLOCK, len(chosen)), np.float32)
+        for column, term in enumerate(chosen):
+            own = slice(self.begin[term], self.end[term])
+            self.common[self.places[own], column] = self.values[own]
+        self.maxima = self.common.reshape(blocks, BLOCK, len(chosen)).max(axis=1, initial=0.0)
+
+    def vector(self, terms: np.ndarray, times: np.ndarray, left_out: int = -1) -> Vector:
+        """(places of the terms in the index, weights) of a text; as if the example `left_out`, itself, were not there."""
+        at = np.searchsorted(self.terms, terms)
+        known = self.terms[np.minimum(at, len(self.terms) - 1)] == terms if len(self.terms) else np.zeros(len(terms), bool)
+        weight = None
+        if left_out >= 0:
+            known &= self.seen[at] > 1
+            label = int(self.labels[left_out])
+            weight = weights_of(self.seen[at[known]] - 1, self.with_1[at[known]] - label, self.all_1 - label, self.everyone - 1)
+        at = at[known]
+        weights = (1 + np.log(times[known])) * (self.weight[at] if weight is None else weight)
+        return at, weights / (np.sqrt((weights ** 2).sum()) or 1.0)
+
+    def nearest_of(self, vectors: Sequence[Vector], left_out: Sequence[int] | None = None) -> Iterator[Vector]:
+        """(places, cosines) of the neighbours of each vector: positive cosines, best first, ties by place."""
         for first in range(0, len(vectors), TOGETHER):
             some = vectors[first:first + TOGETHER]
             rows = np.zeros((len(some), self.common.shape[1]), np.float32)
-            for row, (terms, weights) in zip(rows, some):
-                columns = self.column[terms]
+            for row, (at, weights) in zip(rows, some):
+                columns = self.column[at]
                 row[columns[columns >= 0]] = weights[columns >= 0]
-            products = rows @ self.common.T
-            for (terms, weights), product, skip in zip(some, products, skips[first:first + TOGETHER]):
-                yield self._best(terms, weights.astype(float), product, skip)
-
-    def _best(self, terms: np.ndarray, weights: np.ndarray, product: np.ndarray, skip: int) -> Vector:
-        columns = self.column[terms]
-        rare, dense = columns < 0, columns >= 0
-        begin, end = self.starts[terms[rare]], self.starts[terms[rare] + 1]
-        sums = np.zeros(len(self.ids))
-        if len(begin):
-            parts = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist())]
-            sums = np.bincount(np.concatenate([self.places[p] for p in parts]),
-                               np.concatenate([self.values[p] for p in parts]) * np.repeat(weights[rare], end - begin),
-                               len(self.ids))
-        near = sums + product
-        if skip >= 0:
-            near[skip] = 0.0
-        least = np.partition(near, -NEIGHBOURS)[-NEIGHBOURS] - ERROR if len(near) > NEIGHBOURS else 0.0
-        places = np.flatnonzero((near >= least) & (near > 0))
-        cosines = sums[places] + (self.common[np.ix_(places, columns[dense])] * weights[dense]).sum(axis=1)
-        best = np.lexsort((places, -np.round(cosines, 12)))[:NEIGHBOURS]
-        return places[best], cosines[best]
+            for i, (bounds, row) in enumerate(zip(rows @ self.maxima.T, rows)):
+                yield self._best(*some[i], row, bounds, -1 if left_out is None else left_out[first + i])
+
+    def rare_sums(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What the terms that are not common add to the cosine of every example."""
+        rare = self.column[at] < 0
+        begin, end = self.begin[at[rare]], self.end[at[rare]]
+        if not len(begin):
+            return np.zeros(len(self.common))
+        parts = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist())]
+        return np.bincount(np.concatenate([self.places[p] for p in parts]),
+                           np.concatenate([self.values[p] for p in parts]) * np.repeat(weights[rare], end - begin),
+                           len(self.common))
+
+    def _best(self, at: np.ndarray, weights: np.ndarray, row: np.ndarray, bounds: np.ndarray, skip: int) -> Vector:
+        sums = self.rare_sums(at, weights)
+        upper = bounds + sums.reshape(-1, BLOCK).max(axis=1, initial=0.0) + ERROR
+        columns = self.column[at]
+        columns, exact = columns[columns >= 0], weights[columns >= 0]
+
+        def cosines(places: np.ndarray) -> np.ndarray:
+            found = sums[places] + (self.common[places[:, None], columns] * exact).sum(axis=1)
+            found[places == skip] = 0.0
+            return found
+
+        # The blocks with the largest bounds give a first last neighbour.
+        blocks = len(upper)
+        ahead = min(blocks, 2 + NEIGHBOURS // BLOCK)
+        promising = np.argpartition(-upper, ahead - 1)[:ahead] if blocks > ahead else np.arange(blocks)
+        places = (promising[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        values = cosines(places)
+        least = np.partition(values, -NEIGHBOURS)[-NEIGHBOURS] if len(values) >= NEIGHBOURS else 0.0
+        open_ = self.open_blocks(upper, least)
+        open_[promising] = False
+        left = np.flatnonzero(open_)
+        if len(left):
+            more = (left[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            product = (self.common @ row)[more] if 4 * len(left) > blocks else self.common[more] @ row
+            more = more[sums[more] + product + ERROR >= least]
+            places, values = np.concatenate([places, more]), np.concatenate([values, cosines(more)])
+        places, values = places[values > 0], values[values > 0]
+        best = np.lexsort((places, -np.round(values, 12)))[:NEIGHBOURS]
+        return places[best], values[best]
+
+    @staticmethod
+    def open_blocks(upper: np.ndarray, least: float) -> np.ndarray:
+        """The blocks that may hold an example at least as near as the last neighbour; the others are skipped."""
+        return (upper >= least) & (upper > ERROR)
 
     def vote(self, places: np.ndarray, cosines: np.ndarray) -> float:
+        prior = self.all_1 / max(1, self.everyone)
         weight = cosines ** 2
-        return float((weight @ self.labels[places] + 0.25 * self.prior) / (weight.sum() + 0.25)) if len(places) else self.prior
-
-    def scores(self, texts: Iterable[str | None]) -> Iterator[tuple[float, list[tuple[int, float, int]]]]:
-        vectors = [self.vector(terms_of(text)) for text in texts]
-        for (terms, _), (places, cosines) in zip(vectors, self.nearest_of(vectors, [-1] * len(vectors))):
-            if not len(terms):
-                yield self.empty_score, []
+        return float((weight @ self.labels[places] + 0.25 * prior) / (weight.sum() + 0.25))
+
+    def votes(self, texts: Iterable[tuple[np.ndarray, np.ndarray, int]]) -> list[float]:
+        """Leave-one-out votes of examples (terms, numbers, place)."""
+        texts = list(texts)
+        vectors = [self.vector(*t) for t in texts]
+        return [self.vote(*n) for n in self.nearest_of(vectors, [t[2] for t in texts])]
+
+    def empty_score(self) -> float:
+        """The rate of label 1 among examples without any term, smoothed by the rate of all."""
+        empty = self.labels[~self.has_terms]
+        return float((empty.sum() + 0.5 * self.all_1 / max(1, self.everyone)) / (len(empty) + 0.5))
+
+    def scores(self, texts: Iterable[str | None], knots: Vector) -> Iterator[tuple[float, list[tuple[int, float, int]]]]:
+        vectors = [self.vector(*hashed(terms_of(text))) for text in texts]
+        for (at, _), (places, cosines) in zip(vectors, self.nearest_of(vectors)):
+            if not len(at):
+                yield self.empty_score(), []
                 continue
-            score = float(np.interp(self.vote(places, cosines), *self.knots))
+            score = float(np.interp(self.vote(places, cosines), *knots))
             yield score, [(int(self.ids[p]), float(c), int(self.labels[p])) for p, c in zip(places, cosines)]
 
 
@@ -171,112 +258,86 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
     return sums[:, 0] / sums[:, 2], np.maximum.accumulate(level)
 
 
-def build_index(vectors: Sequence[tuple[int, int, Counter]], terms: Sequence[str], frequency: np.ndarray,
-                examples: tuple[int, int]) -> Index:
-    """vectors: (doc_id, label, terms with numbers) of the examples with a term; examples: how many of label 1 and 0."""
-    number = {t: i for i, t in enumerate(terms)}
-    with_1 = np.zeros(len(terms))
-    for _, label, found in vectors:
-        if label:
-            with_1[[number[t] for t in found]] += 1
-    positive, negative = examples
-    ratio = label_ratio(with_1, frequency - with_1, positive, negative)
-    weight = (np.log((1 + positive + negative) / (1 + frequency)) + 1) * (1 + LABEL_WEIGHT * np.sqrt(np.maximum(ratio, 0.0)))
-    none = np.zeros(0, np.int64)
-    index = Index(number, weight, none, none, none, none, none, none, np.zeros((0, 0), np.float32), 0.0,
-                  (np.array([0.0, 1.0]), np.array([0.0, 1.0])), 0.0)
-    made = [(d, y, *index.vector(f)) for d, y, f in vectors]
-    index.ids = np.array([v[0] for v in made], dtype=np.int64)
-    index.labels = np.array([v[1] for v in made], dtype=np.int64)
-    owner = np.repeat(np.arange(len(made), dtype=np.int32), [len(v[2]) for v in made])
-    term = np.concatenate([v[2] for v in made] or [none])
-    values = np.concatenate([v[3] for v in made] or [np.zeros(0, np.float32)])
-    chosen = np.argsort(-frequency, kind="stable")[:COMMON]
-    index.column = np.full(len(terms), -1, np.int32)
-    index.column[chosen] = np.arange(len(chosen))
-    index.common = np.zeros((len(made), len(chosen)), np.float32)
-    inside = index.column[term] >= 0
-    index.common[owner[inside], index.column[term[inside]]] = values[inside]
-    owner, term, values = owner[~inside], term[~inside], values[~inside]
-    order = np.argsort(term, kind="stable")
-    index.places, index.values = owner[order], values[order]
-    index.starts = np.searchsorted(term[order], np.arange(len(terms) + 1))
-    index.prior = positive / max(1, positive + negative)
-    empty_1, empty_0 = positive - int(index.labels.sum()), negative - int((1 - index.labels).sum())
-    index.empty_score = (max(0, empty_1) + 0.5 * index.prior) / (max(0, empty_1) + max(0, empty_0) + 0.5)
-    if made:
-        votes = [index.vote(*n) for n in index.nearest_of([v[2:] for v in made], range(len(made)))]
-        index.knots = isotonic(np.array(votes), index.labels)
-    return index
-
-
-class _Found(Sequence):
-    """Examples whose terms are kept as one string each: counters of all of them at once would fill the driver."""
-
-    def __init__(self, rows: pd.DataFrame) -> None:
-        self.rows = rows
-
-    def __len__(self) -> int:
-        return len(self.rows)
-
-    def __getitem__(self, i: int) -> tuple[int, int, dict[str, int]]:
-        row = self.rows.iloc[i]
-        return row["doc_id"], row["label"], dict(zip(row["terms"].split(" "), row["times"]))
-
-
-def fit(docs: DataFrame, labels: DataFrame, usable: Column, bound: int = EXAMPLES) -> Index:
+@dataclass
+class Judge:
+    """A fitted index, ready for tasks, and the calibration of its votes."""
+
+    index: Callable[[], Index]
+    knots: Vector
+
+
+def fit(docs: DataFrame, labels: DataFrame, usable: Column, bound: int = EXAMPLES) -> Judge:
     """The index of a bounded sample of labelled documents; equal texts with equal labels count once."""
+    spark = docs.sparkSession
     sample = labelled_sample(docs, labels, "toxic", usable, bound)
-    sample = sample.groupBy(F.xxhash64("text").alias("same"), "label").agg(
-        F.min(F.struct("doc_id", "text")).alias("d")).select("d.doc_id", "d.text", "label")
+    once = sample.groupBy(F.xxhash64("text"), "label").agg(F.min("doc_id").alias("doc_id"))
+    # One narrow row per example of the bounded sample.
+    numbered = materialise(once.select("doc_id", "label", (F.row_number().over(Window.orderBy("doc_id")) - 1).alias("place")),
+                           "examples")
+    examples = numbered.orderBy("place").toPandas()
+    ids, marks = examples["doc_id"].to_numpy(np.int64), examples["label"].to_numpy(np.int64)
+    all_1, everyone = int(marks.sum()), len(marks)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [terms_of(text) for text in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "terms": [" ".join(f) for f in found],
-                                "times": [list(f.values()) for f in found]})
-
-    rows = (sample.mapInPandas(count, "doc_id long, label int, terms string, times array<int>")
-            .toPandas().sort_values(["doc_id", "label", "terms"], ignore_index=True))
-    positive = int((rows["label"] == 1).sum())
-    examples = positive, len(rows) - positive
-    rows = rows[rows["terms"] != ""].reset_index(drop=True)
-    frequency: Counter = Counter()
-    for found in rows["terms"]:
-        frequency.update(found.split(" "))
-    terms = sorted(frequency)
-    return build_index(_Found(rows), terms, np.array([frequency[t] for t in terms], dtype=float), examples)
+            found = [hashed(terms_of(text)) for text in batch["text"]]
+            yield pd.DataFrame({"place": batch["place"], "label": batch["label"], "terms": [t for t, _ in found],
+                                "times": [n for _, n in found]})
+
+    def bucket(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"packed": [pack(*(rows[c].to_numpy(np.int64) for c in ("term", "place", "times", "label")),
+                                             all_1, everyone)]})
+
+    texts = sample.join(F.broadcast(numbered.select("doc_id", "place")), "doc_id")
+    counted = materialise(texts.select("place", "label", "text").mapInPandas(
+        count, "place int, label int, terms array<long>, times array<long>"), "example-terms")
+    postings = counted.select("place", "label", F.explode(F.arrays_zip("terms", "times")).alias("t")).select(
+        "place", "label", F.col("t.terms").alias("term"), F.col("t.times").alias("times"))
+    buckets = [bytes(r.packed) for r in postings.groupBy(F.pmod("term", F.lit(BUCKETS)).alias("bucket"))
+               .applyInPandas(bucket, "packed binary").collect()]
+    packed = shared(spark, (buckets, ids, marks))
+
+    def index() -> Index:
+        return Index(*packed())
+
+    def leave_one_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = index()
+        for batch in batches:
+            yield pd.DataFrame({"label": batch["label"],
+                                "vote": known.votes(zip(batch["terms"], batch["times"], batch["place"]))})
 
+    votes = counted.where(F.size("terms") > 0).mapInPandas(leave_one_out, "label int, vote double").toPandas()
+    votes = votes.sort_values(["vote", "label"], kind="stable")
+    return Judge(index, isotonic(votes["vote"].to_numpy(float), votes["label"].to_numpy(float)))
 
-def score(text: Column, index: Index, spark: SparkSession) -> Column:
-    unpack = shared(spark, index)
 
+def score(text: Column, judge: Judge) -> Column:
     @F.pandas_udf(RESULT)
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = unpack()
+    def judged_by(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = judge.index()
         for texts in batches:
-            rows = list(known.scores(texts))
+            rows = list(known.scores(texts, judge.knots))
             yield pd.DataFrame({"score": [s for s, _ in rows], "predicted": [int(s >= THRESHOLD) for s, _ in rows],
                                 "neighbours": [[{"doc_id": d, "cosine": c, "label": y} for d, c, y in n] for _, n in rows]})
-    return judge(text)
+    return judged_by(text)
 
 
 def judged(docs: DataFrame, labels: DataFrame, folds: int = 4, remainder: int = 2) -> DataFrame:
     """doc_id, held_out, score, predicted and the neighbours behind it for every row of docs (doc_id, text, any others).
 
     Labels are learnt from rows whose fold is not the held-out one; a row without
-    doc_id has none and is not held out.  A NULL or empty text has no terms and
+    doc_id has none and is not held out.  Of several rows of one doc_id the one
+    with the largest text is learnt from.  A NULL or empty text has no terms and
     the score of such examples.  Without labels every score is 0.  Equal rows
     have equal results.  An empty table gives an empty one.
     """
-    index = fit(docs, labels, fold("doc_id", folds) != remainder)
-    result = docs.select("doc_id", held_out("doc_id", folds, remainder).alias("held_out"),
-                         score(F.col("text"), index, docs.sparkSession).alias("s"))
+    judge = fit(docs, labels, fold("doc_id", folds) != remainder)
+    result = docs.select("doc_id", held_out("doc_id", folds, remainder).alias("held_out"), score(F.col("text"), judge).alias("s"))
     return result.select("doc_id", "held_out", "s.*")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 4, remainder: int = 2) -> DataFrame:
     """The rows of docs that are not predicted toxic."""
-    index = fit(docs, labels, fold("doc_id", folds) != remainder)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), score(docs["text"], index, docs.sparkSession).alias("s"))
+    judge = fit(docs, labels, fold("doc_id", folds) != remainder)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), score(docs["text"], judge).alias("s"))
     return rows.where("s.predicted = 0").select("row.*")

@@ -1,11 +1,15 @@
+import math
 import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from llm.llm_data import prose, sorted_rows
+from pyspark.sql import functions as F
 
 from starload.llm import toxicity
-from starload.llm.toxicity import build_index, isotonic, judged, terms_of, without_toxic
+from starload.llm.common import labelled_sample
+from starload.llm.toxicity import Index, hashed, isotonic, judged, pack, terms_of, weights_of, without_toxic
 
 BAD = ["villain", "scoundrels", "rotter", "blackguard"]
 
@@ -22,30 +26,85 @@ def corpus(number=240, seed=1):
     return rows, marks
 
 
-def some_index(seed=0, examples=300, terms=40):
+def some_index(seed=0, examples=300, terms=40, most=6):
+    """An index over random counts, in buckets as tasks make them, and the counts of its examples."""
     pick = random.Random(seed)
-    names = [f"t{i}" for i in range(terms)]
-    vectors = [(1000 - i, pick.randint(0, 1), Counter({t: pick.randint(1, 4) for t in pick.sample(names, pick.randint(1, 6))}))
-               for i in range(examples)]
-    frequency = np.array([sum(n in v[2] for v in vectors) for n in names], dtype=float)
-    return build_index(vectors, names, frequency, (sum(v[1] for v in vectors), 500)), vectors, names
-
-
-def test_neighbours_are_those_of_all_cosines():
-    index, vectors, names = some_index()
-    every = np.zeros((len(index.ids), len(names)))
-    by_id = {v[0]: v[2] for v in vectors}
-    for place, doc_id in enumerate(index.ids):
-        own, weights = index.vector(by_id[doc_id])
-        every[place, own] = weights
+    counts = [Counter({f"t{t}": pick.randint(1, 4) for t in pick.sample(range(terms), pick.randint(0, most))})
+              for _ in range(examples)]
+    labels = np.array([pick.randint(0, 1) for _ in counts])
+    found = [hashed(c) for c in counts]
+    term, times = (np.concatenate(x) for x in zip(*found))
+    place = np.repeat(np.arange(examples), [len(f[0]) for f in found])
+    buckets = [pack(term[own], place[own], times[own], labels[place[own]], int(labels.sum()), examples)
+               for own in (term % 3 == i for i in range(3))]
+    return Index(buckets, 1000 - np.arange(examples), labels), counts, labels
+
+
+def plain_vector(counts, seen, weight):
+    """(1 + log tf) * weight of the known terms of a text, of length 1."""
+    v = {t: (1 + math.log(n)) * weight[t] for t, n in counts.items() if seen.get(t)}
+    length = math.sqrt(sum(x * x for x in v.values())) or 1.0
+    return {t: x / length for t, x in v.items()}
+
+
+def plain_weights(counts, labels):
+    seen, with_1 = Counter(), Counter()
+    for c, label in zip(counts, labels):
+        seen.update(c.keys())
+        with_1.update(c.keys() if label else ())
+    names = list(seen)
+    made = weights_of(np.array([seen[t] for t in names]), np.array([with_1[t] for t in names]), int(labels.sum()), len(counts))
+    return seen, dict(zip(names, made))
+
+
+@pytest.mark.parametrize("common", [toxicity.COMMON, 7, 0])
+def test_neighbours_are_those_of_all_cosines(common, monkeypatch):
+    monkeypatch.setattr(toxicity, "COMMON", common)
+    index, counts, labels = some_index()
+    seen, weight = plain_weights(counts, labels)
+    every = [plain_vector(c, seen, weight) for c in counts]
     pick = random.Random(5)
     for _ in range(100):
-        own, weights = index.vector(Counter({t: pick.randint(1, 3) for t in pick.sample(names, pick.randint(1, 5))}))
-        cosines = np.round(every[:, own] @ weights, 12)
-        best = np.lexsort((np.arange(len(cosines)), -cosines))[:toxicity.NEIGHBOURS]
-        best = best[cosines[best] > 0]
-        places, found = index.nearest(own, weights)
-        assert places.tolist() == best.tolist() and np.allclose(found, cosines[best])
+        asked = Counter({f"t{t}": pick.randint(1, 3) for t in pick.sample(range(45), pick.randint(0, 5))})
+        mine = plain_vector(asked, seen, weight)
+        cosines = np.array([sum(x * v.get(t, 0.0) for t, x in mine.items()) for v in every])
+        best = [p for p in np.lexsort((np.arange(len(cosines)), -np.round(cosines, 6)))[:toxicity.NEIGHBOURS] if cosines[p] > 0]
+        ((places, found),) = index.nearest_of([index.vector(*hashed(asked))])
+        assert np.allclose(found, cosines[best], atol=1e-6) and np.allclose(cosines[places], found, atol=1e-6)
+        assert (np.diff(np.round(found, 12)) <= 0).all()
+
+
+def test_skipped_blocks_change_no_neighbour(monkeypatch):
+    index, counts, _ = some_index(seed=3, examples=2000, terms=4000, most=60)
+    vectors = [index.vector(*hashed(c)) for c in counts[:200]]
+    skipped, real = [], Index.open_blocks
+    monkeypatch.setattr(Index, "open_blocks", staticmethod(lambda u, v: (skipped.append((~real(u, v)).mean()), real(u, v))[1]))
+    pruned = list(index.nearest_of(vectors))
+    monkeypatch.setattr(Index, "open_blocks", staticmethod(lambda u, v: np.ones(len(u), bool)))
+    full = list(index.nearest_of(vectors))
+    assert np.mean(skipped) > 0.1
+    for (a, b), (c, d) in zip(pruned, full):
+        assert a.tolist() == c.tolist() and b.tolist() == d.tolist()
+
+
+def test_leave_one_out_does_not_see_the_label(monkeypatch):
+    """The vector of an example is the one that an index without it would give to its text."""
+    index, counts, labels = some_index(seed=4, examples=60)
+    for place in range(60):
+        others = [c for i, c in enumerate(counts) if i != place]
+        seen, weight = plain_weights(others, np.delete(labels, place))
+        expected = plain_vector(counts[place], seen, weight)
+        at, weights = index.vector(*hashed(counts[place]), place)
+        own = {int(hashed(Counter([t]))[0][0]): x for t, x in expected.items()}
+        assert {int(t): round(float(x), 9) for t, x in zip(index.terms[at], weights)} == {t: round(x, 9) for t, x in own.items()}
+        ((places, _),) = index.nearest_of([(at, weights)], [place])
+        assert place not in places
+
+
+def test_one_row_per_labelled_id_is_learnt_from(docs, labels):
+    df = docs([(1, f"word{i}") for i in range(3000)] + [(2, "other"), (3, None)])
+    sample = labelled_sample(df, labels([(1, 0, 0), (1, 0, 1), (2, 0, 0), (3, 0, 1)]), "toxic", F.lit(True), 10)
+    assert sorted_rows(sample) == [(1, "word999", 1), (2, "other", 0), (3, None, 1)]
 
 
 def test_isotonic_is_monotone_and_keeps_the_mean_order():
