@@ -6,8 +6,11 @@ least m - q + 1 - q * e of its q-grams with the place, all of them within a band
 of diagonals.  So the shared q-grams of a document and a passage are counted in
 bands of diagonals twice as wide as the edits allow, each overlapping the next
 by half, and only bands that reach the bound are aligned, in a band as well.
+q is 8, or as much less as a short passage needs for its bound to be positive.
 
 The q-grams of the passages are looked up in a sorted array behind a bitmap.
+Equal q-grams that follow each other in a passage are one run with a range of
+diagonals, and the shared ones are counted in pieces, so that repetitive texts need no more memory than others.
 Passages go through in blocks of bounded size, each of which is broadcast and
 held against all documents; a small benchmark is one block.
 """
@@ -15,7 +18,8 @@ held against all documents; a small benchmark is one block.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -31,6 +35,8 @@ EDITS = 0.1
 BLOCK_CHARACTERS = 2_000_000
 #: Characters of documents that are looked up at once.
 CHUNK = 1 << 18
+#: Shared q-grams that are held at once.
+PIECE = 1 << 20
 BITMAP = 20
 WORDS = re.compile(r"\S+")
 FOUND = "array<struct<item_id: long, start: long, stop: long, edits: int>>"
@@ -68,51 +74,61 @@ def folded(text: str) -> np.ndarray:
         return (codes ^ (codes >> 8) * 31).astype(np.uint8)
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    """The q-grams of a byte array, as 64-bit values."""
-    if len(data) < Q:
+def grams(data: np.ndarray, q: int = Q) -> np.ndarray:
+    """The q-grams of a byte array, q at most 8, as 64-bit values."""
+    if len(data) < q:
         return np.zeros(0, np.uint64)
-    return np.ndarray(len(data) - Q + 1, dtype="<u8", buffer=np.ascontiguousarray(data), strides=(1,))
+    padded = np.concatenate([data, np.zeros(8 - q, np.uint8)]) if q < 8 else np.ascontiguousarray(data)
+    windows = np.ndarray(len(data) - q + 1, dtype="<u8", buffer=padded, strides=(1,))
+    return windows & np.uint64((1 << 8 * q) - 1) if q < 8 else windows
 
 
-@dataclass
-class Passages:
-    """A block of passages: their q-grams sorted, with passage and place, and what bounds a match."""
+def spread(first: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (number[0] of them), first[1], ..."""
+    return np.repeat(first - (np.cumsum(number) - number), number) + np.arange(int(number.sum()))
 
-    ids: list[int]
-    texts: list[str]
-    edits: np.ndarray = field(init=False)
-    bound: np.ndarray = field(init=False)
 
-    def __post_init__(self):
-        size = np.array([len(t) for t in self.texts], dtype=np.int64)
-        self.edits = np.floor(EDITS * size).astype(np.int64)
-        self.bound = size - Q + 1 - Q * self.edits
-        # Where the lemma promises nothing, fewer edits are allowed, down to an exact occurrence.
-        while len(size) and (self.bound[self.edits > 0] < 1).any():
-            self.edits -= ((self.bound < 1) & (self.edits > 0)).astype(np.int64)
-            self.bound = size - Q + 1 - Q * self.edits
-        every = [grams(folded(t)) for t in self.texts]
-        codes = np.concatenate(every) if every else np.zeros(0, np.uint64)
-        owner = np.repeat(np.arange(len(every)), [len(g) for g in every])
-        place = np.concatenate([np.arange(len(g)) for g in every]) if every else np.zeros(0, np.int64)
-        order = np.lexsort((place, owner, codes))
-        self.codes, self.owner, self.place = codes[order], owner[order], place[order]
+@dataclass
+class Hits:
+    """Shared q-grams: a place in the text, a passage, and a run of its places (first one and length)."""
+
+    at: np.ndarray
+    owner: np.ndarray
+    first: np.ndarray
+    length: np.ndarray
+
+    def only(self, chosen: np.ndarray) -> Hits:
+        return Hits(self.at[chosen], self.owner[chosen], self.first[chosen], self.length[chosen])
+
+
+class Grams:
+    """The q-grams of passages for one q, sorted; equal ones that follow each other in a passage are one run."""
+
+    def __init__(self, q: int, owners: np.ndarray, texts: list[str]):
+        self.q = q
+        codes, owner, first, length = [], [], [], []
+        for i in owners.tolist():
+            own = grams(folded(texts[i]), q)
+            begin = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            codes.append(own[begin])
+            owner.append(np.full(len(begin), i))
+            first.append(begin)
+            length.append(np.diff(np.r_[begin, len(own)]))
+        codes, owner, first, length = (np.concatenate(x) for x in (codes, owner, first, length))
+        order = np.lexsort((first, owner, codes))
+        self.codes, self.runs = codes[order], Hits(codes[order], owner[order], first[order], length[order])
         self.bitmap = np.zeros(1 << BITMAP, dtype=bool)
         self.bitmap[self._bits(self.codes)] = True
-        long = self.bound[size >= Q]
-        self.least = max(1, int(long.min())) if len(long) else 1
-        self.short = [i for i, t in enumerate(self.texts) if 0 < len(t) < Q]
 
     @staticmethod
     def _bits(codes: np.ndarray) -> np.ndarray:
         return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITMAP)).astype(np.int64)
 
-    def hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in the text, passage, place in the passage) of all shared q-grams."""
+    def hits(self, data: np.ndarray) -> Callable[[], Iterator[Hits]]:
+        """All shared q-grams of a text with the passages, in pieces of bounded size; can be gone through again."""
         at, first, last = [], [], []
-        for start in range(0, max(0, len(data) - Q + 1), CHUNK):
-            codes = grams(data[start:start + CHUNK + Q - 1])
+        for start in range(0, max(0, len(data) - self.q + 1), CHUNK):
+            codes = grams(data[start:start + CHUNK + self.q - 1], self.q)
             likely = np.flatnonzero(self.bitmap[self._bits(codes)])
             low = np.searchsorted(self.codes, codes[likely], "left")
             high = np.searchsorted(self.codes, codes[likely], "right")
@@ -120,35 +136,98 @@ class Passages:
             at.append(likely[known] + start)
             first.append(low[known])
             last.append(high[known])
-        places = np.concatenate(at) if at else np.zeros(0, np.int64)
-        if not len(places):
-            return places, places, places
-        low, number = np.concatenate(first), np.concatenate(last) - np.concatenate(first)
-        entry = np.repeat(low - np.concatenate([[0], np.cumsum(number)[:-1]]), number) + np.arange(number.sum())
-        return np.repeat(places, number), self.owner[entry], self.place[entry]
-
-    def regions(self, at: np.ndarray, owner: np.ndarray, place: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-        """(passage, start, stop): places that share enough q-grams with a passage in a band of diagonals."""
-        enough = np.bincount(owner, minlength=len(self.ids)) >= self.bound
-        likely = enough[owner]
-        if not likely.any():
-            return []
-        at, owner, place = at[likely], owner[likely], place[likely]
-        width = self.edits[owner] + 1  # bands of two widths, one starting at every width
-        diagonal = at - place
-        found = []
-        for shift in (0, 1):
-            band = (diagonal + shift * width) // (2 * width)
-            order = np.lexsort((band, owner))
-            o, b = owner[order], band[order]
-            edge = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (b[1:] != b[:-1])]))
-            count = np.diff(np.append(edge, len(o)))
-            for i in np.flatnonzero(count >= self.bound[o[edge]]):
-                item, edits = int(o[edge[i]]), int(self.edits[int(o[edge[i]])])
-                low = (2 * int(b[edge[i]]) - shift) * (edits + 1)
-                stop = low + 2 * (edits + 1) + len(self.texts[item]) + edits
-                found.append((item, max(0, low - edits), min(size, stop)))
-        return sorted(set(found))
+        at, first, last = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (at, first, last))
+        number = last - first
+        edges = np.searchsorted(np.cumsum(number), np.arange(PIECE, int(number.sum()) + PIECE, PIECE), "right")
+        edges = np.unique(np.r_[0, edges, len(at)])
+
+        def piece(a: int, b: int) -> Hits:
+            run = spread(first[a:b], number[a:b])
+            return Hits(np.repeat(at[a:b], number[a:b]), self.runs.owner[run], self.runs.first[run], self.runs.length[run])
+        made = [piece(0, len(at))] if len(edges) == 2 else None
+        return lambda: iter(made) if made else (piece(a, b) for a, b in zip(edges, edges[1:]))
+
+
+def summed(keys: list[np.ndarray], values: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct rows of keys and the sums of their values."""
+    if not len(values):
+        return keys, values
+    order = np.lexsort(keys[::-1])
+    keys = [k[order] for k in keys]
+    edge = np.flatnonzero(np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+    return [k[edge] for k in keys], np.add.reduceat(values[order], edge)
+
+
+def summed_up(parts: Iterable[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray] | None:
+    total = None
+    for keys, values in parts:
+        part = summed(keys, values)
+        total = part if total is None else summed([np.r_[a, b] for a, b in zip(total[0], part[0])], np.r_[total[1], part[1]])
+    return total
+
+
+@dataclass
+class Passages:
+    """A block of passages: their q-grams, and what bounds a match."""
+
+    ids: list[int]
+    texts: list[str]
+    edits: np.ndarray = field(init=False)
+    bound: np.ndarray = field(init=False)
+
+    def __post_init__(self):
+        size = np.array([len(t) for t in self.texts], dtype=np.int64)
+        self.edits = np.floor(EDITS * size).astype(np.int64)
+        # So many shared q-grams are promised; shorter ones where those of Q characters promise none.
+        q = np.minimum(Q, size // (self.edits + 1))
+        self.bound = size - q + 1 - q * self.edits
+        self.short = np.flatnonzero((size > 0) & (size < Q)).tolist()
+        long = size >= Q
+        self.tables = [Grams(int(one), np.flatnonzero(long & (q == one)), self.texts) for one in np.unique(q[long])]
+
+    def bands(self, hits: Hits, text_of: np.ndarray, begin: np.ndarray, shift: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """(text, passage, band) of every hit, and how many q-grams of its run lie in that band of diagonals."""
+        wide = 2 * (self.edits[hits.owner] + 1)  # bands of two widths, one starting at every width
+        last = hits.at - begin - hits.first + shift * wide // 2
+        lowest = last - hits.length + 1
+        low, high = lowest // wide, last // wide
+        number = high - low + 1
+        band, wide, last, lowest = spread(low, number), *(np.repeat(x, number) for x in (wide, last, lowest))
+        inside = np.minimum(last, (band + 1) * wide - 1) - np.maximum(lowest, band * wide) + 1
+        return [np.repeat(text_of, number), np.repeat(hits.owner, number), band], inside
+
+    def regions(self, data: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text, passage, start, stop): places that share enough q-grams with a passage in a band of diagonals.
+
+        data: the texts one after the other, each with one byte behind it; begins: where they begin, and the end.
+        """
+        for table in self.tables:
+            pieces = table.hits(data)
+
+            def placed() -> Iterator[tuple[Hits, np.ndarray]]:
+                for hits in pieces():
+                    yield hits, np.searchsorted(begins, hits.at, "right") - 1
+            counted = summed_up(([text_of, hits.owner], hits.length) for hits, text_of in placed())
+            if counted is None:
+                continue
+            (texts, owners), number = counted
+            enough = number >= self.bound[owners]
+            likely = np.sort(texts[enough] * len(self.ids) + owners[enough])
+            if not len(likely):
+                continue
+            for shift in (0, 1):
+                parts = []
+                for hits, text_of in placed():
+                    key = text_of * len(self.ids) + hits.owner
+                    chosen = np.flatnonzero(likely[np.minimum(np.searchsorted(likely, key), len(likely) - 1)] == key)
+                    parts.append(summed(*self.bands(hits.only(chosen), text_of[chosen], begins[text_of[chosen]], shift)))
+                (texts, owners, bands), number = summed_up(parts)
+                for i in np.flatnonzero(number >= self.bound[owners]).tolist():
+                    text, item = int(texts[i]), int(owners[i])
+                    edits, size = int(self.edits[item]), int(begins[text + 1] - begins[text]) - 1
+                    low = (2 * int(bands[i]) - shift) * (edits + 1)
+                    stop = low + 2 * (edits + 1) + len(self.texts[item]) + edits
+                    yield text, item, max(0, low - edits), min(size, stop)
 
     def matches(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """Per compared text (passage, start, stop, edits): the best place of each region, overlaps of one passage once."""
@@ -160,14 +239,11 @@ class Passages:
                 size += len(texts[stop]) + 1
                 stop += 1
             begins = np.cumsum([0] + [len(t) + 1 for t in texts[start:stop]])
-            at, owner, place = self.hits(folded("\n".join(texts[start:stop])))
-            text_of = np.searchsorted(begins, at, "right") - 1
-            edge = np.flatnonzero(np.r_[True, text_of[1:] != text_of[:-1]]) if len(at) else np.zeros(0, np.int64)
-            for a, b in zip(edge, np.r_[edge[1:], len(at)]):
-                i = int(text_of[a])
-                if b - a >= self.least:
-                    regions = self.regions(at[a:b] - begins[i], owner[a:b], place[a:b], len(texts[start + i]))
-                    results[start + i] = self.confirmed(texts[start + i], regions)
+            found: dict[int, set[tuple[int, int, int]]] = {}
+            for text, *region in self.regions(folded("\n".join(texts[start:stop])), begins):
+                found.setdefault(text, set()).add(tuple(region))
+            for text, regions in found.items():
+                results[start + text] = self.confirmed(texts[start + text], sorted(regions))
             start = stop
         for item in self.short:
             word = re.compile(rf"(?<!\w){re.escape(self.texts[item])}(?!\w)")
@@ -176,18 +252,23 @@ class Passages:
         return results
 
     def confirmed(self, text: str, regions: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-        found = []
+        found, aligned = set(), {}
         for item, start, stop in regions:
             place = text.find(self.texts[item], start, stop)
             if place >= 0:
-                found.append((item, place, place + len(self.texts[item]), 0))
-            elif self.edits[item] and (best := banded(self.texts[item], text[start:stop], int(self.edits[item]))):
-                found.append((item, start + best[0], start + best[1], best[2]))
+                found.add((item, place, place + len(self.texts[item]), 0))
+            elif self.edits[item]:
+                key = item, text[start:stop]  # a text that repeats itself has many equal regions
+                if key not in aligned:
+                    aligned[key] = banded(self.texts[item], key[1], int(self.edits[item]))
+                if best := aligned[key]:
+                    found.add((item, start + best[0], start + best[1], best[2]))
         kept: list[tuple[int, int, int, int]] = []
         for match in sorted(found, key=lambda m: (m[0], m[3], m[1])):
-            if not any(k[0] == match[0] and k[1] < match[2] and match[1] < k[2] for k in kept):
-                kept.append(match)
-        return sorted(kept)
+            at = bisect(kept, match)  # what is kept lies apart, so only the neighbours can overlap
+            if not any(k[0] == match[0] and k[1] < match[2] and match[1] < k[2] for k in kept[max(0, at - 1):at + 1]):
+                kept.insert(at, match)
+        return kept
 
 
 def banded(passage: str, region: str, most: int) -> tuple[int, int, int] | None:

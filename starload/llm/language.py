@@ -5,7 +5,8 @@ a zero state, and gives every byte the probabilities of the languages.  A
 document's probabilities are the means over the bytes of its letters.  Gates and
 candidates are piecewise linear (clipped), which keeps a step to a few array
 operations over many segments at once.  The weights are fitted by
-backpropagation through time on a bounded sample of labelled documents.
+backpropagation through time on a bounded sample of the documents of every
+language; the segments that are learnt from are drawn from whole texts.
 """
 
 from __future__ import annotations
@@ -15,13 +16,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from starload.llm.common import fold, held_out, labelled_sample, shared, utf8
+from starload.llm.common import fold, held_out, shared, utf8
+from starload.scratch import materialise
 
-#: The bound of the sample, and how many bytes, from a hashed place on, of each of its documents are learnt from.
-EXAMPLES = 4_000
-LEARNT_BYTES = 512
+#: The bounds of the sample: documents of a language, and segments of a language out of those of their whole texts.
+EXAMPLES = 1_000
+SEGMENTS = 16_384
 SEGMENT = 128
 HIDDEN = 10
 STEPS = 240
@@ -212,17 +214,34 @@ def train(texts: list[bytes], labels: list[str]) -> Network | None:
     return network
 
 
-def fit(docs: DataFrame, usable: Column, bound: int = EXAMPLES) -> Network | None:
-    """A network for the languages of a bounded sample of documents with a language."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    codes = sorted(row[0] for row in known.where(usable).select("lang").distinct().collect())
-    order = F.array_position(F.array(*[F.lit(c) for c in codes]).cast("array<string>"), F.col("lang")).cast("int")
-    sample = labelled_sample(docs, known.withColumn("lang_number", order), "lang_number", usable, bound)
+def learnt_rows(docs: DataFrame, usable: Column, bound: int = EXAMPLES) -> DataFrame:
+    """(doc_id, text, lang): at most `bound` rows of every language, the same ones in every run; equal rows count once."""
+    order = F.xxhash64("doc_id", "text", F.lit(SEED))
+    known = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & usable)
+             .select("doc_id", "text", "lang", order.alias("order")))
+    first = Window.partitionBy("lang").orderBy("order")
+    last = (known.select("lang", "order").distinct().withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= bound)
+            .groupBy("lang").agg(F.max("order").alias("last")))
+    return materialise(known.join(last, "lang").where(F.col("order") <= F.col("last")).dropDuplicates(["lang", "order"])
+                       .drop("last"), "learnt")
+
+
+def learnt_segments(rows: DataFrame, bound: int = SEGMENTS) -> DataFrame:
+    """(lang, data): segments of whole texts, at most `bound` of a language; each has the same chance to be among them."""
     data = F.col("text").cast("binary")
-    start = 1 + F.pmod(F.xxhash64("doc_id"), F.greatest(F.length(data) - LEARNT_BYTES + 1, F.lit(1)))
-    cut = F.substring(data, start.cast("int"), F.lit(LEARNT_BYTES))
-    rows = sample.select("doc_id", "label", cut.alias("data")).orderBy("doc_id", "data").toPandas()
-    return train([bytes(x) for x in rows["data"]], [codes[n - 1] for n in rows["label"]])
+    number = F.ceil(F.length(data) / SEGMENT).cast("int")
+    places = rows.where(F.length(data) > 0).select("lang", "order", data.alias("data"),
+                                                   F.explode(F.sequence(F.lit(0), number - 1)).alias("place"))
+    cut = places.select("lang", F.substring("data", F.col("place") * SEGMENT + 1, F.lit(SEGMENT)).alias("data"),
+                        F.xxhash64("order", "place").alias("order"))
+    first = Window.partitionBy("lang").orderBy("order", "data")
+    return cut.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= bound).select("lang", "rank", "data")
+
+
+def fit(docs: DataFrame, usable: Column, bound: int = EXAMPLES) -> Network | None:
+    """A network for the languages of a bounded sample of every language's documents."""
+    rows = learnt_segments(learnt_rows(docs, usable, bound)).orderBy("lang", "rank").toPandas()
+    return train([bytes(x) for x in rows["data"]], rows["lang"].tolist())
 
 
 def predicted(text: Column, network: Network | None, spark: SparkSession) -> Column:
@@ -240,7 +259,8 @@ def predicted(text: Column, network: Network | None, spark: SparkSession) -> Col
 def identified(docs: DataFrame, folds: int = 5, remainder: int = 0) -> DataFrame:
     """doc_id, held_out, lang_pred and score for every row of docs (doc_id, text, lang and any others).
 
-    Learnt from text and lang of rows whose fold is not the held-out one; a row
+    Learnt from rows with text and lang whose fold is not the held-out one, each by
+    its own lang, also where rows share a doc_id; equal rows count once.  A row
     without doc_id is not learnt from and not held out.  A NULL text, an empty
     one and one without letters have `und` and score 0, as all rows have if there
     is nothing to learn from.  An empty table gives an empty one.

@@ -289,6 +289,19 @@ def near_duplicates(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
-    """The rows of docs without those of documents that are not kept."""
-    gone = near_duplicates(docs, shape).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row of docs of every group of near copies: the one with the smallest doc_id, then the smallest hash of its text.
+
+    Every row is a document of its own here, whatever its doc_id: of repeated
+    rows one stays, and one without doc_id stays only if its group has no row
+    with one.  Rows without words are near copies of nothing and all stay.
+    """
+    place = "_place"
+    while place in docs.columns:
+        place = f"_{place}"
+    rows = materialise(docs.withColumn(place, F.monotonically_increasing_id()), "rows")
+    found = near_duplicates(rows.select(F.col(place).alias("doc_id"), "text"), shape)
+    found = found.select(F.col("doc_id").alias(place), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.sha2("text", 256).alias("text"), place))
+    kept = (rows.select(place, "doc_id", "text").join(found, place).groupBy("component_id").agg(first.alias("first"))
+            .select(F.col(f"first.{place}").alias(place)))
+    return rows.join(kept, place, "left_semi").select(docs.columns)

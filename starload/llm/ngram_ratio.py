@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starload.llm.common import spark_words
 
 BUCKETS = 1 << 13
-#: The trusted side is a bounded sample of documents, so that its ids can be broadcast.
-TRUSTED = 20_000
 #: Least mean log ratio per n-gram.
 THRESHOLD = -0.15
 #: Fixed values of the contract.
@@ -86,24 +84,28 @@ def base(rows: DataFrame) -> DataFrame:
                   | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))))
 
 
-def trusted_ids(labels: DataFrame, bound: int = TRUSTED, seed: int = 5) -> DataFrame:
-    """Ids of at most `bound` documents of quality 1, the same ones in every run."""
-    return (labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-            .orderBy(F.xxhash64(F.col("doc_id"), F.lit(seed)), "doc_id").limit(bound))
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of the documents of quality 1."""
+    return labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+
+
+def bucket_counts(docs: DataFrame, buckets: int, name: str) -> DataFrame:
+    """(bucket, name): how many words and pairs of docs (text) fall into each bucket that has any."""
+    words = docs.select(spark_words("text").alias("words"))
+    pairs = words.select(F.explode(with_next(F.col("words"), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p"))
+    both = F.array(bucket(buckets, F.col("p.a")), F.when(F.col("p.b").isNotNull(), bucket(buckets, F.col("p.a"), F.col("p.b"))))
+    return (pairs.select(F.explode(both).alias("bucket")).where("bucket IS NOT NULL")
+            .groupBy("bucket").agg(F.count(F.lit(1)).alias(name)))
 
 
 def ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """One row with `ratios`, the log ratio of every bucket: trusted against all, both smoothed by one."""
-    marked = docs.select("doc_id", spark_words("text").alias("words")).join(
-        F.broadcast(trusted.select(F.col("doc_id").alias("_trusted"))), F.col("doc_id") == F.col("_trusted"), "left")
-    pairs = marked.select(F.explode(with_next(F.col("words"), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p"),
-                          F.col("_trusted").isNotNull().cast("long").alias("trusted"))
-    both = F.array(bucket(buckets, F.col("p.a")), F.when(F.col("p.b").isNotNull(), bucket(buckets, F.col("p.a"), F.col("p.b"))))
-    counted = (pairs.select(F.explode(both).alias("bucket"), "trusted").where("bucket IS NOT NULL")
-               .groupBy("bucket").agg(F.count(F.lit(1)).alias("n_all"), F.sum("trusted").alias("n_trusted")))
+    mine = docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi")
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    filled = every.join(counted, "bucket", "left").select(
-        "bucket", F.coalesce("n_all", F.lit(0)).alias("n_all"), F.coalesce("n_trusted", F.lit(0)).alias("n_trusted"))
+    filled = every
+    for rows, name in ((docs, "n_all"), (mine, "n_trusted")):
+        filled = filled.join(bucket_counts(rows, buckets, name), "bucket", "left")
+    filled = filled.select("bucket", *[F.coalesce(n, F.lit(0)).alias(n) for n in ("n_all", "n_trusted")])
     table = filled.agg(F.sum("n_all").alias("sum_all"), F.sum("n_trusted").alias("sum_trusted"),
                        F.array_sort(F.collect_list(F.struct("bucket", "n_all", "n_trusted"))).alias("b"))
     ratio = F.transform("b", lambda x: F.log((x["n_trusted"] + 1) / (F.col("sum_trusted") + buckets))

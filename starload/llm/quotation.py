@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from starload.operators.skew import Scan, keyed_scan, slice_hot_keys
 from starload.scratch import materialise
 
-MARKS = r"^(\s*>)+\s?"
+#: One class without a group: a repeated group would take one call per mark.
+MARKS = r"^[\s>]*>\s?"
 #: Among several originals, one with a unit of so many characters goes before those with shorter ones (a greeting, "ok").
 LONG_CHARACTERS = 12
 

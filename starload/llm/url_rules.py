@@ -97,9 +97,9 @@ def judged(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWISE) -> Da
     gives an empty one, and without rules every verdict is `otherwise`.
     """
     host, path = host_and_path(F.col("url"))
-    # Equal rows are judged once.
-    rows = (pages.groupBy("page_id", "url").agg(F.count(F.lit(1)).alias("copies"))
-            .withColumns({"host": host, "path": path, "tie": F.xxhash64("page_id", "url")}))
+    # Written once, so that the number of a row stays its own and equal rows can be told apart and cut.
+    rows = materialise(pages.select("page_id", host.alias("host"), path.alias("path"),
+                                    F.monotonically_increasing_id().alias("tie")), "urls")
     rules = rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     hosts = rules.select("host").distinct()
     parents = hosts.select("host", F.explode(F.transform(
@@ -109,16 +109,15 @@ def judged(pages: DataFrame, rules: DataFrame, otherwise: str = OTHERWISE) -> Da
               .groupBy("host").agg(F.array_sort(F.collect_set("parent")).alias("value")))
     by_host = sweep(rows.withColumn("key", _host_key(F.col("host"))),
                     chains.select(_host_key(F.col("host")).alias("key"), "value")).drop("key")
-    tried = by_host.select("page_id", "url", "copies", "host", "path", "tie", F.explode_outer("top").alias("at"))
+    tried = by_host.select("page_id", "host", "path", "tie", F.explode_outer("top").alias("at"))
     tried = materialise(tried, "tried")
     points = tried.where("at IS NOT NULL").withColumn("key", _path_key(F.col("at"), F.col("path")))
     by_path = sweep(points, rules.select(_path_key(F.col("host"), F.col("path")).alias("key"),
                                          F.struct("host", "path", "verdict").alias("value")))
-    found = by_path.select("page_id", "url", "copies", "host", "path", "top").unionByName(
-        tried.where("at IS NULL").select("page_id", "url", "copies", "host", "path"), allowMissingColumns=True)
+    found = by_path.select("page_id", "tie", "host", "path", "top").unionByName(
+        tried.where("at IS NULL").select("page_id", "tie", "host", "path"), allowMissingColumns=True)
     rank = F.when(F.col("top").isNotNull(), F.struct(
         (F.length("top.host") + F.length("top.path")).alias("size"), F.length("top.host").alias("host_size"), "top"))
-    best = found.groupBy("page_id", "url", "copies", "host", "path").agg(F.max(rank).alias("best"))
-    return (best.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-            .select("page_id", "host", "path", F.concat("best.top.host", "best.top.path").alias("rule"),
-                    F.coalesce("best.top.verdict", F.lit(otherwise)).alias("verdict")))
+    best = found.groupBy("tie", "page_id", "host", "path").agg(F.max(rank).alias("best"))
+    return best.select("page_id", "host", "path", F.concat("best.top.host", "best.top.path").alias("rule"),
+                       F.coalesce("best.top.verdict", F.lit(otherwise)).alias("verdict"))

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pytest
 from llm.llm_data import prose, sorted_rows
@@ -95,3 +96,42 @@ def test_blocks_find_what_one_block_finds(docs, benchmark, monkeypatch):
     assert len(many) > 2 and sum(len(b.ids) for b in many) == 6
     monkeypatch.setattr(decontaminate, "blocks", lambda b: many)
     assert sorted_rows(contaminated(df, benchmark(passages))) == whole
+
+
+def test_ten_per_cent_of_short_passages():
+    """Passages of 10 to 40 characters, with as many edits as a tenth of them: found; with more: not."""
+    pick = random.Random(8)
+    passages = ["".join(pick.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size)) for size in range(10, 41)]
+    passages = [compared("x" + p[1:-1] + "x") for p in passages]
+    known = Passages(list(range(len(passages))), passages)
+    assert known.edits.tolist() == [len(p) // 10 for p in passages] and (known.bound >= 1).all()
+    for item, passage in enumerate(passages):
+        for edits in (len(passage) // 10, len(passage) // 10 + 2):
+            for _ in range(6):
+                text = compared(" ".join(prose(pick.randrange(10 ** 6), 6)) + " " + spoilt(passage, edits, pick) + " end of it")
+                found = {m[0] for m in known.matches([text])[0]}
+                expected = {i for i, p in enumerate(passages) if distance(p, text)[0] <= len(p) // 10}
+                assert found == expected
+
+
+def test_shared_grams_of_runs_are_those_of_all_pairs():
+    """Repetitive passages: places that follow each other are counted as ranges of diagonals, in pieces of any size."""
+    pick = random.Random(9)
+    passages = ["=" * 60, "ab" * 20, "=" * 20 + "abc" * 7, "=" * 12 + "x" + "=" * 12]
+    texts = ["=" * 200, "=" * 30 + "ab" * 40 + "=" * 9, "".join(pick.choice("=ab") for _ in range(300)), "=" * 19]
+    known = Passages(list(range(len(passages))), passages)
+    for round_ in range(2):
+        for text in texts:
+            expected = {i for i, p in enumerate(passages) if distance(p, text)[0] <= len(p) // 10}
+            assert {m[0] for m in known.matches(["before", text])[1]} == expected
+        decontaminate.PIECE, before = 16, decontaminate.PIECE
+    decontaminate.PIECE = before
+
+
+def test_repetitive_text_needs_bounded_memory():
+    known = Passages([1, 2], ["=" * 60, "ab " * 20])
+    resource_free = tracemalloc.start() or tracemalloc.get_traced_memory()[0]
+    found = known.matches(["=" * 1_000_000])[0]
+    peak = tracemalloc.get_traced_memory()[1] - resource_free
+    tracemalloc.stop()
+    assert 15_000 < len(found) <= 1_000_000 // 60 and {m[0] for m in found} == {0} and peak < 600e6

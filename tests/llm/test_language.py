@@ -1,8 +1,10 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from starload.llm import language
+from starload.llm.common import held_out
 from starload.llm.language import identified, letters_in, segments_of, train
 
 SOUNDS = {"aa": ["tho", "wen", "ish", "ring"], "bb": ["ção", "ñar", "lho", "ue"], "cc": ["sch", "ung", "ßer", "ei"]}
@@ -76,3 +78,37 @@ def test_nothing_to_learn_from(docs):
     got = identified(docs([(1, "some text", None), (2, None, None)])).orderBy("doc_id").collect()
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)] * 2
     assert identified(docs([])).collect() == []
+
+
+def test_only_rows_with_a_language_are_learnt_from_each_by_its_own(docs):
+    rows = [(1, "eins", "de"), (1, "zwei", None), (1, "one", "en"), (2, None, "en"), (None, "three", "en"), (3, "one", "en"),
+            (4, "one", "en"), (4, "one", "en")]
+    learnt = language.learnt_rows(docs(rows), F.col("doc_id").isNotNull())
+    assert sorted((r.doc_id, r.text, r.lang) for r in learnt.collect()) == [
+        (1, "eins", "de"), (1, "one", "en"), (3, "one", "en"), (4, "one", "en")]
+
+
+def test_every_language_is_in_the_sample(docs):
+    df = docs([(i, f"word {i}", "xx") for i in range(20_000)] + [(30_000, "seldom " * 40, "yy")])
+    learnt = language.learnt_rows(df, F.lit(True), 100)
+    assert {r.lang: r["count"] for r in learnt.groupBy("lang").count().collect()} == {"xx": 100, "yy": 1}
+
+
+def test_segments_come_from_whole_texts(docs):
+    long = "".join(f"{i:08d}" for i in range(16 * 40))
+    learnt = language.learnt_rows(docs([(1, long, "xx"), (2, "", "xx"), (3, "é" * 70, "yy")]), F.lit(True))
+    got = language.learnt_segments(learnt).orderBy("lang", "rank").collect()
+    expected = [bytes(s).rstrip(b"\0") for s in segments_of(long.encode())]
+    assert sorted(bytes(r.data) for r in got if r.lang == "xx") == sorted(expected)
+    assert b"".join(sorted((bytes(r.data) for r in got if r.lang == "yy"), key=len, reverse=True)) == ("é" * 70).encode()
+    few = language.learnt_segments(learnt, 10).where("lang = 'xx'").collect()
+    assert len(few) == 10 and max(expected.index(bytes(r.data)) for r in few) > 16  # beyond the beginning
+
+
+def test_a_rare_language_is_predicted(docs):
+    """One document in 20,000: the sample is bounded per language."""
+    rows = [(i, text("aa", i % 500, 12), "aa") for i in range(20_000)] + [(50_001, text("bb", 7, 3000), "bb"), (50_005, text("bb", 8, 50))]
+    df = docs(rows)
+    assert df.where("doc_id = 50001").select(held_out("doc_id", 5, 0)).first()[0] is False
+    got = {r.doc_id: r.lang_pred for r in identified(df).where("doc_id > 49990 OR doc_id < 5").collect()}
+    assert got[50_005] == "bb" and {got[i] for i in range(5)} == {"aa"}

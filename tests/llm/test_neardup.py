@@ -105,3 +105,22 @@ def test_signatures_agree_as_often_as_sets_do():
         agree = (signer.signature(values) == signer.signature(part)).mean()
         assert abs(agree - len(part) / size) < 0.08
     assert len(shingles("A b  a B", 2)) == 2 and len(shingles("a", 2)) == 1 and len(shingles(None, 2)) == 0
+
+
+def test_dropping_keeps_one_row_of_every_group(docs):
+    same = "a b c d e f g h i j"
+    rows = [(5, same), (5, same), (None, same), (None, same), (4, same + " k"), (4, "quite another text of its own"),
+            (7, None), (7, None), (8, ""), (None, "l m n o p q"), (None, "l m n o p q"), (9, "x")]
+    df = docs(rows, _place=1, component_id=2)
+    kept = drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    assert sorted_rows(kept.select("doc_id", "text")) == sorted(
+        [(4, same + " k"), (4, "quite another text of its own"), (7, None), (7, None), (8, ""), (None, "l m n o p q"), (9, "x")],
+        key=repr)
+
+
+def test_a_row_without_id_links_others(docs):
+    words = [f"w{i}" for i in range(40)]
+    chain = [" ".join(words), " ".join(words + ["x1", "x2", "x3", "x4"]), " ".join(words + [f"x{i}" for i in range(1, 9)])]
+    kept = drop_near_duplicates(docs([(1, chain[0]), (None, chain[1]), (2, chain[2])]))
+    assert sorted_rows(kept.select("doc_id")) == [(1,)]

@@ -89,3 +89,11 @@ def test_length_chooses_among_several_originals(spark):
     got = by_turn(linked_conversations(talk(spark, [
         message(1, 0, A), message(1, 1, "ok"), message(1, 2, f"> {A}\n> ok\nboth")])))
     assert got[1, 2].reply_to == 0 and got[1, 2].n_linked == 2
+
+
+def test_very_many_marks(spark):
+    """A pattern with a repeated group would take one call per mark."""
+    rows = [(1, 0, "user", "hello there"), (1, 1, "user", ">" * 100_000 + " hello there\nyes"), (1, 2, "user", "> " * 50_000)]
+    got = linked_conversations(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    found = {r.turn: (r.n_quoted_lines, r.reply_to) for r in got.collect()}
+    assert found == {0: (0, None), 1: (1, 0), 2: (1, None)}

@@ -47,3 +47,10 @@ def test_a_hot_url_no_rules_no_rows(spark):
     held_against(spark, ["http://hot.example.com/en/"] * 400 + ["http://b.org/"], RULES)
     held_against(spark, ["http://a.com/", None], [])
     held_against(spark, [], RULES)
+
+
+def test_equal_rows_are_cut_and_stay_apart(spark):
+    pages = spark.range(100_000).selectExpr("CAST(NULL AS BIGINT) AS page_id", "'http://hot.example.com/en/' AS url")
+    got = judged(pages, rule_frame(spark)).groupBy("page_id", "host", "path", "rule", "verdict").count().collect()
+    assert [tuple(r) for r in got] == [(None, "hot.example.com", "/en/", "example.com/en/", "block", 100_000)]
+    assert "sequence" not in judged(pages, rule_frame(spark))._jdf.queryExecution().toString()
