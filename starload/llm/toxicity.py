@@ -45,10 +45,12 @@ EXAMPLES = 12_000
 LABEL_WEIGHT = 0.8
 DENSE = 120
 NEIGHBOURS = 15
-#: So many of the most frequent terms have block maxima; examples of a block; documents that are looked up together.
+#: Terms, the most frequent ones, that have block maxima; examples of a block; documents that are looked up together.
 COMMON = 512
 BLOCK = 8
 TOGETHER = 64
+#: Blocks that are looked at before any can be skipped; with more than one in WIDE open, all are multiplied at once.
+AHEAD, WIDE = 16, 8
 #: More than twice the error of a sum of COMMON products in single precision, for vectors of length 1.
 ERROR = 2 * COMMON * 2.0 ** -23
 #: The index is made and sent in so many buckets of terms.
@@ -62,19 +64,20 @@ def terms_of(text: str | None) -> Counter:
     A beginning that is common for its length also opens harmless words now and
     then, so it counts only from one in DENSE words on; `*2` marks two or more.
     """
-    words = Counter(LETTERS.findall((text or "").lower()))
-    beginnings: Counter = Counter()
-    for word, times in words.items():
-        for width in (4, 5):
+    words = LETTERS.findall((text or "").lower())
+    found, size = Counter(words), len(words)
+    for width in (4, 5):
+        beginnings: dict[str, int] = {}
+        for word in words:
             if len(word) > width:
-                beginnings[word[:width]] += times
-    size = words.total()
-    found = Counter(words)
-    for start, times in beginnings.items():
-        if times * DENSE >= size:
-            found[start + "*"] = times
-            if times > 1:
-                found[start + "*2"] = times
+                start = word[:width]
+                beginnings[start] = beginnings.get(start, 0) + 1
+        least = size / DENSE
+        for start, times in beginnings.items():
+            if times >= least:
+                found[start + "*"] = times
+                if times > 1:
+                    found[start + "*2"] = times
     return found
 
 
@@ -130,22 +133,26 @@ class Index:
         names, seen, with_1, places, values = (np.concatenate(p) for p in zip(none, *parts))
         # The postings stay where they are, bucket after bucket; only the terms are put in order.
         order = np.argsort(names)
+        seen = seen.astype(np.int64)
         ends = np.cumsum(seen)
-        self.begin, self.end = (ends - seen)[order], ends[order]
-        self.terms, self.seen, self.with_1 = names[order], seen[order], with_1[order]
-        self.weight = weights_of(self.seen, self.with_1, self.all_1, self.everyone)
+        self.terms, self.with_1 = names[order], with_1[order]
+        self.begin, self.number = (ends - seen)[order], seen[order]  # where a term's postings begin, and how many it has
+        self.weight = weights_of(self.number, self.with_1, self.all_1, self.everyone)
         squares = np.bincount(places, values.astype(float) ** 2, len(ids))
-        self.places, self.values = places, (values / np.sqrt(np.maximum(squares, 1e-300))[places]).astype(np.float32)
+        self.postings = np.empty(len(places), [("place", np.int32), ("value", np.float32)])
+        self.postings["place"], self.postings["value"] = places, values / np.sqrt(np.maximum(squares, 1e-300))[places]
         self.has_terms = squares > 0
-        chosen = np.lexsort((self.terms, -self.seen))[:COMMON]
+        chosen = np.lexsort((self.terms, -self.number))[:COMMON]
         self.column = np.full(len(self.terms), -1, np.int32)
         self.column[chosen] = np.arange(len(chosen))
         blocks = -(-len(ids) // BLOCK)
         self.common = np.zeros((blocks * BLOCK, len(chosen)), np.float32)
         for column, term in enumerate(chosen):
-            own = slice(self.begin[term], self.end[term])
-            self.common[self.places[own], column] = self.values[own]
-        self.maxima = self.common.reshape(blocks, BLOCK, len(chosen)).max(axis=1, initial=0.0)
+            own = slice(self.begin[term], self.begin[term] + self.number[term])
+            self.common[self.postings["place"][own], column] = self.postings["value"][own]
+        in_blocks = self.common.reshape(blocks, BLOCK, len(chosen))
+        self.maxima = in_blocks.max(axis=1, initial=0.0)
+        self.lengths = np.sqrt((in_blocks ** 2).sum(axis=2)).max(axis=1, initial=0.0)
 
     def vector(self, terms: np.ndarray, times: np.ndarray, left_out: int = -1) -> Vector:
         """(places of the terms in the index, weights) of a text; as if the example `left_out`, itself, were not there."""
@@ -153,9 +160,9 @@ class Index:
         known = self.terms[np.minimum(at, len(self.terms) - 1)] == terms if len(self.terms) else np.zeros(len(terms), bool)
         weight = None
         if left_out >= 0:
-            known &= self.seen[at] > 1
+            known &= self.number[at] > 1
             label = int(self.labels[left_out])
-            weight = weights_of(self.seen[at[known]] - 1, self.with_1[at[known]] - label, self.all_1 - label, self.everyone - 1)
+            weight = weights_of(self.number[at[known]] - 1, self.with_1[at[known]] - label, self.all_1 - label, self.everyone - 1)
         at = at[known]
         weights = (1 + np.log(times[known])) * (self.weight[at] if weight is None else weight)
         return at, weights / (np.sqrt((weights ** 2).sum()) or 1.0)
@@ -168,49 +175,28 @@ class Index:
             for row, (at, weights) in zip(rows, some):
                 columns = self.column[at]
                 row[columns[columns >= 0]] = weights[columns >= 0]
-            for i, (bounds, row) in enumerate(zip(rows @ self.maxima.T, rows)):
-                yield self._best(*some[i], row, bounds, -1 if left_out is None else left_out[first + i])
+            # What the common terms can add in a block: by their maxima, and by the lengths of the two vectors.
+            bounds = np.minimum(rows @ self.maxima.T, np.sqrt((rows ** 2).sum(axis=1))[:, None] * self.lengths) + ERROR
+            skips = [-1] * len(some) if left_out is None else left_out[first:first + TOGETHER]
+            looks = [_Look(self, *vector, skip, bound) for vector, skip, bound in zip(some, skips, bounds)]
+            # Vectors that few blocks can be skipped for are multiplied with all examples at once.
+            wide = [i for i, look in enumerate(looks) if WIDE * len(look.open) > len(self.maxima)]
+            products = dict(zip(wide, rows[wide] @ self.common.T)) if wide else {}
+            for i, look in enumerate(looks):
+                yield look.best(rows[i], products.get(i))
 
     def rare_sums(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """What the terms that are not common add to the cosine of every example."""
         rare = self.column[at] < 0
-        begin, end = self.begin[at[rare]], self.end[at[rare]]
-        if not len(begin):
+        begin, number = self.begin[at[rare]], self.number[at[rare]]
+        ends = np.cumsum(number)
+        if not len(ends):
             return np.zeros(len(self.common))
-        parts = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist())]
-        return np.bincount(np.concatenate([self.places[p] for p in parts]),
-                           np.concatenate([self.values[p] for p in parts]) * np.repeat(weights[rare], end - begin),
-                           len(self.common))
-
-    def _best(self, at: np.ndarray, weights: np.ndarray, row: np.ndarray, bounds: np.ndarray, skip: int) -> Vector:
-        sums = self.rare_sums(at, weights)
-        upper = bounds + sums.reshape(-1, BLOCK).max(axis=1, initial=0.0) + ERROR
-        columns = self.column[at]
-        columns, exact = columns[columns >= 0], weights[columns >= 0]
-
-        def cosines(places: np.ndarray) -> np.ndarray:
-            found = sums[places] + (self.common[places[:, None], columns] * exact).sum(axis=1)
-            found[places == skip] = 0.0
-            return found
-
-        # The blocks with the largest bounds give a first last neighbour.
-        blocks = len(upper)
-        ahead = min(blocks, 2 + NEIGHBOURS // BLOCK)
-        promising = np.argpartition(-upper, ahead - 1)[:ahead] if blocks > ahead else np.arange(blocks)
-        places = (promising[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        values = cosines(places)
-        least = np.partition(values, -NEIGHBOURS)[-NEIGHBOURS] if len(values) >= NEIGHBOURS else 0.0
-        open_ = self.open_blocks(upper, least)
-        open_[promising] = False
-        left = np.flatnonzero(open_)
-        if len(left):
-            more = (left[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            product = (self.common @ row)[more] if 4 * len(left) > blocks else self.common[more] @ row
-            more = more[sums[more] + product + ERROR >= least]
-            places, values = np.concatenate([places, more]), np.concatenate([values, cosines(more)])
-        places, values = places[values > 0], values[values > 0]
-        best = np.lexsort((places, -np.round(values, 12)))[:NEIGHBOURS]
-        return places[best], values[best]
+        # All postings of these terms, one list after the other.
+        every = np.arange(ends[-1])
+        every += np.repeat(begin - ends + number, number)
+        some = self.postings.take(every)
+        return np.bincount(some["place"], some["value"] * np.repeat(weights[rare], number), len(self.common))
 
     @staticmethod
     def open_blocks(upper: np.ndarray, least: float) -> np.ndarray:
@@ -243,6 +229,49 @@ class Index:
             yield score, [(int(self.ids[p]), float(c), int(self.labels[p])) for p, c in zip(places, cosines)]
 
 
+class _Look:
+    """One vector's way through the index: what its rarer terms add, and the blocks that are open."""
+
+    def __init__(self, index: Index, at: np.ndarray, weights: np.ndarray, skip: int, bounds: np.ndarray):
+        self.index, self.skip = index, skip
+        self.sums = index.rare_sums(at, weights)
+        columns = index.column[at]
+        self.columns, self.weights = columns[columns >= 0], weights[columns >= 0]
+        upper = bounds + self.sums.reshape(-1, BLOCK).max(axis=1, initial=0.0)
+        # The blocks with the largest bounds give a first last neighbour.
+        ahead = np.argpartition(-upper, AHEAD - 1)[:AHEAD] if len(upper) > AHEAD else np.arange(len(upper))
+        self.places = self.inside(ahead)
+        self.values = self.cosines(self.places)
+        self.least = np.partition(self.values, -NEIGHBOURS)[-NEIGHBOURS] if len(self.values) >= NEIGHBOURS else 0.0
+        still = index.open_blocks(upper, self.least)
+        still[ahead] = False
+        self.open = np.flatnonzero(still)
+
+    @staticmethod
+    def inside(blocks: np.ndarray) -> np.ndarray:
+        return (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+
+    def cosines(self, places: np.ndarray) -> np.ndarray:
+        found = self.sums[places] + self.index.common.take(places, axis=0).take(self.columns, axis=1) @ self.weights
+        found[places == self.skip] = 0.0
+        return found
+
+    def best(self, row: np.ndarray, products: np.ndarray | None) -> Vector:
+        places, values = self.places, self.values
+        if len(self.open):
+            more = self.inside(self.open)
+            near = self.sums[more] + (products[more] if products is not None else self.index.common.take(more, axis=0) @ row)
+            near[more == self.skip] = 0.0
+            least = self.least
+            if len(near) > NEIGHBOURS:  # as many are at least this near
+                least = max(least, np.partition(near, -NEIGHBOURS)[-NEIGHBOURS] - ERROR)
+            more = more[near + ERROR >= least]
+            places, values = np.concatenate([places, more]), np.concatenate([values, self.cosines(more)])
+        places, values = places[values > 0], values[values > 0]
+        best = np.lexsort((places, -np.round(values, 12)))[:NEIGHBOURS]
+        return places[best], values[best]
+
+
 def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Knots of the non-decreasing least-squares fit of labels on votes (pool adjacent violators), smoothed by one half."""
     pools: list[list[float]] = []  # sum of votes, of labels, number
@@ -316,7 +345,9 @@ def score(text: Column, judge: Judge) -> Column:
     def judged_by(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = judge.index()
         for texts in batches:
-            rows = list(known.scores(texts, judge.knots))
+            different = list(dict.fromkeys(texts))  # copies that come together are looked up once
+            found = dict(zip(different, known.scores(different, judge.knots)))
+            rows = [found[text] for text in texts]
             yield pd.DataFrame({"score": [s for s, _ in rows], "predicted": [int(s >= THRESHOLD) for s, _ in rows],
                                 "neighbours": [[{"doc_id": d, "cosine": c, "label": y} for d, c, y in n] for _, n in rows]})
     return judged_by(text)
