@@ -131,6 +131,7 @@ class Index:
         parts = [pickle.loads(b) for b in buckets]
         none = np.zeros(0, np.int64), *[np.zeros(0, np.int32)] * 3, np.zeros(0, np.float32)
         names, seen, with_1, places, values = (np.concatenate(p) for p in zip(none, *parts))
+        del parts
         # The postings stay where they are, bucket after bucket; only the terms are put in order.
         order = np.argsort(names)
         seen = seen.astype(np.int64)
@@ -152,7 +153,7 @@ class Index:
             self.common[self.postings["place"][own], column] = self.postings["value"][own]
         in_blocks = self.common.reshape(blocks, BLOCK, len(chosen))
         self.maxima = in_blocks.max(axis=1, initial=0.0)
-        self.lengths = np.sqrt((in_blocks ** 2).sum(axis=2)).max(axis=1, initial=0.0)
+        self.lengths = np.sqrt(np.einsum("bij,bij->bi", in_blocks, in_blocks)).max(axis=1, initial=0.0)
 
     def vector(self, terms: np.ndarray, times: np.ndarray, left_out: int = -1) -> Vector:
         """(places of the terms in the index, weights) of a text; as if the example `left_out`, itself, were not there."""
@@ -210,23 +211,26 @@ class Index:
 
     def votes(self, texts: Iterable[tuple[np.ndarray, np.ndarray, int]]) -> list[float]:
         """Leave-one-out votes of examples (terms, numbers, place)."""
-        texts = list(texts)
-        vectors = [self.vector(*t) for t in texts]
-        return [self.vote(*n) for n in self.nearest_of(vectors, [t[2] for t in texts])]
+        texts, found = list(texts), []
+        for first in range(0, len(texts), TOGETHER):
+            some = texts[first:first + TOGETHER]
+            found += [self.vote(*n) for n in self.nearest_of([self.vector(*t) for t in some], [t[2] for t in some])]
+        return found
 
     def empty_score(self) -> float:
         """The rate of label 1 among examples without any term, smoothed by the rate of all."""
         empty = self.labels[~self.has_terms]
         return float((empty.sum() + 0.5 * self.all_1 / max(1, self.everyone)) / (len(empty) + 0.5))
 
-    def scores(self, texts: Iterable[str | None], knots: Vector) -> Iterator[tuple[float, list[tuple[int, float, int]]]]:
-        vectors = [self.vector(*hashed(terms_of(text))) for text in texts]
-        for (at, _), (places, cosines) in zip(vectors, self.nearest_of(vectors)):
-            if not len(at):
-                yield self.empty_score(), []
-                continue
-            score = float(np.interp(self.vote(places, cosines), *knots))
-            yield score, [(int(self.ids[p]), float(c), int(self.labels[p])) for p, c in zip(places, cosines)]
+    def scores(self, texts: Sequence[str | None], knots: Vector) -> Iterator[tuple[float, list[tuple[int, float, int]]]]:
+        for first in range(0, len(texts), TOGETHER):
+            vectors = [self.vector(*hashed(terms_of(text))) for text in texts[first:first + TOGETHER]]
+            for (at, _), (places, cosines) in zip(vectors, self.nearest_of(vectors)):
+                if not len(at):
+                    yield self.empty_score(), []
+                    continue
+                score = float(np.interp(self.vote(places, cosines), *knots))
+                yield score, [(int(self.ids[p]), float(c), int(self.labels[p])) for p, c in zip(places, cosines)]
 
 
 class _Look:
