@@ -25,6 +25,9 @@ REPORT_TABLE = f"{ANALYTICS}.dq_report"
 LOG_TABLE = f"{ANALYTICS}.run_log"
 COUNT = T.StructType([T.StructField("n", T.LongType())])
 EVENT_TABLE = f"{ANALYTICS}.event_record"
+RANGES_TABLE = f"{ANALYTICS}.loaded_ranges"
+# Fixed value: what stands for all earlier runs where their fingerprints had to be made again.
+EARLIER = "@earlier"
 
 
 class StepFailed(RuntimeError):
@@ -64,20 +67,25 @@ class LoadRun:
             self.load(spec)
         if not validate:
             return small_frame(self.spark, [], quality.REPORT)
-        today = self._now_column().cast("date")
+        today, started = self._now_column().cast("date"), _now()
         try:
             with self.workspace.active():
-                report = self.validate(specs)
-                dated = report.select(F.lit(self.run_id).alias("run_id"), "*", today.alias("run_date"))
-                self.warehouse.append_report(REPORT_TABLE, dated, ["run_date"])
+                self.warehouse.report_of_run(REPORT_TABLE, self.validate(specs), {
+                    "run_date": self.run_timestamp.date(), "run_id": self.run_id})
         except Exception as error:
-            self._record(specs[-1], runlog.VALIDATE, _now(), None, error)
+            self._record(specs[-1], runlog.VALIDATE, started, None, error)
+        self._record(specs[-1], runlog.VALIDATE, started, None, None)
         # The partition of the day is all that is read of earlier runs' reports.
         written = self.warehouse.table(REPORT_TABLE).where((F.col("run_date") == today) & (F.col("run_id") == self.run_id))
         event = runlog.event_record(runlog.log_rows(self.spark, self.records), written)
-        self.warehouse.append_report(EVENT_TABLE, event, ["year", "quarter"])
+        self.warehouse.report_of_run(EVENT_TABLE, event.drop("year", "quarter", "run_id"),
+                                     self._quarter(self.records[0].start_time))
         return written
 
+    def _quarter(self, moment: datetime.datetime) -> dict[str, int | str]:
+        """The partition of this run in tables that lie by year and quarter."""
+        return {"year": moment.year, "quarter": f"Q{(moment.month + 2) // 3}", "run_id": self.run_id}
+
     # --- one target
 
     def load(self, spec: BuildSpec) -> None:
@@ -89,7 +97,7 @@ class LoadRun:
         return {t: self.warehouse.table(f"{RAW}.{t}") for t in spec.source_tables}
 
     def _read(self, spec: BuildSpec) -> int:
-        self.warehouse.create_table(spec.target)
+        self.warehouse.create_table(spec.target, by_loads=_appends(spec), versions=spec.load_strategy == "scd2")
         sources = self.source_frames(spec)
         if spec.load_strategy == "incremental" and "source_timestamp" in spec.load_options:
             sources[spec.base_table] = self._increment(spec, sources[spec.base_table])
@@ -98,7 +106,7 @@ class LoadRun:
 
     def _increment(self, spec: BuildSpec, source: DataFrame) -> DataFrame:
         """The rows to append; those that came too late go to a staging table of their own."""
-        target, name = self.warehouse.table(spec.target), spec.target.name
+        target, name = self._before(spec), spec.target.name
         ts, source_ts = spec.load_options["timestamp"], spec.load_options["source_timestamp"]
         found = reconcile.choose_correlation(spec, self.sources[spec.base_table], across_runs=True)
         if found is None:
@@ -108,8 +116,36 @@ class LoadRun:
         source = source.alias(spec.base_table.rpartition(".")[2])
         mapper = Mapper(spec, self.registry, self.run_timestamp)
         keys = {m.target_column: mapper.expression(m) for m in found.mappings}
-        self._keep_late(spec, load.older_rows(source, target, ts, keys, source_ts), quality.TEXT_LATE_APPEND)
-        return load.newer_rows(source, target, ts, source_ts, keys)
+        loaded, unit = self._loaded(spec, target, list(keys)), _unit(spec)
+        self._keep_late(spec, load.older_rows(source, target, ts, keys, source_ts, loaded, unit), quality.TEXT_LATE_APPEND)
+        return load.newer_rows(source, target, ts, source_ts, keys, loaded)
+
+    def _before(self, spec: BuildSpec) -> DataFrame:
+        """The target without what this very run has appended to it, in case the run is repeated."""
+        kept = self.warehouse.versioned(spec.target)
+        return kept.rows(without_run=self.run_id) if kept and _appends(spec) else self.warehouse.table(spec.target)
+
+    def _loaded(self, spec: BuildSpec, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """The fingerprints of what earlier runs appended; made again if they are not those of all rows of target."""
+        name, ts = spec.target.name, spec.load_options["timestamp"]
+        if self.warehouse.exists(RANGES_TABLE):
+            stored = self.warehouse.table(RANGES_TABLE).where((F.col("table") == name) & (F.col("run_id") != self.run_id))
+            counted = stored.groupBy("run_id").agg(F.sum(load.ROWS).alias("n")).collect()  # one row per run
+            if sum(r["n"] for r in counted) == target.count():
+                return stored
+            for r in counted:
+                empty = stored.limit(0).drop("table", "run_id")
+                self.warehouse.report_of_run(RANGES_TABLE, empty, {"table": name, "run_id": r["run_id"]})
+        made = materialise(load.fingerprint(target, ts, {k: k for k in keys}, _unit(spec)), "ranges")
+        self.warehouse.report_of_run(RANGES_TABLE, made, {"table": name, "run_id": EARLIER})
+        return made
+
+    def _keep_ranges(self, spec: BuildSpec, staged: DataFrame) -> None:
+        """After an append: the fingerprint of its rows, in the place of that of an earlier try."""
+        found = reconcile.choose_correlation(spec, self.sources[spec.base_table], across_runs=True)
+        if found is not None and "source_timestamp" in spec.load_options:
+            made = load.fingerprint(staged, spec.load_options["timestamp"], {k: k for k in found.target_columns}, _unit(spec))
+            self.warehouse.report_of_run(RANGES_TABLE, made, {"table": spec.target.name, "run_id": self.run_id})
 
     def _keep_late(self, spec: BuildSpec, rows: DataFrame, detail: str) -> None:
         number = self.warehouse.write_staging(late_table(spec), rows)
@@ -140,13 +176,15 @@ class LoadRun:
         return None
 
     def _write(self, spec: BuildSpec) -> int:
-        target = self.warehouse.table(spec.target)
+        target = self._before(spec)
         staged = self.warehouse.table(f"{STAGING}.{spec.staging_table}")
         rows = resolve(spec, staged, self._dimensions(spec), existing=target)
         if spec.load_strategy == "full_load":
             return self.warehouse.replace(spec.target, rows)
-        if spec.load_strategy == "incremental" and "keys" not in spec.load_options:
-            return self.warehouse.append(spec.target, rows)
+        if _appends(spec):
+            written = self.warehouse.append(spec.target, rows, self.run_id)
+            self._keep_ranges(spec, staged)
+            return written
         if any(m.transformation == LOOKUP for m in spec.columns):
             # Both strategies read the batch several times; its lookups should run once.
             rows = materialise(rows, spec.target.name)
@@ -155,14 +193,17 @@ class LoadRun:
         return self._upsert(spec, target, rows)
 
     def _version(self, spec: BuildSpec, target: DataFrame, rows: DataFrame) -> int:
-        """New versions; rows that come too late are kept in a staging table of their own."""
+        """New versions; rows that come too late are kept in a staging table of their own.  Ended versions are not read."""
         options = spec.load_options
         batch = rows.drop(load.HASHDIFF, load.VALID_TO, load.IS_CURRENT)
-        keys = (options["keys"], options["tracked"], load.VALID_FROM)
-        self._keep_late(spec, load.late_rows(target, batch, *keys), quality.TEXT_LATE)
-        return self.warehouse.replace(spec.target, load.apply_versions(
-            target, batch, *keys, close_missing=options.get("close_missing", False),
-            closed_at=self._now_column(), generated=_sequences(spec)))
+        keys, how = options["keys"], (options["keys"], options["tracked"], load.VALID_FROM)
+        current = self.warehouse.open_versions(spec.target)
+        placed = materialise(load.against_current(current, batch, *how), "placed")
+        self._keep_late(spec, load.late_of(placed, batch.columns), quality.TEXT_LATE)
+        changed = load.version_rows(placed, target, *how, generated=_sequences(spec))
+        if options.get("close_missing", False):
+            changed = changed.unionByName(load.ended_versions(current, batch, keys, self._now_column()))
+        return self.warehouse.merge(spec.target, materialise(changed, "versions"), [*keys, load.VALID_FROM])
 
     def _now_column(self) -> Column:
         return F.lit(self.run_timestamp.isoformat(" ")).cast("timestamp_ntz")
@@ -172,23 +213,12 @@ class LoadRun:
         # Several reads follow, so the batch is reduced to one row per key once.
         batch = materialise(load.latest_rows(batch, keys, [order]), "batch")
         batch = load.keep_keys(batch, target, keys, _sequences(spec))
-        parts = list(spec.target.partition_by)
-        if not parts:
-            return self.warehouse.replace(spec.target, load.upsert(target, batch, keys, order, unique=True))
         # Rows can move to another partition, so those of the old versions count as touched too.
-        touched = (batch.select(*parts)
-                   .unionByName(target.join(batch.select(*keys), keys, "left_semi").select(*parts)).distinct())
-        # Bounded by the number of partitions of the target.
-        values = [tuple(r) for r in touched.collect()]
-        wanted = F.broadcast(small_frame(self.spark, values, touched.schema))
-        # The lists prune partitions, the join then picks the exact combinations.
-        for i, p in enumerate(parts):
-            in_list = sorted({v[i] for v in values if v[i] is not None})
-            target = target.where(F.col(p).isin(in_list) | F.col(p).isNull())
-        match = [target[p].eqNullSafe(wanted[p]) for p in parts]
-        affected = target.join(wanted, match, "left_semi")
-        return self.warehouse.replace_partitions(
-            spec.target, load.upsert(affected, batch, keys, order, unique=True), wanted)
+        parts = list(spec.target.partition_by)
+        found = materialise(load.winners(target, batch, keys, order, parts), "winners")
+        old = found.where("_known").select(*[F.col(f"_old_{p}").alias(p) for p in parts])
+        return self.warehouse.merge(spec.target, found.select(batch.columns), keys,
+                                    found.select(*parts).unionByName(old) if parts else None)
 
     # --- checks
 
@@ -273,14 +303,23 @@ class LoadRun:
             runlog.FAILURE if error else runlog.SUCCESS, rows, _step_hash(spec, stage_name), text)
         self.records.append(record)
         try:
-            log = runlog.log_rows(self.spark, [record])
-            begun = runlog.year_and_quarter(self._now_column())
-            self.warehouse.append_report(LOG_TABLE, log.select("*", *begun), ["year", "quarter"])
+            # The first step takes the place of what an earlier try of this run has logged.
+            log = runlog.log_rows(self.spark, [record]).drop("run_id")
+            self.warehouse.report_of_run(LOG_TABLE, log, self._quarter(self.run_timestamp), renew=len(self.records) == 1)
         finally:
             if error:
                 raise StepFailed(f"{spec.target.name}.{stage_name} failed: {text}") from error
 
 
+def _appends(spec: BuildSpec) -> bool:
+    return spec.load_strategy == "incremental" and "keys" not in spec.load_options
+
+
+def _unit(spec: BuildSpec) -> str:
+    """How long a range of time is whose loaded rows have one fingerprint: the load option `range`, or a month."""
+    return spec.load_options.get("range", "month")
+
+
 def _sequences(spec: BuildSpec) -> list[str]:
     return [m.target_column for m in spec.columns if m.transformation == SEQUENCE]
 
