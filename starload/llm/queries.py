@@ -31,12 +31,86 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@query()
+@query(r"""
+WITH RECURSIVE
+     lines AS (
+       SELECT conv_id, turn, place, unnest(raws) AS raw, generate_subscripts(raws, 1) AS pos
+       FROM (SELECT conv_id, turn, row_number() OVER () AS place,
+                    string_split(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), chr(10)) AS raws FROM conversations)),
+     levels AS (
+       SELECT conv_id, turn, place, pos, length(regexp_replace(regexp_extract(raw, '^[\s>]*>\s?'), '[^>]', '', 'g')) AS level,
+              regexp_replace(raw, '^[\s>]*>\s?', '') AS body FROM lines),
+     runs AS (
+       SELECT *, sum(CAST(fresh AS INT)) OVER (PARTITION BY place ORDER BY pos) AS run
+       FROM (SELECT *, coalesce(level <> lag(level) OVER (PARTITION BY place ORDER BY pos), true) AS fresh FROM levels)),
+     passages AS (
+       SELECT conv_id, turn, place, level, run, list(body ORDER BY pos) AS bodies FROM runs GROUP BY ALL),
+     told AS (
+       SELECT place, sum(CASE WHEN level > 0 THEN len(bodies) ELSE 0 END)::BIGINT AS n_quoted_lines,
+              count(*) FILTER (level > 0) AS n_quotes, bool_or(level = 0) AS has_own,
+              trim(coalesce(array_to_string(flatten(list(bodies ORDER BY run) FILTER (level = 0)), chr(10)), ''), chr(10) || ' ') AS own_text
+       FROM passages GROUP BY place),
+     units AS (
+       SELECT conv_id, turn, level, unnest(list_append(bodies, array_to_string(bodies, ' '))) AS unit FROM passages
+       UNION ALL SELECT m.conv_id, m.turn, 0, t.own_text FROM told t
+                 JOIN (SELECT DISTINCT conv_id, turn, place FROM levels) m USING (place) WHERE has_own),
+     normal AS (
+       SELECT DISTINCT conv_id, turn, level, trim(regexp_replace(lower(unit), '\s+', ' ', 'g')) AS unit FROM units
+       WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+     quotes AS (
+       SELECT conv_id, turn, unit, min(level) AS level, length(unit) AS characters
+       FROM normal WHERE level > 0 AND unit <> '' GROUP BY conv_id, turn, unit),
+     found AS (
+       SELECT q.conv_id, q.turn, q.level, q.unit, any_value(q.characters) AS characters, max(o.turn) AS original
+       FROM quotes q JOIN normal o ON o.conv_id = q.conv_id AND o.unit = q.unit AND o.level = 0 AND o.turn < q.turn
+       GROUP BY q.conv_id, q.turn, q.level, q.unit),
+     weights AS (
+       SELECT conv_id, turn, level, original, sum(characters) AS weight, count(*) AS units, max(characters) >= 12 AS long
+       FROM found GROUP BY conv_id, turn, level, original),
+     replies AS (
+       SELECT conv_id, turn, first(original ORDER BY long DESC, level, weight DESC, original DESC)::BIGINT AS reply_to,
+              sum(units)::BIGINT AS n_linked FROM weights GROUP BY conv_id, turn),
+     up AS (
+       SELECT conv_id, turn, reply_to AS thread, 1::BIGINT AS depth FROM replies
+       UNION ALL SELECT up.conv_id, up.turn, r.reply_to, up.depth + 1
+                 FROM up JOIN replies r ON r.conv_id = up.conv_id AND r.turn = up.thread),
+     tops AS (SELECT conv_id, turn, arg_max(thread, depth) AS thread, max(depth) AS depth FROM up GROUP BY conv_id, turn)
+SELECT m.conv_id, m.turn, m.role, CASE WHEN m.text IS NOT NULL THEN told.own_text END AS own_text, told.n_quoted_lines,
+       told.n_quotes, coalesce(r.n_linked, 0) AS n_linked, r.reply_to, coalesce(t.thread, m.turn::BIGINT) AS thread,
+       coalesce(t.depth, 0) AS depth
+FROM (SELECT *, row_number() OVER () AS place FROM conversations) m JOIN told USING (place)
+     LEFT JOIN replies r ON r.conv_id = m.conv_id AND r.turn = m.turn
+     LEFT JOIN tops t ON t.conv_id = m.conv_id AND t.turn = m.turn
+""")
 def op2_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotation.linked_conversations(table(spark, sf_dir, "conversations"))
 
 
-@query()
+#: Reachable over links, the own id included; `links` and `nodes` come before it.
+REACHED_SQL = """
+     reached AS (
+       SELECT id, id AS other FROM nodes
+       UNION SELECT reached.id, links.b FROM reached JOIN links ON links.a = reached.other)
+"""
+
+
+@query(f"""
+WITH RECURSIVE
+     words AS (
+       SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+     sets AS (
+       SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w
+                ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+     grams AS (SELECT doc_id, len(s) AS size, unnest(s) AS gram FROM sets),
+     links AS (
+       SELECT x.doc_id AS a, y.doc_id AS b FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id <> y.doc_id
+       GROUP BY x.doc_id, y.doc_id, x.size, y.size HAVING 100 * count(*) >= 80 * (x.size + y.size - count(*))),
+     nodes AS (SELECT doc_id AS id FROM documents),
+     {REACHED_SQL.strip()}
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN (SELECT id, min(other) AS component_id FROM reached GROUP BY id) ON id = doc_id
+""")
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Shape(words=2))
 
@@ -147,7 +221,21 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(f"""
+WITH RECURSIVE
+     vectors AS (
+       SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+       WHERE label IS NOT NULL AND len(embedding) > 0 AND list_max(list_transform(embedding, lambda x: abs(x))) > 0
+         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     links AS (
+       SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y
+       ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.98),
+     nodes AS (SELECT vec_id AS id FROM embeddings),
+     {REACHED_SQL.strip()},
+     numbers AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT id AS vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id, id = min(other) AS kept
+FROM reached LEFT JOIN numbers ON numbers.a = id GROUP BY id
+""")
 def op12_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
 

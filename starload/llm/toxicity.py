@@ -53,6 +53,8 @@ TOGETHER = 64
 AHEAD, WIDE = 16, 8
 #: More than twice the error of a sum of COMMON products in single precision, for vectors of length 1.
 ERROR = 2 * COMMON * 2.0 ** -23
+#: Rows whose results are held at once.
+PIECE = 1024
 #: The index is made and sent in so many buckets of terms.
 BUCKETS = 16
 THRESHOLD = 0.3
@@ -128,10 +130,17 @@ class Index:
     def __init__(self, buckets: Sequence[bytes], ids: np.ndarray, labels: np.ndarray):
         self.ids, self.labels = ids, labels
         self.all_1, self.everyone = int(labels.sum()), len(labels)
-        parts = [pickle.loads(b) for b in buckets]
-        none = np.zeros(0, np.int64), *[np.zeros(0, np.int32)] * 3, np.zeros(0, np.float32)
-        names, seen, with_1, places, values = (np.concatenate(p) for p in zip(none, *parts))
-        del parts
+        found, squares, postings = [(np.zeros(0, np.int64), *[np.zeros(0, np.int32)] * 2)], np.zeros(len(ids)), []
+        for bucket in buckets:
+            *terms, places, values = pickle.loads(bucket)
+            found.append(terms)
+            squares += np.bincount(places, values.astype(float) ** 2, len(ids))
+            postings.append(np.empty(len(places), [("place", np.int32), ("value", np.float32)]))
+            postings[-1]["place"], postings[-1]["value"] = places, values
+        for part in postings:
+            part["value"] /= np.sqrt(np.maximum(squares, 1e-300))[part["place"]]
+        self.postings = np.concatenate(postings) if postings else np.empty(0, [("place", np.int32), ("value", np.float32)])
+        names, seen, with_1 = (np.concatenate(p) for p in zip(*found))
         # The postings stay where they are, bucket after bucket; only the terms are put in order.
         order = np.argsort(names)
         seen = seen.astype(np.int64)
@@ -139,9 +148,6 @@ class Index:
         self.terms, self.with_1 = names[order], with_1[order]
         self.begin, self.number = (ends - seen)[order], seen[order]  # where a term's postings begin, and how many it has
         self.weight = weights_of(self.number, self.with_1, self.all_1, self.everyone)
-        squares = np.bincount(places, values.astype(float) ** 2, len(ids))
-        self.postings = np.empty(len(places), [("place", np.int32), ("value", np.float32)])
-        self.postings["place"], self.postings["value"] = places, values / np.sqrt(np.maximum(squares, 1e-300))[places]
         self.has_terms = squares > 0
         chosen = np.lexsort((self.terms, -self.number))[:COMMON]
         self.column = np.full(len(self.terms), -1, np.int32)
@@ -344,19 +350,38 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, bound: int = EXAMPLE
     return Judge(index, isotonic(votes["vote"].to_numpy(float), votes["label"].to_numpy(float)))
 
 
+def in_pieces(texts: pd.Series) -> Iterator[tuple[pd.Series, list[str | None]]]:
+    """A batch in pieces whose results are small, each with its different texts: copies that come together count once."""
+    for start in range(0, len(texts), PIECE):
+        some = texts.iloc[start:start + PIECE]
+        yield some, list(dict.fromkeys(some))
+
+
 def score(text: Column, judge: Judge) -> Column:
     @F.pandas_udf(RESULT)
     def judged_by(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = judge.index()
         for texts in batches:
-            different = list(dict.fromkeys(texts))  # copies that come together are looked up once
-            found = dict(zip(different, known.scores(different, judge.knots)))
-            rows = [found[text] for text in texts]
-            yield pd.DataFrame({"score": [s for s, _ in rows], "predicted": [int(s >= THRESHOLD) for s, _ in rows],
-                                "neighbours": [[{"doc_id": d, "cosine": c, "label": y} for d, c, y in n] for _, n in rows]})
+            for some, different in in_pieces(texts):
+                found = dict(zip(different, known.scores(different, judge.knots)))
+                rows = [found[text] for text in some]
+                yield pd.DataFrame({"score": [s for s, _ in rows], "predicted": [int(s >= THRESHOLD) for s, _ in rows],
+                                    "neighbours": [[{"doc_id": d, "cosine": c, "label": y} for d, c, y in n] for _, n in rows]})
     return judged_by(text)
 
 
+def predicted(text: Column, judge: Judge) -> Column:
+    """The label alone."""
+    @F.pandas_udf("int")
+    def predicted_by(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = judge.index()
+        for texts in batches:
+            for some, different in in_pieces(texts):
+                found = dict(zip(different, (int(s >= THRESHOLD) for s, _ in known.scores(different, judge.knots))))
+                yield pd.Series([found[text] for text in some], dtype="int32")
+    return predicted_by(text)
+
+
 def judged(docs: DataFrame, labels: DataFrame, folds: int = 4, remainder: int = 2) -> DataFrame:
     """doc_id, held_out, score, predicted and the neighbours behind it for every row of docs (doc_id, text, any others).
 
@@ -374,5 +399,5 @@ def judged(docs: DataFrame, labels: DataFrame, folds: int = 4, remainder: int =
 def without_toxic(docs: DataFrame, labels: DataFrame, folds: int = 4, remainder: int = 2) -> DataFrame:
     """The rows of docs that are not predicted toxic."""
     judge = fit(docs, labels, fold("doc_id", folds) != remainder)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), score(docs["text"], judge).alias("s"))
-    return rows.where("s.predicted = 0").select("row.*")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), predicted(docs["text"], judge).alias("label"))
+    return rows.where("label = 0").select("row.*")
