@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starload.operators.skew import PLACE
 from starload.scratch import materialise
 
 POSITION = "_position"
@@ -15,17 +16,22 @@ _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
 
-def position_rows(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
+def position_rows(df: DataFrame, order_by: Sequence[str | Column], *, unique: bool = False) -> DataFrame:
     """df in ascending order, NULLs last, cut into ranges, with the range and place of each row.
 
     Rows equal in `order_by` follow the hash of their content, which keeps their
-    order the same on every run and lets many of them be cut into several ranges.
-    The positions hold once the result has been written, and only then: read
-    again from df, the ranges may be cut differently.
+    order the same on every run, and rows that are equal altogether the place where they
+    were written first, so that any number of them can be cut into several
+    ranges.  That takes a write of df, left out if it is said to be `unique` on
+    `order_by`.  The positions hold once the result has been written, and only
+    then: read again from df, the ranges may be cut differently.
     """
+    columns = df.columns
     order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
-    order.append(F.xxhash64(*df.columns))
-    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    if not unique:
+        df = materialise(df.withColumn(PLACE, F.monotonically_increasing_id()), "places")
+        order += [F.xxhash64(*columns), F.col(PLACE)]
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order).select(*columns)
     return ranges.withColumn(POSITION, F.monotonically_increasing_id())
 
 
@@ -47,13 +53,13 @@ def number_positions(written: DataFrame, name: str, after: Column | int = 0) ->
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str | Column], name: str,
-                after: Column | int = 0) -> DataFrame:
+                after: Column | int = 0, *, unique: bool = False) -> DataFrame:
     """Number the rows in ascending order, NULLs last, starting with `after`+1.
 
     The result equals row_number() over the whole table, but no task sees the
-    whole table.
+    whole table.  `unique` is as in `position_rows`.
     """
-    return number_positions(materialise(position_rows(df, order_by), "numbered"), name, after)
+    return number_positions(materialise(position_rows(df, order_by, unique=unique), "numbered"), name, after)
 
 
 def highest(df: DataFrame, key: str) -> Column:

@@ -190,7 +190,7 @@ def keep_keys(batch: DataFrame, target: DataFrame, keys: Sequence[str], generate
     found = materialise(attach(batch, known, keys), "known-keys")
     first = F.col(f"_known_{generated[0]}")
     old = found.where(first.isNotNull()).select(*[F.col(f"_known_{c}").alias(c) if c in generated else c for c in batch.columns])
-    new = number_rows(found.where(first.isNull()).select(batch.columns), [generated[0]], "_number")
+    new = number_rows(found.where(first.isNull()).select(batch.columns), [generated[0]], "_number", unique=True)
     new = new.select(*[(highest(target, c) + F.col("_number")).cast(batch.schema[c].dataType).alias(c) if c in generated
                        else F.col(c) for c in batch.columns])
     return old.unionByName(new)
@@ -274,7 +274,7 @@ def version_rows(placed: DataFrame, target: DataFrame, keys: Sequence[str], trac
             changes = materialise(changes, "changes")
     numbers: dict[str, Column] = {}
     if generated:
-        changes = number_rows(changes, [F.col(f"new.{generated[0]}")], "_number")
+        changes = number_rows(changes, [F.col(f"new.{generated[0]}")], "_number", unique=True)
         numbers = {g: F.col("_number") + highest(target, g) for g in generated}
     ends = target.schema[VALID_TO].dataType
     opened = changes.select(_version(

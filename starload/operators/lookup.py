@@ -8,25 +8,26 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starload.operators.skew import HOT_ROWS, SLICE, Scan, attach, keyed_scan, planned_small, slice_hot_keys
+from starload.operators.skew import HOT_ROWS, LOOK, SLICE, Scan, attach, keyed_scan, planned_small, slice_hot_keys
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[tuple[str, str]], take: Mapping[str, str], *,
            unknown_key: Any = None, unique: str = "trust", hot_rows: int | None = HOT_ROWS,
-           sizes: DataFrame | None = None) -> DataFrame:
+           sizes: DataFrame | None = None, hot: DataFrame | None | object = LOOK) -> DataFrame:
     """Add columns of `dim` to `fact`; every fact row stays, a miss gives `unknown_key` or NULL.
 
     `on` pairs fact columns with dim columns, `take` names result column ->
     dim column.  A NULL fact key never matches.  The dim must be unique on its
     side of `on`; unique='verify' fails the job when it is not.  `sizes` is a
-    frame with the same keys as `fact` that is cheaper to read.
+    frame with the same keys as `fact` that is cheaper to read, `hot` the hot
+    keys if they are known.
     """
     keys = [f for f, _ in on]
     side = dim.select(*[dim[d].alias(f) for f, d in on], *[dim[c].alias(name) for name, c in take.items()])
     side = side.where(_all_set(keys))
     if unique == "verify":
         side = unique_rows(side, keys)
-    joined = attach(fact, side, keys, "left", hot_rows=hot_rows, sizes=sizes)
+    joined = attach(fact, side, keys, "left", hot_rows=hot_rows, sizes=sizes, hot=hot)
     if unknown_key is None:
         return joined
     return joined.withColumns({name: F.coalesce(joined[name], F.lit(unknown_key)) for name in take})

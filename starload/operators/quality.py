@@ -35,6 +35,7 @@ ID_WIDTH = "D-width-{table}.{column}"
 ID_PARSE = "D-parse-{table}.{column}"
 ID_DRIFT = "D-drift-{table}"
 ID_LATE = "D-late-{table}"
+ID_REJECTED = "D-rejected-{table}"
 
 # Texts.  {n} stands for the count that the check computes.
 TEXT_NO_TABLE = "table '{table}' not found in live {label} database"
@@ -66,6 +67,8 @@ TEXT_LATE_APPEND = "{n} row(s) older than the newest loaded row, not appended"
 TEXT_NO_INCREMENT_KEY = "no reliable key: rows at or before the newest loaded moment cannot be told from loaded ones"
 TEXT_NO_BATCH_KEY = "no reliable key: the rows of the batch cannot be found in the target"
 TEXT_NOT_LATE = "no late rows"
+TEXT_REJECTED = "{n} record(s) could not be read"
+TEXT_NOT_REJECTED = "all records read"
 
 REPORT = T.StructType([
     T.StructField("check_id", T.StringType()),
@@ -334,6 +337,13 @@ def check_late(table: str, late: DataFrame, found: str = TEXT_LATE) -> DataFrame
     return _rows(late, ID_LATE.format(table=table), verdict(n > 0, WARN), detail, n)
 
 
+def check_rejected(table: str, rejected: DataFrame) -> DataFrame:
+    """A warning when records of a source could not be read; `rejected` holds them."""
+    n = F.col("n")
+    detail = F.when(n > 0, text(TEXT_REJECTED, n=n)).otherwise(TEXT_NOT_REJECTED)
+    return _rows(rejected.agg(F.count(F.lit(1)).alias("n")), ID_REJECTED.format(table=table), verdict(n > 0, WARN), detail, n)
+
+
 # --- whole tables and reports -------------------------------------------------------
 
 

@@ -64,12 +64,17 @@ def summarise_runs(log: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame
         F.count_if(F.col("status") == FAILURE).alias("failed"))
 
 
+def _loads() -> Column:
+    """Whether a row is a step of a load; checks that ran to their end are logged and are none."""
+    return (F.coalesce(F.col("stage"), F.lit("")) != VALIDATE) | (F.col("status") == FAILURE)
+
+
 def run_status(log: DataFrame) -> DataFrame:
     """Per run: FAIL with its first failed step, else PASS with the number of steps."""
     step = F.struct(F.concat_ws(".", "table", "stage").alias("step"), F.col("error_message").alias("error"))
     failed = F.col("status") == FAILURE
     runs = log.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("steps"), F.count_if(failed).alias("failed"),
+        F.count_if(_loads()).alias("steps"), F.count_if(failed).alias("failed"),
         F.min_by(step, F.when(failed, F.col("seq"))).alias("first"))
     bad = F.col("failed") > 0
     done = F.concat(F.col("steps").cast("string"), F.lit(TEXT_COMPLETED.partition("{n}")[2]))
@@ -100,8 +105,8 @@ def event_record(log: DataFrame, report: DataFrame) -> DataFrame:
     quarter to be partitioned by when written.
     """
     steps = log.groupBy("run_id").agg(
-        F.min("start_time").alias("started"), F.count(F.lit(1)).alias("steps"),
-        F.count_if(F.col("status") == SUCCESS).alias("succeeded"),
+        F.min("start_time").alias("started"), F.count_if(_loads()).alias("steps"),
+        F.count_if((F.col("status") == SUCCESS) & _loads()).alias("succeeded"),
         F.count_if(F.col("status") == FAILURE).alias("failed"))
     checks = roll_up(report, ["run_id"]).withColumnRenamed("status", "validation")
     both = steps.join(checks, "run_id", "left")

@@ -17,6 +17,7 @@ from starload.functions import library as lib
 from starload.functions.registry import FunctionRegistry
 from starload.operators.keys import highest, number_positions, position_rows
 from starload.operators.lookup import lookup, lookup_as_of
+from starload.operators.skew import HOT_ROWS, LOOK, PLACE, dealt_join, hot_keys_of_all, planned_small
 from starload.scratch import materialise
 
 _NUMBER = "_number"
@@ -87,16 +88,40 @@ def _alias(table: str) -> str:
     return table.rpartition(".")[2]
 
 
-def joined_sources(spec: S.BuildSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Base table, joins and filters of a spec; columns can be qualified by table name."""
-    df = sources[spec.base_table].alias(_alias(spec.base_table))
-    for j in spec.joins:
-        df = df.join(sources[j.table].alias(_alias(j.table)), F.expr(j.on), j.how)
+def joined_sources(spec: S.BuildSpec, sources: Mapping[str, DataFrame], hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Base table, joins and filters of a spec; columns can be qualified by table name.
+
+    Joins on columns of the base table that Spark would shuffle have the rows of hot keys
+    dealt to several tasks; the hot keys of all of them come from one sampled count.
+    """
+    base = sources[spec.base_table]
+    df, own = base.alias(_alias(spec.base_table)), _alias(spec.base_table).lower()
+    keys = {}
+    for i, j in enumerate(spec.joins):
+        columns = [one[1] for one, _ in j.equalities if one[0].lower() == own]
+        if (hot_rows is not None and j.how in ("left", "inner", "left_outer") and len(columns) == len(j.equalities)
+                and not planned_small(sources[j.table])):
+            keys[i] = columns
+    hot = dict(zip(keys, hot_keys_of_all(base, list(keys.values()), hot_rows))) if keys else {}
+    for i, j in enumerate(spec.joins):
+        other = sources[j.table].alias(_alias(j.table))
+        if hot.get(i) is None:
+            df = df.join(other, F.expr(j.on), j.how)
+        else:
+            pairs = [(F.col(".".join(one)), F.col(".".join(two))) for one, two in j.equalities]
+            df = dealt_join(df, other, F.expr(j.on), pairs, hot[i], j.how)
     for predicate in spec.filters:
         df = df.where(F.expr(predicate))
     return df
 
 
+def _ordered_by_grain(spec: S.BuildSpec, numbered: S.ColumnMapping) -> bool:
+    """Whether keys are numbered in an order that the declared grain makes unique."""
+    direct = {m.target_column.lower(): m.source_columns[0].lower() for m in spec.columns if m.transformation == S.DIRECT}
+    order = {c.lower() for c in numbered.order_by}
+    return bool(spec.grain) and all(direct.get(c.lower()) in order for c in spec.grain)
+
+
 def _generated(spec: S.BuildSpec) -> list[S.ColumnMapping]:
     return [m for m in spec.columns if m.transformation in (S.GENERATED, S.SEQUENCE)]
 
@@ -124,17 +149,23 @@ def stage(spec: S.BuildSpec, sources: Mapping[str, DataFrame], *,
         return df.select(*columns)
     order = [mapper.source(c).alias(_order_column(i)) for i, c in enumerate(numbered[0].order_by)]
     names = [_order_column(i) for i in range(len(order))]
-    return position_rows(df.select(*columns, *order), names).drop(*names)
+    return position_rows(df.select(*columns, *order), names, unique=_ordered_by_grain(spec, numbered[0])).drop(*names)
 
 
 def resolve(spec: S.BuildSpec, staged: DataFrame, dimensions: Mapping[str, DataFrame], *,
-            existing: DataFrame | None = None, unique: str = "trust", **options) -> DataFrame:
+            existing: DataFrame | None = None, unique: str = "trust", written: bool = False, **options) -> DataFrame:
     """Turn written staging rows into target rows, the columns in declared order.
 
     Dimension keys are looked up and positions become numbers; a SEQUENCE
-    continues after the highest key of `existing`, the current target.
+    continues after the highest key of `existing`, the current target.  The hot
+    keys of all lookups come from one sampled count.  `written` says that
+    `staged` is read from files, so that equal rows can be told apart.
     """
     mapper = Mapper(spec)
+    hot = _hot_lookups(spec, staged, dimensions, options.get("hot_rows", HOT_ROWS))
+    if written and any(h is not None for h in hot.values()):
+        # Where a row was written is its own, however many are equal to it.
+        staged = staged.withColumn(PLACE, F.xxhash64("_metadata.file_path", "_metadata.row_index"))
     df = staged
     numbered = _generated(spec)
     if numbered:
@@ -154,11 +185,22 @@ def resolve(spec: S.BuildSpec, staged: DataFrame, dimensions: Mapping[str, DataF
             df = lookup_as_of(df, dim, on, _lookup_moment(m), take, valid_from=at.valid_from,
                               valid_to=at.valid_to, unknown_key=at.unknown_key, sizes=staged, **options)
         else:
-            df = lookup(df, dim, on, take, unknown_key=at.unknown_key, unique=unique, sizes=staged, **options)
+            df = lookup(df, dim, on, take, unknown_key=at.unknown_key, unique=unique, sizes=staged,
+                        hot=hot.get(m.target_column, LOOK), **options)
         df = df.withColumn(m.target_column, mapper.typed(F.col(m.target_column), m))
     return df.select(*[c.name for c in spec.target.columns])
 
 
+def _hot_lookups(spec: S.BuildSpec, staged: DataFrame, dimensions: Mapping[str, DataFrame],
+                 hot_rows: int | None) -> dict[str, DataFrame | None]:
+    """Hot keys per LOOKUP column whose dimension is not broadcast."""
+    if hot_rows is None:
+        return {}
+    wanted = {m.target_column: [lookup_column(m, i) for i in range(len(m.lookup.on))] for m in spec.columns
+              if m.transformation == S.LOOKUP and not m.lookup.at and not planned_small(dimensions[m.lookup.dimension])}
+    return dict(zip(wanted, hot_keys_of_all(staged, list(wanted.values()), hot_rows)))
+
+
 def build(spec: S.BuildSpec, sources: Mapping[str, DataFrame],
           dimensions: Mapping[str, DataFrame] | None = None, *, existing: DataFrame | None = None,
           registry: FunctionRegistry | None = None, run_timestamp: datetime.datetime | None = None,
@@ -171,4 +213,5 @@ def build(spec: S.BuildSpec, sources: Mapping[str, DataFrame],
     staged = stage(spec, sources, registry=registry, run_timestamp=run_timestamp)
     if _generated(spec):
         staged = materialise(staged, spec.staging_table)
-    return resolve(spec, staged, dimensions or {}, existing=existing, unique=unique, **lookups)
+    return resolve(spec, staged, dimensions or {}, existing=existing, unique=unique,
+                   written=bool(_generated(spec)), **lookups)

@@ -17,6 +17,7 @@ from starload.operators import load, quality, runlog
 from starload.operators.lookup import overlapping_versions
 from starload.plans import reconcile
 from starload.plans.build import Mapper, resolve, stage
+from starload.plans.ingest import check_rejected, rejected_table
 from starload.scratch import Workspace, materialise
 from starload.sources.warehouse import ANALYTICS, RAW, STAGING, Warehouse
 from starload.spec import LOOKUP, SEQUENCE, BuildSpec, SpecError, TableSpec
@@ -157,7 +158,12 @@ class LoadRun:
                 for m in spec.columns if m.transformation == LOOKUP}
 
     def _process(self, spec: BuildSpec) -> int | None:
-        """A dimension that repeats a lookup key, or has two versions for a moment, stops the run."""
+        """What would go wrong in the write stops the run here, where it can be told.
+
+        That is a value longer than its column, a dimension that repeats a lookup
+        key, or one that has two versions for a moment.
+        """
+        self._check_widths(spec)
         dimensions = self._dimensions(spec)
         for m in spec.columns:
             if m.transformation != LOOKUP:
@@ -175,10 +181,19 @@ class LoadRun:
             self.checked.add(told)
         return None
 
+    def _check_widths(self, spec: BuildSpec) -> None:
+        staged = self.warehouse.table(f"{STAGING}.{spec.staging_table}")
+        widths = {c.name: c.width for c in spec.target.columns if c.width and c.name in staged.columns}
+        if widths:
+            wide = quality.check_width(spec.target.name, staged, widths).where(F.col("n") > 0)
+            found = [f"{r['check_id']}: {r['detail']}" for r in wide.collect()]  # one row per column at most
+            if found:
+                raise SpecError("; ".join(found))
+
     def _write(self, spec: BuildSpec) -> int:
         target = self._before(spec)
         staged = self.warehouse.table(f"{STAGING}.{spec.staging_table}")
-        rows = resolve(spec, staged, self._dimensions(spec), existing=target)
+        rows = resolve(spec, staged, self._dimensions(spec), existing=target, written=True)
         if spec.load_strategy == "full_load":
             return self.warehouse.replace(spec.target, rows)
         if _appends(spec):
@@ -227,8 +242,9 @@ class LoadRun:
         checks = []
         for name in dict.fromkeys(t for s in specs for t in s.source_tables):
             declared = self.sources[name]
-            live = self.warehouse.table(f"{RAW}.{name}") if self.warehouse.exists(f"{RAW}.{name}") else None
-            checks.append(quality.check_schema(declared, live, self.spark, "source"))
+            if self.warehouse.exists(f"{STAGING}.{rejected_table(name)}"):
+                checks.append(check_rejected(self.warehouse, name))
+            checks.append(quality.check_schema(declared, self.warehouse.find(f"{RAW}.{name}"), self.spark, "source"))
         loaded = {s.target.name: self.warehouse.table(s.target) for s in specs}
         for spec in specs:
             name, target = spec.target.name, loaded[spec.target.name]
@@ -250,10 +266,13 @@ class LoadRun:
                 checks.append(self.late[name])
             base = self.sources[spec.base_table]
             mapper = Mapper(spec, self.registry, self.run_timestamp)
-            checks.append(reconcile.check_unparsed(spec, self.source_frames(spec), mapper))
+            sources = self.source_frames(spec)
+            if spec.load_strategy != "full_load":
+                sources = reconcile.sources_of_batch(spec, base, sources, staged, mapper)
+            checks.append(reconcile.check_unparsed(spec, sources, mapper))
             if batch is not None:
                 checks.append(reconcile.check_recomputed(
-                    spec, base, self._written_now(spec, batch, staged), self.source_frames(spec), mapper))
+                    spec, base, self._written_now(spec, batch, staged), sources, mapper))
         return quality.union_checks(checks)
 
     def _batch_keys(self, spec: BuildSpec) -> list[str]:
@@ -270,9 +289,12 @@ class LoadRun:
         keys = self._batch_keys(spec)
         if not keys:
             return None
-        if spec.load_strategy == "scd2":
-            target = target.where(load.IS_CURRENT)
         staged = self.warehouse.table(f"{STAGING}.{spec.staging_table}")
+        if spec.load_strategy == "scd2":
+            target = self.warehouse.open_versions(spec.target)
+        elif _appends(spec):
+            ts = spec.load_options["timestamp"]
+            target = target.where(reconcile.not_before(staged, ts, ts, target.schema[ts].dataType))
         return target.join(staged.select(*keys).distinct(), keys, "left_semi").select(target.columns)
 
     def _written_now(self, spec: BuildSpec, batch: DataFrame, staged: DataFrame) -> DataFrame:

@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 from starload.functions.registry import FunctionRegistry
 from starload.operators import load, quality
 from starload.plans import reconcile, star
-from starload.plans.build import build
+from starload.plans.build import Mapper, build
+from starload.plans.ingest import ingest, rejected_table
 from starload.plans.load import LOG_TABLE, REPORT_TABLE, LoadRun, StepFailed
-from starload.plans.star_queries import HISTORY_SQL, history, one, project, query, read
+from starload.plans.star_queries import (
+    BUILD_CUSTOMER_VERSIONS, CUSTOMER_CHANGES, HISTORY_SQL, customer_snapshots, history, one, project, query, read, two_runs,
+)
+from starload.scratch import fresh_path
 from starload.spec import (
     DIRECT, EXPRESSION, LOOKUP, SEQUENCE, UDF, BuildSpec, ColumnMapping, Lookup, TableSpec, column,
 )
@@ -36,27 +40,36 @@ WITH feed AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 11 > 0 THEN o
 """
 
 
-def _feed_runs(spark, sf_dir):
+def _feed_runs(spark, sf_dir, names=("run-0", "run-1", "run-2")):
     """Three runs: two thirds of the orders up to 1998; then all, with ties, missing and older moments; then all again."""
     ordered = F.when(F.col("o_orderkey") % 11 > 0, F.col("o_orderdate"))
     feed = one(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", ordered.alias("ordered"))
     early = F.col("ordered").isNull() | (F.col("ordered") < F.lit("1999-01-01").cast("timestamp_ntz"))
     warehouse = project(spark, sf_dir)
-    for i, rows in enumerate((feed.where("o_orderkey % 3 > 0").where(early), feed, feed)):
+    for i, (name, rows) in enumerate(zip(names, (feed.where("o_orderkey % 3 > 0").where(early), feed, feed))):
         warehouse.replace(ORDER_FEED, rows)
-        run = LoadRun(warehouse, {"order_feed": ORDER_FEED}, FunctionRegistry(), datetime.datetime(2024, 1, 1 + i), f"run-{i}")
+        run = LoadRun(warehouse, {"order_feed": ORDER_FEED}, FunctionRegistry(), datetime.datetime(2024, 1, 1 + i), name)
         run.run([BUILD_ORDER_FEED])
     return warehouse
 
 
-@query(FEED_SQL + """
+FEED_LOADED_SQL = FEED_SQL + """
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, ordered FROM feed, newest
 WHERE o_orderkey % 3 > 0 OR ordered IS NULL OR ordered >= newest.moment
-""")
+"""
+
+
+@query(FEED_LOADED_SQL)
 def load_incremental_run(spark, sf_dir):
     return _feed_runs(spark, sf_dir).table(BUILD_ORDER_FEED.target)
 
 
+@query(FEED_LOADED_SQL)
+def load_append_repeated(spark, sf_dir):
+    """The second run is done twice under its own name, as after a driver that was lost behind the write."""
+    return _feed_runs(spark, sf_dir, ("run-0", "run-1", "run-1")).table(BUILD_ORDER_FEED.target)
+
+
 @query(FEED_SQL + """,
      late AS (SELECT count(*) AS n FROM feed, newest WHERE o_orderkey % 3 = 0 AND ordered < newest.moment),
      fresh AS (SELECT count(*) AS n FROM feed, newest
@@ -209,3 +222,133 @@ def dq_missing_table(spark, sf_dir):
     customer = one(spark, sf_dir, "customer")
     return quality.union_checks([quality.check_schema(ORDER_FEED, None, spark),
                                  quality.check_row_count("customer", customer, customer)])
+
+
+# --- reconciliation of batches --------------------------------------------------------
+
+
+@query("""
+WITH n AS (SELECT count(*) FILTER (c_acctbal < 8000) AS first, count(*) FILTER (c_acctbal >= 0) AS second,
+                  count(*) FILTER (c_acctbal >= 0 AND (c_acctbal >= 8000 OR c_mktsegment = 'BUILDING')) AS changed FROM customer),
+     runs AS (SELECT 'run-0' AS run_id, first AS staged, first AS opened FROM n
+              UNION ALL SELECT 'run-1', second, changed FROM n)
+SELECT run_id, 'D-rowcount-dim_customer_versions' AS check_id, 'PASS' AS status,
+       'staging=' || staged || ', target=' || staged AS detail, CAST(0 AS BIGINT) AS n FROM runs
+UNION ALL SELECT run_id, 'D-late-dim_customer_versions', 'PASS', 'no late rows', 0 FROM runs
+UNION ALL SELECT run_id, 'D-udf-dim_customer_versions.customer_dk', 'PASS',
+       '0/' || opened || ' row(s) mismatch re-invoking udf_generate_dk(...)', 0 FROM runs
+UNION ALL SELECT run_id, 'D-udf-dim_customer_versions.hashdiff', 'PASS',
+       '0/' || opened || ' row(s) mismatch re-invoking udf_hashdiff(...)', 0 FROM runs
+""")
+def dq_reconcile_scd2(spark, sf_dir):
+    batches = [b.drop("seen_at") for b in customer_snapshots(spark, sf_dir)]
+    warehouse = two_runs(spark, sf_dir, CUSTOMER_CHANGES, batches, [], BUILD_CUSTOMER_VERSIONS, validate=True)
+    report = warehouse.table(REPORT_TABLE)
+    return report.where("check_id RLIKE '^D-(rowcount|late|udf)-'").select("run_id", "check_id", "status", "detail", "n")
+
+
+BUILD_CUSTOMER_NAMES = BuildSpec(
+    TableSpec("analytics", "customer_names", (
+        column("customer_bk", "TEXT", pk=True), column("full_name", "TEXT"), column("seen", "DATE"))), ("customer",),
+    (ColumnMapping("customer_bk", UDF, "c_custkey", udf="udf_calculate_patient_bk"),
+     ColumnMapping("full_name", UDF, ("c_name", "c_mktsegment"), udf="udf_full_name"),
+     ColumnMapping("seen", EXPRESSION, expression="DATE'2024-01-01'")),
+    "incremental", load_options={"keys": ["customer_bk"], "timestamp": "seen"})
+
+
+@query("""
+WITH n AS (SELECT count(*) AS batch, count(*) FILTER (c_custkey % 3 = 0) AS wrong FROM customer WHERE c_custkey % 4 = 0)
+SELECT 'D-udf-customer_names.customer_bk' AS check_id, 'data' AS category, 'PASS' AS status,
+       '0/' || batch || ' row(s) mismatch re-invoking udf_calculate_patient_bk(...)' AS detail, CAST(0 AS BIGINT) AS n FROM n
+UNION ALL SELECT 'D-udf-customer_names.full_name', 'data', CASE WHEN wrong > 0 THEN 'FAIL' ELSE 'PASS' END,
+       wrong || '/' || batch || ' row(s) mismatch re-invoking udf_full_name(...)', wrong FROM n
+""")
+def dq_recompute_function_key(spark, sf_dir):
+    """A batch of every fourth customer, found in source and target by a function of the source's key."""
+    sources = read(spark, sf_dir, "customer")
+    staged = build(BUILD_CUSTOMER_NAMES, {"customer": sources["customer"].where("c_custkey % 4 = 0")})
+    wrong = F.when(F.col("customer_bk").cast("long") % 3 == 0, "wrong").otherwise(F.col("full_name"))
+    loaded = build(BUILD_CUSTOMER_NAMES, sources).withColumn("full_name", wrong)
+    batch = loaded.join(staged.select("customer_bk"), "customer_bk", "left_semi")
+    base = star.RAW_TABLES["customer"]
+    reduced = reconcile.sources_of_batch(BUILD_CUSTOMER_NAMES, base, sources, staged, Mapper(BUILD_CUSTOMER_NAMES))
+    return reconcile.check_recomputed(BUILD_CUSTOMER_NAMES, base, batch, reduced)
+
+
+# --- records that cannot be read, tables that are not there, reset ----------------------
+
+ORDER_TEXT = TableSpec("raw", "order_text", (
+    column("o_orderkey", "BIGINT", pk=True), column("o_custkey", "BIGINT"), column("ordered", "DATE")))
+
+
+def _ingested(spark, sf_dir, lines, format: str):
+    """What became of the lines of a text file: rows of the source table, and the rejected texts."""
+    warehouse, path = project(spark, sf_dir), fresh_path(spark, format, owned=True)
+    one(spark, sf_dir, "orders").select(lines.alias("value")).write.text(path)
+    report = ingest(warehouse, ORDER_TEXT, path, format)
+    rejected = warehouse.table(f"staging.{rejected_table('order_text')}")
+    told = report.select(F.concat_ws(" ", "check_id", "status", "detail").alias("text"))
+    return (warehouse.table(ORDER_TEXT).withColumn("text", F.lit(None).cast("string"))
+            .unionByName(rejected.select("text"), allowMissingColumns=True)
+            .unionByName(told, allowMissingColumns=True))
+
+
+@query("""
+WITH lines AS (SELECT *, o_orderkey % 50 = 0 AS bad, CAST(o_orderdate AS DATE) AS ordered FROM orders)
+SELECT o_orderkey, o_custkey, ordered, NULL::VARCHAR AS text FROM lines WHERE NOT bad
+UNION ALL SELECT NULL, NULL, NULL, 'key ' || o_orderkey || ',' || o_custkey || ',' || ordered FROM lines WHERE bad
+UNION ALL SELECT NULL, NULL, NULL, 'D-rejected-order_text WARN ' || count(*) || ' record(s) could not be read' FROM lines WHERE bad
+""")
+def source_csv_rejected(spark, sf_dir):
+    """Every fiftieth line has a text where its number should be."""
+    key = F.when(F.col("o_orderkey") % 50 == 0, F.concat(F.lit("key "), "o_orderkey")).otherwise(F.col("o_orderkey").cast("string"))
+    return _ingested(spark, sf_dir, F.concat_ws(",", key, "o_custkey", F.to_date("o_orderdate")), "csv")
+
+
+@query("""
+WITH lines AS (SELECT *, o_orderkey % 40 = 0 AS bad, CAST(o_orderdate AS DATE) AS ordered FROM orders)
+SELECT o_orderkey, o_custkey, ordered, NULL::VARCHAR AS text FROM lines WHERE NOT bad
+UNION ALL SELECT NULL, NULL, NULL, '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"ordered":"' || ordered || '"'
+FROM lines WHERE bad
+UNION ALL SELECT NULL, NULL, NULL, 'D-rejected-order_text WARN ' || count(*) || ' record(s) could not be read' FROM lines WHERE bad
+""")
+def source_json_rejected(spark, sf_dir):
+    """Every fortieth line ends before its closing brace."""
+    line = F.to_json(F.struct("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("ordered")))
+    cut = F.substring(line, F.lit(1), F.length(line) - F.when(F.col("o_orderkey") % 40 == 0, 1).otherwise(0))
+    return _ingested(spark, sf_dir, cut, "json")
+
+
+@query("""
+SELECT 'S-source-customer' AS check_id, 'schema' AS category, 'FAIL' AS status,
+       'table ''customer'' not found in live source database' AS detail, CAST(1 AS BIGINT) AS n
+UNION ALL SELECT 'D-rowcount-orders', 'data', 'PASS', 'staging=' || count(*) || ', target=' || count(*), 0 FROM orders
+""")
+def dq_absent_table(spark, sf_dir):
+    """A table that was there and is dropped: the check looks it up in the live namespace."""
+    warehouse = project(spark, sf_dir)
+    spark.sql(f"DROP TABLE {warehouse.name('raw.customer')}")
+    orders = warehouse.find("raw.orders")
+    return quality.union_checks([
+        quality.check_schema(star.RAW_TABLES["customer"], warehouse.find("raw.customer"), spark, "source"),
+        quality.check_row_count("orders", one(spark, sf_dir, "orders"), orders)])
+
+
+@query("""
+SELECT 'before' AS moment, true AS dimension, true AS staging, (SELECT count(*) FROM orders) AS orders
+UNION ALL SELECT 'after', false, false, (SELECT count(*) FROM orders)
+""")
+def sink_reset(spark, sf_dir):
+    """A reset of staging and analytics: their tables are gone, those of the source are untouched."""
+    warehouse = project(spark, sf_dir)
+    run = LoadRun(warehouse, star.RAW_TABLES, FunctionRegistry(), star.RUN_TS, "run-1")
+    run.run([star.BUILD_DIM_CUSTOMER_IN_CREDIT], validate=False)
+    spec = star.BUILD_DIM_CUSTOMER_IN_CREDIT
+
+    def seen(moment: str):
+        return warehouse.table("raw.orders").agg(F.count(F.lit(1)).alias("orders")).select(
+            F.lit(moment).alias("moment"), F.lit(warehouse.exists(spec.target)).alias("dimension"),
+            F.lit(warehouse.exists(f"staging.{spec.staging_table}")).alias("staging"), "orders")
+    before = seen("before")
+    warehouse.reset(["staging", "analytics"])
+    return before.unionByName(seen("after"))

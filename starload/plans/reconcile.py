@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from starload import spec as S
 from starload.local import small_frame
@@ -29,6 +30,41 @@ def check_unparsed(spec: S.BuildSpec, sources: Mapping[str, DataFrame], mapper:
     return quality.check_parsed(spec.target.name, source, parsed)
 
 
+# --- the part of the sources that a batch came from ---------------------------------
+
+
+def not_before(staged: DataFrame, ts: str, name: str, kind: T.DataType) -> Column:
+    """Whether a moment is not before the first one of a batch, or missing; a constant that reaches the scan."""
+    instant = isinstance(staged.schema[ts].dataType, T.TimestampType)  # travels as a number, whatever the time zone
+    first = staged.agg(F.unix_micros(F.min(ts)) if instant else F.min(ts).cast("string")).first()[0]
+    if first is None:
+        return F.col(name).isNull()
+    least = F.timestamp_micros(F.lit(first)) if instant else F.lit(first).cast(staged.schema[ts].dataType)
+    return (F.col(name) >= least.cast(kind)) | F.col(name).isNull()
+
+
+def sources_of_batch(spec: S.BuildSpec, base_spec: S.TableSpec, sources: Mapping[str, DataFrame], staged: DataFrame,
+                     mapper: Mapper) -> dict[str, DataFrame]:
+    """The sources of a spec, of its base table only the rows that the staged batch came from.
+
+    They are found by the keys of the batch with a semi-join before anything
+    else moves: a small batch is broadcast, for a larger one Spark filters the scan
+    with a Bloom filter of its own.  Of an append, whose batch begins at a
+    moment, earlier partitions and row groups are not read at all.
+    """
+    found = choose_correlation(spec, base_spec)
+    if found is None:
+        return dict(sources)
+    base = sources[spec.base_table]
+    if "source_timestamp" in spec.load_options:
+        ts, name = spec.load_options["timestamp"], spec.load_options["source_timestamp"]
+        base = base.where(not_before(staged, ts, name, base.schema[name].dataType))
+    marks = staged.select(*[F.col(c).alias(f"_batch_{i}") for i, c in enumerate(found.target_columns)])
+    alias = spec.base_table.rpartition(".")[2]
+    same = reduce(Column.__and__, [mapper.expression(m) == F.col(f"_batch_{i}") for i, m in enumerate(found.mappings)])
+    return {**sources, spec.base_table: base.alias(alias).join(marks, same, "left_semi")}
+
+
 # --- recomputation ---------------------------------------------------------------
 
 

@@ -302,21 +302,21 @@ def udf_sql_functions(spark, sf_dir):
 
 @query("SELECT * FROM orders")
 def source_csv_typed(spark, sf_dir):
-    path = fresh_path(spark, "orders-csv")
+    path = fresh_path(spark, "orders-csv", owned=True)
     one(spark, sf_dir, "orders").write.csv(path, header=True)
     return readers.read_csv(spark, path, star.ORDERS)
 
 
 @query("SELECT * FROM events")
 def source_json_typed(spark, sf_dir):
-    path = fresh_path(spark, "events-json")
+    path = fresh_path(spark, "events-json", owned=True)
     one(spark, sf_dir, "events").write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
     return readers.read_json(spark, path, star.EVENTS)
 
 
 def project(spark: SparkSession, sf_dir: str) -> Warehouse:
     """A warehouse of its own with the raw tables attached."""
-    root = fresh_path(spark, "project")
+    root = fresh_path(spark, "project", owned=True)
     warehouse = Warehouse(spark, root, prefix=f"p{root[-12:]}_")
     warehouse.create_namespaces()
     for name in star.RAW_TABLES:
@@ -486,14 +486,14 @@ BUILD_ORDER_STATE = BuildSpec(
     "incremental", load_options={"keys": ["order_id"], "timestamp": "updated"})
 
 
-def _two_runs(spark, sf_dir, changes: TableSpec, batches, parents, spec):
+def two_runs(spark, sf_dir, changes: TableSpec, batches, parents, spec, *, validate: bool = False):
     """A warehouse after one run per batch of changes."""
     warehouse = project(spark, sf_dir)
     for i, batch in enumerate(batches):
         warehouse.replace(changes, batch)
         run = LoadRun(warehouse, {**star.RAW_TABLES, changes.name: changes}, FunctionRegistry(),
                       datetime.datetime(2024 + i, 1, 1), f"run-{i}")
-        run.run([*(parents if i == 0 else []), spec], validate=False)
+        run.run([*(parents if i == 0 else []), spec], validate=validate)
     return warehouse
 
 
@@ -506,14 +506,14 @@ FROM s JOIN orders USING (o_orderkey) LEFT JOIN dim ON dim.customer_id = orders.
 def load_upsert_partitions(spark, sf_dir):
     owners = one(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     batches = [b.join(owners, "o_orderkey") for b in _upsert_input(spark, sf_dir)]
-    warehouse = _two_runs(spark, sf_dir, ORDER_CHANGES, batches, [star.BUILD_DIM_CUSTOMER_IN_CREDIT], BUILD_ORDER_STATE)
+    warehouse = two_runs(spark, sf_dir, ORDER_CHANGES, batches, [star.BUILD_DIM_CUSTOMER_IN_CREDIT], BUILD_ORDER_STATE)
     return warehouse.table(ORDER_STATE)
 
 
 SEGMENT_CHANGE_SQL = "CASE WHEN c_mktsegment = 'BUILDING' THEN 'CONSTRUCTION' ELSE c_mktsegment END"
 
 
-def _customer_snapshots(spark, sf_dir):
+def customer_snapshots(spark, sf_dir):
     """Customers below 8000 in 2024; all but those in debt in 2025, a segment renamed."""
     customer = one(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     renamed = F.when(F.col("c_mktsegment") == "BUILDING", "CONSTRUCTION").otherwise(F.col("c_mktsegment"))
@@ -540,7 +540,7 @@ SELECT c_custkey, c_name, c_mktsegment, md5(c_name || '|' || c_mktsegment) AS ha
 FROM ({SCD2_SQL})
 """)
 def load_scd2_batch(spark, sf_dir):
-    first, second = _customer_snapshots(spark, sf_dir)
+    first, second = customer_snapshots(spark, sf_dir)
     keys, tracked = ["c_custkey"], ["c_name", "c_mktsegment"]
     target = load.initial_versions(first, keys, tracked, "seen_at")
     return load.apply_versions(target, second, keys, tracked, "seen_at")
@@ -570,8 +570,8 @@ SELECT md5(c_custkey || '|' || strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f')) AS
 FROM ({SCD2_SQL})
 """)
 def load_scd2_run(spark, sf_dir):
-    batches = [b.drop("seen_at") for b in _customer_snapshots(spark, sf_dir)]
-    warehouse = _two_runs(spark, sf_dir, CUSTOMER_CHANGES, batches, [], BUILD_CUSTOMER_VERSIONS)
+    batches = [b.drop("seen_at") for b in customer_snapshots(spark, sf_dir)]
+    warehouse = two_runs(spark, sf_dir, CUSTOMER_CHANGES, batches, [], BUILD_CUSTOMER_VERSIONS)
     return warehouse.table(BUILD_CUSTOMER_VERSIONS.target)
 
 
@@ -582,7 +582,7 @@ SELECT change, count(*) AS n FROM (
 GROUP BY change
 """)
 def load_scd2_changes(spark, sf_dir):
-    first, second = _customer_snapshots(spark, sf_dir)
+    first, second = customer_snapshots(spark, sf_dir)
     keys, tracked = ["c_custkey"], ["c_name", "c_mktsegment"]
     target = load.initial_versions(first, keys, tracked, "seen_at")
     return load.compare_versions(target, second, keys, tracked, "seen_at").groupBy("change").agg(
@@ -594,7 +594,7 @@ SELECT c_custkey, c_name, 'CONSTRUCTION' AS c_mktsegment, TIMESTAMP '2023-01-01'
 FROM customer WHERE c_acctbal >= 0 AND c_acctbal < 8000 AND c_mktsegment = 'BUILDING'
 """)
 def load_scd2_late(spark, sf_dir):
-    first, second = _customer_snapshots(spark, sf_dir)
+    first, second = customer_snapshots(spark, sf_dir)
     keys, tracked = ["c_custkey"], ["c_name", "c_mktsegment"]
     target = load.initial_versions(first, keys, tracked, "seen_at")
     old = second.withColumn("seen_at", F.lit("2023-01-01").cast("timestamp_ntz"))
@@ -806,7 +806,7 @@ SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey,
 FROM a FULL OUTER JOIN b ON a.c_custkey = b.c_custkey WHERE a.h IS DISTINCT FROM b.h
 """)
 def dq_drift(spark, sf_dir):
-    first, second = _customer_snapshots(spark, sf_dir)
+    first, second = customer_snapshots(spark, sf_dir)
     return quality.drift(first, second, ["c_custkey"], ["c_name", "c_mktsegment"])
 
 
@@ -818,7 +818,7 @@ FROM (SELECT count(*) FILTER (c_acctbal < 0) AS m, count(*) FILTER (c_acctbal >=
              count(*) FILTER (c_acctbal >= 0 AND c_acctbal < 8000 AND c_mktsegment = 'BUILDING') AS c FROM customer)
 """)
 def dq_drift_check(spark, sf_dir):
-    first, second = _customer_snapshots(spark, sf_dir)
+    first, second = customer_snapshots(spark, sf_dir)
     return quality.check_drift("customer", first, second, ["c_custkey"], ["c_name", "c_mktsegment"])
 
 

@@ -18,6 +18,7 @@ from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starload.classic import hadoop, is_alive
 
 _local_folders: list[str] = []
 
@@ -36,9 +37,12 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_folders[0]
 
 
-def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing has been written to yet."""
-    return f"{scratch_root(spark)}/starload/{label}-{uuid.uuid4().hex}"
+def fresh_path(spark: SparkSession, label: str, *, owned: bool = False) -> str:
+    """A path under the shared folder that nothing has been written to yet; an `owned` one goes when the driver ends."""
+    path = f"{scratch_root(spark)}/starload/{label}-{uuid.uuid4().hex}"
+    if owned:
+        _of_driver(spark).paths.append(path)
+    return path
 
 
 class Workspace:
@@ -73,13 +77,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    owner = _active.get()
-    if owner is None:
-        owner = _owners.get(spark)
-        if owner is None:
-            owner = _owners[spark] = Workspace(spark)
-            atexit.register(_forget, owner)
-    owner.paths.append(path)
+    (_active.get() or _of_driver(spark)).paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -87,10 +85,18 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 _owners: weakref.WeakKeyDictionary[SparkSession, Workspace] = weakref.WeakKeyDictionary()
 
 
+def _of_driver(spark: SparkSession) -> Workspace:
+    """What is kept until the driver ends."""
+    if spark not in _owners:
+        _owners[spark] = Workspace(spark)
+        atexit.register(_forget, _owners[spark])
+    return _owners[spark]
+
+
 def _forget(owner: Workspace) -> None:
     """At the end of the driver, as long as Spark is still there to delete with."""
     with contextlib.suppress(Exception):
-        if owner.spark.sparkContext._jsc is not None:
+        if is_alive(owner.spark):
             owner.close()
 
 
@@ -107,15 +113,10 @@ def workspace(spark: SparkSession) -> Iterator[Workspace]:
 
 def remove(spark: SparkSession, paths: Sequence[str]) -> None:
     for path in paths:
-        place, files = _hadoop(spark, path)
+        place, files = hadoop(spark, path)
         files.delete(place, True)
 
 
 def list_folders(spark: SparkSession, path: str) -> list[str]:
-    place, files = _hadoop(spark, path)
+    place, files = hadoop(spark, path)
     return [f.getPath().toString() for f in files.listStatus(place)] if files.exists(place) else []
-
-
-def _hadoop(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from starload.spec import TableSpec
 
-CORRUPT = "_corrupt_record"
+CORRUPT, FILE = "_corrupt_record", "_file"
 
 
 def typed(df: DataFrame, spec: TableSpec, *, try_cast: bool = False) -> DataFrame:
@@ -41,6 +41,29 @@ def read_json(spark: SparkSession, path: str | list[str], spec: TableSpec, *,
     return spark.read.schema(_plain(spec)).options(**options).json(path, mode=mode)
 
 
+def read_parsed(spark: SparkSession, path: str | list[str], spec: TableSpec, format: str, **options: str) -> DataFrame:
+    """Records of text files (csv or json), also those that cannot be parsed.
+
+    The declared columns, `_corrupt_record` (the whole text of a record that does
+    not fit, else NULL) and `_file`.  To be written before it is split: what of a
+    record is parsed depends on the columns that a query asks for.
+    """
+    schema = T.StructType(_plain(spec).fields + [T.StructField(CORRUPT, T.StringType())])
+    df = spark.read.format(format).schema(schema).options(**options).load(
+        path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    return df.select("*", F.col("_metadata.file_path").alias(FILE))
+
+
+def rejected(parsed: DataFrame) -> DataFrame:
+    """(file, text) of the records that do not fit."""
+    return parsed.where(F.col(CORRUPT).isNotNull()).select(F.col(FILE).alias("file"), F.col(CORRUPT).alias("text"))
+
+
+def accepted(parsed: DataFrame) -> DataFrame:
+    """The records that fit, with the declared columns."""
+    return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT, FILE)
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, spec: TableSpec, *, partition_column: str,
               lower: str | int, upper: str | int, partitions: int, fetch_size: int = 10_000,
               **options: str) -> DataFrame:

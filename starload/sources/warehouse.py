@@ -66,7 +66,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str | None = None, prefix: str = "", merger: Merger | None = None) -> None:
         self.spark = spark
         self.merger = merger
-        self.root = (root or fresh_path(spark, "warehouse")).rstrip("/")
+        self.root = (root or fresh_path(spark, "warehouse", owned=True)).rstrip("/")
         self.prefix = prefix
 
     # --- names and definitions
@@ -113,6 +113,10 @@ class Warehouse:
     def table(self, table: TableSpec | str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def find(self, table: TableSpec | str) -> DataFrame | None:
+        """The table, or None if there is none of that name."""
+        return self.table(table) if self.exists(table) else None
+
     # --- writing
 
     def replace(self, spec: TableSpec, df: DataFrame) -> int:

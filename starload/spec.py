@@ -311,14 +311,39 @@ class ColumnMapping:
         return None if present else f"{self.transformation} needs {what}"
 
 
+_COLUMN = r"`?(\w+)`?\.`?(\w+)`?"
+
+
 @dataclass(frozen=True)
 class Join:
-    """One more source table; `on` is a Spark SQL predicate over qualified columns."""
+    """One more source table; `on` is a Spark SQL predicate over qualified columns.
+
+    It has at least one equality of two columns among the conditions that AND
+    joins: without one, every row would be held against every other.
+    """
 
     table: str
     on: str
     how: str = "left"
 
+    def __post_init__(self) -> None:
+        if not self.equalities:
+            raise SpecError(f"join of {self.table}: no equality of a column of each table in {self.on!r}")
+
+    @property
+    def equalities(self) -> list[tuple[tuple[str, str], tuple[str, str]]]:
+        """((table, column), (table, column)) of every equality, the joined table on the right."""
+        mine, found = self.table.rpartition(".")[2].lower(), []
+        for condition in re.split(r"\band\b", self.on, flags=re.IGNORECASE):
+            match = re.fullmatch(rf"[\s(]*{_COLUMN}\s*(?:<=>|==?)\s*{_COLUMN}[\s)]*", condition)
+            if match:
+                one, other = (match[1], match[2]), (match[3], match[4])
+                if other[0].lower() != mine:
+                    one, other = other, one
+                if other[0].lower() == mine and one[0].lower() != mine:
+                    found.append((one, other))
+        return found
+
 
 @dataclass(frozen=True)
 class BuildSpec:

@@ -79,7 +79,7 @@ def test_full_load(warehouse):
     log = warehouse.table(LOG_TABLE)
     assert [(r["table"], r["stage"], r["rows_affected"]) for r in log.orderBy("seq").collect()] == [
         ("dim_person", "read", 3), ("dim_person", "process", None), ("dim_person", "write", 3),
-        ("fact_visit", "read", 3), ("fact_visit", "process", None), ("fact_visit", "write", 3)]
+        ("fact_visit", "read", 3), ("fact_visit", "process", None), ("fact_visit", "write", 3), ("fact_visit", "validate", None)]
     assert rows(runlog.run_status(log)) == [("r1", "PASS", "6 step(s) completed successfully", 6, 0)]
     event = warehouse.table(EVENT_TABLE).first()
     assert (event["run_id"], event["steps"], event["validation"], event["checks"]) == ("r1", 6, "FAIL", report.count())
