@@ -222,7 +222,8 @@ def learnt_rows(docs: DataFrame, usable: Column, bound: int = EXAMPLES) -> DataF
     first = Window.partitionBy("lang").orderBy("order")
     last = (known.select("lang", "order").distinct().withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= bound)
             .groupBy("lang").agg(F.max("order").alias("last")))
-    return materialise(known.join(last, "lang").where(F.col("order") <= F.col("last")).dropDuplicates(["lang", "order"])
+    # One row per language, of which the network has an output each: no text moves to find the sample.
+    return materialise(known.join(F.broadcast(last), "lang").where(F.col("order") <= F.col("last")).dropDuplicates(["lang", "order"])
                        .drop("last"), "learnt")
 
 
