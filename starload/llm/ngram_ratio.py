@@ -14,8 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starload.llm.common import spark_words
+from starload.scratch import materialise
 
 BUCKETS = 1 << 13
+#: Up to so many ids of trusted documents are broadcast, so that no text moves; more are joined by a shuffle.
+SMALL = 2_000_000
 #: Least mean log ratio per n-gram.
 THRESHOLD = -0.15
 #: Fixed values of the contract.
@@ -100,7 +103,9 @@ def bucket_counts(docs: DataFrame, buckets: int, name: str) -> DataFrame:
 
 def ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """One row with `ratios`, the log ratio of every bucket: trusted against all, both smoothed by one."""
-    mine = docs.select("doc_id", "text").join(trusted, "doc_id", "left_semi")
+    ids = materialise(trusted, "trusted")
+    ids = F.broadcast(ids) if ids.count() <= SMALL else ids
+    mine = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     filled = every
     for rows, name in ((docs, "n_all"), (mine, "n_trusted")):

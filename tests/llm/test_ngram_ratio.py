@@ -41,7 +41,9 @@ def test_base_columns_against_plain_python(docs, labels):
     assert [tuple(r) for r in got] == [base(t) for t in texts]
 
 
-def test_ratio_against_plain_python(docs, labels, spark):
+@pytest.mark.parametrize("small", [ngram_ratio.SMALL, 0])
+def test_ratio_against_plain_python(docs, labels, spark, monkeypatch, small):
+    monkeypatch.setattr(ngram_ratio, "SMALL", small)
     rows = [(i, " ".join(prose(i % 17, 12 + i))) for i in range(40)] + [(None, "no id here"), (3, "again")]
     marks = [(i, int(i % 3 == 0), 0) for i in range(30)] + [(None, 1, 0), (6, None, None), (9, 1, 0)]
     got = {r.doc_id: r for r in judged(docs(rows), labels(marks), buckets=64).collect() if r.doc_id != 3}
