@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 from collections.abc import Callable
 
@@ -53,6 +55,14 @@ def shared(spark: SparkSession, value: object) -> Callable[[], object]:
     return lambda: pickle.loads(packed.value)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system, where the C library can: a worker lives on after its task."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def spark_words(text: str | Column) -> Column:
     """The words of a text as an array; empty for a NULL text or one without words."""
     column = F.col(text) if isinstance(text, str) else text

@@ -300,8 +300,10 @@ def drop_near_duplicates(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
         place = f"_{place}"
     rows = materialise(docs.withColumn(place, F.monotonically_increasing_id()), "rows")
     found = near_duplicates(rows.select(F.col(place).alias("doc_id"), "text"), shape)
-    found = found.select(F.col("doc_id").alias(place), "component_id")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.sha2("text", 256).alias("text"), place))
-    kept = (rows.select(place, "doc_id", "text").join(found, place).groupBy("component_id").agg(first.alias("first"))
-            .select(F.col(f"first.{place}").alias(place)))
-    return rows.join(kept, place, "left_semi").select(docs.columns)
+    found = materialise(found.select(F.col("doc_id").alias(place), "component_id"), "components")
+    # What is compared and what goes is narrow; the rows themselves move only where too many go for a broadcast.
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.sha2("text", 256).alias("text"), place)
+    first = (rows.select(place, rank.alias("rank")).join(found, place).groupBy("component_id")
+             .agg(F.min("rank").alias("first")).select("component_id", F.col(f"first.{place}").alias("first")))
+    gone = found.join(first, "component_id").where(F.col(place) != F.col("first")).select(place)
+    return rows.join(gone, place, "left_anti").select(docs.columns)

@@ -34,7 +34,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from starload.llm.common import fold, held_out, labelled_sample, shared
+from starload.llm.common import fold, give_back, held_out, labelled_sample
 from starload.scratch import materialise
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -111,6 +111,9 @@ def weights_of(seen: np.ndarray, with_1: np.ndarray, all_1: int, everyone: int)
     return (np.log((1 + everyone) / (1 + seen)) + 1) * (1 + LABEL_WEIGHT * np.sqrt(np.maximum(ratio, 0.0)))
 
 
+Bucket = tuple[int, bytes]
+
+
 def pack(terms: np.ndarray, places: np.ndarray, times: np.ndarray, labels: np.ndarray, all_1: int, everyone: int) -> bytes:
     """One bucket of the index from its postings (term, place of the example, number, label of the example)."""
     order = np.lexsort((places, terms))
@@ -127,19 +130,20 @@ def pack(terms: np.ndarray, places: np.ndarray, times: np.ndarray, labels: np.nd
 class Index:
     """The examples in place order: ids and labels; postings by term, the common terms as rows of blocks with maxima."""
 
-    def __init__(self, buckets: Sequence[bytes], ids: np.ndarray, labels: np.ndarray):
+    def __init__(self, buckets: Sequence[Bucket], ids: np.ndarray, labels: np.ndarray):
+        """buckets: number of postings and what `pack` made of them."""
         self.ids, self.labels = ids, labels
         self.all_1, self.everyone = int(labels.sum()), len(labels)
-        found, squares, postings = [(np.zeros(0, np.int64), *[np.zeros(0, np.int32)] * 2)], np.zeros(len(ids)), []
-        for bucket in buckets:
-            *terms, places, values = pickle.loads(bucket)
+        found, squares = [(np.zeros(0, np.int64), *[np.zeros(0, np.int32)] * 2)], np.zeros(len(ids))
+        ends = np.cumsum([0, *(n for n, _ in buckets)])
+        self.postings = np.empty(ends[-1], [("place", np.int32), ("value", np.float32)])
+        parts = [self.postings[a:b] for a, b in zip(ends, ends[1:])]
+        for part, (_, bucket) in zip(parts, buckets):
+            *terms, part["place"], part["value"] = pickle.loads(bucket)
             found.append(terms)
-            squares += np.bincount(places, values.astype(float) ** 2, len(ids))
-            postings.append(np.empty(len(places), [("place", np.int32), ("value", np.float32)]))
-            postings[-1]["place"], postings[-1]["value"] = places, values
-        for part in postings:
+            squares += np.bincount(part["place"], part["value"].astype(float) ** 2, len(ids))
+        for part in parts:
             part["value"] /= np.sqrt(np.maximum(squares, 1e-300))[part["place"]]
-        self.postings = np.concatenate(postings) if postings else np.empty(0, [("place", np.int32), ("value", np.float32)])
         names, seen, with_1 = (np.concatenate(p) for p in zip(*found))
         # The postings stay where they are, bucket after bucket; only the terms are put in order.
         order = np.argsort(names)
@@ -324,20 +328,20 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, bound: int = EXAMPLE
                                 "times": [n for _, n in found]})
 
     def bucket(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"packed": [pack(*(rows[c].to_numpy(np.int64) for c in ("term", "place", "times", "label")),
-                                             all_1, everyone)]})
+        return pd.DataFrame({"n": [len(rows)], "packed": [pack(*(
+            rows[c].to_numpy(np.int64) for c in ("term", "place", "times", "label")), all_1, everyone)]})
 
     texts = sample.join(F.broadcast(numbered.select("doc_id", "place")), "doc_id")
     counted = materialise(texts.select("place", "label", "text").mapInPandas(
         count, "place int, label int, terms array<long>, times array<long>"), "example-terms")
     postings = counted.select("place", "label", F.explode(F.arrays_zip("terms", "times")).alias("t")).select(
         "place", "label", F.col("t.terms").alias("term"), F.col("t.times").alias("times"))
-    buckets = [bytes(r.packed) for r in postings.groupBy(F.pmod("term", F.lit(BUCKETS)).alias("bucket"))
-               .applyInPandas(bucket, "packed binary").collect()]
-    packed = shared(spark, (buckets, ids, marks))
+    buckets = [(r.n, bytes(r.packed)) for r in postings.groupBy(F.pmod("term", F.lit(BUCKETS)).alias("bucket"))
+               .applyInPandas(bucket, "n long, packed binary").collect()]
+    packed = spark.sparkContext.broadcast((buckets, ids, marks))  # plain values, which need no code to be read
 
     def index() -> Index:
-        return Index(*packed())
+        return Index(*packed.value)
 
     def leave_one_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = index()
@@ -367,6 +371,8 @@ def score(text: Column, judge: Judge) -> Column:
                 rows = [found[text] for text in some]
                 yield pd.DataFrame({"score": [s for s, _ in rows], "predicted": [int(s >= THRESHOLD) for s, _ in rows],
                                     "neighbours": [[{"doc_id": d, "cosine": c, "label": y} for d, c, y in n] for _, n in rows]})
+        del known
+        give_back()
     return judged_by(text)
 
 
@@ -379,6 +385,8 @@ def predicted(text: Column, judge: Judge) -> Column:
             for some, different in in_pieces(texts):
                 found = dict(zip(different, (int(s >= THRESHOLD) for s, _ in known.scores(different, judge.knots))))
                 yield pd.Series([found[text] for text in some], dtype="int32")
+        del known
+        give_back()
     return predicted_by(text)
 
 

@@ -35,7 +35,7 @@ def some_index(seed=0, examples=300, terms=40, most=6):
     found = [hashed(c) for c in counts]
     term, times = (np.concatenate(x) for x in zip(*found))
     place = np.repeat(np.arange(examples), [len(f[0]) for f in found])
-    buckets = [pack(term[own], place[own], times[own], labels[place[own]], int(labels.sum()), examples)
+    buckets = [(int(own.sum()), pack(term[own], place[own], times[own], labels[place[own]], int(labels.sum()), examples))
                for own in (term % 3 == i for i in range(3))]
     return Index(buckets, 1000 - np.arange(examples), labels), counts, labels
 
