@@ -168,7 +168,10 @@ def near_words(words: DataFrame, shape: Shape = Shape()) -> DataFrame:
     placed = cut.select("word", "n", *group, "own", F.explode(F.concat(as_asked, as_target)).alias("p")).select(
         "word", "n", *group, "p.*", (F.col("own") == F.col("p.asking")).alias("asked"),
         (F.col("own") == F.col("p.among")).alias("target"))
-    found = placed.groupBy(*group, "asking", "among").applyInPandas(_look_up, FOUND)
+    # Few bytes make much work here, so tasks are not joined by their bytes: as many stay as a shuffle has.
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cell = [*group, "asking", "among"]
+    found = placed.repartition(tasks, *cell).groupBy(*cell).applyInPandas(_look_up, FOUND)
     best = F.min(F.struct((-F.col("other_n")).alias("minus"), "other")).alias("b")
     return (found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best)
             .select("word", "n_near", (-F.col("b.minus")).alias("other_n"), F.col("b.other").alias("other")))
