@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from starload.llm.common import mix, words_of
+from starload.operators.keys import number_rows
 from starload.scratch import materialise
 
 #: How many centres a bucket has in a round after the first.
@@ -295,15 +296,18 @@ def drop_near_duplicates(docs: DataFrame, shape: Shape = Shape()) -> DataFrame:
     rows one stays, and one without doc_id stays only if its group has no row
     with one.  Rows without words are near copies of nothing and all stay.
     """
+    unclear = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 OR doc_id IS NULL")
+    if unclear.isEmpty():
+        gone = near_duplicates(docs, shape).where("NOT kept").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    # Rows are numbered in the order in which they are preferred, and the numbers are the ids that are compared.
     place = "_place"
     while place in docs.columns:
         place = f"_{place}"
     rows = materialise(docs.withColumn(place, F.monotonically_increasing_id()), "rows")
-    found = near_duplicates(rows.select(F.col(place).alias("doc_id"), "text"), shape)
-    found = materialise(found.select(F.col("doc_id").alias(place), "component_id"), "components")
-    # What is compared and what goes is narrow; the rows themselves move only where too many go for a broadcast.
-    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.sha2("text", 256).alias("text"), place)
-    first = (rows.select(place, rank.alias("rank")).join(found, place).groupBy("component_id")
-             .agg(F.min("rank").alias("first")).select("component_id", F.col(f"first.{place}").alias("first")))
-    gone = found.join(first, "component_id").where(F.col(place) != F.col("first")).select(place)
-    return rows.join(gone, place, "left_anti").select(docs.columns)
+    order = rows.select(F.col(place).alias("place"), "doc_id", F.sha2("text", 256).alias("text"))
+    numbers = materialise(number_rows(order, ["doc_id", "text", "place"], "number", unique=True).select("place", "number"), "numbers")
+    renamed = rows.join(numbers, rows[place] == numbers["place"]).select(F.col("number").alias("doc_id"), "text")
+    gone = near_duplicates(renamed, shape).where("NOT kept").select(F.col("doc_id").alias("number"))
+    lost = numbers.join(gone, "number").select(F.col("place").alias(place))
+    return rows.join(lost, place, "left_anti").select(docs.columns)
