@@ -135,7 +135,7 @@ class LoadRun:
             if sum(r["n"] for r in counted) == target.count():
                 return stored
             for r in counted:
-                empty = stored.limit(0).drop("table", "run_id")
+                empty = small_frame(self.spark, [], stored.drop("table", "run_id").schema)
                 self.warehouse.report_of_run(RANGES_TABLE, empty, {"table": name, "run_id": r["run_id"]})
         made = materialise(load.fingerprint(target, ts, {k: k for k in keys}, _unit(spec)), "ranges")
         self.warehouse.report_of_run(RANGES_TABLE, made, {"table": name, "run_id": EARLIER})

