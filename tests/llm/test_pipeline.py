@@ -132,8 +132,11 @@ def test_every_stage_against_brute_force_with_odd_rows(spark, tmp_path):
             for r in before:
                 size[r.source] += len((r.text or "").split())
             for source, target in targets(list(size.items())):
-                taken = sum(len((r.text or "").split()) for r in after if r.source == source)
-                assert 0 <= target - taken <= 60
+                words = [len(r.text.split()) for r in after if r.source == source and r.text]
+                # What is missing is less than a word, or than any document that could be taken once more.
+                more = [len(r.text.split()) for r in before if r.source == source and r.text and left[r.doc_id, r.text] < 2]
+                gap = target - sum(words)
+                assert gap >= 0 and (gap < 1 or all(n == 0 or n > gap for n in more))
         else:
             assert left == Counter((r.doc_id, r.text) for r in before)
         assert docs.columns[:len(columns)] == columns
