@@ -50,7 +50,7 @@ COMMON = 512
 BLOCK = 8
 TOGETHER = 64
 #: Blocks that are looked at before any can be skipped; with more than one in WIDE open, all are multiplied at once.
-AHEAD, WIDE = 16, 8
+AHEAD, WIDE = 8, 8
 #: More than twice the error of a sum of COMMON products in single precision, for vectors of length 1.
 ERROR = 2 * COMMON * 2.0 ** -23
 #: Rows whose results are held at once.
@@ -67,14 +67,17 @@ def terms_of(text: str | None) -> Counter:
     then, so it counts only from one in DENSE words on; `*2` marks two or more.
     """
     words = LETTERS.findall((text or "").lower())
-    found, size = Counter(words), len(words)
-    for width in (4, 5):
-        beginnings: dict[str, int] = {}
-        for word in words:
-            if len(word) > width:
-                start = word[:width]
-                beginnings[start] = beginnings.get(start, 0) + 1
-        least = size / DENSE
+    found = Counter(words)
+    four: dict[str, int] = {}
+    five: dict[str, int] = {}
+    for word, times in found.items():
+        size = len(word)
+        if size > 4:
+            four[word[:4]] = four.get(word[:4], 0) + times
+            if size > 5:
+                five[word[:5]] = five.get(word[:5], 0) + times
+    least = len(words) / DENSE
+    for beginnings in (four, five):
         for start, times in beginnings.items():
             if times >= least:
                 found[start + "*"] = times
