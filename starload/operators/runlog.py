@@ -101,8 +101,8 @@ def year_and_quarter(moment: Column) -> list[Column]:
 def event_record(log: DataFrame, report: DataFrame) -> DataFrame:
     """One record per run: its step counts next to the counts and status of its checks.
 
-    Both inputs carry run_id, the log also start_time.  The result has year and
-    quarter to be partitioned by when written.
+    Both inputs carry run_id and status, the log also stage and start_time.  The
+    result has year and quarter to be partitioned by when written.
     """
     steps = log.groupBy("run_id").agg(
         F.min("start_time").alias("started"), F.count_if(_loads()).alias("steps"),

@@ -919,7 +919,8 @@ FROM s LEFT JOIN v USING (run_id)
 def event_record_by_quarter(spark, sf_dir):
     t = read(spark, sf_dir, "orders", "events")
     log = t["orders"].select(
-        F.col("o_custkey").cast("string").alias("run_id"), F.col("o_orderdate").alias("start_time"),
+        F.col("o_custkey").cast("string").alias("run_id"), F.lit(runlog.WRITE).alias("stage"),
+        F.col("o_orderdate").alias("start_time"),
         F.when(F.col("o_orderstatus") == "F", runlog.FAILURE).otherwise(runlog.SUCCESS).alias("status"))
     kind = F.col("event_type")
     report = t["events"].select(

@@ -291,6 +291,31 @@ def test_run_status_and_event_record(spark):
     assert (record["b"]["quarter"], record["b"]["validation"], record["b"]["warn"]) == ("Q3", "WARN", 1)
 
 
+def event_records_by_quarter(spark, folder, orders, events):
+    """What the query gives and what its SQL gives, columns by name."""
+    import duckdb
+    from starload.plans import star_queries
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string").write.parquet(f"{folder}/events.parquet")
+    found = star_queries.event_record_by_quarter(spark, str(folder))
+    with duckdb.connect() as con:
+        for t in ("orders", "events"):
+            con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet/*.parquet'")
+        sql = con.sql(star_queries.ORACLES["event_record_by_quarter"])
+        assert sorted(found.columns) == sorted(sql.columns)
+        return rows(found.select(*sql.columns)), sorted(sql.fetchall(), key=repr)
+
+
+def test_event_record_by_quarter(spark, tmp_path):
+    at = lambda m: datetime.datetime(2026, m, 1)
+    found, sql = event_records_by_quarter(
+        spark, tmp_path, [(1, 7, "F", at(5)), (2, 7, "O", at(2)), (3, 8, "P", at(11))],
+        [(1, 7, "view"), (2, 7, "click"), (3, 9, "error")])
+    assert found == [(2026, "Q1", "7", at(2), 2, 1, 1, "WARN", 2, 1, 1, 0),
+                     (2026, "Q4", "8", at(11), 1, 1, 0, None, None, None, None, None)]
+    assert found == sql
+
+
 def test_vacuum_keeps_only_what_the_table_uses(warehouse):
     make = lambda *r: warehouse.spark.createDataFrame(list(r), "id int, word string")
     for i in range(3):
