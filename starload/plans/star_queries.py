@@ -917,16 +917,17 @@ SELECT CAST(year(started) AS INTEGER) AS year, 'Q' || quarter(started) AS quarte
 FROM s LEFT JOIN v USING (run_id)
 """)
 def event_record_by_quarter(spark, sf_dir):
+    """A status that is NULL counts as a step or check, and as no outcome of one."""
     t = read(spark, sf_dir, "orders", "events")
+    state, kind = F.col("o_orderstatus"), F.col("event_type")
     log = t["orders"].select(
         F.col("o_custkey").cast("string").alias("run_id"), F.lit(runlog.WRITE).alias("stage"),
         F.col("o_orderdate").alias("start_time"),
-        F.when(F.col("o_orderstatus") == "F", runlog.FAILURE).otherwise(runlog.SUCCESS).alias("status"))
-    kind = F.col("event_type")
+        F.when(state == "F", runlog.FAILURE).when(state != "F", runlog.SUCCESS).alias("status"))
     report = t["events"].select(
         F.col("user_id").cast("string").alias("run_id"),
         F.when(kind == "error", quality.FAIL).when(kind == "view", quality.WARN)
-        .otherwise(quality.PASS).alias("status"))
+        .when(kind.isNotNull(), quality.PASS).alias("status"))
     return runlog.event_record(log, report)
 
 

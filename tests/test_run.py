@@ -316,6 +316,17 @@ def test_event_record_by_quarter(spark, tmp_path):
     assert found == sql
 
 
+def test_event_record_by_quarter_of_rows_without_a_status(spark, tmp_path):
+    at = lambda m: datetime.datetime(2026, m, 1)
+    found, sql = event_records_by_quarter(
+        spark, tmp_path, [(1, 7, "O", at(2)), (2, 7, None, at(3)), (3, 8, None, None), (4, None, "F", at(8))],
+        [(1, 7, "click"), (2, 7, None), (3, 8, None), (4, None, "error")])
+    assert found == [(2026, "Q1", "7", at(2), 2, 1, 0, "PASS", 2, 1, 0, 0),
+                     (2026, "Q3", None, at(8), 1, 0, 1, None, None, None, None, None),
+                     (None, None, "8", None, 1, 0, 0, "PASS", 1, 0, 0, 0)]
+    assert found == sql
+
+
 def test_vacuum_keeps_only_what_the_table_uses(warehouse):
     make = lambda *r: warehouse.spark.createDataFrame(list(r), "id int, word string")
     for i in range(3):
